@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 WORD_CLASS = r"[\p{L}\p{N}_]"
 NON_WORD_CLASS = r"[^\p{L}\p{N}_]"
 # Python's str.isspace() set, written for Java regex.
-SPACE_CHARS = r"\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Spelled without \s so that Java regex and RE2 read it identically.
+SPACE_CHARS = (r"\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+               r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 SPACE_CLASS = "[" + SPACE_CHARS + "]"
 # Characters that Python's IGNORECASE treats as equal to an ASCII letter: long s, dotless i,
 # dotted capital I, Kelvin sign.  They are folded before comparing with ASCII keywords.

@@ -116,3 +116,279 @@ SELECT entity, CAST(count(*) AS BIGINT) AS hits FROM hits GROUP BY entity""")
 def q_entity_counts(spark, sf):
     hits = ent.entity_hits(B.document_articles(spark, sf), DEMO_ENTITIES)
     return trends.entity_totals_from_hits(hits)
+
+
+# ---------------------------------------------------------------------------------------------
+# Relational core: windows, filters, validation, URL helpers, dedup
+# ---------------------------------------------------------------------------------------------
+from tidewatch.functions import entities_json as EJ  # noqa: E402
+from tidewatch.functions import text as TX  # noqa: E402
+from tidewatch.operators import dedup, quality, recent, validate  # noqa: E402
+
+# --- fixed values: query parameters --------------------------------------------------------
+RECENT_CATEGORY = "en"
+RECENT_DAYS = 29
+RECENT_LIMIT = 200
+UPDATES_DAYS = 7
+UPDATES_LIMIT = 20
+FRESH_DAYS = 10
+COLLECTED_DAYS = 3
+ALLOWED_LANGS = {"en", "fr", "de"}
+DATE_CHECK_AS_OF = B.dt.datetime(2024, 1, 25)
+NULL_CONDITIONS = {"published": "published IS NULL",
+                   "summary": "summary IS NULL OR summary = ''",
+                   "short_title": "length(title) < 20"}
+# -------------------------------------------------------------------------------------------
+P = S.PAGES_CTE
+
+RECENT_COLS = ["title", "link", "summary", "published", "source", "category", "collected_at",
+               "effective_time"]
+
+
+@register("recent_articles", f"""
+WITH {A}
+SELECT title, link, coalesce(summary, '') AS summary, published, source, category, collected_at,
+       coalesce(published, collected_at) AS effective_time
+FROM articles
+WHERE category = {S.q(RECENT_CATEGORY)} AND coalesce(published, collected_at) >= {S.cutoff(RECENT_DAYS)}
+ORDER BY effective_time DESC, link LIMIT {RECENT_LIMIT}""")
+def q_recent_articles(spark, sf):
+    return recent.recent_articles(B.document_articles(spark, sf), RECENT_CATEGORY, AS_OF,
+                                  RECENT_DAYS, RECENT_LIMIT).select(*RECENT_COLS)
+
+
+@register("recent_updates", f"""
+WITH {A}
+SELECT title, source, link, collected_at FROM articles
+WHERE collected_at >= {S.cutoff(UPDATES_DAYS)}
+ORDER BY collected_at DESC, link LIMIT {UPDATES_LIMIT}""")
+def q_recent_updates(spark, sf):
+    return recent.recent_updates(B.document_articles(spark, sf), AS_OF, UPDATES_DAYS, UPDATES_LIMIT)
+
+
+@register("freshness_gate", f"""
+WITH {A}
+SELECT link, published FROM articles
+WHERE published IS NULL OR published >= {S.cutoff(FRESH_DAYS)}""")
+def q_freshness_gate(spark, sf):
+    return recent.freshness_gate(B.document_articles(spark, sf), AS_OF, FRESH_DAYS).select(
+        "link", "published")
+
+
+@register("freshness_gate_events", f"""
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+WHERE ts IS NULL OR ts >= {S.cutoff(FRESH_DAYS)}""")
+def q_freshness_gate_events(spark, sf):
+    return recent.freshness_gate(B.read_table(spark, sf, "events"), AS_OF, FRESH_DAYS, col="ts")
+
+
+@register("collected_since", f"""
+WITH {A}
+SELECT link, collected_at FROM articles WHERE collected_at >= {S.cutoff(COLLECTED_DAYS)}""")
+def q_collected_since(spark, sf):
+    return recent.collected_since(B.document_articles(spark, sf), AS_OF, COLLECTED_DAYS).select(
+        "link", "collected_at")
+
+
+@register("validate_articles", f"""
+WITH {P}, v AS (SELECT link, {S.validation_errors()} AS errs FROM page_articles)
+SELECT link, len(errs) = 0 AS is_valid, array_to_string(errs, ', ') AS errors FROM v""")
+def q_validate_articles(spark, sf):
+    v = validate.validate_articles(B.page_articles(spark, sf))
+    return v.select("link", "is_valid", F.array_join("errors", ", ").alias("errors"))
+
+
+@register("validate_documents", f"""
+WITH {A}, v AS (SELECT link, {S.validation_errors()} AS errs FROM articles)
+SELECT link, len(errs) = 0 AS is_valid, array_to_string(errs, ', ') AS errors FROM v""")
+def q_validate_documents(spark, sf):
+    v = validate.validate_articles(B.document_articles(spark, sf))
+    return v.select("link", "is_valid", F.array_join("errors", ", ").alias("errors"))
+
+
+@register("split_valid_invalid", f"""
+WITH {P}, v AS (SELECT link, {S.validation_errors()} AS errs FROM page_articles)
+SELECT coalesce(link, 'None') || ': ' || array_to_string(errs, ', ') AS error FROM v WHERE len(errs) > 0""")
+def q_split_valid_invalid(spark, sf):
+    _, invalid = validate.split_valid_invalid(validate.validate_articles(B.page_articles(spark, sf)))
+    return invalid
+
+
+@register("valid_url", f"""
+SELECT page_id, url, {S.valid_url('url')} AS valid FROM pages
+UNION ALL
+SELECT -1 - doc_id, 'https://' || source || '.example.com/' || lang || '/' || CAST(doc_id AS VARCHAR),
+       {S.valid_url("'https://' || source || '.example.com/' || lang || '/' || CAST(doc_id AS VARCHAR)")}
+FROM documents""")
+def q_valid_url(spark, sf):
+    pages = B.read_table(spark, sf, "pages").select("page_id", "url", TX.valid_url(F.col("url")).alias("valid"))
+    docs = B.document_articles(spark, sf).select((F.lit(-1) - F.col("doc_id")).alias("page_id"),
+                                                 F.col("link").alias("url"),
+                                                 TX.valid_url(F.col("link")).alias("valid"))
+    return pages.unionByName(docs)
+
+
+@register("url_parts", f"""
+SELECT page_id, {S.url_netloc('url')} AS netloc, {S.url_path('url')} AS path,
+       coalesce(nullif(lower({S.url_netloc('url')}), ''), 'unknown') AS host
+FROM pages""")
+def q_url_parts(spark, sf):
+    p = B.read_table(spark, sf, "pages")
+    return p.select("page_id", TX.url_netloc(F.col("url")).alias("netloc"),
+                    TX.url_path(F.col("url")).alias("path"),
+                    TX.host_of(F.col("url"), F.lit("unknown")).alias("host"))
+
+
+@register("normalize_title", f"""
+WITH {P}
+SELECT page_id, title, {S.normalize_title('title')} AS norm_title FROM page_articles""")
+def q_normalize_title(spark, sf):
+    return B.page_articles(spark, sf).select("page_id", "title",
+                                             TX.normalize_title(F.col("title")).alias("norm_title"))
+
+
+@register("dedup_links", """
+SELECT l_orderkey AS link, l_suppkey AS source_ord, l_linenumber AS item_ord, l_partkey, l_quantity
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey, l_linenumber, l_partkey, l_quantity) AS rn
+      FROM lineitem) WHERE rn = 1""")
+def q_dedup_links(spark, sf):
+    li = B.read_table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("link"), F.col("l_suppkey").alias("source_ord"),
+        F.col("l_linenumber").alias("item_ord"), "l_partkey", "l_quantity")
+    return dedup.dedup_links(li)
+
+
+@register("raw_log_dedup", """
+WITH batch AS (SELECT l_orderkey AS link, l_suppkey AS source_ord, l_linenumber AS item_ord, l_partkey
+               FROM lineitem),
+fresh AS (SELECT * FROM batch WHERE link NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'))
+SELECT link, source_ord, item_ord, l_partkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY link ORDER BY source_ord, item_ord, l_partkey) AS rn FROM fresh)
+WHERE rn = 1""")
+def q_raw_log_dedup(spark, sf):
+    batch = B.read_table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("link"), F.col("l_suppkey").alias("source_ord"),
+        F.col("l_linenumber").alias("item_ord"), "l_partkey")
+    logged = B.read_table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("link"))
+    return dedup.raw_log_dedup(batch, logged)
+
+
+# ---------------------------------------------------------------------------------------------
+# Quality checks
+# ---------------------------------------------------------------------------------------------
+
+@register("total_records", "SELECT CAST(count(*) AS BIGINT) AS total FROM documents")
+def q_total_records(spark, sf):
+    return quality.total_records(B.read_table(spark, sf, "documents"))
+
+
+def _missing_sql():
+    parts = [f"SELECT {S.q(f)} AS field, CAST(count(*) FILTER (WHERE {c}) AS BIGINT) AS missing, "
+             f"CAST(count(*) AS BIGINT) AS total, "
+             f"round(count(*) FILTER (WHERE {c}) * 100.0 / count(*), 1) AS pct FROM articles"
+             for f, c in NULL_CONDITIONS.items()]
+    return f"WITH {A}\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("missing_fields", _missing_sql())
+def q_missing_fields(spark, sf):
+    return quality.missing_fields(B.document_articles(spark, sf), NULL_CONDITIONS)
+
+
+@register("duplicate_urls", """
+SELECT l_orderkey AS url_value, CAST(count(*) AS BIGINT) AS cnt FROM lineitem
+GROUP BY l_orderkey HAVING count(*) > 1 ORDER BY cnt DESC, url_value LIMIT 10""")
+def q_duplicate_urls(spark, sf):
+    return quality.duplicate_urls(B.read_table(spark, sf, "lineitem"), "l_orderkey", 10)
+
+
+@register("text_lengths", f"""
+WITH {A}
+SELECT 'title' AS "column", avg(length(title)) AS avg_len, CAST(min(length(title)) AS BIGINT) AS min_len,
+       CAST(max(length(title)) AS BIGINT) AS max_len FROM articles
+UNION ALL
+SELECT 'summary', avg(length(summary)), CAST(min(length(summary)) AS BIGINT),
+       CAST(max(length(summary)) AS BIGINT) FROM articles""")
+def q_text_lengths(spark, sf):
+    return quality.text_lengths(B.document_articles(spark, sf), ["title", "summary"])
+
+
+@register("language_distribution", f"""
+SELECT lang AS language_value, CAST(count(*) AS BIGINT) AS cnt,
+       coalesce(lang IS NOT NULL AND lang NOT IN ({", ".join(S.q(x) for x in sorted(ALLOWED_LANGS))}), false) AS invalid
+FROM documents GROUP BY lang""")
+def q_language_distribution(spark, sf):
+    return quality.language_distribution(B.read_table(spark, sf, "documents"), "lang", ALLOWED_LANGS)
+
+
+@register("allowed_language", f"""
+SELECT doc_id, lang FROM documents
+WHERE lang IS NOT NULL AND lang NOT IN ({", ".join(S.q(x) for x in sorted(ALLOWED_LANGS))})""")
+def q_allowed_language(spark, sf):
+    return quality.allowed_language(B.read_table(spark, sf, "documents"), "lang", ALLOWED_LANGS).select(
+        "doc_id", "lang")
+
+
+@register("date_range_check", f"""
+SELECT min(ts) AS oldest, max(ts) AS newest,
+       CAST(count(*) FILTER (WHERE ts > {S.ts(DATE_CHECK_AS_OF)}) AS BIGINT) AS future
+FROM events""")
+def q_date_range_check(spark, sf):
+    return quality.date_range_check(B.read_table(spark, sf, "events"), "ts", DATE_CHECK_AS_OF)
+
+
+def _quality_report_sql():
+    langs = ", ".join(S.q(x) for x in sorted(ALLOWED_LANGS))
+    scal = [f"SELECT 'total_records' AS \"check\", '*' AS field, CAST(count(*) AS DOUBLE) AS value FROM articles"]
+    for f, c in NULL_CONDITIONS.items():
+        scal.append(f"SELECT 'missing', {S.q(f)}, CAST(count(*) FILTER (WHERE {c}) AS DOUBLE) FROM articles")
+    for col in ("title", "summary"):
+        scal.append(f"SELECT 'avg_len', '{col}', avg(length({col})) FROM articles")
+        scal.append(f"SELECT 'min_len', '{col}', CAST(min(length({col})) AS DOUBLE) FROM articles")
+        scal.append(f"SELECT 'max_len', '{col}', CAST(max(length({col})) AS DOUBLE) FROM articles")
+    scal.append("SELECT 'oldest', 'published', epoch(min(published)) FROM articles")
+    scal.append("SELECT 'newest', 'published', epoch(max(published)) FROM articles")
+    scal.append(f"SELECT 'future', 'published', CAST(count(*) FILTER (WHERE published > {S.ts(DATE_CHECK_AS_OF)}) AS DOUBLE) FROM articles")
+    scal.append("SELECT 'language', coalesce(category, 'NULL'), CAST(count(*) AS DOUBLE) FROM articles GROUP BY category")
+    scal.append("SELECT 'duplicate_url', coalesce(CAST(url_value AS VARCHAR), 'NULL'), CAST(cnt AS DOUBLE) FROM ("
+                "SELECT source AS url_value, count(*) AS cnt FROM articles GROUP BY source HAVING count(*) > 1 "
+                "ORDER BY cnt DESC, url_value NULLS LAST LIMIT 10)")
+    _ = langs
+    return f"WITH {A}\n" + "\nUNION ALL\n".join(scal)
+
+
+@register("quality_report", _quality_report_sql())
+def q_quality_report(spark, sf):
+    return quality.quality_report(
+        B.document_articles(spark, sf), null_conditions=NULL_CONDITIONS,
+        text_columns=["title", "summary"], language_column="category",
+        allowed_languages=ALLOWED_LANGS, url_column="source", date_column="published",
+        as_of=DATE_CHECK_AS_OF, dup_limit=10)
+
+
+# ---------------------------------------------------------------------------------------------
+# Entity JSON at the storage edge
+# ---------------------------------------------------------------------------------------------
+
+@register("decode_entities", f"""
+WITH {A},
+{S.hits_ctes(DEMO_ENTITIES)}
+SELECT link, entity, string_agg(keyword, '|' ORDER BY keyword_ord) AS keywords
+FROM hits GROUP BY link, entity""")
+def q_decode_entities(spark, sf):
+    """Round trip: match -> JSON text (as stored) -> tolerant decode -> long form."""
+    m = ent.entity_match(B.document_articles(spark, sf), DEMO_ENTITIES)
+    stored = m.select("link", EJ.encode_entities(F.col("matched_entities")).alias("entities_json"))
+    dec = stored.select("link", TX.explode_rows(EJ.decode_entities(F.col("entities_json")))
+                        .alias("entity", "kw")).filter(F.col("entity").isNotNull())
+    return dec.select("link", "entity", F.array_join("kw", "|").alias("keywords"))
+
+
+@register("decode_props", """
+SELECT event_id,
+       CAST(len(list_filter(json_keys(props), lambda k: json_type(props, '$."' || k || '"') = 'ARRAY')) AS INTEGER) AS n_lists
+FROM events""")
+def q_decode_props(spark, sf):
+    ev = B.read_table(spark, sf, "events")
+    return ev.select("event_id", F.size(EJ.decode_entities(F.col("props"))).alias("n_lists"))

@@ -98,3 +98,60 @@ hits AS (
 
 def cutoff(days: int, as_of: dt.datetime = AS_OF) -> str:
     return ts(as_of - dt.timedelta(days=days))
+
+
+# --- SQL spellings of the text helpers (RE2; 'g' = replace all, as Spark does) ------------
+SP = (r"\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+      r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+
+
+def strip_py(x: str) -> str:
+    return f"regexp_replace({x}, '^[{SP}]+|[{SP}]+$', '', 'g')"
+
+
+def collapse(x: str) -> str:
+    return strip_py(f"regexp_replace({x}, '[{SP}]+', ' ', 'g')")
+
+
+def normalize_title(x: str) -> str:
+    inner = f"regexp_replace({collapse(f'lower({x})')}, '[^\\p{{L}}\\p{{N}}_{SP}\\-]', '', 'g')"
+    return f"coalesce({collapse(inner)}, '')"
+
+
+def clean_url(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '[\\t\\r\\n]', '', 'g'), '^[\\x{{00}}-\\x{{20}}]+', '')"
+
+
+def valid_url(x: str) -> str:
+    return f"coalesce(regexp_matches({clean_url(x)}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+'), false)"
+
+
+def _after_scheme(x: str) -> str:
+    c = clean_url(x)
+    return (f"(CASE WHEN regexp_matches({c}, '^[A-Za-z][A-Za-z0-9+.-]*:') "
+            f"THEN regexp_replace({c}, '^[A-Za-z][A-Za-z0-9+.-]*:', '') ELSE {c} END)")
+
+
+def url_netloc(x: str) -> str:
+    r = _after_scheme(x)
+    return f"(CASE WHEN starts_with({r}, '//') THEN regexp_extract({r}, '^//([^/?#]*)', 1) ELSE '' END)"
+
+
+def url_path(x: str) -> str:
+    r = _after_scheme(x)
+    rest = f"(CASE WHEN starts_with({r}, '//') THEN regexp_replace({r}, '^//[^/?#]*', '') ELSE {r} END)"
+    return f"regexp_replace(regexp_extract({rest}, '^([^?#]*)', 1), ';[^/]*$', '')"
+
+
+def validation_errors(t="title", l="link", s="summary", src="source", c="category") -> str:
+    def missing(x):
+        return f"({x} IS NULL OR {x} = '')"
+    return f"""list_filter([
+      CASE WHEN {missing(t)} THEN 'title is missing or not a string'
+           WHEN {strip_py(t)} = '' THEN 'title is empty' END,
+      CASE WHEN {missing(l)} THEN 'link is missing or not a string'
+           WHEN NOT {valid_url(l)} THEN 'link has invalid URL format: ' || {l} END,
+      CASE WHEN {missing(s)} THEN 'summary is missing or not a string'
+           WHEN {strip_py(s)} = '' THEN 'summary is empty' END,
+      CASE WHEN {missing(src)} THEN 'source is missing or not a string' END,
+      CASE WHEN {missing(c)} THEN 'category is missing or not a string' END], lambda x: x IS NOT NULL)"""
