@@ -392,3 +392,161 @@ FROM events""")
 def q_decode_props(spark, sf):
     ev = B.read_table(spark, sf, "events")
     return ev.select("event_id", F.size(EJ.decode_entities(F.col("props"))).alias("n_lists"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Full-text search
+# ---------------------------------------------------------------------------------------------
+from tidewatch.functions import nlq  # noqa: E402
+from tidewatch.operators import search as FTS  # noqa: E402
+from tidewatch.plans import search_plan  # noqa: E402
+
+# --- fixed values: search parameters -------------------------------------------------------
+BM25_QUERY = "que el"
+BM25_COMMON_QUERY = "the and"
+BM25_LIMIT = 20
+PHRASE = "de la"
+PREFIX = "ouen"
+MATCH_ALL = "the of"
+SEARCH_QUERY = "last 20 days top 7 que el"
+# -------------------------------------------------------------------------------------------
+
+
+def search_docs(spark, sf):
+    """Search corpus bound from documents: (link, title, body)."""
+    return B.document_articles(spark, sf).select("link", "title", F.col("summary").alias("body"))
+
+
+def _tok_sql():
+    fold = "lower(strip_accents(coalesce({}, '')))"
+    pat = r"'[\p{L}\p{N}\p{Co}]+'"
+    return (f"tok AS (SELECT link, regexp_extract_all({fold.format('title')}, {pat}) AS tt, "
+            f"regexp_extract_all({fold.format('summary')}, {pat}) AS bt FROM articles)")
+
+
+def _bm25_ctes(terms):
+    fs = ", ".join(f"len(list_filter(tt, lambda x: x = {S.q(t)})) + len(list_filter(bt, lambda x: x = {S.q(t)})) AS f{i}"
+                   for i, t in enumerate(terms))
+    ns = ", ".join(f"count(*) FILTER (WHERE f{i} > 0) AS n{i}" for i in range(len(terms)))
+    idf = ", ".join(f"CASE WHEN ln((n - n{i} + 0.5) / (n{i} + 0.5)) <= 0 THEN 1e-6 "
+                    f"ELSE ln((n - n{i} + 0.5) / (n{i} + 0.5)) END AS i{i}" for i in range(len(terms)))
+    score = " + ".join(f"i{i} * f{i} * 2.2 / (f{i} + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))"
+                       for i in range(len(terms)))
+    cond = " AND ".join(f"f{i} > 0" for i in range(len(terms)))
+    return f"""{A},
+{_tok_sql()},
+d AS (SELECT link, len(tt) + len(bt) AS dl, {fs} FROM tok),
+st AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(dl) AS avgdl, {ns} FROM d),
+idf AS (SELECT n, avgdl, {idf} FROM st),
+sc AS (SELECT d.link, -({score}) AS rank FROM d, idf WHERE {cond})"""
+
+
+def _bm25_sql(terms, limit):
+    return f"""WITH {_bm25_ctes(terms)}
+SELECT link, round(rank, 6) AS rank FROM sc ORDER BY sc.rank, link LIMIT {limit}"""
+
+
+def _bm25_spark(spark, sf, query, limit):
+    docs = search_docs(spark, sf)
+    terms = FTS.query_terms(query)
+    top = FTS.bm25_topk(FTS.fts_postings(docs, terms=terms), FTS.doc_stats(docs), terms, limit)
+    return top.select("link", F.round("rank", 6).alias("rank"))
+
+
+@register("bm25_topk", _bm25_sql(FTS.query_terms(BM25_QUERY), BM25_LIMIT))
+def q_bm25_topk(spark, sf):
+    return _bm25_spark(spark, sf, BM25_QUERY, BM25_LIMIT)
+
+
+@register("bm25_topk_common", _bm25_sql(FTS.query_terms(BM25_COMMON_QUERY), BM25_LIMIT))
+def q_bm25_topk_common(spark, sf):
+    """Terms present in most documents: exercises the idf floor."""
+    return _bm25_spark(spark, sf, BM25_COMMON_QUERY, BM25_LIMIT)
+
+
+@register("fts_match_all", f"""WITH {A},
+{_tok_sql()}
+SELECT link FROM tok WHERE {" AND ".join(f"list_contains(tt || bt, {S.q(t)})" for t in FTS.query_terms(MATCH_ALL))}""")
+def q_fts_match_all(spark, sf):
+    docs = search_docs(spark, sf)
+    terms = FTS.query_terms(MATCH_ALL)
+    return FTS.fts_match_all(FTS.fts_postings(docs, terms=terms), terms)
+
+
+@register("fts_any", f"""WITH {A},
+{_tok_sql()}
+SELECT link FROM tok WHERE {" OR ".join(f"list_contains(tt || bt, {S.q(t)})" for t in FTS.query_terms(BM25_QUERY))}""")
+def q_fts_any(spark, sf):
+    docs = search_docs(spark, sf)
+    terms = FTS.query_terms(BM25_QUERY)
+    return FTS.fts_any(FTS.fts_postings(docs, terms=terms), terms)
+
+
+@register("fts_prefix", f"""WITH {A},
+{_tok_sql()}
+SELECT link FROM tok WHERE len(list_filter(tt || bt, lambda x: starts_with(x, {S.q(PREFIX)}))) > 0""")
+def q_fts_prefix(spark, sf):
+    return FTS.fts_prefix(FTS.fts_postings(search_docs(spark, sf)), PREFIX)
+
+
+@register("fts_phrase", f"""WITH {A},
+{_tok_sql()}
+SELECT link FROM tok
+WHERE ' ' || array_to_string(tt, ' ') || ' ' LIKE {S.q('% ' + PHRASE + ' %')}
+   OR ' ' || array_to_string(bt, ' ') || ' ' LIKE {S.q('% ' + PHRASE + ' %')}""")
+def q_fts_phrase(spark, sf):
+    terms = FTS.query_terms(PHRASE)
+    return FTS.fts_phrase(FTS.fts_postings(search_docs(spark, sf), terms=terms), terms)
+
+
+@register("fts_postings", f"""WITH {A},
+{_tok_sql()},
+toks AS (SELECT link, unnest(tt || bt) AS term FROM tok)
+SELECT term, CAST(count(DISTINCT link) AS BIGINT) AS doc_freq, CAST(count(*) AS BIGINT) AS total_tf
+FROM toks GROUP BY term""")
+def q_fts_postings(spark, sf):
+    post = FTS.fts_postings(search_docs(spark, sf))
+    return post.groupBy("term").agg(F.count_distinct("link").cast("bigint").alias("doc_freq"),
+                                    F.sum("tf").cast("bigint").alias("total_tf"))
+
+
+_SP = nlq.parse_query(SEARCH_QUERY)
+
+
+@register("search", f"""WITH {_bm25_ctes(FTS.query_terms(_SP.search_text))},
+top AS (SELECT link, rank FROM sc ORDER BY rank, link LIMIT {_SP.limit})
+SELECT t.link, a.title, round(t.rank, 6) AS rank FROM top t JOIN articles a ON a.link = t.link
+WHERE a.collected_at >= {S.cutoff(_SP.days)}""")
+def q_search(spark, sf):
+    arts = B.document_articles(spark, sf)
+    res = search_plan.search_documents(search_docs(spark, sf), arts, SEARCH_QUERY, AS_OF, 20)
+    return res.select("link", "title", F.round("rank", 6).alias("rank"))
+
+
+@register("snippet")
+def q_snippet(spark, sf):
+    """Search results with snippets (own window rule; checked by tests, not by SQL)."""
+    arts = B.document_articles(spark, sf)
+    res = search_plan.search_documents(search_docs(spark, sf), arts, BM25_QUERY, AS_OF, 20,
+                                       with_snippets=True)
+    return res.select("link", "title", F.round("rank", 6).alias("rank"), "snippet")
+
+
+@register("filter_links_by_days", f"""WITH {A},
+{_tok_sql()},
+hits AS (SELECT link FROM tok WHERE {" OR ".join(f"list_contains(tt || bt, {S.q(t)})" for t in FTS.query_terms(BM25_QUERY))})
+SELECT h.link FROM hits h WHERE h.link IN (SELECT link FROM articles WHERE collected_at >= {S.cutoff(COLLECTED_DAYS)})""")
+def q_filter_links_by_days(spark, sf):
+    docs = search_docs(spark, sf)
+    terms = FTS.query_terms(BM25_QUERY)
+    hits = FTS.fts_any(FTS.fts_postings(docs, terms=terms), terms)
+    recent_links = recent.collected_since(B.document_articles(spark, sf), AS_OF, COLLECTED_DAYS)
+    return hits.join(recent_links.select("link"), "link", "left_semi")
+
+
+@register("nl_parse")
+def q_nl_parse(spark, sf):
+    """Parse every user turn of the conversation log as a search query."""
+    conv = B.read_table(spark, sf, "conversations").filter(F.col("role") == "user")
+    return conv.select("conv_id", "turn", nlq.nl_parse(F.col("text")).alias("p")).select(
+        "conv_id", "turn", "p.search_text", "p.days", "p.limit")
