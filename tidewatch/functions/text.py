@@ -33,6 +33,8 @@ URL_PARTS_PATTERN = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
 URL_REMOVE_PATTERN = r"[\t\r\n]"
 URL_LEADING_PATTERN = r"^[\x{00}-\x{20}]+"
 VALID_URL_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+"
+# urlsplit: optional scheme (letter first, then letters/digits/+-.), optional //netloc, path.
+URL_SPLIT_PATTERN = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
 # ---------------------------------------------------------------------------------------
 
 
@@ -83,21 +85,13 @@ def valid_url(col: Column) -> Column:
 
 
 def url_netloc(col: Column) -> Column:
-    """Network location (case kept) when the URL has a scheme-less '//' or 'scheme://'."""
-    c = clean_url(col)
-    has_scheme = c.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:")
-    rest = F.when(has_scheme, F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")).otherwise(c)
-    return F.when(rest.startswith("//"), F.regexp_extract(rest, r"^//([^/?#]*)", 1)).otherwise(F.lit(""))
+    """Network location (case kept): text after '//' that follows an optional valid scheme."""
+    return F.regexp_extract(clean_url(col), URL_SPLIT_PATTERN, 2)
 
 
 def url_path(col: Column) -> Column:
     """Path without query, fragment and the ';params' of the last segment."""
-    c = clean_url(col)
-    has_scheme = c.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:")
-    rest = F.when(has_scheme, F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")).otherwise(c)
-    rest = F.when(rest.startswith("//"), F.regexp_replace(rest, r"^//[^/?#]*", "")).otherwise(rest)
-    path = F.regexp_extract(rest, r"^([^?#]*)", 1)
-    return F.regexp_replace(path, r";[^/]*$", "")
+    return F.regexp_replace(F.regexp_extract(clean_url(col), URL_SPLIT_PATTERN, 3), r";[^/]*$", "")
 
 
 def host_of(url: Column, fallback: Column) -> Column:

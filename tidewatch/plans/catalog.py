@@ -550,3 +550,43 @@ def q_nl_parse(spark, sf):
     conv = B.read_table(spark, sf, "conversations").filter(F.col("role") == "user")
     return conv.select("conv_id", "turn", nlq.nl_parse(F.col("text")).alias("p")).select(
         "conv_id", "turn", "p.search_text", "p.days", "p.limit")
+
+
+# ---------------------------------------------------------------------------------------------
+# Near duplicates
+# ---------------------------------------------------------------------------------------------
+from tidewatch.operators import similarity as SIM  # noqa: E402
+
+
+@register("duplicate_groups", f"""WITH {P},
+g AS (SELECT link, {S.url_netloc('link')} AS netloc, {S.url_path('link')} AS path,
+             {S.normalize_title('title')} AS norm_title FROM page_articles)
+SELECT link, netloc, path, norm_title,
+       min(link) OVER (PARTITION BY netloc, path, norm_title) AS representative,
+       CAST(count(*) OVER (PARTITION BY netloc, path, norm_title) AS BIGINT) AS group_size
+FROM g""")
+def q_duplicate_groups(spark, sf):
+    return SIM.duplicate_groups(B.page_articles(spark, sf))
+
+
+@register("duplicate_pairs")
+def q_duplicate_pairs(spark, sf):
+    """Near-duplicate page pairs (exactness checked against all-pairs difflib in tests)."""
+    return SIM.duplicate_pairs(B.page_articles(spark, sf))
+
+
+@register("similar_url")
+def q_similar_url(spark, sf):
+    """Pages paired with the document article of the same id: URL similarity flag."""
+    pages = B.read_table(spark, sf, "pages").select("page_id", F.col("url").alias("u1"))
+    docs = B.document_articles(spark, sf).select(F.col("doc_id").alias("page_id"), F.col("link").alias("u2"))
+    return SIM.similar_url_pairs(pages.join(docs, "page_id"), "u1", "u2")
+
+
+@register("title_ratio")
+def q_title_ratio(spark, sf):
+    """Ratio between each page title and the title of the document with the same id."""
+    pages = B.page_articles(spark, sf).select("page_id", TX.normalize_title(F.col("title")).alias("t1"))
+    docs = B.document_articles(spark, sf).select(F.col("doc_id").alias("page_id"),
+                                                 TX.normalize_title(F.col("title")).alias("t2"))
+    return pages.join(docs, "page_id").select("page_id", F.round(SIM.seq_ratio("t1", "t2"), 6).alias("ratio"))

@@ -126,21 +126,15 @@ def valid_url(x: str) -> str:
     return f"coalesce(regexp_matches({clean_url(x)}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+'), false)"
 
 
-def _after_scheme(x: str) -> str:
-    c = clean_url(x)
-    return (f"(CASE WHEN regexp_matches({c}, '^[A-Za-z][A-Za-z0-9+.-]*:') "
-            f"THEN regexp_replace({c}, '^[A-Za-z][A-Za-z0-9+.-]*:', '') ELSE {c} END)")
+URL_SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
 
 
 def url_netloc(x: str) -> str:
-    r = _after_scheme(x)
-    return f"(CASE WHEN starts_with({r}, '//') THEN regexp_extract({r}, '^//([^/?#]*)', 1) ELSE '' END)"
+    return f"regexp_extract({clean_url(x)}, '{URL_SPLIT}', 2)"
 
 
 def url_path(x: str) -> str:
-    r = _after_scheme(x)
-    rest = f"(CASE WHEN starts_with({r}, '//') THEN regexp_replace({r}, '^//[^/?#]*', '') ELSE {r} END)"
-    return f"regexp_replace(regexp_extract({rest}, '^([^?#]*)', 1), ';[^/]*$', '')"
+    return f"regexp_replace(regexp_extract({clean_url(x)}, '{URL_SPLIT}', 3), ';[^/]*$', '')"
 
 
 def validation_errors(t="title", l="link", s="summary", src="source", c="category") -> str:
