@@ -1,0 +1,26 @@
+"""Keeping the search corpus and its postings in step with upserts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewatch.operators.search import fts_postings
+
+
+def upsert_documents(docs: DataFrame, incoming: DataFrame, key: str = "link",
+                     order: str | None = None) -> DataFrame:
+    """Replace documents by key; within ``incoming`` the last row (by ``order``) wins."""
+    if order is not None:
+        cols = [c for c in incoming.columns if c not in (key, order)]
+        incoming = (incoming.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(order)).alias("_r"))
+                    .select(key, *[F.col("_r")[c].alias(c) for c in cols]))
+    return docs.join(incoming.select(key), key, "left_anti").unionByName(incoming.select(*docs.columns))
+
+
+def maintain_postings(postings: DataFrame, touched_docs: DataFrame, key: str = "link",
+                      title: str = "title", body: str = "body") -> DataFrame:
+    """Postings after re-indexing ``touched_docs``: their old postings are removed and the
+    new ones added; postings of untouched documents are kept as they are (no re-tokenising)."""
+    kept = postings.join(touched_docs.select(key), key, "left_anti")
+    return kept.unionByName(fts_postings(touched_docs, key, title, body).select(*postings.columns))

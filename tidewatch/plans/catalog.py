@@ -590,3 +590,139 @@ def q_title_ratio(spark, sf):
     docs = B.document_articles(spark, sf).select(F.col("doc_id").alias("page_id"),
                                                  TX.normalize_title(F.col("title")).alias("t2"))
     return pages.join(docs, "page_id").select("page_id", F.round(SIM.seq_ratio("t1", "t2"), 6).alias("ratio"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Storage: merge by link, retention, raw log records, search-document upsert
+# ---------------------------------------------------------------------------------------------
+from tidewatch.functions.entities_json import EMPTY_MAP  # noqa: E402
+from tidewatch.sinks import raw_log as RAW  # noqa: E402
+from tidewatch.sinks import store as STORE  # noqa: E402
+
+# --- fixed values: storage parameters ------------------------------------------------------
+RECOLLECT_AT = B.dt.datetime(2024, 2, 1, 6, 0, 0)
+RETAIN_DAYS = 20
+LOGGED_AT = B.dt.datetime(2024, 2, 1, 6, 0, 0)
+# -------------------------------------------------------------------------------------------
+
+MERGE_COLS = ["category", "source", "title", "link", "summary", "published", "collected_at"]
+
+
+def _recollection_batch(spark, sf):
+    """A re-crawl of every document (titles prefixed, German dates lost), Spanish rows seen
+    twice (a draft first), and every page seen twice (second copy from a mirror)."""
+    arts = B.document_articles(spark, sf)
+    pages = B.page_articles(spark, sf)
+    empty = F.create_map().cast(EMPTY_MAP).alias("matched_entities")
+    again = arts.select("category", "source", F.concat(F.lit("re: "), F.col("title")).alias("title"), "link", "summary",
+                        F.when(F.col("category") == "de", F.lit(None).cast("timestamp_ntz"))
+                        .otherwise(F.col("published")).alias("published"), empty, F.lit(1).alias("batch_ord"))
+    draft = arts.filter(F.col("category") == "es").select(
+        "category", "source", F.lit("draft").alias("title"), "link", "summary", "published", empty,
+        F.lit(0).alias("batch_ord"))
+    p0 = pages.select("category", "source", "title", "link", "summary", "published", empty,
+                      F.lit(0).alias("batch_ord"))
+    p1 = pages.select("category", F.concat(F.lit("mirror:"), F.col("source")).alias("source"),
+                      F.concat(F.col("title"), F.lit(" (mirror)")).alias("title"), "link", "summary",
+                      "published", empty, F.lit(1).alias("batch_ord"))
+    return again.unionByName(draft).unionByName(p0).unionByName(p1)
+
+
+_BATCH_SQL = f"""cur AS (SELECT category, source, title, link, summary, published, collected_at FROM articles),
+batch AS (
+  SELECT category, source, 're: ' || title AS title, link, summary,
+         CASE WHEN category = 'de' THEN NULL ELSE published END AS published, 1 AS ord FROM articles
+  UNION ALL SELECT category, source, 'draft', link, summary, published, 0 FROM articles WHERE category = 'es'
+  UNION ALL SELECT category, source, title, link, summary, published, 0 FROM page_articles
+  UNION ALL SELECT category, 'mirror:' || source, title || ' (mirror)', link, summary, published, 1 FROM page_articles),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY link ORDER BY ord) AS rf,
+                     row_number() OVER (PARTITION BY link ORDER BY ord DESC) AS rl FROM batch),
+b AS (SELECT f.link, f.category, f.source, l.title, l.summary, l.published
+      FROM ranked f JOIN ranked l ON f.link = l.link AND f.rf = 1 AND l.rl = 1)"""
+
+
+@register("upsert_articles", f"""WITH {A}, {P},
+{_BATCH_SQL}
+SELECT coalesce(c.category, b.category) AS category, coalesce(c.source, b.source) AS source,
+       CASE WHEN b.link IS NOT NULL THEN b.title ELSE c.title END AS title,
+       coalesce(c.link, b.link) AS link,
+       CASE WHEN b.link IS NOT NULL THEN b.summary ELSE c.summary END AS summary,
+       CASE WHEN b.link IS NOT NULL THEN b.published ELSE c.published END AS published,
+       CASE WHEN b.link IS NOT NULL THEN {S.ts(RECOLLECT_AT)} ELSE c.collected_at END AS collected_at
+FROM cur c FULL OUTER JOIN b ON c.link = b.link""")
+def q_upsert_articles(spark, sf):
+    cur = B.document_articles(spark, sf).withColumn("matched_entities", F.create_map().cast(EMPTY_MAP))
+    merged = STORE.merge_articles(cur, _recollection_batch(spark, sf), RECOLLECT_AT)
+    return merged.select(*MERGE_COLS)
+
+
+@register("upsert_articles_broadcast", ORACLE["upsert_articles"])
+def q_upsert_articles_broadcast(spark, sf):
+    """Same merge through the small-batch plan (batch broadcast, table not shuffled)."""
+    cur = B.document_articles(spark, sf).withColumn("matched_entities", F.create_map().cast(EMPTY_MAP))
+    merged = STORE.merge_articles(cur, _recollection_batch(spark, sf), RECOLLECT_AT, broadcast_batch=True)
+    return merged.select(*MERGE_COLS)
+
+
+@register("assert_not_null", f"""WITH {A}, {P},
+{_BATCH_SQL}
+SELECT CAST(count(*) FILTER (WHERE category IS NULL) AS BIGINT) AS category,
+       CAST(count(*) FILTER (WHERE source IS NULL) AS BIGINT) AS source,
+       CAST(count(*) FILTER (WHERE title IS NULL) AS BIGINT) AS title,
+       CAST(count(*) FILTER (WHERE link IS NULL) AS BIGINT) AS link FROM batch""")
+def q_assert_not_null(spark, sf):
+    batch = _recollection_batch(spark, sf)
+    return batch.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in STORE.NOT_NULL])
+
+
+@register("retain_articles", f"""WITH {A}
+SELECT link, coalesce(published, collected_at) AS effective_time FROM articles
+WHERE coalesce(published, collected_at) < {S.cutoff(RETAIN_DAYS)}""")
+def q_retain_articles(spark, sf):
+    exp = STORE.expired_rows(B.document_articles(spark, sf), AS_OF, RETAIN_DAYS)
+    return exp.select("link", B.effective_time(F.col("published"), F.col("collected_at")).alias("effective_time"))
+
+
+@register("raw_records", f"""WITH {A}
+SELECT title, link, summary, strftime(published, '%Y-%m-%dT%H:%M:%S') AS published, source, category,
+       {S.q(LOGGED_AT.isoformat())} AS logged_at, {S.q(LOGGED_AT.date().isoformat())} AS log_date,
+       regexp_replace(source, '[/\\\\]', '_', 'g') AS source_safe
+FROM articles""")
+def q_raw_records(spark, sf):
+    return RAW.raw_records(B.document_articles(spark, sf), LOGGED_AT).drop("matched_entities")
+
+
+@register("upsert_documents", f"""WITH {A}, {P},
+docs AS (SELECT link, title, summary AS body FROM articles),
+incoming AS (SELECT link, title, summary AS body FROM page_articles
+             UNION ALL SELECT link, 're: ' || title, summary FROM articles WHERE category = 'fr')
+SELECT link, title, body FROM docs WHERE link NOT IN (SELECT link FROM incoming)
+UNION ALL SELECT link, title, body FROM incoming""")
+def q_upsert_documents(spark, sf):
+    docs = search_docs(spark, sf)
+    pages = B.page_articles(spark, sf).select("link", "title", F.col("summary").alias("body"))
+    fr = (B.document_articles(spark, sf).filter(F.col("category") == "fr")
+          .select("link", F.concat(F.lit("re: "), F.col("title")).alias("title"), F.col("summary").alias("body")))
+    from tidewatch.operators.search_index import upsert_documents
+    return upsert_documents(docs, pages.unionByName(fr))
+
+
+@register("maintain_postings", f"""WITH {A}, {P},
+docs AS (SELECT link, title, summary FROM articles WHERE link NOT IN (SELECT link FROM articles WHERE category = 'fr')
+         UNION ALL SELECT link, 're: ' || title, summary FROM articles WHERE category = 'fr'
+         UNION ALL SELECT link, title, summary FROM page_articles),
+tok AS (SELECT link, regexp_extract_all(lower(strip_accents(coalesce(title, ''))), '[\\p{{L}}\\p{{N}}\\p{{Co}}]+') AS tt,
+               regexp_extract_all(lower(strip_accents(coalesce(summary, ''))), '[\\p{{L}}\\p{{N}}\\p{{Co}}]+') AS bt FROM docs),
+toks AS (SELECT link, unnest(tt || bt) AS term FROM tok)
+SELECT term, CAST(count(DISTINCT link) AS BIGINT) AS doc_freq, CAST(count(*) AS BIGINT) AS total_tf
+FROM toks GROUP BY term""")
+def q_maintain_postings(spark, sf):
+    from tidewatch.operators.search_index import maintain_postings
+    docs = search_docs(spark, sf)
+    postings = FTS.fts_postings(docs)
+    pages = B.page_articles(spark, sf).select("link", "title", F.col("summary").alias("body"))
+    fr = (B.document_articles(spark, sf).filter(F.col("category") == "fr")
+          .select("link", F.concat(F.lit("re: "), F.col("title")).alias("title"), F.col("summary").alias("body")))
+    new_post = maintain_postings(postings, pages.unionByName(fr))
+    return new_post.groupBy("term").agg(F.count_distinct("link").cast("bigint").alias("doc_freq"),
+                                        F.sum("tf").cast("bigint").alias("total_tf"))
