@@ -726,3 +726,379 @@ def q_maintain_postings(spark, sf):
     new_post = maintain_postings(postings, pages.unionByName(fr))
     return new_post.groupBy("term").agg(F.count_distinct("link").cast("bigint").alias("doc_freq"),
                                         F.sum("tf").cast("bigint").alias("total_tf"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Report rollups
+# ---------------------------------------------------------------------------------------------
+from tidewatch.operators import rollups as R  # noqa: E402
+
+# --- fixed values: rollup parameters -------------------------------------------------------
+SUMMARY_CATEGORY = "en"
+SUMMARY_SEARCH = "phrase"
+SUMMARY_KEEP_DAYS = 10
+SUMMARY_TODAY = B.dt.date(2024, 1, 31)
+HEALTH_OK_MIN_DELAY = 2.0
+HEALTH_DISABLE_AFTER = 3
+SUPPORTED_TYPES = ("rss", "met_museum", "aic", "smithsonian")
+# -------------------------------------------------------------------------------------------
+
+
+def matched_articles(spark, sf):
+    return ent.entity_match(B.document_articles(spark, sf), DEMO_ENTITIES)
+
+
+def summaries(spark, sf):
+    return R.daily_summary(matched_articles(spark, sf))
+
+
+H = S.hits_ctes(DEMO_ENTITIES)
+_SUMMARY_CTES = f"""{A},
+{H},
+art AS (SELECT a.link, strftime(a.collected_at, '%Y-%m-%d') AS date, a.category, a.source,
+               a.link IN (SELECT link FROM hits) AS matched FROM articles a),
+base AS (SELECT date, category, CAST(count(*) AS BIGINT) AS article_count,
+                CAST(count(DISTINCT source) AS BIGINT) AS source_count,
+                CAST(count(*) FILTER (WHERE matched) AS BIGINT) AS matched_count FROM art GROUP BY date, category),
+src AS (SELECT date, category, string_agg(source || ':' || CAST(n AS VARCHAR), '|' ORDER BY source) AS sources
+        FROM (SELECT date, category, source, count(*) AS n FROM art GROUP BY date, category, source)
+        GROUP BY date, category),
+ent_c AS (SELECT art.date, art.category, h.entity, count(*) AS c FROM hits h JOIN art ON art.link = h.link
+          GROUP BY art.date, art.category, h.entity),
+ent AS (SELECT date, category, string_agg(entity || ':' || CAST(c AS VARCHAR), '|' ORDER BY c DESC, entity) AS top_entities,
+               list(entity ORDER BY c DESC, entity) AS names
+        FROM ent_c GROUP BY date, category),
+summ AS (SELECT b.date, b.category, b.article_count, b.source_count, b.matched_count,
+                coalesce(e.top_entities, '') AS top_entities, s.sources, coalesce(e.names, []) AS names
+         FROM base b JOIN src s USING (date, category) LEFT JOIN ent e USING (date, category))"""
+
+
+@register("daily_summary", f"""WITH {_SUMMARY_CTES}
+SELECT date, category, article_count, source_count, matched_count, top_entities, sources FROM summ""")
+def q_daily_summary(spark, sf):
+    return R.flatten_summary(summaries(spark, sf))
+
+
+@register("portfolio_stats", f"""WITH {_SUMMARY_CTES},
+r AS (SELECT date, category, article_count,
+             coalesce(matched_count / nullif(article_count, 0), 0.0) AS rate FROM summ)
+SELECT CAST(count(*) AS BIGINT) AS total_reports, CAST(sum(article_count) AS BIGINT) AS total_articles,
+       round((SELECT rate FROM r ORDER BY date DESC, category DESC LIMIT 1) * 100, 6) AS latest_match_rate,
+       round(avg(rate) * 100, 6) AS avg_match_rate
+FROM r""")
+def q_portfolio_stats(spark, sf):
+    return R.portfolio_stats(summaries(spark, sf), decimals=6)
+
+
+@register("summary_trend", f"""WITH {_SUMMARY_CTES}
+SELECT date, article_count, names[1] AS top_entity FROM summ
+WHERE category = {S.q(SUMMARY_CATEGORY)}
+  AND (SELECT count(*) FROM summ WHERE category = {S.q(SUMMARY_CATEGORY)}) >= 3""")
+def q_summary_trend(spark, sf):
+    return R.summary_trend(summaries(spark, sf), SUMMARY_CATEGORY)
+
+
+@register("summary_top_tags", f"""WITH {_SUMMARY_CTES}
+SELECT date, category, array_to_string(names[1:3], '|') AS top_tags FROM summ""")
+def q_summary_top_tags(spark, sf):
+    return R.summary_top_tags(summaries(spark, sf)).select(
+        "date", "category", F.array_join(F.transform("top_tags", lambda e: e["name"]), "|").alias("top_tags"))
+
+
+@register("summary_search", f"""WITH {_SUMMARY_CTES}
+SELECT date, category FROM summ
+WHERE contains(lower(category || ' ' || date || ' ' || array_to_string(names, ' ')), {S.q(SUMMARY_SEARCH)})""")
+def q_summary_search(spark, sf):
+    return R.summary_search(summaries(spark, sf), SUMMARY_SEARCH).select("date", "category")
+
+
+@register("retain_summaries", f"""WITH {_SUMMARY_CTES},
+names AS (SELECT category || '_' || replace(date, '-', '') AS stem FROM summ
+          UNION ALL SELECT date FROM summ UNION ALL SELECT 'index')
+SELECT stem FROM names
+WHERE stem = 'index'
+   OR CASE WHEN regexp_matches(stem, '[0-9]{{8}}$')
+           THEN try_strptime(right(stem, 8), '%Y%m%d')::DATE
+           WHEN length(stem) = 10 THEN try_strptime(stem, '%Y-%m-%d')::DATE END IS NULL
+   OR CASE WHEN regexp_matches(stem, '[0-9]{{8}}$')
+           THEN try_strptime(right(stem, 8), '%Y%m%d')::DATE
+           WHEN length(stem) = 10 THEN try_strptime(stem, '%Y-%m-%d')::DATE END
+      >= DATE '{SUMMARY_TODAY - B.dt.timedelta(days=SUMMARY_KEEP_DAYS)}'""")
+def q_retain_summaries(spark, sf):
+    s = summaries(spark, sf)
+    names = (s.select(F.concat("category", F.lit("_"), F.regexp_replace("date", "-", "")).alias("stem"))
+             .unionByName(s.select(F.col("date").alias("stem")))
+             .unionByName(spark.range(1).select(F.lit("index").alias("stem"))))
+    return R.retain_summaries(names, SUMMARY_KEEP_DAYS, SUMMARY_TODAY)
+
+
+@register("articles_by_day", f"""WITH {A}
+SELECT coalesce(strftime(published, '%Y-%m-%d'), 'Undated') AS day, CAST(count(*) AS BIGINT) AS articles
+FROM articles GROUP BY 1""")
+def q_articles_by_day(spark, sf):
+    return R.articles_by_day(B.document_articles(spark, sf))
+
+
+@register("source_counts", f"""WITH {A}
+SELECT source, CAST(count(*) AS BIGINT) AS articles FROM articles GROUP BY source""")
+def q_source_counts(spark, sf):
+    return R.source_counts(B.document_articles(spark, sf))
+
+
+@register("freshness_buckets", f"""WITH {A},
+g AS (SELECT CASE WHEN published IS NULL THEN 'Undated'
+                  WHEN date_diff('day', CAST(published AS DATE), DATE '{AS_OF.date()}') <= 1 THEN '0-1'
+                  WHEN date_diff('day', CAST(published AS DATE), DATE '{AS_OF.date()}') <= 3 THEN '2-3'
+                  WHEN date_diff('day', CAST(published AS DATE), DATE '{AS_OF.date()}') <= 7 THEN '4-7'
+                  WHEN date_diff('day', CAST(published AS DATE), DATE '{AS_OF.date()}') <= 30 THEN '8-30'
+                  ELSE '31+' END AS bucket FROM articles)
+SELECT bucket, CAST(count(*) AS BIGINT) AS articles FROM g GROUP BY bucket""")
+def q_freshness_buckets(spark, sf):
+    return R.freshness_buckets(B.document_articles(spark, sf), AS_OF)
+
+
+@register("entity_rate", f"""WITH {A},
+{H}
+SELECT entity, CAST(count(DISTINCT link) AS BIGINT) AS articles,
+       round(count(DISTINCT link) / (SELECT count(*) FROM articles), 6) AS rate
+FROM hits GROUP BY entity""")
+def q_entity_rate(spark, sf):
+    return R.entity_rate(matched_articles(spark, sf))
+
+
+@register("entity_heatmap", f"""WITH {A},
+{H}
+SELECT h.entity, coalesce(strftime(a.published, '%Y-%m-%d'), 'Undated') AS day, CAST(count(*) AS BIGINT) AS hits
+FROM hits h JOIN articles a ON a.link = h.link GROUP BY 1, 2""")
+def q_entity_heatmap(spark, sf):
+    return R.entity_heatmap(matched_articles(spark, sf))
+
+
+def attempts(spark, sf):
+    """Collection attempts bound from events: source = event type, ok = delay >= 2."""
+    ev = B.read_table(spark, sf, "events")
+    return ev.select(F.col("event_type").alias("source"), F.col("ts").alias("at"),
+                     (F.col("value") >= HEALTH_OK_MIN_DELAY).alias("ok"), F.col("value").alias("delay"))
+
+
+@register("source_health", f"""WITH att AS (SELECT event_type AS source, ts AS t_at, value >= {HEALTH_OK_MIN_DELAY} AS ok,
+                    value AS delay FROM events),
+lo AS (SELECT source, max(t_at) FILTER (WHERE ok) AS last_ok FROM att GROUP BY source),
+g AS (SELECT a.source, count(*) AS attempts, count(*) FILTER (WHERE ok) AS successes,
+             arg_max(delay, t_at) AS last_delay,
+             count(*) FILTER (WHERE NOT ok AND (lo.last_ok IS NULL OR t_at > lo.last_ok)) AS failure_streak
+      FROM att a JOIN lo USING (source) GROUP BY a.source)
+SELECT source, CAST(attempts AS BIGINT) AS attempts, CAST(successes AS BIGINT) AS successes, last_delay,
+       CAST(failure_streak AS BIGINT) AS failure_streak, round(successes / attempts, 6) AS success_rate,
+       failure_streak >= {HEALTH_DISABLE_AFTER} AS disabled FROM g""")
+def q_source_health(spark, sf):
+    return R.source_health(attempts(spark, sf), HEALTH_DISABLE_AFTER)
+
+
+def configured_sources(spark, sf):
+    """Sources as configured: document feeds (rss) and page hosts (html, unsupported)."""
+    docs = B.document_articles(spark, sf).select(F.col("source").alias("name")).distinct().withColumn("type", F.lit("rss"))
+    pages = B.page_articles(spark, sf).select(F.col("source").alias("name")).distinct().withColumn("type", F.lit("html"))
+    return docs.unionByName(pages).withColumn("url", F.lit(""))
+
+
+@register("error_rollup", f"""WITH {A}, {P},
+v AS (SELECT source, {S.validation_errors()} AS errs FROM articles
+      UNION ALL SELECT source, {S.validation_errors()} FROM page_articles),
+verr AS (SELECT source, 'validation' AS kind FROM v WHERE len(errs) > 0),
+srcs AS (SELECT DISTINCT source AS name, 'rss' AS type FROM articles
+         UNION ALL SELECT DISTINCT source, 'html' FROM page_articles),
+serr AS (SELECT name AS source, 'source' AS kind FROM srcs
+         WHERE lower(type) NOT IN ({", ".join(S.q(t) for t in SUPPORTED_TYPES)}))
+SELECT kind, source, CAST(count(*) AS BIGINT) AS errors
+FROM (SELECT * FROM verr UNION ALL SELECT * FROM serr) GROUP BY kind, source""")
+def q_error_rollup(spark, sf):
+    from tidewatch.sources.ingest import unsupported_sources
+    v = validate.validate_articles(B.document_articles(spark, sf)).unionByName(
+        validate.validate_articles(B.page_articles(spark, sf)), allowMissingColumns=True)
+    verr = v.filter(~F.col("is_valid")).select("source", F.lit("validation").alias("kind"),
+                                              F.array_join("errors", ", ").alias("message"))
+    serr = unsupported_sources(configured_sources(spark, sf)).select(
+        F.col("name").alias("source"), F.lit("source").alias("kind"), "message")
+    return R.error_rollup(verr.unionByName(serr))
+
+
+@register("run_stats", f"""WITH {A},
+{H},
+v AS (SELECT link, source, {S.validation_errors()} AS errs FROM articles)
+SELECT CAST(count(DISTINCT source) AS BIGINT) AS sources, CAST(count(*) AS BIGINT) AS collected,
+       CAST(count(*) FILTER (WHERE link IN (SELECT link FROM hits)) AS BIGINT) AS matched,
+       CAST(count(*) FILTER (WHERE len(errs) = 0) AS BIGINT) AS validated, {RECENT_DAYS} AS window_days
+FROM v""")
+def q_run_stats(spark, sf):
+    v = validate.validate_articles(matched_articles(spark, sf))
+    return R.run_stats(v, v, RECENT_DAYS)
+
+
+# ---------------------------------------------------------------------------------------------
+# Ingest: payloads are built by Spark from the documents table, then normalised back
+# ---------------------------------------------------------------------------------------------
+from tidewatch.sources import ingest as ING  # noqa: E402
+
+# --- fixed values: ingest parameters -------------------------------------------------------
+INGEST_LIMIT = 30
+AIC_LIMIT = 5
+PAGE_SPAN = 200          # documents with doc_id // 200 equal share one list response
+INGEST_CATEGORY = "museum"
+# -------------------------------------------------------------------------------------------
+
+
+def _landed(arts):
+    return arts.select(F.col("source").alias("source_name"), F.lit(INGEST_CATEGORY).alias("category"),
+                       F.regexp_extract("source", r"(\d+)$", 1).cast("int").alias("source_ord"),
+                       F.col("doc_id").alias("item_ord"), "doc_id", "title", "link", "summary", "published",
+                       "source", F.col("category").alias("lang"))
+
+
+def met_payloads(spark, sf):
+    a = _landed(B.document_articles(spark, sf))
+    obj = F.to_json(F.struct(
+        F.col("doc_id").cast("string").alias("objectID"), F.col("title").alias("title"),
+        F.when(F.col("doc_id") % 4 != 0, F.col("source")).alias("artistDisplayName"),
+        F.date_format("published", "yyyy").alias("objectDate"), F.col("lang").alias("medium"),
+        F.when(F.col("doc_id") % 3 != 0, F.col("link")).otherwise(F.lit("")).alias("objectURL"),
+        F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("metadataDate")))
+    payload = F.when(F.col("doc_id") % 7 == 0, F.lit("[]")).otherwise(obj)
+    return a.select("source_name", "category", "source_ord", "item_ord", payload.alias("payload"))
+
+
+def _museum_sql(title, artist, date, medium):
+    t = f"coalesce(nullif({S.strip_py(f'coalesce(nullif({title}, {S.q(chr(0))[:0] or chr(39)*2}), {S.q(ING.UNTITLED)})')}, ''), {S.q(ING.UNTITLED)})"
+    a = S.strip_py(f"coalesce(nullif({artist}, ''), {S.q(ING.UNKNOWN_ARTIST)})")
+    parts = f"list_filter([{a}, {S.strip_py(f'coalesce({date}, {chr(39)*2})')}, {S.strip_py(f'coalesce({medium}, {chr(39)*2})')}], lambda x: x <> '')"
+    s = f"CASE WHEN len({parts}) > 0 THEN array_to_string({parts}, '. ') ELSE {S.q(ING.NO_DESCRIPTION)} END"
+    return t, s
+
+
+_MT, _MS = _museum_sql("title", "CASE WHEN doc_id % 4 <> 0 THEN source END", "strftime(published, '%Y')", "category")
+
+
+@register("ingest_met", f"""WITH {A},
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM articles)
+SELECT {_MT} AS title,
+       CASE WHEN doc_id % 3 <> 0 THEN link ELSE {S.q(ING.MET_LINK)} || CAST(doc_id AS VARCHAR) END AS link,
+       {_MS} AS summary, published, source, {S.q(INGEST_CATEGORY)} AS category,
+       CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) AS source_ord, doc_id AS item_ord
+FROM o WHERE rn <= {INGEST_LIMIT} AND doc_id % 7 <> 0""")
+def q_ingest_met(spark, sf):
+    arts, _ = ING.ingest_met(met_payloads(spark, sf), INGEST_LIMIT)
+    return arts
+
+
+@register("ingest_met_skipped", f"""WITH {A},
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM articles)
+SELECT source AS source_name, CAST(count(*) FILTER (WHERE doc_id % 7 = 0) AS BIGINT) AS skipped
+FROM o WHERE rn <= {INGEST_LIMIT} GROUP BY source""")
+def q_ingest_met_skipped(spark, sf):
+    return ING.ingest_met(met_payloads(spark, sf), INGEST_LIMIT)[1]
+
+
+def aic_payloads(spark, sf):
+    a = _landed(B.document_articles(spark, sf))
+    row = F.struct(F.col("doc_id").alias("_k"), F.col("doc_id").cast("string").alias("id"), "title",
+                   F.col("source").alias("artist_display"),
+                   F.date_format("published", "yyyy").alias("date_display"),
+                   F.col("lang").alias("medium_display"))
+    page = (a.groupBy("source_name", "category", "source_ord", (F.col("doc_id") / PAGE_SPAN).cast("bigint").alias("item_ord"))
+            .agg(F.array_sort(F.collect_list(row)).alias("rows")))
+    data = F.transform("rows", lambda r: r.dropFields("_k"))
+    return page.select("source_name", "category", "source_ord", "item_ord",
+                       F.to_json(F.struct(data.alias("data"))).alias("payload"))
+
+
+_AT, _AS = _museum_sql("title", "source", "strftime(published, '%Y')", "category")
+
+
+@register("ingest_aic", f"""WITH {A},
+o AS (SELECT *, CAST(floor(doc_id / {PAGE_SPAN}) AS BIGINT) AS page,
+             row_number() OVER (PARTITION BY source, CAST(floor(doc_id / {PAGE_SPAN}) AS BIGINT) ORDER BY doc_id) - 1 AS pos
+      FROM articles)
+SELECT {_AT} AS title, {S.q(ING.AIC_LINK)} || CAST(doc_id AS VARCHAR) AS link, {_AS} AS summary,
+       CAST(NULL AS TIMESTAMP) AS published, source, {S.q(INGEST_CATEGORY)} AS category,
+       CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) AS source_ord, page * 100000 + pos AS item_ord
+FROM o WHERE pos < {AIC_LIMIT}""")
+def q_ingest_aic(spark, sf):
+    return ING.ingest_aic(aic_payloads(spark, sf), AIC_LIMIT)
+
+
+def si_payloads(spark, sf):
+    a = _landed(B.document_articles(spark, sf))
+    notes = F.array(
+        F.struct(F.lit("Credit").alias("label"), F.col("source").alias("content")),
+        F.struct(F.when(F.col("doc_id") % 2 == 0, F.lit("Summary")).otherwise(F.lit("Description")).alias("label"),
+                 F.when(F.col("doc_id") % 5 == 0, F.lit("")).otherwise(F.col("title")).alias("content")))
+    row = F.struct(
+        F.col("doc_id").alias("_k"), F.col("doc_id").cast("string").alias("id"), "title",
+        F.unix_seconds(F.col("published").cast("timestamp")).cast("string").alias("timestamp"),
+        F.struct(F.struct(F.when(F.col("doc_id") % 3 != 0, F.col("link")).alias("record_link"),
+                          F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("Museum "), F.col("lang")))
+                          .alias("data_source")).alias("descriptiveNonRepeating"),
+                 F.struct(notes.alias("notes")).alias("freetext")).alias("content"))
+    page = (a.groupBy("source_name", "category", "source_ord", (F.col("doc_id") / PAGE_SPAN).cast("bigint").alias("item_ord"))
+            .agg(F.array_sort(F.collect_list(row)).alias("rows")))
+    data = F.transform("rows", lambda r: r.dropFields("_k"))
+    return page.select("source_name", "category", "source_ord", "item_ord",
+                       F.to_json(F.struct(F.struct(data.alias("rows")).alias("response"))).alias("payload"))
+
+
+@register("ingest_smithsonian", f"""WITH {A},
+o AS (SELECT *, CAST(floor(doc_id / {PAGE_SPAN}) AS BIGINT) AS page,
+             row_number() OVER (PARTITION BY source, CAST(floor(doc_id / {PAGE_SPAN}) AS BIGINT) ORDER BY doc_id) - 1 AS pos
+      FROM articles)
+SELECT coalesce(nullif({S.strip_py(f"coalesce(nullif(title, ''), {S.q(ING.UNTITLED)})")}, ''), {S.q(ING.UNTITLED)}) AS title,
+       CASE WHEN doc_id % 3 <> 0 THEN link ELSE {S.q(ING.SI_LINK)} || CAST(doc_id AS VARCHAR) END AS link,
+       CASE WHEN doc_id % 5 = 0 OR title = '' THEN {S.q(ING.NO_DESCRIPTION)} ELSE title END AS summary,
+       published,
+       CASE WHEN doc_id % 4 = 0 THEN 'Museum ' || category ELSE source END AS source,
+       {S.q(INGEST_CATEGORY)} AS category,
+       CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) AS source_ord, page * 100000 + pos AS item_ord
+FROM o WHERE pos < {INGEST_LIMIT}""")
+def q_ingest_smithsonian(spark, sf):
+    return ING.ingest_smithsonian(si_payloads(spark, sf), INGEST_LIMIT)
+
+
+def _xml_escape(c):
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+
+
+def rss_payloads(spark, sf):
+    a = _landed(B.page_articles(spark, sf).withColumn("doc_id", F.col("page_id")))
+    item = F.concat(
+        F.lit("<item><title>"), _xml_escape(F.col("title")), F.lit("</title><link>"), _xml_escape(F.col("link")),
+        F.lit("</link><description>"), _xml_escape(F.col("summary")), F.lit("</description>"),
+        F.lit("<pubDate>Tue, 02 Jan 2024 09:30:00 +0900</pubDate></item>"))
+    return a.select(F.col("source_name"), "category", F.lit(0).alias("source_ord"), "item_ord",
+                    item.alias("payload"))
+
+
+@register("ingest_rss")
+def q_ingest_rss(spark, sf):
+    """Page titles through RSS items (XML escaping + HTML unescape are checked by tests)."""
+    return ING.ingest_rss(rss_payloads(spark, sf), INGEST_LIMIT)
+
+
+@register("dispatch_by_type", f"""WITH {A}, {P},
+srcs AS (SELECT DISTINCT source AS name, 'rss' AS type FROM articles
+         UNION ALL SELECT DISTINCT source, 'html' FROM page_articles)
+SELECT name, type, name || ': Unsupported source type ''' || type || '''' AS message FROM srcs
+WHERE lower(type) NOT IN ('rss', 'met_museum', 'aic', 'smithsonian', 'javascript', 'browser')""")
+def q_dispatch_by_type(spark, sf):
+    return ING.unsupported_sources(configured_sources(spark, sf))
+
+
+@register("union_sources", """
+SELECT l_orderkey AS link, l_suppkey AS source_ord, l_linenumber AS item_ord FROM lineitem
+UNION ALL SELECT o_orderkey, o_custkey, 0 FROM orders""")
+def q_union_sources(spark, sf):
+    li = B.read_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("link"),
+                                                    F.col("l_suppkey").alias("source_ord"),
+                                                    F.col("l_linenumber").alias("item_ord"))
+    od = B.read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("link"),
+                                                 F.col("o_custkey").alias("source_ord"),
+                                                 F.lit(0).alias("item_ord"))
+    return li.unionByName(od)
