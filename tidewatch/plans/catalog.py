@@ -1102,3 +1102,75 @@ def q_union_sources(spark, sf):
                                                  F.col("o_custkey").alias("source_ord"),
                                                  F.lit(0).alias("item_ord"))
     return li.unionByName(od)
+
+
+# ---------------------------------------------------------------------------------------------
+# Read-only SQL tool and streaming delivery
+# ---------------------------------------------------------------------------------------------
+from tidewatch.plans.sql_tool import read_only_sql  # noqa: E402
+from tidewatch.session import checkpoint_dir  # noqa: E402
+from tidewatch.streaming import delivery as STREAM  # noqa: E402
+
+# --- fixed values: SQL tool and stream parameters ------------------------------------------
+TOOL_SQL = ("WITH recent AS (SELECT category, source, collected_at FROM articles "
+            "WHERE collected_at >= TIMESTAMP_NTZ'2024-01-20 00:00:00') "
+            "SELECT category, count(*) AS n, count(DISTINCT source) AS sources FROM recent "
+            "GROUP BY category ORDER BY n DESC, category")
+STREAM_WATERMARK = "1 day"
+DEDUP_WATERMARK = "3650 days"
+# -------------------------------------------------------------------------------------------
+
+
+@register("read_only_sql", f"""WITH {A},
+recent AS (SELECT category, source, collected_at FROM articles WHERE collected_at >= TIMESTAMP '2024-01-20 00:00:00')
+SELECT category, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT source) AS BIGINT) AS sources
+FROM recent GROUP BY category""")
+def q_read_only_sql(spark, sf):
+    B.document_articles(spark, sf).createOrReplaceTempView("articles")
+    return read_only_sql(spark, TOOL_SQL)
+
+
+def _result_path(spark, name):
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/results/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@register("stream_event_counts", """
+SELECT date_trunc('day', ts) AS window_start, event_type, CAST(count(*) AS BIGINT) AS n
+FROM events GROUP BY 1, 2""")
+def q_stream_event_counts(spark, sf):
+    """Per-day event counts by type as an event-time windowed streaming aggregate."""
+    s = STREAM.stream_table(spark, sf, "events.parquet")
+    agg = STREAM.windowed_counts(s, "ts", ["event_type"], "1 day", STREAM_WATERMARK)
+    out = STREAM.run_available(agg, _result_path(spark, "event_counts"), "complete", "event_counts")
+    return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                                          "event_type", "n")
+
+
+@register("stream_dedup_links", "SELECT DISTINCT l_orderkey AS link FROM lineitem")
+def q_stream_dedup_links(spark, sf):
+    """Link dedup on a stream: first arrival per order key within the watermark."""
+    s = STREAM.stream_table(spark, sf, "lineitem.parquet").select(
+        F.col("l_orderkey").alias("link"), F.col("l_shipdate").cast("timestamp").alias("fetched_at"))
+    d = STREAM.dedup_stream(s, "link", "fetched_at", DEDUP_WATERMARK)
+    out = STREAM.run_available(d, _result_path(spark, "dedup"), "append", "dedup")
+    return spark.read.parquet(out).select("link")
+
+
+@register("stream_upsert", f"""WITH {A},
+{H}
+SELECT category, CAST(count(*) AS BIGINT) AS articles,
+       CAST(count(*) FILTER (WHERE link IN (SELECT link FROM hits)) AS BIGINT) AS matched
+FROM articles GROUP BY category""")
+def q_stream_upsert(spark, sf):
+    """Documents streamed through binding -> entity match -> foreachBatch upsert into the
+    versioned store; the stored table is then read back and rolled up."""
+    s = STREAM.stream_table(spark, sf, "documents.parquet")
+    arts = B.articles_from_documents(s).withColumn("batch_ord", F.col("item_ord"))
+    matched = ent.entity_match(arts, DEMO_ENTITIES)
+    root = _result_path(spark, "store")
+    STREAM.upsert_stream(matched, root, RECOLLECT_AT, name="upsert")
+    stored = STORE.read_articles(spark, root)
+    m = F.coalesce(F.size("matched_entities") > 0, F.lit(False))
+    return stored.groupBy("category").agg(F.count(F.lit(1)).cast("bigint").alias("articles"),
+                                          F.count_if(m).cast("bigint").alias("matched"))
