@@ -30,14 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.functions.text import CASE_EXTRA_FROM, CASE_EXTRA_TO, WORD_CLASS, explode_rows
+from tidewatch.functions.text import (CASE_EXTRA_FROM, CASE_EXTRA_TO, NON_WORD_CLASS, WORD_CLASS,
+                                      explode_rows)
 
 # Largest dictionary inlined into the plan as literals; larger ones use a join.
 MAX_INLINE_KEYWORDS = 20_000
 # Largest dictionary broadcast in the join form; larger ones are shuffle-joined.
 MAX_BROADCAST_KEYWORDS = 2_000_000
 
-_SEGMENT_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
 _WORD_RUN = re.compile(r"\w+|\W+")
 
 HIT_TYPE = T.StructType([
@@ -85,30 +85,47 @@ def _folded(hay: Column) -> Column:
     return F.lower(F.translate(hay, CASE_EXTRA_FROM, CASE_EXTRA_TO))
 
 
-def _windows(segs: Column, n: int) -> Column:
-    """Strings made of n consecutive segments starting on a word run.
+# Largest number of distinct first words put into one anchored window pattern.
+MAX_ANCHORS = 64
 
-    ``segs`` must be a column reference: it is read inside the lambda.
-    """
-    first = F.when(F.try_element_at(segs, F.lit(1)).rlike("^" + WORD_CLASS), F.lit(1)).otherwise(F.lit(2))
-    last = F.size(segs) - n + 1
-    starts = F.when(first <= last, F.sequence(first, last, F.lit(2))).otherwise(
-        F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(segs, i, n), ""))
+
+def _windows(folded: Column, n: int, anchors: list[str] | None = None) -> Column:
+    """All strings of ``n`` consecutive segments (word run, separator, word run, ...) that
+    start on a word run -- overlapping windows included -- in one regex pass: a zero-width
+    match at each word start whose lookahead captures the window.  With ``anchors`` the
+    window must start with one of those words (the first words of the keywords)."""
+    words = (n + 1) // 2
+    if anchors:
+        first = "(?:" + "|".join("\\Q" + a + "\\E" for a in sorted(anchors, key=lambda a: (-len(a), a))) + ")"
+    else:
+        first = WORD_CLASS + "+"
+    window = first + (NON_WORD_CLASS + "+" + WORD_CLASS + "+") * (words - 1)
+    pattern = "(?<!" + WORD_CLASS + ")(?=(" + window + "))"
+    return F.regexp_extract_all(folded, F.lit(pattern), 1)
 
 
-def with_candidates(df: DataFrame, folded: str, ns: list[int], out: str = "_tw_c") -> DataFrame:
+def with_candidates(df: DataFrame, folded: str, ns: list[int], out: str = "_tw_c",
+                    anchors: dict[int, list[str]] | None = None) -> DataFrame:
     """Add the distinct candidate strings (word runs and n-segment windows) of ``folded``."""
     parts = []
-    if 1 in ns:
-        parts.append(F.coalesce(F.regexp_extract_all(F.col(folded), F.lit(WORD_CLASS + "+"), 0),
-                                F.array().cast("array<string>")))
-    multi = sorted(n for n in set(ns) if n > 1)
-    if multi:
-        df = df.withColumn("_tw_s", F.regexp_extract_all(F.col(folded), F.lit(_SEGMENT_PATTERN), 0))
-        parts += [_windows(F.col("_tw_s"), n) for n in multi]
+    for n in sorted(set(ns)):
+        if n == 1:
+            w = F.regexp_extract_all(F.col(folded), F.lit(WORD_CLASS + "+"), 0)
+        else:
+            a = (anchors or {}).get(n)
+            w = _windows(F.col(folded), n, a if a and len(a) <= MAX_ANCHORS else None)
+        parts.append(F.coalesce(w, F.array().cast("array<string>")))
     cands = F.array_distinct(parts[0] if len(parts) == 1 else F.concat(*parts))
-    return df.withColumn(out, cands).drop("_tw_s")
+    return df.withColumn(out, cands)
+
+
+def _anchors(grams: list[Keyword]) -> dict[int, list[str]]:
+    """First word run of each multi-word keyword, per segment count."""
+    out: dict[int, set[str]] = {}
+    for k in grams:
+        if k.segments > 1:
+            out.setdefault(k.segments, set()).add(re.match(r"\w+", k.keyword).group(0))
+    return {n: sorted(v) for n, v in out.items()}
 
 
 def _hit_literal(k: Keyword) -> Column:
@@ -167,7 +184,7 @@ def with_hits(articles: DataFrame, entities, out: str = "_hits",
     hits = _non_gram_hits(kws, F.col("_tw_f"), F.col("_tw_l"))
     if grams:
         vocab = F.array(*[F.lit(kw) for kw in sorted({k.keyword for k in grams})])
-        df = with_candidates(df, "_tw_f", sorted({k.segments for k in grams}))
+        df = with_candidates(df, "_tw_f", sorted({k.segments for k in grams}), anchors=_anchors(grams))
         df = df.withColumn("_tw_m", F.array_intersect(F.col("_tw_c"), vocab)).drop("_tw_c")
         table = F.array(*[F.struct(F.lit(k.keyword).alias("kw"), _hit_literal(k).alias("hit"))
                           for k in grams])
@@ -200,7 +217,7 @@ def _hits_by_join(articles: DataFrame, kws: list[Keyword], key_cols: list[str])
             "kw string, entity_ord int, keyword_ord int, entity string, keyword string")
         if len(grams) <= MAX_BROADCAST_KEYWORDS:
             dim = F.broadcast(dim)
-        cands = with_candidates(base, "_f", sorted({k.segments for k in grams})).select(
+        cands = with_candidates(base, "_f", sorted({k.segments for k in grams}), anchors=_anchors(grams)).select(
             *key_cols, explode_rows("_tw_c").alias("kw")).filter(F.col("kw").isNotNull())
         parts.append(cands.join(dim, "kw").drop("kw"))
     if others:

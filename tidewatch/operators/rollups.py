@@ -71,24 +71,27 @@ def daily_summary(articles: DataFrame, day_col: str = "collected_at",
     rows = (articles.select(day_of(F.col(day_col)).alias("date"), "category", "source",
                             explode_rows(_article_and_entity_rows(F.col(col))).alias("r"))
             .select("date", "category", "source", "r.*"))
+    # one shuffle: (date, category, source, entity) partials, then one group per (date, category)
     g = rows.groupBy("date", "category", "source", "entity").agg(
         F.count(F.lit(1)).alias("n"), F.sum("kws").alias("hits"), F.count_if("matched").alias("m"))
-    per_source = g.filter(F.col("entity").isNull())
-    base = per_source.groupBy("date", "category").agg(
-        F.sum("n").cast("bigint").alias("article_count"),
-        F.count(F.lit(1)).cast("bigint").alias("source_count"),
-        F.sum("m").cast("bigint").alias("matched_count"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", F.col("n").cast("bigint"))))).alias("sources"))
-    ent = (g.filter(F.col("entity").isNotNull()).groupBy("date", "category", "entity")
-           .agg(F.sum("hits").cast("bigint").alias("count")))
-    top = ent.groupBy("date", "category").agg(F.array_sort(
-        F.collect_list(F.struct((-F.col("count")).alias("neg"), F.col("entity").alias("name"), "count")))
+    is_art = F.col("entity").isNull()
+    out = g.groupBy("date", "category").agg(
+        F.sum(F.when(is_art, F.col("n"))).cast("bigint").alias("article_count"),
+        F.count_if(is_art).cast("bigint").alias("source_count"),
+        F.sum(F.when(is_art, F.col("m"))).cast("bigint").alias("matched_count"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(is_art, F.struct(
+            "source", F.col("n").cast("bigint")))))).alias("sources"),
+        F.collect_list(F.when(~is_art, F.struct("entity", F.col("hits").cast("bigint").alias("hits"))))
         .alias("_e"))
-    top = top.select("date", "category", F.transform("_e", lambda e: F.struct(
-        e["name"].alias("name"), e["count"].alias("count"))).alias("top_entities"))
-    return (base.join(top, ["date", "category"], "left")
-            .withColumn("top_entities", F.coalesce(
-                "top_entities", F.array().cast("array<struct<name:string,count:bigint>>"))))
+    # per-entity totals inside the group (at most sources x entities elements)
+    e = F.col("_e")
+    names = F.array_distinct(F.transform(e, lambda x: x["entity"]))
+    totals = F.transform(names, lambda nm: F.struct(
+        (-F.aggregate(F.filter(e, lambda x: x["entity"] == nm), F.lit(0).cast("bigint"),
+                      lambda acc, x: acc + x["hits"])).alias("neg"), nm.alias("name")))
+    top = F.transform(F.array_sort(totals), lambda t: F.struct(
+        t["name"].alias("name"), (-t["neg"]).alias("count")))
+    return out.withColumn("top_entities", top).drop("_e")
 
 
 def flatten_summary(summary: DataFrame) -> DataFrame:

@@ -26,8 +26,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when the scan yields fewer splits than cores.
+
+    Text operators are CPU-bound per row; a table stored as one large row group would run
+    on one core.  At cluster scale a scan has far more splits than cores and this is a no-op.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def ts_lit(value: dt.datetime) -> Column:
@@ -75,8 +88,8 @@ def articles_from_pages(pages: DataFrame) -> DataFrame:
 
 
 def document_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles_from_documents(read_table(spark, sf_dir, "documents"))
+    return articles_from_documents(read_table(spark, sf_dir, "documents", spread_rows=True))
 
 
 def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles_from_pages(read_table(spark, sf_dir, "pages"))
+    return articles_from_pages(read_table(spark, sf_dir, "pages", spread_rows=True))
