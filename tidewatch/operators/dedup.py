@@ -15,11 +15,25 @@ def dedup_links(df: DataFrame, key: str = "link",
     would sort and ship every duplicate).
     """
     rest = [c for c in df.columns if c != key and c not in order]
-    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])
-    return (df.groupBy(key).agg(F.min(packed).alias("_first"))
+    # remaining orderable columns break ties deterministically; maps cannot be ordered
+    orderable = [f.name for f in df.schema.fields if f.name in rest and _orderable(f.dataType)]
+    rank = F.struct(*[F.col(c) for c in (*order, *orderable)])
+    packed = F.struct(*[F.col(c) for c in (*order, *rest)])
+    return (df.groupBy(key).agg(F.min_by(packed, rank).alias("_first"))
             .select(key, *[F.col("_first")[c].alias(c) for c in (*order, *rest)]))
 
 
+def _orderable(t) -> bool:
+    from pyspark.sql import types as T
+    if isinstance(t, T.MapType):
+        return False
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return not isinstance(t, T.VariantType)
+
+
 def raw_log_dedup(batch: DataFrame, logged: DataFrame, key: str = "link",
                   order: tuple[str, ...] = ("source_ord", "item_ord")) -> DataFrame:
     """Rows whose link is not yet logged, one per link (first in batch order)."""

@@ -201,12 +201,12 @@ def entity_rate(articles: DataFrame, me: str = "matched_entities") -> DataFrame:
     return per.select("entity", "articles", F.round(F.col("articles") / total, 6).alias("rate"))
 
 
-def read_summaries(spark, path: str) -> DataFrame:
-    """Daily summary JSON files (one object per file)."""
+def read_summaries(spark, path: str, multiline: bool = True) -> DataFrame:
+    """Daily summary JSON: one (pretty-printed) object per file, or JSON lines."""
     schema = ("date string, category string, article_count bigint, source_count bigint, "
               "matched_count bigint, top_entities array<struct<name:string,count:bigint>>, "
               "sources map<string,bigint>, generated_at string")
-    return (spark.read.schema(schema).option("multiLine", True).json(path)
+    return (spark.read.schema(schema).option("multiLine", multiline).json(path)
             .withColumn("file", F.input_file_name()))
 
 

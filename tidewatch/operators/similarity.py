@@ -114,3 +114,19 @@ def duplicate_pairs(articles: DataFrame, key: str = "link", title: str = "title"
     return same_path.unionByName(other).select(
         F.col("k_a").alias(f"{key}_a"), F.col("k_b").alias(f"{key}_b"),
         F.round("title_ratio", 6).alias("title_ratio"))
+
+
+def duplicate_flag(pairs: DataFrame, t1: str, u1: str, t2: str, u2: str,
+                   title_threshold: float = TITLE_THRESHOLD,
+                   url_threshold: float = URL_THRESHOLD) -> DataFrame:
+    """Adds ``is_duplicate`` for given pairs of (title, url): title ratio of the normalised
+    titles >= threshold and similar URLs.  The ratio UDF runs only where the length bound
+    passes."""
+    p = (pairs.withColumn("_a", normalize_title(F.col(t1))).withColumn("_b", normalize_title(F.col(t2))))
+    maybe = length_bound(F.length("_a"), F.length("_b"), title_threshold)
+    no = p.filter(~maybe).withColumn("is_duplicate", F.lit(False))
+    yes = p.filter(maybe).withColumn("_r", seq_ratio("_a", "_b"))
+    close = similar_url_pairs(yes.filter(F.col("_r") >= title_threshold), u1, u2, url_threshold) \
+        .withColumn("is_duplicate", F.col("similar_url")).drop("similar_url", "_r")
+    far = yes.filter(~(F.col("_r") >= title_threshold)).withColumn("is_duplicate", F.lit(False)).drop("_r")
+    return no.unionByName(far).unionByName(close).drop("_a", "_b")

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from tidewatch.functions.entities_json import EMPTY_MAP
 from tidewatch.operators.dedup import dedup_links
 
+NO_RUN = "none"
+
 RAW_SCHEMA = T.StructType([
     T.StructField("title", T.StringType()),
     T.StructField("link", T.StringType()),
@@ -44,22 +46,22 @@ def raw_records(batch: DataFrame, logged_at: dt.datetime, extra=()) -> DataFrame
 
 def write_raw_log(spark: SparkSession, batch: DataFrame, raw_dir: str, logged_at: dt.datetime,
                   run_id: str | None = None, order=("source_ord", "item_ord")) -> DataFrame:
-    """Append ``batch`` under ``raw_dir/log_date=.../source_safe=...[/run_id=...]``.
+    """Append ``batch`` under ``raw_dir/log_date=.../source_safe=.../run_id=...``
+    (``run_id=none`` when no run id is given).
 
     With ``run_id``, links already logged for that run (and repeats inside the batch) are
     skipped.  Returns the records that were written.
     """
     keep = [c for c in order if c in batch.columns] if run_id is not None else []
-    recs = raw_records(batch, logged_at, keep)
+    recs = raw_records(batch, logged_at, keep).withColumn("run_id", F.lit(run_id or NO_RUN))
     if run_id is not None:
-        recs = recs.withColumn("run_id", F.lit(run_id))
         logged = read_raw_log(spark, raw_dir)
         if logged is not None and "run_id" in logged.columns:
             done = logged.filter(F.col("run_id") == run_id).select("link")
             recs = recs.join(done, "link", "left_anti")
         recs = dedup_links(recs, "link", tuple(keep)) if keep else recs.dropDuplicates(["link"])
         recs = recs.drop(*keep)
-    parts = ["log_date", "source_safe"] + (["run_id"] if run_id is not None else [])
+    parts = ["log_date", "source_safe", "run_id"]
     (recs.write.mode("append").option("ignoreNullFields", "false")
      .partitionBy(*parts).json(raw_dir))
     return recs

@@ -187,7 +187,7 @@ def dispatch_by_type(sources: DataFrame, payloads: DataFrame, limit: int = DEFAU
     item_ord, payload).  Unknown types produce one error row each; other sources are
     unaffected.  The small source table is broadcast to tag payloads with their type.
     """
-    typed = payloads.join(F.broadcast(sources.select(F.col("name").alias("source_name"),
+    typed = payloads.drop("source_ord").join(F.broadcast(sources.select(F.col("name").alias("source_name"),
                                                      F.lower("type").alias("_type"), "source_ord")),
                           "source_name")
     parts = [
