@@ -161,3 +161,11 @@ def explode_rows(col: Column) -> Column:
     projections that compute ``arr``, re-evaluating the whole expression in the scan filter.
     """
     return F.explode_outer(col)
+
+
+def utc_naive(col: Column) -> Column:
+    """Aware time (TIMESTAMP, or text with an offset) -> naive UTC TIMESTAMP_NTZ.
+
+    Relies on the session time zone being UTC (set by ``build_session``).
+    """
+    return col.try_cast("timestamp").cast("timestamp_ntz")

@@ -1174,3 +1174,42 @@ def q_stream_upsert(spark, sf):
     m = F.coalesce(F.size("matched_entities") > 0, F.lit(False))
     return stored.groupBy("category").agg(F.count(F.lit(1)).cast("bigint").alias("articles"),
                                           F.count_if(m).cast("bigint").alias("matched"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Date parsing, source tagging, entity unescape
+# ---------------------------------------------------------------------------------------------
+
+@register("parse_feed_date", """
+SELECT event_id, date_trunc('second', ts) AS parsed_gmt,
+       date_trunc('second', ts) - INTERVAL 9 HOUR AS parsed_kst,
+       date_trunc('second', ts) AS parsed_iso, date_trunc('second', ts) AS parsed_unix
+FROM events""")
+def q_parse_feed_date(spark, sf):
+    """Event times rendered as RFC 822 (GMT and +0900), ISO-8601 with offset and unix
+    seconds, then parsed back to naive UTC."""
+    ev = B.read_table(spark, sf, "events")
+    rfc = F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss")
+    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    unix = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
+    return ev.select("event_id",
+                     TX.parse_feed_date(F.concat(rfc, F.lit(" GMT"))).alias("parsed_gmt"),
+                     TX.parse_feed_date(F.concat(rfc, F.lit(" +0900"))).alias("parsed_kst"),
+                     TX.utc_naive(iso).alias("parsed_iso"),
+                     TX.parse_unix_timestamp(unix).alias("parsed_unix"))
+
+
+@register("articles_with_source", f"""WITH {A},
+srcs AS (SELECT DISTINCT source AS name, 'rss' AS type FROM articles WHERE category <> 'es')
+SELECT a.link, a.source, s.type FROM articles a LEFT JOIN srcs s ON a.source = s.name""")
+def q_articles_with_source(spark, sf):
+    arts = B.document_articles(spark, sf)
+    srcs = (arts.filter(F.col("category") != "es").select(F.col("source").alias("name")).distinct()
+            .withColumn("type", F.lit("rss")))
+    return ING.articles_with_source(arts.select("link", "source"), srcs)
+
+
+@register("html_unescape")
+def q_html_unescape(spark, sf):
+    """Page titles with HTML entities decoded (only rows containing '&' reach Python)."""
+    return ING.html_unescape(B.page_articles(spark, sf).select("page_id", "title"), ["title"])
