@@ -130,9 +130,16 @@ def bm25_scores(hits: DataFrame, n_docs: Column, avg_dl: Column, key: str = "lin
 
 
 def corpus_stats(stats: DataFrame) -> tuple[Column, Column]:
-    """(N, avgD) as scalar subqueries over the per-document lengths."""
-    return (stats.select(F.count(F.lit(1)).cast("double")).scalar(),
-            stats.select(F.avg("dl")).scalar())
+    """(N, avgD) over the per-document lengths: one aggregate, two numbers fetched once."""
+    r = stats.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("a")).first()
+    return F.lit(r["n"]), F.lit(r["a"] if r["a"] is not None else 1.0)
+
+
+def idf_value(n_docs: float, n: float) -> float:
+    """ln((N - n + 0.5) / (n + 0.5)), floored at 1e-6 when not positive."""
+    import math
+    v = math.log((n_docs - n + 0.5) / (n + 0.5))
+    return IDF_FLOOR if v <= 0 else v
 
 
 def bm25_topk(postings: DataFrame, stats: DataFrame, terms: list[str], limit: int = 20,
@@ -206,3 +213,53 @@ def with_snippet(docs: DataFrame, terms: list[str], body: str = "body",
                     F.array_join(marked, " "),
                     F.when(s + width < F.size(r), F.lit(SNIPPET_ELLIPSIS)).otherwise(F.lit("")))
     return d.withColumn("snippet", text).drop("_sn_f", "_sn_r", "_sn_h", "_sn_s")
+
+
+def _term_pattern(term: str) -> str:
+    tok = r"[\p{L}\p{N}\p{Co}]"
+    return f"(?<!{tok})\\Q{term}\\E(?!{tok})"
+
+
+def bm25_scan(docs: DataFrame, terms: list[str], limit: int = 20, key: str = "link",
+              title: str = "title", body: str = "body", mode: str = "all") -> DataFrame:
+    """BM25 top-k straight from the documents, without building postings.
+
+    Per document, token counts come from ``regexp_count`` over the folded text (no token
+    arrays are materialised, no per-token rows): ``dl`` for every document and ``f`` for
+    each query term.  These numbers are checkpointed so the text is read once; corpus
+    statistics (N, mean length, per-term document frequency) are one aggregate over them;
+    scoring and the filter are narrow, so the only exchange is the final top-k.  Same
+    ranks as ``bm25_topk`` over postings.
+    """
+    from tidewatch.functions.text import TOKEN_PATTERN, fts_fold
+    d = docs.select(key, fts_fold(F.coalesce(F.col(title), F.lit(""))).alias("_ft"),
+                    fts_fold(F.coalesce(F.col(body), F.lit(""))).alias("_fb"))
+    cols = [(F.regexp_count("_ft", F.lit(TOKEN_PATTERN)) + F.regexp_count("_fb", F.lit(TOKEN_PATTERN)))
+            .cast("double").alias("dl")]
+    for i, t in enumerate(terms):
+        p = F.lit(_term_pattern(t))
+        cols.append((F.regexp_count("_ft", p) + F.regexp_count("_fb", p)).cast("double").alias(f"f{i}"))
+    d = d.select(key, *cols)
+    if limit <= 0 or not terms:
+        return d.select(key, F.lit(0.0).alias("rank")).limit(0)
+    # the text is scanned once: per-document numbers (one small row per document) are
+    # checkpointed to the shared checkpoint folder, then read by the statistics and the scoring
+    from tidewatch.session import checkpoint_dir
+    checkpoint_dir(d.sparkSession)
+    d = d.checkpoint(eager=True)
+    # corpus statistics: one aggregate, 2 + len(terms) numbers fetched once
+    st = d.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("avgdl"),
+               *[F.count_if(F.col(f"f{i}") > 0).cast("double").alias(f"n{i}")
+                 for i in range(len(terms))]).first()
+    score = None
+    for i in range(len(terms)):
+        f = F.col(f"f{i}")
+        idf = idf_value(st["n"], st[f"n{i}"])
+        part = F.lit(idf) * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("dl") / F.lit(st["avgdl"] or 1.0)))
+        score = part if score is None else score + part
+    hit = [F.col(f"f{i}") > 0 for i in range(len(terms))]
+    cond = hit[0]
+    for h in hit[1:]:
+        cond = (cond & h) if mode == "all" else (cond | h)
+    return (d.filter(cond).select(key, (-score).alias("rank"))
+            .orderBy(F.asc("rank"), F.asc(key)).limit(limit))

@@ -448,8 +448,16 @@ SELECT link, round(rank, 6) AS rank FROM sc ORDER BY sc.rank, link LIMIT {limit}
 
 def _bm25_spark(spark, sf, query, limit):
     docs = search_docs(spark, sf)
-    terms = FTS.query_terms(query)
-    top = FTS.bm25_topk(FTS.fts_postings(docs, terms=terms), FTS.doc_stats(docs), terms, limit)
+    top = FTS.bm25_scan(docs, FTS.query_terms(query), limit)
+    return top.select("link", F.round("rank", 6).alias("rank"))
+
+
+@register("bm25_topk_postings", _bm25_sql(FTS.query_terms(BM25_QUERY), BM25_LIMIT))
+def q_bm25_topk_postings(spark, sf):
+    """Same ranking through postings (the plan a persisted index serves)."""
+    docs = search_docs(spark, sf)
+    terms = FTS.query_terms(BM25_QUERY)
+    top = FTS.bm25_topk(FTS.fts_postings(docs, terms=terms), FTS.doc_stats(docs), terms, BM25_LIMIT)
     return top.select("link", F.round("rank", 6).alias("rank"))
 
 

@@ -25,9 +25,9 @@ def search_documents(documents: DataFrame, articles: DataFrame, query: str, as_o
     text = parsed.search_text or query.strip()
     terms = search.query_terms(text)
     if postings is None:
-        postings = search.fts_postings(documents, terms=terms)
-        stats = search.doc_stats(documents)
-    top = search.bm25_topk(postings, stats, terms, k if k > 0 else 0, buckets=buckets)
+        top = search.bm25_scan(documents, terms, k if k > 0 else 0)
+    else:
+        top = search.bm25_topk(postings, stats, terms, k if k > 0 else 0, buckets=buckets)
     if parsed.days is not None:
         recent_links = recent.collected_since(articles, as_of, parsed.days).select("link")
         top = top.join(recent_links, "link", "left_semi")
