@@ -41,6 +41,34 @@ def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+def ratio_at_least(threshold: float):
+    """UDF: the exact ratio when it can reach ``threshold``, else a value below it.
+
+    difflib's ``real_quick_ratio`` and ``quick_ratio`` are upper bounds of ``ratio``; the
+    expensive matching-block search only runs when both bounds pass (lossless).
+    """
+    @F.pandas_udf(T.DoubleType())
+    def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b):
+            sm = SequenceMatcher(None, x if isinstance(x, str) else "", y if isinstance(y, str) else "")
+            if sm.real_quick_ratio() < threshold or sm.quick_ratio() < threshold:
+                out.append(-1.0)
+            else:
+                out.append(sm.ratio())
+        return pd.Series(out, dtype="float64")
+    return _ratio
+
+
+def spread_for_udf(df: DataFrame) -> DataFrame:
+    """Round-robin rows over all cores before a CPU-heavy Python UDF.
+
+    Candidate pairs are small in bytes, so adaptive execution would coalesce them into very
+    few tasks; an explicit repartition by number is kept as is.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def length_bound(la: Column, lb: Column, t: float) -> Column:
     """Upper bound of the ratio from lengths: 2 * min / (la + lb) >= t (two empties: 1)."""
     total = la + lb
@@ -63,7 +91,7 @@ def similar_url_pairs(pairs: DataFrame, u1: str, u2: str, threshold: float = URL
         F.length("_p1"), F.length("_p2"), threshold)
     easy = p.filter(~need).withColumn(
         "similar_url", F.coalesce((F.col("_n1") == F.col("_n2")) & (F.col("_p1") == F.col("_p2")), F.lit(False)))
-    hard = p.filter(need).withColumn("similar_url", seq_ratio("_p1", "_p2") >= threshold)
+    hard = spread_for_udf(p.filter(need)).withColumn("similar_url", seq_ratio("_p1", "_p2") >= threshold)
     return easy.unionByName(hard).drop("_n1", "_n2", "_p1", "_p2")
 
 
@@ -89,11 +117,17 @@ def duplicate_pairs(articles: DataFrame, key: str = "link", title: str = "title"
                     title_threshold: float = TITLE_THRESHOLD,
                     url_threshold: float = URL_THRESHOLD) -> DataFrame:
     """Near-duplicate pairs between exact-group representatives: (key_a, key_b, title_ratio)."""
-    groups = duplicate_groups(articles, key, title, url)
-    reps = (groups.filter(F.col(key) == F.col("representative"))
-            .select(F.col(key).alias("k"), "netloc", "path", "norm_title",
+    a = with_url_parts(articles.select(key, title, *([url] if url != key else [])), url).withColumn(
+        "norm_title", normalize_title(F.col(title)))
+    # one representative per exact group straight from the aggregate (no member join)
+    reps = (a.groupBy("netloc", "path", "norm_title").agg(F.min(key).alias("k"))
+            .select("k", "netloc", "path", "norm_title",
                     F.length("norm_title").alias("tl"), F.length("path").alias("pl")))
     reps = reps.withColumn("band", F.when(F.col("tl") == 0, F.lit(-1)).otherwise(_band(F.col("tl"), title_threshold)))
+    # both join sides read the representatives once from the shared checkpoint folder
+    from tidewatch.session import checkpoint_dir
+    checkpoint_dir(reps.sparkSession)
+    reps = reps.checkpoint(eager=True)
     a = reps.select(*[F.col(c).alias(c + "_a") for c in reps.columns])
     # each row of b offers itself to its own and both adjacent bands, so every pair whose
     # lengths pass the bound meets exactly once
@@ -106,12 +140,13 @@ def duplicate_pairs(articles: DataFrame, key: str = "link", title: str = "title"
             .filter(length_bound(F.col("tl_a"), F.col("tl_b"), title_threshold))
             .filter((F.col("path_a") == F.col("path_b"))
                     | length_bound(F.col("pl_a"), F.col("pl_b"), url_threshold)))
-    scored = cand.withColumn("title_ratio", seq_ratio("norm_title_a", "norm_title_b")).filter(
-        F.col("title_ratio") >= title_threshold)
-    same_path = scored.filter(F.col("path_a") == F.col("path_b"))
-    other = scored.filter(F.col("path_a") != F.col("path_b")).filter(
-        seq_ratio("path_a", "path_b") >= url_threshold)
-    return same_path.unionByName(other).select(
+    scored = (spread_for_udf(cand)
+              .withColumn("title_ratio", ratio_at_least(title_threshold)("norm_title_a", "norm_title_b"))
+              .filter(F.col("title_ratio") >= title_threshold))
+    # survivors are few: one pass computes the path ratio where the paths differ
+    path_ok = (F.col("path_a") == F.col("path_b")) | (
+        ratio_at_least(url_threshold)("path_a", "path_b") >= url_threshold)
+    return scored.filter(path_ok).select(
         F.col("k_a").alias(f"{key}_a"), F.col("k_b").alias(f"{key}_b"),
         F.round("title_ratio", 6).alias("title_ratio"))
 
@@ -125,7 +160,7 @@ def duplicate_flag(pairs: DataFrame, t1: str, u1: str, t2: str, u2: str,
     p = (pairs.withColumn("_a", normalize_title(F.col(t1))).withColumn("_b", normalize_title(F.col(t2))))
     maybe = length_bound(F.length("_a"), F.length("_b"), title_threshold)
     no = p.filter(~maybe).withColumn("is_duplicate", F.lit(False))
-    yes = p.filter(maybe).withColumn("_r", seq_ratio("_a", "_b"))
+    yes = spread_for_udf(p.filter(maybe)).withColumn("_r", seq_ratio("_a", "_b"))
     close = similar_url_pairs(yes.filter(F.col("_r") >= title_threshold), u1, u2, url_threshold) \
         .withColumn("is_duplicate", F.col("similar_url")).drop("similar_url", "_r")
     far = yes.filter(~(F.col("_r") >= title_threshold)).withColumn("is_duplicate", F.lit(False)).drop("_r")

@@ -52,7 +52,8 @@ def html_unescape(df: DataFrame, cols: list[str]) -> DataFrame:
         cond = F.coalesce(F.instr(F.col(c), "&") > 0, F.lit(False))
         has = cond if has is None else (has | cond)
     plain = df.filter(~has)
-    ent = df.filter(has)
+    # rows with entities are few in bytes; keep them spread so the Python stage is parallel
+    ent = df.filter(has).repartition(df.sparkSession.sparkContext.defaultParallelism)
     for c in cols:
         ent = ent.withColumn(c, _unescape(F.col(c)))
     return plain.unionByName(ent)
