@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import fts_tokens
+from tidewatch.functions.text import explode_rows, fts_tokens
 
 # --- fixed values: ranking constants ------------------------------------------------------
 K1 = 1.2
@@ -56,16 +56,30 @@ def with_tokens(docs: DataFrame, title: str = "title", body: str = "body") -> Da
 
 def fts_postings(docs: DataFrame, key: str = "link", title: str = "title", body: str = "body",
                  terms: list[str] | None = None) -> DataFrame:
-    """(term, link, col, positions, tf, dl); ``terms`` restricts to those terms before the shuffle."""
-    t = with_tokens(docs.select(key, title, body), title, body)
-    parts = []
-    for ci, arr in ((0, "tt"), (1, "bt")):
-        p = (t.select(key, "dl", F.lit(ci).alias("col"), F.posexplode_outer(arr).alias("pos", "term"))
-             .filter(F.col("term").isNotNull()))
-        if terms is not None:
-            p = p.filter(F.col("term").isin(*terms))
-        parts.append(p)
-    toks = parts[0].unionByName(parts[1])
+    """(term, link, col, positions, tf, dl); ``terms`` restricts to those terms before the shuffle.
+
+    Full build (no ``terms``): documents are hash-partitioned by key *before* tokenising;
+    every (term, key, col) group then lives in one partition already, so the aggregation
+    adds no exchange and the only shuffle moves the text once (not its token rows).
+    Query-time build (``terms``): tokens are filtered right after the explode, so only the
+    query's tokens are shuffled.
+    """
+    src = docs.select(key, title, body)
+    if terms is None:
+        src = src.repartition(key)
+    t = with_tokens(src, title, body)
+
+    def zipped(arr: str, ci: int) -> Column:
+        n = F.size(arr)
+        return F.when(n > 0, F.arrays_zip(F.array_repeat(F.lit(ci), n).alias("col"),
+                                          F.sequence(F.lit(0), n - 1).alias("pos"), F.col(arr).alias("term"))
+                      ).otherwise(F.array().cast("array<struct<col:int,pos:int,term:string>>"))
+    # one generator over title and body entries keeps the partitioning by key (a union of
+    # two generators would not)
+    toks = (t.select(key, "dl", explode_rows(F.concat(zipped("tt", 0), zipped("bt", 1))).alias("e"))
+            .filter(F.col("e").isNotNull()).select(key, "dl", "e.col", "e.pos", "e.term"))
+    if terms is not None:
+        toks = toks.filter(F.col("term").isin(*terms))
     return (toks.groupBy("term", key, "col")
             .agg(F.array_sort(F.collect_list("pos")).alias("positions"),
                  F.count(F.lit(1)).cast("bigint").alias("tf"), F.max("dl").alias("dl")))
