@@ -37,8 +37,12 @@ def spread(df: DataFrame) -> DataFrame:
     Text operators are CPU-bound per row; a table stored as one large row group would run
     on one core.  At cluster scale a scan has far more splits than cores and this is a no-op.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (e.g. a remote session): leave the plan as it is
+        return df
+    if current < target:
         return df.repartition(target)
     return df
 
