@@ -131,3 +131,15 @@ def test_plan_has_no_shuffle_for_inline_match(spark):
     plan = m._jdf.queryExecution().executedPlan().toString()
     # only the round-robin spread of a single-split scan may shuffle; no hash exchange
     assert "hashpartitioning" not in plan.lower()
+
+
+def test_large_corpus_dictionary_equals_brute_force(spark):
+    from tidewatch.sources.config import dictionary_from_corpus
+    docs = B.read_table(spark, SF_SMALL, "documents")
+    big = dictionary_from_corpus(docs)
+    assert sum(len(e.keywords) for e in big) == 916
+    arts = B.document_articles(spark, SF_SMALL).select("link", "title", "summary")
+    rows = arts.collect()
+    m = {r["link"]: dict(r["matched_entities"]) for r in ent.entity_match(arts, big).collect()}
+    want = {r["link"]: brute(r["title"] or "", r["summary"] or "", big) for r in rows}
+    assert m == want

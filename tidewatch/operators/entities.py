@@ -33,8 +33,9 @@ from pyspark.sql import types as T
 from tidewatch.functions.text import (CASE_EXTRA_FROM, CASE_EXTRA_TO, NON_WORD_CLASS, WORD_CLASS,
                                       explode_rows)
 
-# Largest dictionary inlined into the plan as literals; larger ones use a join.
-MAX_INLINE_KEYWORDS = 20_000
+# Largest dictionary matched inline (literals in the plan); the inline entry lookup costs
+# O(keywords x matched words) per article, so larger dictionaries use the join plan.
+MAX_INLINE_KEYWORDS = 128
 # Largest dictionary broadcast in the join form; larger ones are shuffle-joined.
 MAX_BROADCAST_KEYWORDS = 2_000_000
 
@@ -176,7 +177,7 @@ def with_hits(articles: DataFrame, entities, out: str = "_hits",
     """
     kws = prepare_dictionary(entities) if not (entities and isinstance(entities[0], Keyword)) \
         else list(entities)
-    if len(kws) > MAX_INLINE_KEYWORDS:
+    if len(kws) > 20 * MAX_INLINE_KEYWORDS:
         raise ValueError("dictionary too large to inline; use entity_hits(..., mode='join')")
     hay = _haystack(F.col(title), F.col(summary))
     df = articles.withColumn("_tw_f", _folded(hay)).withColumn("_tw_l", F.lower(hay))
@@ -259,10 +260,24 @@ def matches_to_map(hits: Column) -> Column:
     return F.map_from_entries(entries)
 
 
-def entity_match(articles: DataFrame, entities) -> DataFrame:
-    """Articles with ``matched_entities: map<string, array<string>>`` (narrow projection)."""
-    df = with_hits(articles, entities)
-    return df.withColumn("matched_entities", matches_to_map(F.col("_hits"))).drop("_hits")
+def entity_match(articles: DataFrame, entities, key: str = "link", mode: str = "auto") -> DataFrame:
+    """Articles with ``matched_entities: map<string, array<string>>``.
+
+    Inline plan (small dictionaries): one narrow projection.  Join plan (large
+    dictionaries): hits from the broadcast/shuffle join are regrouped per article (at most
+    one entry per dictionary keyword) and joined back by ``key``.
+    """
+    kws = prepare_dictionary(entities)
+    if mode == "inline" or (mode == "auto" and len(kws) <= MAX_INLINE_KEYWORDS):
+        df = with_hits(articles, kws)
+        return df.withColumn("matched_entities", matches_to_map(F.col("_hits"))).drop("_hits")
+    hits = _hits_by_join(articles, kws, [key])
+    per = hits.groupBy(key).agg(F.array_sort(F.collect_list(
+        F.struct("entity_ord", "keyword_ord", "entity", "keyword"))).alias("_hits"))
+    per = per.select(key, matches_to_map(F.col("_hits")).alias("matched_entities"))
+    return (articles.join(per, key, "left")
+            .withColumn("matched_entities", F.coalesce(
+                F.col("matched_entities"), F.create_map().cast("map<string,array<string>>"))))
 
 
 def entity_flags(articles: DataFrame) -> DataFrame:

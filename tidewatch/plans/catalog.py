@@ -1221,3 +1221,21 @@ def q_articles_with_source(spark, sf):
 def q_html_unescape(spark, sf):
     """Page titles with HTML entities decoded (only rows containing '&' reach Python)."""
     return ING.html_unescape(B.page_articles(spark, sf).select("page_id", "title"), ["title"])
+
+
+# ---------------------------------------------------------------------------------------------
+# Matching at dictionary scale (~900 keywords derived from the corpus by rule)
+# ---------------------------------------------------------------------------------------------
+from tidewatch.sources.config import dictionary_from_corpus  # noqa: E402
+
+
+def large_dictionary(spark, sf):
+    return dictionary_from_corpus(B.read_table(spark, sf, "documents"))
+
+
+@register("entity_match_large")
+def q_entity_match_large(spark, sf):
+    """Per-entity keyword hits with a corpus-derived dictionary of ~900 keywords
+    (equivalence with the brute-force matcher is tested on a small fixture)."""
+    hits = ent.entity_hits(B.document_articles(spark, sf), large_dictionary(spark, sf))
+    return trends.entity_totals_from_hits(hits)

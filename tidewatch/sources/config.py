@@ -118,3 +118,34 @@ def sources_frame(spark: SparkSession, sources) -> DataFrame:
 def entities_from_pairs(pairs) -> tuple[Entity, ...]:
     """[(name, [keywords...]), ...] -> entities, with the same cleaning as the YAML path."""
     return tuple(parse_entity({"name": n, "keywords": list(k)}) for n, k in pairs)
+
+
+def dictionary_from_corpus(texts: DataFrame, n_words: int = 700, n_phrases: int = 216,
+                           n_entities: int = 7, text_col: str = "text",
+                           anchor_words: int = 24) -> tuple[Entity, ...]:
+    """A large keyword dictionary derived from a corpus by rule: the ``n_words`` most frequent
+    word runs (length > 1) and the ``n_phrases`` most frequent two-word phrases starting with
+    one of the ``anchor_words`` most frequent words (ties by text), dealt round-robin into
+    ``n_entities`` entities in rank order.  Two top-k aggregates; only the top rows reach
+    the driver."""
+    from pyspark.sql import functions as F
+    low = F.lower(F.col(text_col))
+    word = r"[\p{L}\p{N}_]+"
+    words = (texts.select(F.explode_outer(F.regexp_extract_all(low, F.lit(word), 0)).alias("k"))
+             .filter(F.col("k").isNotNull() & (F.length("k") > 1))
+             .groupBy("k").count().orderBy(F.desc("count"), "k").limit(n_words))
+    top_words = [r["k"] for r in words.collect()]
+    # phrases start with one of the most frequent words (one anchored regex pass per text)
+    import re as _re
+    lead = "|".join(_re.escape(w) for w in sorted(top_words[:anchor_words], key=lambda w: (-len(w), w)))
+    pair = (r"(?<![\p{L}\p{N}_])(?=((?:" + lead + r") [\p{L}\p{N}_]+))") if lead else None
+    ranked = list(top_words)
+    if pair:
+        phrases = (texts.select(F.explode_outer(F.regexp_extract_all(low, F.lit(pair), 1)).alias("k"))
+                   .filter(F.col("k").isNotNull())
+                   .groupBy("k").count().orderBy(F.desc("count"), "k").limit(n_phrases))
+        ranked += [r["k"] for r in phrases.collect()]
+    buckets: list[list[str]] = [[] for _ in range(n_entities)]
+    for i, k in enumerate(ranked):
+        buckets[i % n_entities].append(k)
+    return tuple(Entity(f"Entity{j}", f"Entity {j}", tuple(b)) for j, b in enumerate(buckets))
