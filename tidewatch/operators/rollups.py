@@ -208,11 +208,3 @@ def read_summaries(spark, path: str, multiline: bool = True) -> DataFrame:
               "sources map<string,bigint>, generated_at string")
     return (spark.read.schema(schema).option("multiLine", multiline).json(path)
             .withColumn("file", F.input_file_name()))
-
-
-def summaries_from_map(articles_with_map: DataFrame) -> DataFrame:
-    """Long-form hits from a stored ``matched_entities`` map."""
-    return (articles_with_map.select("link", explode_rows("matched_entities").alias("entity", "kws"))
-            .filter(F.col("entity").isNotNull())
-            .select("link", "entity", explode_rows("kws").alias("keyword"))
-            .filter(F.col("keyword").isNotNull()))

@@ -1,4 +1,5 @@
-"""Entity trend aggregates (top trends, per-entity hit counts, entity rate, heatmap)."""
+"""Entity trend aggregates: top trends and per-entity hit counts (rates and the heatmap
+live in ``rollups``)."""
 
 from __future__ import annotations
 
@@ -40,19 +41,3 @@ def top_trends(articles: DataFrame, as_of: dt.datetime, days: int = 7, limit: in
     """Top entities by keyword hits over rows with ``time_col >= as_of - days``."""
     recent = articles.filter(since(time_col, as_of, days))
     return top_k(entity_totals_from_map(recent, col), limit)
-
-
-def entity_rate(hits: DataFrame, articles: DataFrame, key: str = "link") -> DataFrame:
-    """Share of articles having each entity (distinct articles with a hit / all articles)."""
-    total = articles.select(F.count(F.lit(1))).scalar()
-    per = hits.select(key, "entity").distinct().groupBy("entity").agg(
-        F.count(F.lit(1)).cast("bigint").alias("articles"))
-    return per.select("entity", "articles",
-                      F.round(F.col("articles") / F.nullif(total, F.lit(0)), 6).alias("rate"))
-
-
-def entity_heatmap(hits_with_time: DataFrame, time_col: str = "published") -> DataFrame:
-    """Entity x day hit counts in long form (undated rows under 'Undated')."""
-    day = F.coalesce(F.date_format(F.col(time_col), "yyyy-MM-dd"), F.lit("Undated"))
-    return hits_with_time.groupBy("entity", day.alias("day")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("hits"))

@@ -61,16 +61,6 @@ def re2_keyword_pattern(kw: str) -> str:
     return "(?i)" + left + _re2_escape(kw) + right
 
 
-def dictionary_values(entities) -> str:
-    rows = []
-    for k in prepare_dictionary(entities):
-        pat = re2_keyword_pattern(k.keyword) if k.mode != "sub" else ""
-        rows.append(f"({q(k.entity)}, {k.entity_ord}, {q(k.keyword)}, {k.keyword_ord}, "
-                    f"{q('sub' if k.mode == 'sub' else 're')}, {q(pat)})")
-    return ("dict(entity, entity_ord, keyword, keyword_ord, mode, pat) AS (VALUES\n  "
-            + ",\n  ".join(rows) + ")")
-
-
 def hits_ctes(entities, source: str = "articles") -> str:
     """CTEs ``raw_hits`` and ``hits`` (link, entity, entity_ord, keyword, keyword_ord).
 
