@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import search as FTS
-from tidewatch.operators.search_index import maintain_postings, upsert_documents
+from tidewatch.operators.index_upkeep import maintain_postings, upsert_documents
 from tidewatch.plans.search_plan import search_documents
 from tidewatch.sources import bindings as B
 from conftest import SF_SMALL

@@ -711,7 +711,7 @@ def q_upsert_documents(spark, sf):
     pages = B.page_articles(spark, sf).select("link", "title", F.col("summary").alias("body"))
     fr = (B.document_articles(spark, sf).filter(F.col("category") == "fr")
           .select("link", F.concat(F.lit("re: "), F.col("title")).alias("title"), F.col("summary").alias("body")))
-    from tidewatch.operators.search_index import upsert_documents
+    from tidewatch.operators.index_upkeep import upsert_documents
     return upsert_documents(docs, pages.unionByName(fr))
 
 
@@ -725,7 +725,7 @@ toks AS (SELECT link, unnest(tt || bt) AS term FROM tok)
 SELECT term, CAST(count(DISTINCT link) AS BIGINT) AS doc_freq, CAST(count(*) AS BIGINT) AS total_tf
 FROM toks GROUP BY term""")
 def q_maintain_postings(spark, sf):
-    from tidewatch.operators.search_index import maintain_postings
+    from tidewatch.operators.index_upkeep import maintain_postings
     docs = search_docs(spark, sf)
     postings = FTS.fts_postings(docs)
     pages = B.page_articles(spark, sf).select("link", "title", F.col("summary").alias("body"))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators import dedup, entities, recent, rollups, search, search_index, validate
+from tidewatch.operators import dedup, entities, recent, rollups, search, index_upkeep, validate
 from tidewatch.session import checkpoint_dir
 from tidewatch.sinks import raw_log, store
 from tidewatch.sources import ingest
@@ -45,8 +45,8 @@ def _update_index(spark: SparkSession, index_dir: str, docs: DataFrame) -> None:
     if dv:
         cur_docs = spark.read.parquet(f"{d_root}/v={dv[-1]}")
         cur_post = spark.read.parquet(f"{p_root}/v={pv[-1]}")
-        new_docs = search_index.upsert_documents(cur_docs, docs)
-        new_post = search_index.maintain_postings(cur_post, docs)
+        new_docs = index_upkeep.upsert_documents(cur_docs, docs)
+        new_post = index_upkeep.maintain_postings(cur_post, docs)
     else:
         new_docs, new_post = docs, search.fts_postings(docs)
     nxt = (dv[-1] + 1) if dv else 1
