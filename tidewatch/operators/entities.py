@@ -205,32 +205,34 @@ def with_hits(articles: DataFrame, entities, out: str = "_hits",
 
 
 def _hits_by_join(articles: DataFrame, kws: list[Keyword], key_cols: list[str]) -> DataFrame:
-    """Join form for dictionaries too large to inline (same result as the inline form)."""
+    """Join form for large dictionaries (same result as the inline form).
+
+    One candidate array per article -- word runs, n-segment windows, plus the keyword
+    strings of the non-ASCII / punctuation keywords whose own check passes -- is exploded
+    once and joined to the dictionary on the keyword string (broadcast below the row limit).
+    A checked keyword can only equal a window candidate when its check passes too, so
+    mixing them adds no false hit.
+    """
     spark = articles.sparkSession
     grams = [k for k in kws if k.mode == "gram"]
     others = [k for k in kws if k.mode != "gram"]
     hay = _haystack(F.col("title"), F.col("summary"))
     base = articles.select(*key_cols, _folded(hay).alias("_f"), F.lower(hay).alias("_l"))
-    parts = []
     if grams:
-        dim = spark.createDataFrame(
-            [(k.keyword, k.entity_ord, k.keyword_ord, k.entity, k.keyword) for k in grams],
-            "kw string, entity_ord int, keyword_ord int, entity string, keyword string")
-        if len(grams) <= MAX_BROADCAST_KEYWORDS:
-            dim = F.broadcast(dim)
-        cands = with_candidates(base, "_f", sorted({k.segments for k in grams}), anchors=_anchors(grams)).select(
-            *key_cols, explode_rows("_tw_c").alias("kw")).filter(F.col("kw").isNotNull())
-        parts.append(cands.join(dim, "kw").drop("kw"))
+        base = with_candidates(base, "_f", sorted({k.segments for k in grams}), anchors=_anchors(grams))
+    else:
+        base = base.withColumn("_tw_c", F.array().cast("array<string>"))
     if others:
-        parts.append(base.select(*key_cols, explode_rows(
-            _non_gram_hits(others, F.col("_f"), F.col("_l"))).alias("h"))
-            .filter(F.col("h").isNotNull()).select(*key_cols, "h.*"))
-    if not parts:
-        return spark.createDataFrame([], articles.select(*key_cols).schema).select(
-            *key_cols, *[F.lit(None).cast(f.dataType).alias(f.name) for f in HIT_TYPE.fields]).limit(0)
-    hits = parts[0]
-    for p in parts[1:]:
-        hits = hits.unionByName(p)
+        checked = F.transform(_non_gram_hits(others, F.col("_f"), F.col("_l")), lambda h: h["keyword"])
+        base = base.withColumn("_tw_c", F.array_distinct(F.concat(F.col("_tw_c"), checked)))
+    dim = spark.createDataFrame(
+        [(k.keyword, k.entity_ord, k.keyword_ord, k.entity, k.keyword) for k in kws],
+        "kw string, entity_ord int, keyword_ord int, entity string, keyword string")
+    if len(kws) <= MAX_BROADCAST_KEYWORDS:
+        dim = F.broadcast(dim)
+    cands = (base.select(*key_cols, explode_rows("_tw_c").alias("kw"))
+             .filter(F.col("kw").isNotNull()))
+    hits = cands.join(dim, "kw").drop("kw")
     if _has_duplicate_names(kws):
         from pyspark.sql import Window
         w = Window.partitionBy(*key_cols, "entity")
