@@ -412,9 +412,11 @@ SEARCH_QUERY = "last 20 days top 7 que el"
 # -------------------------------------------------------------------------------------------
 
 
-def search_docs(spark, sf):
-    """Search corpus bound from documents: (link, title, body)."""
-    return B.document_articles(spark, sf).select("link", "title", F.col("summary").alias("body"))
+def search_docs(spark, sf, spread_rows: bool = True):
+    """Search corpus bound from documents: (link, title, body).  A full postings build
+    partitions by link itself, so it skips the round-robin spread."""
+    arts = B.articles_from_documents(B.read_table(spark, sf, "documents", spread_rows=spread_rows))
+    return arts.select("link", "title", F.col("summary").alias("body"))
 
 
 def _tok_sql():
@@ -494,7 +496,7 @@ def q_fts_any(spark, sf):
 {_tok_sql()}
 SELECT link FROM tok WHERE len(list_filter(tt || bt, lambda x: starts_with(x, {S.q(PREFIX)}))) > 0""")
 def q_fts_prefix(spark, sf):
-    return FTS.fts_prefix(FTS.fts_postings(search_docs(spark, sf)), PREFIX)
+    return FTS.fts_prefix(FTS.fts_postings(search_docs(spark, sf, spread_rows=False)), PREFIX)
 
 
 @register("fts_phrase", f"""WITH {A},
@@ -513,7 +515,7 @@ toks AS (SELECT link, unnest(tt || bt) AS term FROM tok)
 SELECT term, CAST(count(DISTINCT link) AS BIGINT) AS doc_freq, CAST(count(*) AS BIGINT) AS total_tf
 FROM toks GROUP BY term""")
 def q_fts_postings(spark, sf):
-    post = FTS.fts_postings(search_docs(spark, sf))
+    post = FTS.fts_postings(search_docs(spark, sf, spread_rows=False))
     return post.groupBy("term").agg(F.count_distinct("link").cast("bigint").alias("doc_freq"),
                                     F.sum("tf").cast("bigint").alias("total_tf"))
 
@@ -726,7 +728,7 @@ SELECT term, CAST(count(DISTINCT link) AS BIGINT) AS doc_freq, CAST(count(*) AS
 FROM toks GROUP BY term""")
 def q_maintain_postings(spark, sf):
     from tidewatch.operators.index_upkeep import maintain_postings
-    docs = search_docs(spark, sf)
+    docs = search_docs(spark, sf, spread_rows=False)
     postings = FTS.fts_postings(docs)
     pages = B.page_articles(spark, sf).select("link", "title", F.col("summary").alias("body"))
     fr = (B.document_articles(spark, sf).filter(F.col("category") == "fr")
