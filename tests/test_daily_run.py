@@ -33,7 +33,7 @@ def test_run_category_end_to_end(spark, scratch):
                      snapshot=True)
     out = run_category(spark, cat, payloads, st, NOW)
     assert out["stats"] == {"sources": 3, "collected": 2, "matched": 1, "validated": 2, "window_days": 7}
-    assert out["errors"] == ["Old HTML: Unsupported source type 'html'"]
+    assert [r["error"] for r in out["errors"].collect()] == ["Old HTML: Unsupported source type 'html'"]
     rows = {r["link"]: r for r in store.read_articles(spark, st.root).collect()}
     assert rows["https://example.com/article-1"]["title"] == "AI and cloud market update"   # first wins
     assert dict(rows["https://example.com/article-1"]["matched_entities"]) == {"topic": ["ai", "cloud", "python"]}

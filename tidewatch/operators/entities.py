@@ -37,7 +37,7 @@ from tidewatch.functions.text import (CASE_EXTRA_FROM, CASE_EXTRA_TO, NON_WORD_C
 # O(keywords x matched words) per article, so larger dictionaries use the join plan.
 MAX_INLINE_KEYWORDS = 128
 # Largest dictionary broadcast in the join form; larger ones are shuffle-joined.
-MAX_BROADCAST_KEYWORDS = 2_000_000
+MAX_BROADCAST_KEYWORDS = 500_000
 
 _WORD_RUN = re.compile(r"\w+|\W+")
 

@@ -154,11 +154,12 @@ def source_health(attempts: DataFrame, disable_after: int = 3) -> DataFrame:
     trailing consecutive failures and whether the source is disabled.
 
     Two partial-aggregated passes (no per-source sort): the last success time per source is
-    a tiny table joined back by broadcast (one row per configured source).
+    one row per source, joined back by key (Spark broadcasts it when its measured size is
+    small; no unconditional hint, the number of sources is data).
     """
     last_ok = attempts.groupBy("source").agg(
         F.max(F.when(F.col("ok"), F.col("at"))).alias("last_ok"))
-    a = attempts.join(F.broadcast(last_ok), "source")
+    a = attempts.join(last_ok, "source")
     trailing = F.count_if(~F.col("ok") & (F.col("last_ok").isNull() | (F.col("at") > F.col("last_ok"))))
     out = a.groupBy("source").agg(
         F.count(F.lit(1)).cast("bigint").alias("attempts"),

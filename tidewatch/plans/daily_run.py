@@ -56,7 +56,9 @@ def _update_index(spark: SparkSession, index_dir: str, docs: DataFrame) -> None:
 
 def run_category(spark: SparkSession, category: Category, payloads: DataFrame,
                  settings: RunSettings, as_of: dt.datetime) -> dict:
-    """Run one collection for ``category`` from landed ``payloads``; returns what happened."""
+    """Run one collection for ``category`` from landed ``payloads``; returns what happened:
+    run statistics (numbers), an ``errors`` DataFrame, retention count, the recent window
+    DataFrame and the storage-policy result."""
     checkpoint_dir(spark)
     srcs = sources_frame(spark, category.sources)
     arts, source_errors = ingest.dispatch_by_type(
@@ -80,7 +82,8 @@ def run_category(spark: SparkSession, category: Category, payloads: DataFrame,
     window = recent.recent_articles(stored, category.category_name, as_of, settings.recent_days)
     stats = rollups.run_stats(checked, checked, settings.recent_days).first().asDict()
     stats["sources"] = len(category.sources)
-    errors = [r["message"] for r in source_errors.collect()] + [r["error"] for r in invalid.collect()]
+    # error rows stay distributed (there may be as many as collected rows)
+    errors = source_errors.select(F.col("message").alias("error")).unionByName(invalid)
     policy = store.storage_policy(spark, root=settings.root, raw_dir=settings.raw_dir,
                                   snapshot_root=settings.snapshot_root,
                                   keep_raw_days=settings.keep_raw_days, today=as_of.date(),

@@ -28,9 +28,10 @@ MUTABLE = ("title", "summary", "published", "matched_entities")
 STICKY = ("category", "source")
 COLUMNS = ("category", "source", "title", "link", "summary", "published", "collected_at",
            "matched_entities")
-# Largest batch merged by broadcasting it (no shuffle of the stored table); larger batches
-# use a shuffled full outer join.
-MAX_BROADCAST_BATCH = 1_000_000
+# Largest batch merged by broadcasting it (no shuffle of the stored table), in rows and in
+# measured text bytes; larger batches use a shuffled full outer join.
+MAX_BROADCAST_BATCH = 200_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 # ---------------------------------------------------------------------------------------------
@@ -145,7 +146,8 @@ def merge_articles(current: DataFrame | None, batch: DataFrame, collected_at: dt
 def upsert_articles(spark: SparkSession, root: str, batch: DataFrame, collected_at: dt.datetime,
                     order: str = "batch_ord") -> str | None:
     """Merge ``batch`` into the table at ``root``; returns the new version path (None if empty)."""
-    stats = batch.agg(F.count(F.lit(1)).alias("n"),
+    text_bytes = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in ("title", "summary", "link"))
+    stats = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(text_bytes).alias("bytes"),
                       *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL]).first()
     if stats["n"] == 0:
         return None
@@ -154,8 +156,8 @@ def upsert_articles(spark: SparkSession, root: str, batch: DataFrame, collected_
         raise ValueError(f"NOT NULL constraint violated, batch rejected: {bad}")
     vs = versions(spark, root)
     current = spark.read.parquet(f"{root}/v={vs[-1]}") if vs else None
-    merged = merge_articles(current, batch, collected_at, order,
-                            broadcast_batch=stats["n"] <= MAX_BROADCAST_BATCH)
+    small = stats["n"] <= MAX_BROADCAST_BATCH and (stats["bytes"] or 0) <= MAX_BROADCAST_BYTES
+    merged = merge_articles(current, batch, collected_at, order, broadcast_batch=small)
     return _write_version(merged, root, (vs[-1] + 1) if vs else 1)
 
 
