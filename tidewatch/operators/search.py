@@ -97,7 +97,9 @@ def write_index(docs: DataFrame, path: str, key: str = "link", title: str = "tit
                 body: str = "body", buckets: int = DEFAULT_BUCKETS, mode: str = "overwrite") -> None:
     """Persist postings (partitioned by term bucket) and per-document lengths."""
     post = fts_postings(docs, key, title, body).withColumn("term_bucket", term_bucket(F.col("term"), buckets))
-    (post.repartition("term_bucket").sortWithinPartitions("term", key)
+    # a bucket holding stop words is written by several tasks (spread by document key)
+    (post.repartition("term_bucket", F.pmod(F.xxhash64(key), F.lit(8)))
+     .sortWithinPartitions("term", key)
      .write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/postings"))
     doc_stats(docs, key, title, body).write.mode(mode).parquet(f"{path}/docs")
 

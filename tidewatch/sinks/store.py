@@ -79,10 +79,16 @@ def read_articles(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(path) if path else None
 
 
+# Writers per category: a category holding a large share of the rows is written by up to
+# this many tasks (rows are spread by a hash of the link).
+WRITE_SPREAD = 16
+
+
 def _write_version(df: DataFrame, root: str, version: int) -> str:
     path = f"{root}/v={version}"
+    spread = F.pmod(F.xxhash64("link"), F.lit(WRITE_SPREAD))
     (df.withColumn("effective_time", effective_time(F.col("published"), F.col("collected_at")))
-     .repartition("category").sortWithinPartitions("effective_time")
+     .repartition("category", spread).sortWithinPartitions("effective_time")
      .write.mode("errorifexists").partitionBy("category").parquet(path))
     return path
 
