@@ -1241,3 +1241,14 @@ def q_entity_match_large(spark, sf):
     (equivalence with the brute-force matcher is tested on a small fixture)."""
     hits = ent.entity_hits(B.document_articles(spark, sf), large_dictionary(spark, sf))
     return trends.entity_totals_from_hits(hits)
+
+
+@register("fts_tokenize", f"""WITH {A},
+{_tok_sql()}
+SELECT link, CAST(len(tt) AS BIGINT) AS title_tokens, CAST(len(bt) AS BIGINT) AS body_tokens,
+       CAST(len(tt) + len(bt) AS BIGINT) AS dl FROM tok""")
+def q_fts_tokenize(spark, sf):
+    """Token counts per document under the full-text tokenizer (title, body, both)."""
+    t = FTS.with_tokens(search_docs(spark, sf))
+    return t.select("link", F.size("tt").cast("bigint").alias("title_tokens"),
+                    F.size("bt").cast("bigint").alias("body_tokens"), "dl")
