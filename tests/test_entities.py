@@ -105,7 +105,7 @@ def brute(title, summary, entities):
 BRUTE_DICT = entities_from_pairs([
     ("Function", ["the", "and", "of", "le", "des", "für", "la", "the", "Und", "EN"]),
     ("Phrase", ["of the", "de la", "the the", "in the end", "der die das", "to the"]),
-    ("Accent", ["é", "ü", "ñ", "ça", "über"]),
+    ("Accent", ["é", "ü", "ñ", "ça", "über", "미술", "ßen"]),
     ("Contact", ["mail2", "example.com", "by-nc", ".com", "@mail"]),
     ("Phrase", ["und", "von der"]),
 ])

@@ -147,11 +147,28 @@ def _empty_hits() -> Column:
     return F.array().cast(T.ArrayType(HIT_TYPE))
 
 
-def _non_gram_hits(kws: list[Keyword], folded: Column, lowered: Column) -> Column:
+_NON_ASCII = r"[^\x{00}-\x{7f}]"
+
+
+def non_ascii_chars(lowered: Column) -> Column:
+    """Distinct non-ASCII characters of a text (a small array per document)."""
+    return F.array_distinct(F.regexp_extract_all(lowered, F.lit(_NON_ASCII), 0))
+
+
+def _non_gram_hits(kws: list[Keyword], folded: Column, lowered: Column,
+                   chars: Column | None = None) -> Column:
+    """Checks for keywords outside the window plan.  With ``chars`` (the document's distinct
+    non-ASCII characters) a substring check only runs when the keyword's first non-ASCII
+    character occurs in the document -- lossless, and it skips most scans when the
+    dictionary and the text use different scripts."""
     parts = []
     for k in kws:
         if k.mode == "sub":
-            parts.append(F.when(F.instr(lowered, k.keyword) > 0, _hit_literal(k)))
+            cond = F.instr(lowered, k.keyword) > 0
+            if chars is not None:
+                first = next(ch for ch in k.keyword if not ch.isascii())
+                cond = F.array_contains(chars, first) & cond
+            parts.append(F.when(cond, _hit_literal(k)))
         elif k.mode == "regex":
             parts.append(F.when(folded.rlike(_regex_for(k.keyword)), _hit_literal(k)))
     if not parts:
@@ -182,7 +199,11 @@ def with_hits(articles: DataFrame, entities, out: str = "_hits",
     hay = _haystack(F.col(title), F.col(summary))
     df = articles.withColumn("_tw_f", _folded(hay)).withColumn("_tw_l", F.lower(hay))
     grams = [k for k in kws if k.mode == "gram"]
-    hits = _non_gram_hits(kws, F.col("_tw_f"), F.col("_tw_l"))
+    chars = None
+    if any(k.mode == "sub" for k in kws):
+        df = df.withColumn("_tw_u", non_ascii_chars(F.col("_tw_l")))
+        chars = F.col("_tw_u")
+    hits = _non_gram_hits(kws, F.col("_tw_f"), F.col("_tw_l"), chars)
     if grams:
         vocab = F.array(*[F.lit(kw) for kw in sorted({k.keyword for k in grams})])
         df = with_candidates(df, "_tw_f", sorted({k.segments for k in grams}), anchors=_anchors(grams))
@@ -201,7 +222,7 @@ def with_hits(articles: DataFrame, entities, out: str = "_hits",
             h, lambda o: (o["entity"] == x["entity"]) & (o["entity_ord"] > x["entity_ord"]))))
             .otherwise(h))
     df = df.withColumn(out, F.array_sort(F.col("_tw_h")))
-    return df.drop("_tw_f", "_tw_l", "_tw_m", "_tw_h")
+    return df.drop("_tw_f", "_tw_l", "_tw_m", "_tw_h", "_tw_u")
 
 
 def _hits_by_join(articles: DataFrame, kws: list[Keyword], key_cols: list[str]) -> DataFrame:
@@ -223,7 +244,11 @@ def _hits_by_join(articles: DataFrame, kws: list[Keyword], key_cols: list[str])
     else:
         base = base.withColumn("_tw_c", F.array().cast("array<string>"))
     if others:
-        checked = F.transform(_non_gram_hits(others, F.col("_f"), F.col("_l")), lambda h: h["keyword"])
+        chars = None
+        if any(k.mode == "sub" for k in others):
+            base = base.withColumn("_u", non_ascii_chars(F.col("_l")))
+            chars = F.col("_u")
+        checked = F.transform(_non_gram_hits(others, F.col("_f"), F.col("_l"), chars), lambda h: h["keyword"])
         base = base.withColumn("_tw_c", F.array_distinct(F.concat(F.col("_tw_c"), checked)))
     dim = spark.createDataFrame(
         [(k.keyword, k.entity_ord, k.keyword_ord, k.entity, k.keyword) for k in kws],
