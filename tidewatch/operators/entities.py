@@ -148,6 +148,13 @@ def _empty_hits() -> Column:
 
 
 _NON_ASCII = r"[^\x{00}-\x{7f}]"
+# The character prefilter costs one regex pass per document; below this many non-ASCII
+# keywords the direct substring checks are cheaper.
+MIN_KEYWORDS_FOR_CHAR_FILTER = 16
+
+
+def _wants_char_filter(kws: list[Keyword]) -> bool:
+    return sum(1 for k in kws if k.mode == "sub") >= MIN_KEYWORDS_FOR_CHAR_FILTER
 
 
 def non_ascii_chars(lowered: Column) -> Column:
@@ -200,7 +207,7 @@ def with_hits(articles: DataFrame, entities, out: str = "_hits",
     df = articles.withColumn("_tw_f", _folded(hay)).withColumn("_tw_l", F.lower(hay))
     grams = [k for k in kws if k.mode == "gram"]
     chars = None
-    if any(k.mode == "sub" for k in kws):
+    if _wants_char_filter(kws):
         df = df.withColumn("_tw_u", non_ascii_chars(F.col("_tw_l")))
         chars = F.col("_tw_u")
     hits = _non_gram_hits(kws, F.col("_tw_f"), F.col("_tw_l"), chars)
@@ -245,7 +252,7 @@ def _hits_by_join(articles: DataFrame, kws: list[Keyword], key_cols: list[str])
         base = base.withColumn("_tw_c", F.array().cast("array<string>"))
     if others:
         chars = None
-        if any(k.mode == "sub" for k in others):
+        if _wants_char_filter(others):
             base = base.withColumn("_u", non_ascii_chars(F.col("_l")))
             chars = F.col("_u")
         checked = F.transform(_non_gram_hits(others, F.col("_f"), F.col("_l"), chars), lambda h: h["keyword"])
