@@ -3,18 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidewatch.llm import quality, simhash, toxicity
+from tidewatch.llm import (embedding_dedup, license_scan, line_dedup, lm_score, mixing, packing, quality, simhash,
+                           toxicity, warc)
+from tidewatch.llm.oracle import ORACLE  # noqa: F401
 from tidewatch.llm.shared import read_docs
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(read_docs(spark, sf_dir, "embeddings"))
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets: each source's size to the power 0.5."""
+    docs = read_docs(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix_sources(docs).select("doc_id", "source", "mix_block", "mix_slot", "mix_offset")
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(read_docs(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_docs(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "text")
+    return line_dedup.drop_boilerplate(docs, chars_col="n_chars", counts=True)
+
+
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_docs(spark, sf_dir, "documents"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_docs(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_docs(spark, sf_dir, "documents")
     model = quality.train_quality(docs, read_docs(spark, sf_dir, "labels"))
     return quality.score_quality(docs, model)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_docs(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_docs(spark, sf_dir, "documents")
     model = toxicity.train_toxicity(docs, read_docs(spark, sf_dir, "labels"))
@@ -25,10 +57,6 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_docs(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op7_quality_rules": op7_quality_rules,
-    "op9_toxicity": op9_toxicity,
-    "op10_simhash_near_dedup": op10_simhash_near_dedup,
-}
-
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_embedding_near_dedup, op2_mix_sources, op3_lm_scoring, op4_line_dedup, op5_license_scans,
+    op6_best_fit_packing, op7_quality_rules, op8_warc, op9_toxicity, op10_simhash_near_dedup)}
