@@ -12,8 +12,9 @@ log-bilinear softmaxes, normalised exactly by two small matrix products per batc
 word" is then spelled out by its add-one share among the other training words, with one place
 left for all unseen words, so probabilities over all words add up to one.
 
-Training.  Every task trains on all its rows with noise-contrastive estimation (noise from the
-unigram distributions of classes and members); the parameters are averaged by tokens.
+Training.  The rows are split into one part per ``TOKENS_PER_MODEL`` tokens; a task trains on
+all rows of its part with noise-contrastive estimation (noise from the unigram distributions
+of classes and members); the parameters of all parts are averaged by tokens.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ BATCH_TOKENS = 8192        # per training step
 SCORE_TOKENS = 32768       # per scoring batch
 RATE = 0.08
 CHUNK = 1024               # parameters per row when tasks hand them over
+TOKENS_PER_MODEL = 4_000_000  # tokens that one part of the training holds, about
 
 
 def fold(id_col: str, folds: int = FOLDS) -> Column:
@@ -292,7 +294,7 @@ class Ids:
 
 
 def train(texts: DataFrame, corpus: Corpus) -> Model:
-    """One pass over all rows of ``texts``; returns the token-weighted mean of the tasks' models."""
+    """One pass over all rows of ``texts``; returns the token-weighted mean of the parts' models."""
     start = Model.start(corpus)
     if not corpus.tokens:
         return start
@@ -321,7 +323,8 @@ def train(texts: DataFrame, corpus: Corpus) -> Model:
                 [pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([float(trainer.tokens)] * len(parts)),
                  pa.array(parts, pa.list_(pa.float32()))], names=["chunk", "tokens", "part"])
 
-    mean = (texts.select("text").mapInArrow(run, "chunk int, tokens double, part array<float>")
+    parts = -(-corpus.tokens // TOKENS_PER_MODEL)  # joins neighbouring partitions, moves no row
+    mean = (texts.select("text").coalesce(parts).mapInArrow(run, "chunk int, tokens double, part array<float>")
             .select("chunk", "tokens", F.posexplode("part").alias("at", "value"))
             .groupBy("chunk", "at").agg((F.sum(F.col("tokens") * F.col("value")) / F.sum("tokens")).alias("value"))
             .toArrow())  # one row per parameter
