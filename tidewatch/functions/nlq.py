@@ -1,40 +1,61 @@
-"""Natural-language search query parsing: time window, result limit, remaining text.
+"""Natural-language search queries: time window, result limit, remaining text.
 
-Rules: among the time patterns the earliest match wins (ties: pattern order); its span is
-removed; then among the limit patterns the earliest match in the remaining text wins; the
-span is removed and whitespace collapsed.  Weeks are 7 days, months 30.  Category is
-always NULL.  Two forms: ``parse_query`` for one string on the driver, ``nl_parse`` for a
-column of query texts (Spark expressions, no UDF).
+Two rules, applied in turn.  A rule is one pattern whose alternatives start with different
+characters, so its leftmost match is the earliest of all its phrases.  What a rule matches
+is cut out of the text before the next rule reads it; at the end white space is collapsed.
+The category is always NULL.
+
+``nl_parse`` works on a column (three regex nodes per rule, no UDF), ``parse_query`` on one
+string on the driver; both are made from the same phrase table.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import SPACE_CLASS, WORD_CLASS, collapse_spaces, strip_py
 
-# --- fixed values: query patterns --------------------------------------------------------
-# (pattern, day multiplier) in priority order; Korean "recent/last N day|week|month".
-KO_TIME = [("일", 1), ("주", 7), ("개월", 30)]
-KO_PREFIX = "(최근|지난)"
-EN_UNITS = {"day": 1, "days": 1, "week": 7, "weeks": 7, "month": 30, "months": 30}
+# --- fixed values: phrases and the days of a unit ---------------------------------------
+KO_SINCE = ("최근", "지난")
+KO_UNIT_DAYS = {"일": 1, "주": 7, "개월": 30}
+EN_SINCE = "last"
+EN_UNIT_DAYS = {"day": 1, "days": 1, "week": 7, "weeks": 7, "month": 30, "months": 30}
 KO_COUNT = "개"
-EN_TOP = "top"
-# -------------------------------------------------------------------------------------------
+EN_COUNT = "top"
+# -----------------------------------------------------------------------------------------
+
+
+class Dialect(NamedTuple):
+    """How an engine writes white space, a digit run and the edges of a word."""
+    space: str
+    number: str
+    word_start: str
+    word_end: str
+
+
+PYTHON = Dialect(r"\s", r"(\d+)", r"\b", r"\b")
+JAVA = Dialect(SPACE_CLASS, r"(\p{Nd}+)", f"(?<!{WORD_CLASS})", f"(?!{WORD_CLASS})")
+
+
+def _any(words) -> str:
+    return "(" + "|".join(sorted(words, key=len, reverse=True)) + ")"
 
-_NB = f"(?<!{WORD_CLASS})"     # word boundary before a word character
-_NA = f"(?!{WORD_CLASS})"      # word boundary after a word character
-_S = SPACE_CLASS
-_D = r"(\p{Nd}+)"
 
-# Java regex forms (used by Spark)
-TIME_PATTERNS_JAVA = [(f"{KO_PREFIX}{_S}*{_D}{_S}*{u}", m) for u, m in KO_TIME]
-EN_TIME_JAVA = f"(?i){_NB}last{_S}+{_D}{_S}*(days|day|weeks|week|months|month){_NA}"
-LIMIT_PATTERNS_JAVA = [f"{_D}{_S}*{KO_COUNT}{_NA}", f"(?i){_NB}{EN_TOP}{_S}+{_D}{_NA}"]
+def time_rule(d: Dialect) -> str:
+    """Groups: number and unit of the Korean phrase, number and unit of the English one."""
+    korean = f"(?:{'|'.join(KO_SINCE)}){d.space}*{d.number}{d.space}*{_any(KO_UNIT_DAYS)}"
+    english = f"{d.word_start}{EN_SINCE}{d.space}+{d.number}{d.space}*{_any(EN_UNIT_DAYS)}{d.word_end}"
+    return f"{korean}|(?i:{english})"
+
+
+def limit_rule(d: Dialect) -> str:
+    """Groups: number of the Korean phrase, number of the English one."""
+    return f"{d.number}{d.space}*{KO_COUNT}{d.word_end}|(?i:{d.word_start}{EN_COUNT}{d.space}+{d.number}{d.word_end})"
 
 
 @dataclass(frozen=True)
@@ -45,76 +66,39 @@ class ParsedQuery:
     category: str | None = None
 
 
-# Python forms (driver side)
-_PY_TIME = [(re.compile(rf"{KO_PREFIX}\s*(\d+)\s*{u}"), m) for u, m in KO_TIME]
-_PY_EN_TIME = re.compile(r"\blast\s+(\d+)\s*(day|days|week|weeks|month|months)\b", re.IGNORECASE)
-_PY_LIMIT = [re.compile(rf"(\d+)\s*{KO_COUNT}\b"), re.compile(rf"\b{EN_TOP}\s+(\d+)\b", re.IGNORECASE)]
+_PY_TIME, _PY_LIMIT = re.compile(time_rule(PYTHON)), re.compile(limit_rule(PYTHON))
 
 
-def _remove_span(text: str, start: int, end: int) -> str:
-    return re.sub(r"\s+", " ", f"{text[:start]} {text[end:]}").strip()
+def _split_once(rule: re.Pattern, text: str) -> tuple[list[str], str]:
+    """The groups that took part in the rule's first match, and the text around it."""
+    before, *groups, after = rule.split(text, maxsplit=1) if rule.search(text) else (text, "")
+    return [g for g in groups if g], " ".join(f"{before} {after}".split())
 
 
 def parse_query(raw: str) -> ParsedQuery:
-    text = raw.strip()
-    best = None
-    for pat, mult in _PY_TIME:
-        m = pat.search(text)
-        if m and (best is None or m.start() < best[0].start()):
-            best = (m, int(m.group(2)) * mult)
-    m = _PY_EN_TIME.search(text)
-    if m and (best is None or m.start() < best[0].start()):
-        best = (m, int(m.group(1)) * EN_UNITS[m.group(2).lower()])
-    days = None
-    if best:
-        days = best[1]
-        text = _remove_span(text, best[0].start(), best[0].end())
-    lim = None
-    for pat in _PY_LIMIT:
-        m = pat.search(text)
-        if m and (lim is None or m.start() < lim.start()):
-            lim = m
-    limit = None
-    if lim:
-        limit = int(lim.group(1))
-        text = _remove_span(text, lim.start(), lim.end())
-    return ParsedQuery(re.sub(r"\s+", " ", text).strip(), days, limit, None)
-
-
-def _earliest(cands: list[tuple[Column, Column, Column]]) -> tuple[Column, Column, Column]:
-    """[(pos, match, value)] -> earliest non-zero pos (ties: list order)."""
-    pos, match, val = cands[0]
-    for p, m, v in cands[1:]:
-        take = (p > 0) & ((pos == 0) | (p < pos))
-        pos, match, val = (F.when(take, p).otherwise(pos), F.when(take, m).otherwise(match),
-                           F.when(take, v).otherwise(val))
-    return pos, match, val
-
-
-def _cut(text: Column, pos: Column, match: Column) -> Column:
-    cut = F.concat(F.substring(text, F.lit(1), pos - 1), F.lit(" "),
-                   F.substring(text, pos + F.length(match), F.lit(1 << 30)))
-    return F.when(pos > 0, collapse_spaces(cut)).otherwise(text)
+    window, text = _split_once(_PY_TIME, raw)
+    count, text = _split_once(_PY_LIMIT, text)
+    days = int(window[0]) * (KO_UNIT_DAYS | EN_UNIT_DAYS)[window[1].lower()] if window else None
+    return ParsedQuery(text, days, int(count[0]) if count else None)
+
+
+def _without_first(text: Column, rule: str, groups: int) -> Column:
+    return F.regexp_replace(text, f"(?s)^(.*?)(?:{rule})(.*)$", f"$1 ${groups + 2}")
+
+
+def _number(text: Column, rule: str, groups: tuple[int, ...]) -> Column:
+    """The number of whichever phrase matched first; NULL without a match."""
+    return F.concat(*[F.regexp_extract(text, rule, g) for g in groups]).try_cast("bigint")
 
 
 def nl_parse(raw: Column) -> Column:
     """struct<search_text, days, limit, category> for a column of query texts."""
-    text = strip_py(raw)
-    cands = []
-    for pat, mult in TIME_PATTERNS_JAVA:
-        cands.append((F.regexp_instr(text, F.lit(pat)), F.regexp_extract(text, pat, 0),
-                      F.regexp_extract(text, pat, 2).try_cast("bigint") * mult))
-    unit = F.lower(F.regexp_extract(text, EN_TIME_JAVA, 2))
-    mult = F.when(unit.startswith("day"), 1).when(unit.startswith("week"), 7).otherwise(30)
-    cands.append((F.regexp_instr(text, F.lit(EN_TIME_JAVA)), F.regexp_extract(text, EN_TIME_JAVA, 0),
-                  F.regexp_extract(text, EN_TIME_JAVA, 1).try_cast("bigint") * mult))
-    tpos, tmatch, days = _earliest(cands)
-    rest = _cut(text, tpos, tmatch)
-    lc = [(F.regexp_instr(rest, F.lit(p)), F.regexp_extract(rest, p, 0),
-           F.regexp_extract(rest, p, 1).try_cast("bigint")) for p in LIMIT_PATTERNS_JAVA]
-    lpos, lmatch, limit = _earliest(lc)
-    final = collapse_spaces(_cut(rest, lpos, lmatch))
-    return F.struct(final.alias("search_text"),
-                    F.when(tpos > 0, days).alias("days"),
-                    F.when(lpos > 0, limit).alias("limit"),
+    text, time, limit = strip_py(raw), time_rule(JAVA), limit_rule(JAVA)
+    unit = F.lower(F.concat(F.regexp_extract(text, time, 2), F.regexp_extract(text, time, 4)))
+    per_unit = F.element_at(F.create_map(*[F.lit(v) for kv in (KO_UNIT_DAYS | EN_UNIT_DAYS).items() for v in kv]),
+                            F.nullif(unit, F.lit("")))
+    rest = _without_first(text, time, 4)
+    return F.struct(collapse_spaces(_without_first(rest, limit, 2)).alias("search_text"),
+                    (_number(text, time, (1, 3)) * per_unit).alias("days"),
+                    _number(rest, limit, (1, 2)).alias("limit"),
                     F.lit(None).cast("string").alias("category"))
