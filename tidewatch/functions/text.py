@@ -32,7 +32,9 @@ URL_PARTS_PATTERN = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
 # Python 3 urlsplit: tab / CR / LF are removed, leading C0 controls and space stripped.
 URL_REMOVE_PATTERN = r"[\t\r\n]"
 URL_LEADING_PATTERN = r"^[\x{00}-\x{20}]+"
-VALID_URL_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+"
+# brackets in the host only around an address
+VALID_URL_PATTERN = (r"^[A-Za-z][A-Za-z0-9+.-]*://"
+                     r"([^/?#\[\]]+|[^/?#\[\]]*\[[0-9A-Fa-f:.]+\][^/?#\[\]]*)([/?#]|$)")
 # urlsplit: optional scheme (letter first, then letters/digits/+-.), optional //netloc, path.
 URL_SPLIT_PATTERN = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
 # ---------------------------------------------------------------------------------------
@@ -119,8 +121,8 @@ def join_non_empty(parts: list[Column], sep: str = ". ", default: str | None = N
     return F.when(F.size(arr) > 0, joined).otherwise(F.lit(default))
 
 
-def first_line(col: Column, max_chars: int) -> Column:
-    return F.substring(F.substring_index(col, "\n", 1), 1, max_chars)
+def first_line(col: Column) -> Column:
+    return F.substring_index(col, "\n", 1)
 
 
 def parse_iso_datetime(col: Column) -> Column:

@@ -34,7 +34,7 @@ class RunSettings:
     keep_days: int = 90
     keep_raw_days: int = 180
     max_age_days: int | None = None
-    per_source_limit: int = 30
+    per_source_limit: int | None = None
     snapshot: bool = False
 
 
@@ -43,15 +43,15 @@ def _update_index(spark: SparkSession, index_dir: str, docs: DataFrame) -> None:
     d_root, p_root = f"{index_dir}/docs", f"{index_dir}/postings"
     dv, pv = store.versions(spark, d_root), store.versions(spark, p_root)
     if dv:
-        cur_docs = spark.read.parquet(f"{d_root}/v={dv[-1]}")
-        cur_post = spark.read.parquet(f"{p_root}/v={pv[-1]}")
+        cur_docs = spark.read.parquet(f"{d_root}/v={dv[-1]}").select("link", "title", "body")
+        cur_post = spark.read.parquet(f"{p_root}/v={pv[-1]}").drop("term_bucket")
         new_docs = index_upkeep.upsert_documents(cur_docs, docs)
         new_post = index_upkeep.maintain_postings(cur_post, docs)
     else:
         new_docs, new_post = docs, search.fts_postings(docs)
     nxt = (dv[-1] + 1) if dv else 1
-    new_docs.write.mode("errorifexists").parquet(f"{d_root}/v={nxt}")
-    new_post.write.mode("errorifexists").parquet(f"{p_root}/v={nxt}")
+    search.write_documents(new_docs, f"{d_root}/v={nxt}", mode="errorifexists")
+    search.write_postings(new_post, f"{p_root}/v={nxt}", mode="errorifexists")
 
 
 def run_category(spark: SparkSession, category: Category, payloads: DataFrame,

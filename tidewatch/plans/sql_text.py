@@ -11,8 +11,8 @@ import datetime as dt
 import re
 
 from tidewatch.operators.entities import prepare_dictionary
-from tidewatch.sources.bindings import (AS_OF, COLLECTED_DAYS_MOD, EPOCH, PUBLISHED_MINUTES_MOD,
-                                        TITLE_CHARS, UNDATED_MOD)
+from tidewatch.sources.bindings import (AS_OF, COLLECTED_DAYS_MOD, EPOCH, NOT_PAGE_TEXT, PUBLISHED_EPOCH,
+                                        PUBLISHED_MINUTES_MOD, PUBLISHED_STRIDE, UNDATED_MOD)
 
 WORD = r"[\p{L}\p{N}_]"
 NON_WORD = r"[^\p{L}\p{N}_]"
@@ -28,29 +28,17 @@ def q(s: str) -> str:
 
 ARTICLES_CTE = f"""articles AS (
   SELECT doc_id,
-         substr(split_part(text, chr(10), 1), 1, {TITLE_CHARS}) AS title,
+         split_part(text, chr(10), 1) AS title,
          'https://' || source || '.example.com/' || lang || '/' || CAST(doc_id AS VARCHAR) AS link,
          text AS summary,
          CASE WHEN doc_id % {UNDATED_MOD} = 0 THEN NULL
-              ELSE {ts(EPOCH)} + to_minutes(CAST(doc_id % {PUBLISHED_MINUTES_MOD} AS BIGINT)) END AS published,
+              ELSE {ts(PUBLISHED_EPOCH)} + to_minutes(CAST(doc_id * {PUBLISHED_STRIDE} % {PUBLISHED_MINUTES_MOD} AS BIGINT)) END AS published,
          source,
          lang AS category,
          {ts(EPOCH)} + to_days(CAST(doc_id % {COLLECTED_DAYS_MOD} AS INTEGER)) AS collected_at,
          doc_id AS item_ord
   FROM documents)"""
 
-PAGES_CTE = r"""page_articles AS (
-  SELECT page_id,
-         regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title,
-         url AS link,
-         regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS summary,
-         CAST(NULL AS TIMESTAMP) AS published,
-         coalesce(nullif(lower(regexp_extract(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*:', ''), '^//([^/?#]*)', 1)), ''), '') AS source,
-         'web' AS category,
-         page_id AS item_ord
-  FROM pages)"""
-
-
 def _re2_escape(kw: str) -> str:
     return re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", kw)
 
@@ -103,6 +91,18 @@ def collapse(x: str) -> str:
     return strip_py(f"regexp_replace({x}, '[{SP}]+', ' ', 'g')")
 
 
+PAGES_CTE = rf"""page_articles AS (
+  SELECT page_id,
+         regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title,
+         url AS link,
+         {collapse(f"regexp_replace(html, '{NOT_PAGE_TEXT}', ' ', 'g')")} AS summary,
+         CAST(NULL AS TIMESTAMP) AS published,
+         coalesce(nullif(lower(regexp_extract(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*:', ''), '^//([^/?#]*)', 1)), ''), '') AS source,
+         'web' AS category,
+         page_id AS item_ord
+  FROM pages)"""
+
+
 def normalize_title(x: str) -> str:
     inner = f"regexp_replace({collapse(f'lower({x})')}, '[^\\p{{L}}\\p{{N}}_{SP}\\-]', '', 'g')"
     return f"coalesce({collapse(inner)}, '')"

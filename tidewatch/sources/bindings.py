@@ -11,15 +11,17 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import first_line, host_of
+from tidewatch.functions.text import collapse_spaces, first_line, host_of
 
 # --- fixed values: binding parameters --------------------------------------------------
 AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)          # fixed "now" for every oracle check
-EPOCH = dt.datetime(2024, 1, 1, 0, 0, 0)           # base of synthetic published/collected times
-TITLE_CHARS = 120                                  # title = first line cut to 120 characters
-PUBLISHED_MINUTES_MOD = 43200                      # published = EPOCH + (doc_id mod 43200) min
+EPOCH = dt.datetime(2024, 1, 1, 0, 0, 0)           # base of synthetic collected times
+PUBLISHED_EPOCH = dt.datetime(2023, 12, 2, 0, 0, 0)  # published = this + (doc_id * 89 mod 86400) min,
+PUBLISHED_STRIDE, PUBLISHED_MINUTES_MOD = 89, 86400  # that is over the 60 days up to AS_OF
 UNDATED_MOD = 10                                   # published NULL when doc_id mod 10 = 0
 COLLECTED_DAYS_MOD = 30                            # collected_at = EPOCH + (doc_id mod 30) days
+# what is no text of a page: scripts, styles, comments, tags
+NOT_PAGE_TEXT = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>"
 # ---------------------------------------------------------------------------------------
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -57,14 +59,14 @@ def effective_time(published: Column, collected_at: Column) -> Column:
 
 def articles_from_documents(docs: DataFrame) -> DataFrame:
     """documents -> canonical articles (see FIXTURES binding ``articles_from_documents``)."""
-    epoch = ts_lit(EPOCH)
+    epoch, first_published = ts_lit(EPOCH), ts_lit(PUBLISHED_EPOCH)
     doc_id = F.col("doc_id")
     published = F.when(doc_id % UNDATED_MOD == 0, F.lit(None).cast("timestamp_ntz")).otherwise(
-        F.timestamp_add("MINUTE", doc_id % PUBLISHED_MINUTES_MOD, epoch))
+        F.timestamp_add("MINUTE", doc_id * PUBLISHED_STRIDE % PUBLISHED_MINUTES_MOD, first_published))
     collected = F.timestamp_add("DAY", doc_id % COLLECTED_DAYS_MOD, epoch)
     return docs.select(
         doc_id.alias("doc_id"),
-        first_line(F.col("text"), TITLE_CHARS).alias("title"),
+        first_line(F.col("text")).alias("title"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/"), F.col("lang"),
                  F.lit("/"), doc_id.cast("string")).alias("link"),
         F.col("text").alias("summary"),
@@ -77,13 +79,14 @@ def articles_from_documents(docs: DataFrame) -> DataFrame:
 
 
 def articles_from_pages(pages: DataFrame) -> DataFrame:
-    """pages -> articles: title = text of <title>, link = url, source = host, category 'web'."""
+    """pages -> articles: title = text of <title>, summary = text of the page, link = url,
+    source = host, category 'web'."""
     title = F.regexp_extract(F.col("html"), r"(?is)<title[^>]*>(.*?)</title>", 1)
     return pages.select(
         F.col("page_id").alias("page_id"),
         title.alias("title"),
         F.col("url").alias("link"),
-        title.alias("summary"),
+        collapse_spaces(F.regexp_replace("html", NOT_PAGE_TEXT, " ")).alias("summary"),
         F.lit(None).cast("timestamp_ntz").alias("published"),
         host_of(F.col("url"), F.lit("")).alias("source"),
         F.lit("web").alias("category"),
