@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import entities as ent
 from tidewatch.sources import bindings as B
-from tidewatch.sources.config import entities_from_pairs, parse_category
+from tidewatch.sources.config import Category, entities_from_pairs
 from conftest import SF_SMALL
 
 
@@ -74,7 +74,7 @@ def test_punctuation_keywords(spark):
 
 
 def test_yaml_dictionary_parsing():
-    cat = parse_category({"category_name": "art", "entities": [
+    cat = Category.of({"category_name": "art", "entities": [
         {"name": "Medium", "keywords": [" oil on canvas ", "", "ink", "ink"]},
         {"keywords": ("bronze",)}]}, "art")
     assert cat.entities[0].keywords == ("oil on canvas", "ink", "ink")
@@ -143,3 +143,19 @@ def test_large_corpus_dictionary_equals_brute_force(spark):
     m = {r["link"]: dict(r["matched_entities"]) for r in ent.entity_match(arts, big).collect()}
     want = {r["link"]: brute(r["title"] or "", r["summary"] or "", big) for r in rows}
     assert m == want
+
+
+def test_every_mode_gives_the_same_rows(spark):
+    """Repeated and NULL links, repeated texts and an entity name used twice."""
+    rows = [("u1", "modern art", ""), ("u1", "sculpture", "ink"), (None, "art", "Art!"), (None, "art", "Art!"),
+            ("u2", None, "ärt ink"), ("u2", None, None), ("u3", "example.com", "modern art")]
+    df = spark.createDataFrame(rows, "link string, title string, summary string")
+    dictionary = entities_from_pairs([("a", ["art", "ink", "art"]), ("b", ["modern art", "example.com", ".com"]),
+                                      ("c", ["ä"]), ("a", ["sculpture"])])
+    def shown(mode):
+        return sorted(str((r["link"], r["title"], r["summary"], sorted(r["matched_entities"].items())))
+                      for r in ent.entity_match(df, dictionary, mode=mode).collect())
+    assert shown("inline") == shown("join") and len(shown("join")) == len(rows)
+    def hits(mode):
+        return sorted(map(str, map(tuple, ent.entity_hits(df, dictionary, mode=mode).collect())))
+    assert hits("inline") == hits("join")

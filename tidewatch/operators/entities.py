@@ -26,7 +26,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -201,8 +201,6 @@ def with_hits(articles: DataFrame, entities, out: str = "_hits",
     """
     kws = prepare_dictionary(entities) if not (entities and isinstance(entities[0], Keyword)) \
         else list(entities)
-    if len(kws) > 20 * MAX_INLINE_KEYWORDS:
-        raise ValueError("dictionary too large to inline; use entity_hits(..., mode='join')")
     hay = _haystack(F.col(title), F.col(summary))
     df = articles.withColumn("_tw_f", _folded(hay)).withColumn("_tw_l", F.lower(hay))
     grams = [k for k in kws if k.mode == "gram"]
@@ -245,7 +243,7 @@ def _hits_by_join(articles: DataFrame, kws: list[Keyword], key_cols: list[str])
     grams = [k for k in kws if k.mode == "gram"]
     others = [k for k in kws if k.mode != "gram"]
     hay = _haystack(F.col("title"), F.col("summary"))
-    base = articles.select(*key_cols, _folded(hay).alias("_f"), F.lower(hay).alias("_l"))
+    base = articles.select(*key_cols, *_text_key(hay), _folded(hay).alias("_f"), F.lower(hay).alias("_l"))
     if grams:
         base = with_candidates(base, "_f", sorted({k.segments for k in grams}), anchors=_anchors(grams))
     else:
@@ -262,23 +260,32 @@ def _hits_by_join(articles: DataFrame, kws: list[Keyword], key_cols: list[str])
         "kw string, entity_ord int, keyword_ord int, entity string, keyword string")
     if len(kws) <= MAX_BROADCAST_KEYWORDS:
         dim = F.broadcast(dim)
-    cands = (base.select(*key_cols, explode_rows("_tw_c").alias("kw"))
+    cands = (base.select(*key_cols, *TEXT_KEY, explode_rows("_tw_c").alias("kw"))
              .filter(F.col("kw").isNotNull()))
     hits = cands.join(dim, "kw").drop("kw")
     if _has_duplicate_names(kws):
-        from pyspark.sql import Window
-        w = Window.partitionBy(*key_cols, "entity")
+        w = Window.partitionBy(*key_cols, *TEXT_KEY, "entity")  # equal texts have equal hits
         hits = hits.withColumn("_m", F.max("entity_ord").over(w)).filter(
             F.col("entity_ord") == F.col("_m")).drop("_m")
     return hits
 
 
+TEXT_KEY = ("_tw_k1", "_tw_k2")
+
+
+def _text_key(hay: Column) -> list[Column]:
+    """128-bit hash of the text that is matched: rows with equal texts have equal matches, so
+    matches can be regrouped by it whatever keys repeat or are NULL."""
+    return [F.xxhash64(hay).alias(TEXT_KEY[0]), F.xxhash64(F.lit("text"), hay).alias(TEXT_KEY[1])]
+
+
 def entity_hits(articles: DataFrame, entities, key_cols=("link",), mode: str = "auto") -> DataFrame:
     """Long form: one row per (article key, entity, keyword occurrence in the dictionary)."""
     kws = prepare_dictionary(entities)
     key_cols = list(key_cols)
     if mode == "join" or (mode == "auto" and len(kws) > MAX_INLINE_KEYWORDS):
-        return _hits_by_join(articles, kws, key_cols)
+        return _hits_by_join(articles, kws, key_cols).select(
+            *key_cols, "entity", "entity_ord", "keyword", "keyword_ord")
     return (with_hits(articles.select(*key_cols, "title", "summary"), kws)
             .select(*key_cols, explode_rows("_hits").alias("h"))
             .filter(F.col("h").isNotNull())
@@ -294,22 +301,24 @@ def matches_to_map(hits: Column) -> Column:
     return F.map_from_entries(entries)
 
 
-def entity_match(articles: DataFrame, entities, key: str = "link", mode: str = "auto") -> DataFrame:
-    """Articles with ``matched_entities: map<string, array<string>>``.
+def entity_match(articles: DataFrame, entities, mode: str = "auto") -> DataFrame:
+    """Articles with ``matched_entities: map<string, array<string>>``; the same rows in either mode.
 
     Inline plan (small dictionaries): one narrow projection.  Join plan (large
-    dictionaries): hits from the broadcast/shuffle join are regrouped per article (at most
-    one entry per dictionary keyword) and joined back by ``key``.
+    dictionaries): hits from the broadcast/shuffle join are regrouped per distinct text (at
+    most one entry per dictionary keyword) and joined back by the text's hash, so repeated
+    and NULL links each keep their own matches.
     """
     kws = prepare_dictionary(entities)
     if mode == "inline" or (mode == "auto" and len(kws) <= MAX_INLINE_KEYWORDS):
         df = with_hits(articles, kws)
         return df.withColumn("matched_entities", matches_to_map(F.col("_hits"))).drop("_hits")
-    hits = _hits_by_join(articles, kws, [key])
-    per = hits.groupBy(key).agg(F.array_sort(F.collect_list(
+    hits = _hits_by_join(articles, kws, [])
+    per = hits.groupBy(*TEXT_KEY).agg(F.array_sort(F.collect_set(
         F.struct("entity_ord", "keyword_ord", "entity", "keyword"))).alias("_hits"))
-    per = per.select(key, matches_to_map(F.col("_hits")).alias("matched_entities"))
-    return (articles.join(per, key, "left")
+    per = per.select(*TEXT_KEY, matches_to_map(F.col("_hits")).alias("matched_entities"))
+    keyed = articles.select("*", *_text_key(_haystack(F.col("title"), F.col("summary"))))
+    return (keyed.join(per, list(TEXT_KEY), "left").drop(*TEXT_KEY)
             .withColumn("matched_entities", F.coalesce(
                 F.col("matched_entities"), F.create_map().cast("map<string,array<string>>"))))
 
