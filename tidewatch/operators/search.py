@@ -93,35 +93,59 @@ def term_bucket(term: Column, buckets: int = DEFAULT_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def write_postings(postings: DataFrame, path: str, key: str = "link", buckets: int = DEFAULT_BUCKETS,
+                   mode: str = "overwrite") -> None:
+    """Postings in the index layout: partitioned by term bucket, sorted by term inside files."""
+    post = postings.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+    # the rebalance splits a bucket that holds stop words over several writers
+    (post.hint("rebalance", F.col("term_bucket")).sortWithinPartitions("term_bucket", "term", key)
+     .write.mode(mode).partitionBy("term_bucket").parquet(path))
+
+
+def write_documents(docs: DataFrame, path: str, key: str = "link", title: str = "title", body: str = "body",
+                    buckets: int = DEFAULT_BUCKETS, mode: str = "overwrite") -> None:
+    """Search documents with their length, partitioned by a hash of the key."""
+    lengths = with_tokens(docs.select(key, title, body), title, body).select(key, title, body, "dl")
+    (lengths.withColumn("doc_bucket", term_bucket(F.col(key), buckets)).hint("rebalance", F.col("doc_bucket"))
+     .sortWithinPartitions("doc_bucket", key).write.mode(mode).partitionBy("doc_bucket").parquet(path))
+
+
 def write_index(docs: DataFrame, path: str, key: str = "link", title: str = "title",
                 body: str = "body", buckets: int = DEFAULT_BUCKETS, mode: str = "overwrite") -> None:
-    """Persist postings (partitioned by term bucket) and per-document lengths."""
-    post = fts_postings(docs, key, title, body).withColumn("term_bucket", term_bucket(F.col("term"), buckets))
-    # a bucket holding stop words is written by several tasks (spread by document key)
-    (post.repartition("term_bucket", F.pmod(F.xxhash64(key), F.lit(8)))
-     .sortWithinPartitions("term", key)
-     .write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/postings"))
-    doc_stats(docs, key, title, body).write.mode(mode).parquet(f"{path}/docs")
+    """Persist postings, documents and the corpus statistics (one row)."""
+    write_postings(fts_postings(docs, key, title, body), f"{path}/postings", key, buckets, mode)
+    write_documents(docs, f"{path}/docs", key, title, body, buckets, mode)
+    stored = docs.sparkSession.read.parquet(f"{path}/docs")
+    stored.agg(F.count(F.lit(1)).cast("double").alias("n_docs"), F.avg("dl").alias("avg_dl")).write.mode(mode).parquet(
+        f"{path}/stats")
 
 
 def read_index(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    """(postings, documents with ``dl``); see ``read_stats`` for the corpus statistics."""
     return spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/docs")
 
 
+def read_stats(spark, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/stats")
+
+
 def postings_for(postings: DataFrame, terms: list[str], buckets: int | None = None) -> DataFrame:
-    """Postings of the given terms; with a persisted index the bucket predicate prunes files."""
+    """Postings of the given terms; with a persisted index the bucket predicate, a constant
+    after folding, prunes the partitions that are read."""
     p = postings
     if buckets is not None and "term_bucket" in postings.columns:
-        p = p.filter(F.col("term_bucket").isin(*[_bucket_of(t, buckets) for t in terms]))
+        wanted = F.lit(False)
+        for t in terms:
+            wanted = wanted | (F.col("term_bucket") == term_bucket(F.lit(t), buckets))
+        p = p.filter(wanted)
     return p.filter(F.col("term").isin(*terms))
 
 
-def _bucket_of(term: str, buckets: int) -> int:
-    import xxhash  # same function as Spark's xxhash64 (seed 42) on UTF-8 bytes
-    h = xxhash.xxh64_intdigest(term.encode("utf-8"), seed=42)
-    if h >= 2 ** 63:
-        h -= 2 ** 64
-    return h % buckets
+def fetch_documents(docs: DataFrame, ranked: DataFrame, key: str = "link", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """The stored documents of the ranked keys (a top-k, so the broadcast side is bounded by
+    k); joining on the stored bucket as well lets Spark prune the partitions at run time."""
+    keyed = ranked.withColumn("doc_bucket", term_bucket(F.col(key), buckets))
+    return docs.join(F.broadcast(keyed), ["doc_bucket", key]).drop("doc_bucket", "dl")
 
 
 def bm25_scores(hits: DataFrame, n_docs: Column, avg_dl: Column, key: str = "link",
@@ -146,8 +170,12 @@ def bm25_scores(hits: DataFrame, n_docs: Column, avg_dl: Column, key: str = "lin
 
 
 def corpus_stats(stats: DataFrame) -> tuple[Column, Column]:
-    """(N, avgD) over the per-document lengths: one aggregate, two numbers fetched once."""
-    r = stats.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("a")).first()
+    """(N, avgD), two numbers fetched once: from the stored one-row table, or aggregated over
+    per-document lengths."""
+    if "avg_dl" in stats.columns:
+        r = stats.select(F.col("n_docs").alias("n"), F.col("avg_dl").alias("a")).first()
+    else:
+        r = stats.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("a")).first()
     return F.lit(r["n"]), F.lit(r["a"] if r["a"] is not None else 1.0)
 
 
@@ -169,14 +197,14 @@ def bm25_topk(postings: DataFrame, stats: DataFrame, terms: list[str], limit: in
     return scored.orderBy(F.asc("rank"), F.asc(key)).limit(limit)
 
 
-def fts_match_all(postings: DataFrame, terms: list[str], key: str = "link") -> DataFrame:
+def fts_match_all(postings: DataFrame, terms: list[str], key: str = "link", buckets: int | None = None) -> DataFrame:
     """Documents containing every term (in any column)."""
-    return (postings_for(postings, terms).groupBy(key)
+    return (postings_for(postings, terms, buckets).groupBy(key)
             .agg(F.count_distinct("term").alias("k")).filter(F.col("k") == len(terms)).select(key))
 
 
-def fts_any(postings: DataFrame, terms: list[str], key: str = "link") -> DataFrame:
-    return postings_for(postings, terms).select(key).distinct()
+def fts_any(postings: DataFrame, terms: list[str], key: str = "link", buckets: int | None = None) -> DataFrame:
+    return postings_for(postings, terms, buckets).select(key).distinct()
 
 
 def fts_prefix(postings: DataFrame, prefix: str, key: str = "link") -> DataFrame:
@@ -184,11 +212,12 @@ def fts_prefix(postings: DataFrame, prefix: str, key: str = "link") -> DataFrame
     return postings.filter(F.col("term").startswith(prefix)).select(key).distinct()
 
 
-def fts_phrase(postings: DataFrame, phrase_terms: list[str], key: str = "link") -> DataFrame:
+def fts_phrase(postings: DataFrame, phrase_terms: list[str], key: str = "link",
+               buckets: int | None = None) -> DataFrame:
     """Documents where the terms occur consecutively inside one column."""
     if not phrase_terms:
         return postings.select(key).limit(0)
-    p = postings_for(postings, sorted(set(phrase_terms)))
+    p = postings_for(postings, sorted(set(phrase_terms)), buckets)
     cur = (p.filter(F.col("term") == phrase_terms[0])
            .select(key, "col", F.col("positions").alias("ends")))
     for t in phrase_terms[1:]:

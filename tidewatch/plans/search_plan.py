@@ -32,7 +32,10 @@ def search_documents(documents: DataFrame, articles: DataFrame, query: str, as_o
         recent_links = recent.collected_since(articles, as_of, parsed.days).select("link")
         top = top.join(recent_links, "link", "left_semi")
     # hydrate: the ranked side is at most k rows (top-k), so it is the broadcast side
-    hydrated = documents.join(F.broadcast(top), "link")
+    if "doc_bucket" in documents.columns:
+        hydrated = search.fetch_documents(documents, top)
+    else:
+        hydrated = documents.join(F.broadcast(top), "link")
     if with_snippets:
         hydrated = search.with_snippet(hydrated, terms)
     return hydrated
