@@ -34,3 +34,24 @@ def test_dml_behind_allowed_prefix_is_rejected(spark, view, q):
     with pytest.raises(Exception):
         read_only_sql(spark, q)
     assert spark.table(view).count() == 2
+
+
+@pytest.mark.parametrize("query", [
+    "SELECT reflect('java.lang.System', 'getProperty', 'user.name')",
+    "SELECT java_method('java.lang.Math', 'abs', -1)",
+    "SELECT x FROM (SELECT try_reflect('java.lang.Math', 'abs', -1) AS x)",
+    "SELECT * FROM parquet.`/root/testdata/sf0.001/region.parquet`",
+    "WITH a AS (SELECT 1) SELECT * FROM a JOIN json.`/tmp/x` ON true",
+    "DELETE FROM articles", "selectall FROM articles", ""])
+def test_guard_refuses(spark, query):
+    spark.range(3).createOrReplaceTempView("numbers")
+    with pytest.raises(Exception) as caught:
+        read_only_sql(spark, query)
+    assert isinstance(caught.value, (ReadOnlyViolation,)) or "PATH_NOT_FOUND" in str(caught.value)
+
+
+def test_guard_lets_views_and_ctes_through(spark):
+    spark.range(3).createOrReplaceTempView("numbers")
+    assert read_only_sql(spark, "WITH a AS (SELECT id FROM numbers) SELECT count(*) AS n FROM a;").first()["n"] == 3
+    assert read_only_sql(spark, "EXPLAIN SELECT * FROM numbers").count() == 1
+    assert [r[0] for r in read_only_sql(spark, "SELECT\nid FROM numbers ORDER BY id DESC").collect()] == [2, 1, 0]

@@ -125,3 +125,13 @@ def test_raw_log_partitions_and_run_dedup(spark, scratch):
     logged = raw_log.read_raw_log(spark, base)
     assert logged.filter(F.col("run_id") == "r1").count() == 2
     assert logged.count() == 4
+
+
+def test_raw_log_keeps_one_record_per_source_and_run(spark, scratch):
+    def rows(source):
+        return batch(spark, [art("t", "https://e.com/1", source=source), art("t", "https://e.com/1", source=source)])
+    for source, run in (("A", "r1"), ("B/C", "r1"), ("A", "r1"), ("A", "r2")):
+        raw_log.write_raw_log(spark, rows(source), scratch, NOW, run_id=run, order=("batch_ord",))
+    raw_log.write_raw_log(spark, rows("A"), scratch, NOW + dt.timedelta(days=1), run_id="r1", order=("batch_ord",))
+    got = sorted((r["source"], r["run_id"], str(r["log_date"])) for r in raw_log.read_raw_log(spark, scratch).collect())
+    assert got == [("A", "r1", "2026-03-13"), ("A", "r1", "2026-03-14"), ("A", "r2", "2026-03-13"), ("B/C", "r1", "2026-03-13")]

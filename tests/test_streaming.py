@@ -27,3 +27,15 @@ def test_dedup_stream_keeps_one_per_key(spark, scratch):
     got = spark.read.parquet(out)
     assert got.count() == got.select("link").distinct().count() == \
         spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey").distinct().count()
+
+
+def test_a_restart_reads_only_new_files(spark, scratch):
+    from tidewatch.streaming import delivery
+
+    def add(name, lo):
+        spark.range(lo, lo + 3).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+
+    for lo, total in ((0, 3), (10, 6)):
+        add("x", lo)
+        delivery.run_available(delivery.stream_table(spark, f"{scratch}/in"), f"{scratch}/out", checkpoint=f"{scratch}/ck")
+        assert spark.read.parquet(f"{scratch}/out").count() == total

@@ -42,13 +42,15 @@ def build_session(master: str | None = None, app: str = "tidewatch",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    On a cluster this must already be set to shared storage.  Only when it is unset
-    (local tests) do we create a private scratch folder.
+    On a cluster it must be set to shared storage; leaving it unset is an error.  Only a
+    session with a local master falls back to a private scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="tidewatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)

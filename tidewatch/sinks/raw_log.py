@@ -49,20 +49,23 @@ def write_raw_log(spark: SparkSession, batch: DataFrame, raw_dir: str, logged_at
     """Append ``batch`` under ``raw_dir/log_date=.../source_safe=.../run_id=...``
     (``run_id=none`` when no run id is given).
 
-    With ``run_id``, links already logged for that run (and repeats inside the batch) are
-    skipped.  Returns the records that were written.
+    With ``run_id``, a link that the run has already logged for the same date and source (or
+    that repeats inside the batch for its source) is skipped; the same link from another
+    source, date or run is a record of its own.  Returns the records that were written.
     """
     keep = [c for c in order if c in batch.columns] if run_id is not None else []
     recs = raw_records(batch, logged_at, keep).withColumn("run_id", F.lit(run_id or NO_RUN))
     if run_id is not None:
         logged = read_raw_log(spark, raw_dir)
         if logged is not None and "run_id" in logged.columns:
-            done = logged.filter(F.col("run_id") == run_id).select("link")
-            recs = recs.join(done, "link", "left_anti")
-        recs = dedup_links(recs, "link", tuple(keep)) if keep else recs.dropDuplicates(["link"])
-        recs = recs.drop(*keep)
+            done = logged.filter((F.col("run_id") == run_id) & (F.col("log_date").cast("string") == logged_at.date().isoformat()))
+            recs = recs.join(done.select("link", F.col("source_safe").cast("string")), ["link", "source_safe"], "left_anti")
+        recs = recs.withColumn("_record", F.struct("link", "source_safe"))
+        recs = dedup_links(recs, "_record", tuple(keep)) if keep else recs.dropDuplicates(["_record"])
+        recs = recs.drop("_record", *keep)
     parts = ["log_date", "source_safe", "run_id"]
-    (recs.write.mode("append").option("ignoreNullFields", "false")
+    # few files per folder; adaptive execution splits the partition of a hot source
+    (recs.hint("rebalance", *[F.col(c) for c in parts]).write.mode("append").option("ignoreNullFields", "false")
      .partitionBy(*parts).json(raw_dir))
     return recs
 

@@ -16,11 +16,11 @@ column rejects the whole batch before anything is written.
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators.validate import assert_not_null
 from tidewatch.sources.bindings import effective_time, ts_lit
 
 NOT_NULL = ("category", "source", "title", "link")
@@ -84,7 +84,7 @@ def read_articles(spark: SparkSession, root: str) -> DataFrame | None:
 WRITE_SPREAD = 16
 
 
-def _write_version(df: DataFrame, root: str, version: int) -> str:
+def write_version(df: DataFrame, root: str, version: int) -> str:
     path = f"{root}/v={version}"
     spread = F.pmod(F.xxhash64("link"), F.lit(WRITE_SPREAD))
     (df.withColumn("effective_time", effective_time(F.col("published"), F.col("collected_at")))
@@ -107,9 +107,12 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
 # ---------------------------------------------------------------------------------------------
 
 def collapse_batch(batch: DataFrame, order: str = "batch_ord") -> DataFrame:
-    """One row per link: first category/source, last mutable values (batch order)."""
-    sticky = F.min_by(F.struct(*[F.col(c) for c in STICKY]), F.col(order))
-    mutable = F.max_by(F.struct(*[F.col(c) for c in MUTABLE]), F.col(order))
+    """One row per link: first category/source, last mutable values (batch order; rows that
+    tie in it are ordered by their values, so a retry picks the same one)."""
+    plain = [c for c in MUTABLE if c != "matched_entities"]
+    entities = F.to_json("matched_entities").alias("entities")  # maps have no order of their own
+    sticky = F.min_by(F.struct(*[F.col(c) for c in STICKY]), F.struct(order, *STICKY))
+    mutable = F.max_by(F.struct(*[F.col(c) for c in MUTABLE]), F.struct(order, *plain, entities))
     return (batch.groupBy("link").agg(sticky.alias("_s"), mutable.alias("_m"))
             .select("link", *[F.col("_s")[c].alias(c) for c in STICKY],
                     *[F.col("_m")[c].alias(c) for c in MUTABLE]))
@@ -149,22 +152,37 @@ def merge_articles(current: DataFrame | None, batch: DataFrame, collected_at: dt
     return j.select(*[pick(c).alias(c) for c in COLUMNS])
 
 
+class BatchSize(NamedTuple):
+    rows: int
+    text_bytes: int
+    nulls: dict[str, int]
+
+    @property
+    def small(self) -> bool:
+        """Within the limits for broadcasting."""
+        return self.rows <= MAX_BROADCAST_BATCH and self.text_bytes <= MAX_BROADCAST_BYTES
+
+
+def measure_batch(batch: DataFrame) -> BatchSize:
+    """Rows, text bytes and NULLs in NOT NULL columns, in one aggregate pass."""
+    text_bytes = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in ("title", "summary", "link"))
+    row = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(text_bytes).alias("bytes"),
+                    *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL]).first()
+    return BatchSize(row["n"], row["bytes"] or 0, {c: row[c] for c in NOT_NULL if row[c]})
+
+
 def upsert_articles(spark: SparkSession, root: str, batch: DataFrame, collected_at: dt.datetime,
                     order: str = "batch_ord") -> str | None:
     """Merge ``batch`` into the table at ``root``; returns the new version path (None if empty)."""
-    text_bytes = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in ("title", "summary", "link"))
-    stats = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(text_bytes).alias("bytes"),
-                      *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL]).first()
-    if stats["n"] == 0:
+    size = measure_batch(batch)
+    if size.rows == 0:
         return None
-    bad = {c: stats[c] for c in NOT_NULL if stats[c]}
-    if bad:
-        raise ValueError(f"NOT NULL constraint violated, batch rejected: {bad}")
+    if size.nulls:
+        raise ValueError(f"NOT NULL constraint violated, batch rejected: {size.nulls}")
     vs = versions(spark, root)
     current = spark.read.parquet(f"{root}/v={vs[-1]}") if vs else None
-    small = stats["n"] <= MAX_BROADCAST_BATCH and (stats["bytes"] or 0) <= MAX_BROADCAST_BYTES
-    merged = merge_articles(current, batch, collected_at, order, broadcast_batch=small)
-    return _write_version(merged, root, (vs[-1] + 1) if vs else 1)
+    merged = merge_articles(current, batch, collected_at, order, broadcast_batch=size.small)
+    return write_version(merged, root, (vs[-1] + 1) if vs else 1)
 
 
 def retain_articles(spark: SparkSession, root: str, as_of: dt.datetime, days: int) -> int:
@@ -179,7 +197,7 @@ def retain_articles(spark: SparkSession, root: str, as_of: dt.datetime, days: in
     cutoff = ts_lit(as_of - dt.timedelta(days=days))
     before = cur.count()
     kept = cur.filter(~(F.col("effective_time") < cutoff) | F.col("effective_time").isNull())
-    path = _write_version(kept.drop("effective_time").select(*COLUMNS), root, vs[-1] + 1)
+    path = write_version(kept.drop("effective_time").select(*COLUMNS), root, vs[-1] + 1)
     return before - spark.read.parquet(path).count()
 
 

@@ -6,7 +6,9 @@ The stateless operators (ingest, validation, entity matching) run unchanged on a
 are event-time windows with a watermark, and upserts run per micro-batch through
 ``foreachBatch`` (idempotent: a replayed batch writes the same rows again).
 
-Checkpoints live under the session's shared ``spark.checkpoint.dir``.
+Give ``checkpoint`` a stable path and a restarted stream goes on where it stopped; without
+one, a fresh path under the session's shared ``spark.checkpoint.dir`` is taken and all files
+are read.
 """
 
 from __future__ import annotations
@@ -53,14 +55,14 @@ def _ckpt(spark: SparkSession, name: str) -> str:
 
 
 def run_available(stream: DataFrame, out_path: str, mode: str = "append",
-                  name: str = "stream") -> str:
+                  name: str = "stream", checkpoint: str | None = None) -> str:
     """Process everything available now and stop; the result lands as parquet at ``out_path``.
 
     ``complete`` mode rewrites the whole result per micro-batch (small aggregates only);
     ``append`` mode appends finalized rows.
     """
     spark = stream.sparkSession
-    ck = _ckpt(spark, name)
+    ck = checkpoint or _ckpt(spark, name)
     if mode == "complete":
         def write(batch: DataFrame, _epoch: int) -> None:
             batch.write.mode("overwrite").parquet(out_path)
@@ -75,7 +77,7 @@ def run_available(stream: DataFrame, out_path: str, mode: str = "append",
 
 
 def upsert_stream(stream_articles: DataFrame, root: str, collected_at: dt.datetime,
-                  order: str = "batch_ord", name: str = "upsert") -> str:
+                  order: str = "batch_ord", name: str = "upsert", checkpoint: str | None = None) -> str:
     """Merge each micro-batch into the versioned article table."""
     spark = stream_articles.sparkSession
 
@@ -83,6 +85,6 @@ def upsert_stream(stream_articles: DataFrame, root: str, collected_at: dt.dateti
         store.upsert_articles(batch.sparkSession, root, batch, collected_at, order)
 
     q = (stream_articles.writeStream.foreachBatch(merge)
-         .option("checkpointLocation", _ckpt(spark, name)).trigger(availableNow=True).start())
+         .option("checkpointLocation", checkpoint or _ckpt(spark, name)).trigger(availableNow=True).start())
     q.awaitTermination()
     return root
