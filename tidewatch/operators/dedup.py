@@ -10,9 +10,9 @@ def dedup_links(df: DataFrame, key: str = "link",
                 order: tuple[str, ...] = ("source_ord", "item_ord")) -> DataFrame:
     """Keep the first row per ``key`` in (source_ord, item_ord) order.
 
-    Expressed as ``min(struct(order..., rest...))`` per key: a hash aggregate with
-    map-side partial aggregation, so a hot key collapses before the shuffle (a window
-    would sort and ship every duplicate).
+    Expressed as ``min_by(row, order)`` per key with map-side partial aggregation, so a hot
+    key collapses before the shuffle (a window would ship every duplicate).  The buffer holds
+    rows of variable size, so Spark plans sort aggregates: each task sorts its rows by key.
     """
     rest = [c for c in df.columns if c != key and c not in order]
     # remaining orderable columns break ties deterministically; maps cannot be ordered

@@ -65,8 +65,9 @@ def daily_summary(articles: DataFrame, day_col: str = "collected_at",
     (map source -> articles).
 
     One pass over the articles: each article explodes into one article row plus one row per
-    entity, aggregated once to (date, category, source, entity); the two report shapes are
-    built from that small result (its shuffle is shared by both branches).
+    entity, aggregated once to (date, category, source, entity).  From that small result (its
+    shuffle is shared) come the counts per source and, added up per entity first, the
+    entities; a report row holds one element per source and one per entity, no more.
     """
     rows = (articles.select(day_of(F.col(day_col)).alias("date"), "category", "source",
                             explode_rows(_article_and_entity_rows(F.col(col))).alias("r"))
@@ -80,18 +81,14 @@ def daily_summary(articles: DataFrame, day_col: str = "collected_at",
         F.count_if(is_art).cast("bigint").alias("source_count"),
         F.sum(F.when(is_art, F.col("m"))).cast("bigint").alias("matched_count"),
         F.map_from_entries(F.array_sort(F.collect_list(F.when(is_art, F.struct(
-            "source", F.col("n").cast("bigint")))))).alias("sources"),
-        F.collect_list(F.when(~is_art, F.struct("entity", F.col("hits").cast("bigint").alias("hits"))))
-        .alias("_e"))
-    # per-entity totals inside the group (at most sources x entities elements)
-    e = F.col("_e")
-    names = F.array_distinct(F.transform(e, lambda x: x["entity"]))
-    totals = F.transform(names, lambda nm: F.struct(
-        (-F.aggregate(F.filter(e, lambda x: x["entity"] == nm), F.lit(0).cast("bigint"),
-                      lambda acc, x: acc + x["hits"])).alias("neg"), nm.alias("name")))
-    top = F.transform(F.array_sort(totals), lambda t: F.struct(
-        t["name"].alias("name"), (-t["neg"]).alias("count")))
-    return out.withColumn("top_entities", top).drop("_e")
+            "source", F.col("n").cast("bigint")))))).alias("sources"))
+    totals = (g.filter(~is_art).groupBy("date", "category", "entity").agg(F.sum("hits").alias("hits"))
+              .groupBy(F.col("date").alias("_date"), F.col("category").alias("_category")).agg(F.array_sort(F.collect_list(
+                  F.struct((-F.col("hits")).cast("bigint").alias("neg"), F.col("entity").alias("name")))).alias("_totals")))
+    top = F.transform(F.coalesce("_totals", F.array().cast("array<struct<neg:bigint,name:string>>")),
+                      lambda t: F.struct(t["name"].alias("name"), (-t["neg"]).alias("count")))
+    same = F.col("date").eqNullSafe(F.col("_date")) & F.col("category").eqNullSafe(F.col("_category"))
+    return out.join(totals, same, "left").withColumn("top_entities", top).drop("_date", "_category", "_totals")
 
 
 def flatten_summary(summary: DataFrame) -> DataFrame:

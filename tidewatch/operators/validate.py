@@ -56,9 +56,13 @@ def split_valid_invalid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, invalid
 
 
+def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: the NULLs in each column (one aggregate pass)."""
+    return df.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in columns])
+
+
 def assert_not_null(df: DataFrame, columns: list[str]) -> None:
-    """Raise before writing when any NOT NULL column holds a NULL (one aggregate pass)."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    bad = {c: counts[c] for c in columns if counts[c]}
+    """Raise before writing when any NOT NULL column holds a NULL."""
+    bad = {c: n for c, n in null_counts(df, columns).first().asDict().items() if n}
     if bad:
         raise ValueError(f"NOT NULL constraint violated: {bad}")

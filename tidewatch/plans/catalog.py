@@ -190,12 +190,31 @@ def q_collected_since(spark, sf):
         "link", "collected_at")
 
 
+# defects planted in page articles, by page_id mod 10: blank title, bad link, no summary, no
+# source, no category, no title, no link; the other three tenths stay valid
+FAULTY = f"""{P}, faulty AS (
+SELECT page_id, CASE page_id % 10 WHEN 1 THEN '  ' WHEN 6 THEN NULL ELSE title END AS title,
+       CASE page_id % 10 WHEN 2 THEN 'no scheme ' || CAST(page_id AS VARCHAR) WHEN 7 THEN NULL ELSE link END AS link,
+       CASE page_id % 10 WHEN 3 THEN NULL ELSE summary END AS summary,
+       CASE page_id % 10 WHEN 4 THEN NULL ELSE source END AS source,
+       CASE page_id % 10 WHEN 5 THEN '' ELSE category END AS category FROM page_articles)"""
+
+
+def faulty_articles(spark, sf):
+    i = F.col("page_id") % 10
+    return B.page_articles(spark, sf).select(
+        "page_id", F.when(i == 1, "  ").when(i != 6, F.col("title")).alias("title"),
+        F.when(i == 2, F.concat(F.lit("no scheme "), F.col("page_id").cast("string"))).when(i != 7, F.col("link")).alias("link"),
+        F.when(i != 3, F.col("summary")).alias("summary"), F.when(i != 4, F.col("source")).alias("source"),
+        F.when(i == 5, "").otherwise(F.col("category")).alias("category"))
+
+
 @register("validate_articles", f"""
-WITH {P}, v AS (SELECT link, {S.validation_errors()} AS errs FROM page_articles)
-SELECT link, len(errs) = 0 AS is_valid, array_to_string(errs, ', ') AS errors FROM v""")
+WITH {FAULTY}, v AS (SELECT page_id, {S.validation_errors()} AS errs FROM faulty)
+SELECT page_id, len(errs) = 0 AS is_valid, array_to_string(errs, ', ') AS errors FROM v""")
 def q_validate_articles(spark, sf):
-    v = validate.validate_articles(B.page_articles(spark, sf))
-    return v.select("link", "is_valid", F.array_join("errors", ", ").alias("errors"))
+    v = validate.validate_articles(faulty_articles(spark, sf))
+    return v.select("page_id", "is_valid", F.array_join("errors", ", ").alias("errors"))
 
 
 @register("validate_documents", f"""
@@ -207,25 +226,30 @@ def q_validate_documents(spark, sf):
 
 
 @register("split_valid_invalid", f"""
-WITH {P}, v AS (SELECT link, {S.validation_errors()} AS errs FROM page_articles)
-SELECT coalesce(link, 'None') || ': ' || array_to_string(errs, ', ') AS error FROM v WHERE len(errs) > 0""")
+WITH {FAULTY}, v AS (SELECT page_id, link, {S.validation_errors()} AS errs FROM faulty)
+SELECT CASE WHEN len(errs) = 0 THEN page_id END AS page_id,
+       CASE WHEN len(errs) > 0 THEN coalesce(link, 'None') || ': ' || array_to_string(errs, ', ') END AS error FROM v""")
 def q_split_valid_invalid(spark, sf):
-    _, invalid = validate.split_valid_invalid(validate.validate_articles(B.page_articles(spark, sf)))
-    return invalid
+    """Both sides in one table: ids of the valid rows, errors of the invalid ones."""
+    valid, invalid = validate.split_valid_invalid(validate.validate_articles(faulty_articles(spark, sf)))
+    return valid.select("page_id", F.lit(None).cast("string").alias("error")).unionByName(
+        invalid.select(F.lit(None).cast("long").alias("page_id"), "error"))
 
 
+# what becomes of a page's URL, by page_id mod 6: as it is, no scheme, no host, broken
+# brackets, an address in brackets, none
 @register("valid_url", f"""
-SELECT page_id, url, {S.valid_url('url')} AS valid FROM pages
-UNION ALL
-SELECT -1 - doc_id, 'https://' || source || '.example.com/' || lang || '/' || CAST(doc_id AS VARCHAR),
-       {S.valid_url("'https://' || source || '.example.com/' || lang || '/' || CAST(doc_id AS VARCHAR)")}
-FROM documents""")
+WITH u AS (SELECT page_id, CASE page_id % 6 WHEN 0 THEN url WHEN 1 THEN regexp_replace(url, '^[a-z]+://', '')
+                  WHEN 2 THEN regexp_replace(url, '://[^/]*', ':///') WHEN 3 THEN replace(url, '://', '://[')
+                  WHEN 4 THEN regexp_replace(url, '://[^/]*', '://[::1]:80') END AS url FROM pages)
+SELECT page_id, url, page_id % 6 IN (0, 4) AS valid FROM u""")
 def q_valid_url(spark, sf):
-    pages = B.read_table(spark, sf, "pages").select("page_id", "url", TX.valid_url(F.col("url")).alias("valid"))
-    docs = B.document_articles(spark, sf).select((F.lit(-1) - F.col("doc_id")).alias("page_id"),
-                                                 F.col("link").alias("url"),
-                                                 TX.valid_url(F.col("link")).alias("valid"))
-    return pages.unionByName(docs)
+    url, i = F.col("url"), F.col("page_id") % 6
+    changed = (F.when(i == 0, url).when(i == 1, F.regexp_replace(url, "^[a-z]+://", ""))
+               .when(i == 2, F.regexp_replace(url, "://[^/]*", ":///")).when(i == 3, F.replace(url, F.lit("://"), F.lit("://[")))
+               .when(i == 4, F.regexp_replace(url, "://[^/]*", "://[::1]:80")))
+    return B.read_table(spark, sf, "pages").select("page_id", changed.alias("url")).withColumn(
+        "valid", TX.valid_url(F.col("url")))
 
 
 @register("url_parts", f"""
@@ -419,6 +443,20 @@ def search_docs(spark, sf, spread_rows: bool = True):
     return arts.select("link", "title", F.col("summary").alias("body"))
 
 
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def stored_index(spark, sf):
+    """(postings, documents, statistics) of the search index over ``documents``: written once
+    per application and table, in the shared folder, and read by every search query."""
+    where = (spark.sparkContext.applicationId, sf)
+    if where not in _INDEXES:
+        path = _result_path(spark, "search-index")
+        FTS.write_index(search_docs(spark, sf, spread_rows=False), path)
+        _INDEXES[where] = path
+    return (*FTS.read_index(spark, _INDEXES[where]), FTS.read_stats(spark, _INDEXES[where]))
+
+
 def _tok_sql():
     fold = "lower(strip_accents(coalesce({}, '')))"
     pat = r"'[\p{L}\p{N}\p{Co}]+'"
@@ -449,14 +487,21 @@ SELECT link, round(rank, 6) AS rank FROM sc ORDER BY sc.rank, link LIMIT {limit}
 
 
 def _bm25_spark(spark, sf, query, limit):
-    docs = search_docs(spark, sf)
-    top = FTS.bm25_scan(docs, FTS.query_terms(query), limit)
+    postings, _, stats = stored_index(spark, sf)
+    top = FTS.bm25_topk(postings, stats, FTS.query_terms(query), limit, buckets=FTS.DEFAULT_BUCKETS)
+    return top.select("link", F.round("rank", 6).alias("rank"))
+
+
+@register("bm25_scan", _bm25_sql(FTS.query_terms(BM25_QUERY), BM25_LIMIT))
+def q_bm25_scan(spark, sf):
+    """Same ranking straight from the texts, for a corpus without an index."""
+    top = FTS.bm25_scan(search_docs(spark, sf), FTS.query_terms(BM25_QUERY), BM25_LIMIT)
     return top.select("link", F.round("rank", 6).alias("rank"))
 
 
 @register("bm25_topk_postings", _bm25_sql(FTS.query_terms(BM25_QUERY), BM25_LIMIT))
 def q_bm25_topk_postings(spark, sf):
-    """Same ranking through postings (the plan a persisted index serves)."""
+    """Same ranking through postings of the query's terms, built for the query."""
     docs = search_docs(spark, sf)
     terms = FTS.query_terms(BM25_QUERY)
     top = FTS.bm25_topk(FTS.fts_postings(docs, terms=terms), FTS.doc_stats(docs), terms, BM25_LIMIT)
@@ -478,25 +523,21 @@ def q_bm25_topk_common(spark, sf):
 {_tok_sql()}
 SELECT link FROM tok WHERE {" AND ".join(f"list_contains(tt || bt, {S.q(t)})" for t in FTS.query_terms(MATCH_ALL))}""")
 def q_fts_match_all(spark, sf):
-    docs = search_docs(spark, sf)
-    terms = FTS.query_terms(MATCH_ALL)
-    return FTS.fts_match_all(FTS.fts_postings(docs, terms=terms), terms)
+    return FTS.fts_match_all(stored_index(spark, sf)[0], FTS.query_terms(MATCH_ALL), buckets=FTS.DEFAULT_BUCKETS)
 
 
 @register("fts_any", f"""WITH {A},
 {_tok_sql()}
 SELECT link FROM tok WHERE {" OR ".join(f"list_contains(tt || bt, {S.q(t)})" for t in FTS.query_terms(BM25_QUERY))}""")
 def q_fts_any(spark, sf):
-    docs = search_docs(spark, sf)
-    terms = FTS.query_terms(BM25_QUERY)
-    return FTS.fts_any(FTS.fts_postings(docs, terms=terms), terms)
+    return FTS.fts_any(stored_index(spark, sf)[0], FTS.query_terms(BM25_QUERY), buckets=FTS.DEFAULT_BUCKETS)
 
 
 @register("fts_prefix", f"""WITH {A},
 {_tok_sql()}
 SELECT link FROM tok WHERE len(list_filter(tt || bt, lambda x: starts_with(x, {S.q(PREFIX)}))) > 0""")
 def q_fts_prefix(spark, sf):
-    return FTS.fts_prefix(FTS.fts_postings(search_docs(spark, sf, spread_rows=False)), PREFIX)
+    return FTS.fts_prefix(stored_index(spark, sf)[0], PREFIX)
 
 
 @register("fts_phrase", f"""WITH {A},
@@ -505,8 +546,7 @@ SELECT link FROM tok
 WHERE ' ' || array_to_string(tt, ' ') || ' ' LIKE {S.q('% ' + PHRASE + ' %')}
    OR ' ' || array_to_string(bt, ' ') || ' ' LIKE {S.q('% ' + PHRASE + ' %')}""")
 def q_fts_phrase(spark, sf):
-    terms = FTS.query_terms(PHRASE)
-    return FTS.fts_phrase(FTS.fts_postings(search_docs(spark, sf), terms=terms), terms)
+    return FTS.fts_phrase(stored_index(spark, sf)[0], FTS.query_terms(PHRASE), buckets=FTS.DEFAULT_BUCKETS)
 
 
 @register("fts_postings", f"""WITH {A},
@@ -515,7 +555,7 @@ toks AS (SELECT link, unnest(tt || bt) AS term FROM tok)
 SELECT term, CAST(count(DISTINCT link) AS BIGINT) AS doc_freq, CAST(count(*) AS BIGINT) AS total_tf
 FROM toks GROUP BY term""")
 def q_fts_postings(spark, sf):
-    post = FTS.fts_postings(search_docs(spark, sf, spread_rows=False))
+    post = stored_index(spark, sf)[0]
     return post.groupBy("term").agg(F.count_distinct("link").cast("bigint").alias("doc_freq"),
                                     F.sum("tf").cast("bigint").alias("total_tf"))
 
@@ -529,7 +569,8 @@ SELECT t.link, a.title, round(t.rank, 6) AS rank FROM top t JOIN articles a ON a
 WHERE a.collected_at >= {S.cutoff(_SP.days)}""")
 def q_search(spark, sf):
     arts = B.document_articles(spark, sf)
-    res = search_plan.search_documents(search_docs(spark, sf), arts, SEARCH_QUERY, AS_OF, 20)
+    postings, docs, stats = stored_index(spark, sf)
+    res = search_plan.search_documents(docs, arts, SEARCH_QUERY, AS_OF, 20, postings, stats, FTS.DEFAULT_BUCKETS)
     return res.select("link", "title", F.round("rank", 6).alias("rank"))
 
 
@@ -537,7 +578,8 @@ def q_search(spark, sf):
 def q_snippet(spark, sf):
     """Search results with snippets (own window rule; checked by tests, not by SQL)."""
     arts = B.document_articles(spark, sf)
-    res = search_plan.search_documents(search_docs(spark, sf), arts, BM25_QUERY, AS_OF, 20,
+    postings, docs, stats = stored_index(spark, sf)
+    res = search_plan.search_documents(docs, arts, BM25_QUERY, AS_OF, 20, postings, stats, FTS.DEFAULT_BUCKETS,
                                        with_snippets=True)
     return res.select("link", "title", F.round("rank", 6).alias("rank"), "snippet")
 
@@ -547,18 +589,35 @@ def q_snippet(spark, sf):
 hits AS (SELECT link FROM tok WHERE {" OR ".join(f"list_contains(tt || bt, {S.q(t)})" for t in FTS.query_terms(BM25_QUERY))})
 SELECT h.link FROM hits h WHERE h.link IN (SELECT link FROM articles WHERE collected_at >= {S.cutoff(COLLECTED_DAYS)})""")
 def q_filter_links_by_days(spark, sf):
-    docs = search_docs(spark, sf)
-    terms = FTS.query_terms(BM25_QUERY)
-    hits = FTS.fts_any(FTS.fts_postings(docs, terms=terms), terms)
+    hits = FTS.fts_any(stored_index(spark, sf)[0], FTS.query_terms(BM25_QUERY), buckets=FTS.DEFAULT_BUCKETS)
     recent_links = recent.collected_since(B.document_articles(spark, sf), AS_OF, COLLECTED_DAYS)
     return hits.join(recent_links.select("link"), "link", "left_semi")
 
 
-@register("nl_parse")
+# --- fixed values: phrases planted in user turns, by conv_id mod 5 ----------------------------
+PLANTED = {0: ("", " last 3 weeks top 5"), 1: ("최근 10일 ", " last 2 days"), 2: ("7개 ", " TOP 4 LAST 1 Month"),
+           3: ("blast 3 days ", " top12"), 4: ("", "")}
+PLANTED_DAYS = {0: 21, 1: 10, 2: 30}
+PLANTED_LIMIT = {0: 5, 2: 7}
+PLANTED_REST = {0: ("", ""), 1: ("", " last 2 days"), 2: ("", " TOP 4"), 3: ("blast 3 days ", " top12"), 4: ("", "")}
+# -------------------------------------------------------------------------------------------
+
+
+def _by_conv(values: dict, k: int | None = None) -> str:
+    pick = {i: (v if k is None else v[k]) for i, v in values.items()}
+    return "CASE conv_id % 5 " + " ".join(
+        f"WHEN {i} THEN {S.q(v) if isinstance(v, str) else v}" for i, v in pick.items()) + " END"
+
+
+@register("nl_parse", f"""
+SELECT conv_id, turn, {S.collapse(f"{_by_conv(PLANTED_REST, 0)} || text || {_by_conv(PLANTED_REST, 1)}")} AS search_text,
+       CAST({_by_conv(PLANTED_DAYS)} AS BIGINT) AS days, CAST({_by_conv(PLANTED_LIMIT)} AS BIGINT) AS "limit"
+FROM conversations WHERE role = 'user'""")
 def q_nl_parse(spark, sf):
-    """Parse every user turn of the conversation log as a search query."""
+    """Parse every user turn of the conversation log, with planted phrases, as a search query."""
     conv = B.read_table(spark, sf, "conversations").filter(F.col("role") == "user")
-    return conv.select("conv_id", "turn", nlq.nl_parse(F.col("text")).alias("p")).select(
+    text = F.concat(F.expr(_by_conv(PLANTED, 0)), F.col("text"), F.expr(_by_conv(PLANTED, 1)))
+    return conv.select("conv_id", "turn", nlq.nl_parse(text).alias("p")).select(
         "conv_id", "turn", "p.search_text", "p.days", "p.limit")
 
 
@@ -585,21 +644,39 @@ def q_duplicate_pairs(spark, sf):
     return SIM.duplicate_pairs(B.page_articles(spark, sf))
 
 
-@register("similar_url")
+# variants of a page's URL, by page_id mod 4: same path, other host, far path, near path
+FAR_TAIL, NEAR_TAIL = "/" + "z" * 40, "~"
+
+
+@register("similar_url", f"""
+WITH p AS (SELECT page_id, url AS u1, {S.url_netloc("url")} AS host, {S.url_path("url")} AS path,
+                  regexp_replace(url, '[?#].*$', '') AS plain FROM pages)
+SELECT page_id, u1, CASE page_id % 4 WHEN 0 THEN u1 || '?from=list' WHEN 1 THEN replace(u1, '://', '://mirror.')
+                                     WHEN 2 THEN plain || '{FAR_TAIL}' ELSE plain || '{NEAR_TAIL}' END AS u2,
+       CASE page_id % 4 WHEN 0 THEN true WHEN 1 THEN false
+            WHEN 2 THEN 2.0 * length(path) / (2 * length(path) + {len(FAR_TAIL)}) >= {SIM.URL_THRESHOLD}
+            ELSE 2.0 * length(path) / (2 * length(path) + {len(NEAR_TAIL)}) >= {SIM.URL_THRESHOLD} END AS similar_url
+FROM p""")
 def q_similar_url(spark, sf):
-    """Pages paired with the document article of the same id: URL similarity flag."""
-    pages = B.read_table(spark, sf, "pages").select("page_id", F.col("url").alias("u1"))
-    docs = B.document_articles(spark, sf).select(F.col("doc_id").alias("page_id"), F.col("link").alias("u2"))
-    return SIM.similar_url_pairs(pages.join(docs, "page_id"), "u1", "u2")
+    """Pages paired with a variant of their own URL: URL similarity flag."""
+    url, i = F.col("url"), F.col("page_id") % 4
+    plain = F.regexp_replace(url, "[?#].*$", "")
+    variant = (F.when(i == 0, F.concat(url, F.lit("?from=list"))).when(i == 1, F.replace(url, F.lit("://"), F.lit("://mirror.")))
+               .when(i == 2, F.concat(plain, F.lit(FAR_TAIL))).otherwise(F.concat(plain, F.lit(NEAR_TAIL))))
+    pages = B.read_table(spark, sf, "pages").select("page_id", url.alias("u1"), variant.alias("u2"))
+    return SIM.similar_url_pairs(pages, "u1", "u2")
+
+
+TITLE_TAIL = " 0_0"  # no title ends so
 
 
-@register("title_ratio")
+@register("title_ratio", f"""WITH {P}, t AS (SELECT page_id, length({S.normalize_title("title")}) AS n FROM page_articles)
+SELECT page_id, round(2.0 * n / (2 * n + {len(TITLE_TAIL)}), 6) AS ratio FROM t WHERE n > 0 AND n < 190""")
 def q_title_ratio(spark, sf):
-    """Ratio between each page title and the title of the document with the same id."""
-    pages = B.page_articles(spark, sf).select("page_id", TX.normalize_title(F.col("title")).alias("t1"))
-    docs = B.document_articles(spark, sf).select(F.col("doc_id").alias("page_id"),
-                                                 TX.normalize_title(F.col("title")).alias("t2"))
-    return pages.join(docs, "page_id").select("page_id", F.round(SIM.seq_ratio("t1", "t2"), 6).alias("ratio"))
+    """Ratio between each page title and the title with a few characters more."""
+    t = B.page_articles(spark, sf).select("page_id", TX.normalize_title(F.col("title")).alias("t1"))
+    t = t.filter((F.length("t1") > 0) & (F.length("t1") < 190)).withColumn("t2", F.concat("t1", F.lit(TITLE_TAIL)))
+    return t.select("page_id", F.round(SIM.seq_ratio("t1", "t2"), 6).alias("ratio"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -668,31 +745,89 @@ def q_upsert_articles(spark, sf):
 
 @register("upsert_articles_broadcast", ORACLE["upsert_articles"])
 def q_upsert_articles_broadcast(spark, sf):
-    """Same merge through the small-batch plan (batch broadcast, table not shuffled)."""
+    """Same merge as the table's own upsert plans it: the batch is broadcast only if its
+    measured rows and bytes are within the limits."""
     cur = B.document_articles(spark, sf).withColumn("matched_entities", F.create_map().cast(EMPTY_MAP))
-    merged = STORE.merge_articles(cur, _recollection_batch(spark, sf), RECOLLECT_AT, broadcast_batch=True)
+    batch = _recollection_batch(spark, sf)
+    merged = STORE.merge_articles(cur, batch, RECOLLECT_AT, broadcast_batch=STORE.measure_batch(batch).small)
     return merged.select(*MERGE_COLS)
 
 
-@register("assert_not_null", f"""WITH {A}, {P},
-{_BATCH_SQL}
-SELECT CAST(count(*) FILTER (WHERE category IS NULL) AS BIGINT) AS category,
-       CAST(count(*) FILTER (WHERE source IS NULL) AS BIGINT) AS source,
-       CAST(count(*) FILTER (WHERE title IS NULL) AS BIGINT) AS title,
-       CAST(count(*) FILTER (WHERE link IS NULL) AS BIGINT) AS link FROM batch""")
+@register("assert_not_null", f"""WITH {FAULTY}
+SELECT category, source, title, link, category + source + title + link > 0 AS rejected FROM (
+  SELECT CAST(count(*) FILTER (WHERE category IS NULL) AS BIGINT) AS category,
+         CAST(count(*) FILTER (WHERE source IS NULL) AS BIGINT) AS source,
+         CAST(count(*) FILTER (WHERE title IS NULL) AS BIGINT) AS title,
+         CAST(count(*) FILTER (WHERE link IS NULL) AS BIGINT) AS link FROM faulty)""")
 def q_assert_not_null(spark, sf):
-    batch = _recollection_batch(spark, sf)
-    return batch.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in STORE.NOT_NULL])
+    """The operator's counts on rows with planted NULLs, and whether it rejects them."""
+    rows = faulty_articles(spark, sf)
+    counts = validate.null_counts(rows, list(STORE.NOT_NULL))
+    try:
+        validate.assert_not_null(rows, list(STORE.NOT_NULL))
+        rejected = False
+    except ValueError:
+        rejected = True
+    return counts.withColumn("rejected", F.lit(rejected))
 
 
 @register("retain_articles", f"""WITH {A}
 SELECT link, coalesce(published, collected_at) AS effective_time FROM articles
-WHERE coalesce(published, collected_at) < {S.cutoff(RETAIN_DAYS)}""")
+WHERE coalesce(published, collected_at) >= {S.cutoff(RETAIN_DAYS)}""")
 def q_retain_articles(spark, sf):
+    """Documents written as a table; retention writes the next version; its rows."""
+    root = _result_path(spark, "retained")
+    arts = B.document_articles(spark, sf).withColumn("matched_entities", F.create_map().cast(EMPTY_MAP))
+    STORE.write_version(arts.select(*STORE.COLUMNS), root, 1)
+    STORE.retain_articles(spark, root, AS_OF, RETAIN_DAYS)
+    return STORE.read_articles(spark, root).select("link", "effective_time")
+
+
+@register("expired_rows", f"""WITH {A}
+SELECT link, coalesce(published, collected_at) AS effective_time FROM articles
+WHERE coalesce(published, collected_at) < {S.cutoff(RETAIN_DAYS)}""")
+def q_expired_rows(spark, sf):
     exp = STORE.expired_rows(B.document_articles(spark, sf), AS_OF, RETAIN_DAYS)
     return exp.select("link", B.effective_time(F.col("published"), F.col("collected_at")).alias("effective_time"))
 
 
+@register("raw_log", f"""WITH {A},
+runs AS (SELECT link, source FROM articles UNION SELECT link, 'mirror/' || source FROM articles WHERE doc_id % 2 = 0)
+SELECT regexp_replace(source, '[/\\\\]', '_', 'g') AS source_safe, source, link, '{LOGGED_AT.date()}' AS log_date FROM runs""")
+def q_raw_log(spark, sf):
+    """Every document logged twice in one run, and half of them by a mirror source: one record
+    per source and link is left in the log."""
+    where = _result_path(spark, "raw-log")
+    arts = B.document_articles(spark, sf)
+    RAW.write_raw_log(spark, arts, where, LOGGED_AT, run_id="r1")
+    mirror = arts.filter(F.col("doc_id") % 2 == 0).withColumn("source", F.concat(F.lit("mirror/"), F.col("source")))
+    RAW.write_raw_log(spark, arts.unionByName(mirror), where, LOGGED_AT, run_id="r1")
+    return RAW.read_raw_log(spark, where).select(
+        "source_safe", "source", "link", F.col("log_date").cast("string").alias("log_date"))
+
+
+@register("storage_policy", f"""WITH {A},
+days AS (SELECT doc_id, DATE '{LOGGED_AT.date()}' - CAST(doc_id % 3 AS INTEGER) * 10 AS log_date FROM articles)
+SELECT 'raw' AS kind, CAST(log_date AS VARCHAR) AS at, CAST(count(*) AS BIGINT) AS n FROM days
+WHERE log_date >= DATE '{LOGGED_AT.date()}' - 15 GROUP BY log_date
+UNION ALL SELECT 'snapshot', '{LOGGED_AT.date()}', CAST(count(*) AS BIGINT) FROM articles
+UNION ALL SELECT 'removed', 'raw', 1""")
+def q_storage_policy(spark, sf):
+    """Raw logs of three days and a table: the policy takes a snapshot and drops the oldest day."""
+    raw, root, snap = (_result_path(spark, n) for n in ("policy-raw", "policy-table", "policy-snapshot"))
+    arts = B.document_articles(spark, sf).withColumn("matched_entities", F.create_map().cast(EMPTY_MAP))
+    for k in range(3):
+        RAW.write_raw_log(spark, arts.filter(F.col("doc_id") % 3 == k), raw, LOGGED_AT - B.dt.timedelta(days=10 * k))
+    STORE.write_version(arts.select(*STORE.COLUMNS), root, 1)
+    done = STORE.storage_policy(spark, root=root, raw_dir=raw, snapshot_root=snap, keep_raw_days=15,
+                                today=LOGGED_AT.date(), snapshot=True)
+    logged = RAW.read_raw_log(spark, raw).groupBy(F.lit("raw").alias("kind"), F.col("log_date").cast("string").alias("at"))
+    kept = spark.read.parquet(snap).groupBy(F.lit("snapshot").alias("kind"), F.col("snapshot_date").cast("string").alias("at"))
+    counts = [g.agg(F.count(F.lit(1)).cast("bigint").alias("n")) for g in (logged, kept)]
+    removed = spark.createDataFrame([("removed", "raw", done["raw_removed"])], "kind string, at string, n long")
+    return counts[0].unionByName(counts[1]).unionByName(removed)
+
+
 @register("raw_records", f"""WITH {A}
 SELECT title, link, summary, strftime(published, '%Y-%m-%dT%H:%M:%S') AS published, source, category,
        {S.q(LOGGED_AT.isoformat())} AS logged_at, {S.q(LOGGED_AT.date().isoformat())} AS log_date,
@@ -842,6 +977,15 @@ def q_retain_summaries(spark, sf):
     return R.retain_summaries(names, SUMMARY_KEEP_DAYS, SUMMARY_TODAY)
 
 
+@register("scan_summaries", f"""WITH {_SUMMARY_CTES}
+SELECT date, category, article_count, source_count, matched_count, top_entities, sources FROM summ""")
+def q_scan_summaries(spark, sf):
+    """Daily summaries written as JSON and read back."""
+    where = _result_path(spark, "summaries")
+    summaries(spark, sf).withColumn("generated_at", F.lit(LOGGED_AT.isoformat())).write.json(where)
+    return R.flatten_summary(R.read_summaries(spark, where, multiline=False))
+
+
 @register("articles_by_day", f"""WITH {A}
 SELECT coalesce(strftime(published, '%Y-%m-%d'), 'Undated') AS day, CAST(count(*) AS BIGINT) AS articles
 FROM articles GROUP BY 1""")
@@ -912,25 +1056,18 @@ def configured_sources(spark, sf):
     return docs.unionByName(pages).withColumn("url", F.lit(""))
 
 
-@register("error_rollup", f"""WITH {A}, {P},
-v AS (SELECT source, {S.validation_errors()} AS errs FROM articles
-      UNION ALL SELECT source, {S.validation_errors()} FROM page_articles),
+@register("error_rollup", f"""WITH {A}, {FAULTY},
+v AS (SELECT source, {S.validation_errors()} AS errs FROM faulty),
 verr AS (SELECT source, 'validation' AS kind FROM v WHERE len(errs) > 0),
-srcs AS (SELECT DISTINCT source AS name, 'rss' AS type FROM articles
-         UNION ALL SELECT DISTINCT source, 'html' FROM page_articles),
-serr AS (SELECT name AS source, 'source' AS kind FROM srcs
-         WHERE lower(type) NOT IN ({", ".join(S.q(t) for t in SUPPORTED_TYPES)}))
+d AS (SELECT source, doc_id, CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 6 AS t FROM articles),
+derr AS (SELECT source, CASE WHEN t >= 4 THEN 'route' ELSE 'parse' END AS kind FROM d WHERE t >= 4 OR doc_id % 11 = 0)
 SELECT kind, source, CAST(count(*) AS BIGINT) AS errors
-FROM (SELECT * FROM verr UNION ALL SELECT * FROM serr) GROUP BY kind, source""")
+FROM (SELECT * FROM verr UNION ALL SELECT * FROM derr) GROUP BY kind, source""")
 def q_error_rollup(spark, sf):
-    from tidewatch.sources.ingest import unsupported_sources
-    v = validate.validate_articles(B.document_articles(spark, sf)).unionByName(
-        validate.validate_articles(B.page_articles(spark, sf)), allowMissingColumns=True)
+    v = validate.validate_articles(faulty_articles(spark, sf))
     verr = v.filter(~F.col("is_valid")).select("source", F.lit("validation").alias("kind"),
                                               F.array_join("errors", ", ").alias("message"))
-    serr = unsupported_sources(configured_sources(spark, sf)).select(
-        F.col("name").alias("source"), F.lit("source").alias("kind"), "message")
-    return R.error_rollup(verr.unionByName(serr))
+    return R.error_rollup(verr.unionByName(ING.dispatch_by_type(*dispatch_input(spark, sf))[1]))
 
 
 @register("run_stats", f"""WITH {A},
@@ -951,8 +1088,7 @@ def q_run_stats(spark, sf):
 from tidewatch.sources import ingest as ING  # noqa: E402
 
 # --- fixed values: ingest parameters -------------------------------------------------------
-INGEST_LIMIT = 30
-AIC_LIMIT = 5
+FIRST_N = 30             # only the query first_per_source has a limit
 PAGE_SPAN = 200          # documents with doc_id // 200 equal share one list response
 INGEST_CATEGORY = "museum"
 # -------------------------------------------------------------------------------------------
@@ -989,23 +1125,30 @@ _MT, _MS = _museum_sql("title", "CASE WHEN doc_id % 4 <> 0 THEN source END", "st
 
 
 @register("ingest_met", f"""WITH {A},
-o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM articles)
+o AS (SELECT * FROM articles)
 SELECT {_MT} AS title,
        CASE WHEN doc_id % 3 <> 0 THEN link ELSE {S.q(ING.MET_LINK)} || CAST(doc_id AS VARCHAR) END AS link,
        {_MS} AS summary, published, source, {S.q(INGEST_CATEGORY)} AS category,
        CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) AS source_ord, doc_id AS item_ord
-FROM o WHERE rn <= {INGEST_LIMIT} AND doc_id % 7 <> 0""")
+FROM o WHERE doc_id % 7 <> 0""")
 def q_ingest_met(spark, sf):
-    arts, _ = ING.ingest_met(met_payloads(spark, sf), INGEST_LIMIT)
+    arts, _ = ING.ingest_met(met_payloads(spark, sf))
     return arts
 
 
+@register("first_per_source", f"""WITH {A}
+SELECT source AS source_name, doc_id AS item_ord FROM articles
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= {FIRST_N}""")
+def q_first_per_source(spark, sf):
+    return ING.first_per_source(met_payloads(spark, sf), FIRST_N).select("source_name", "item_ord")
+
+
 @register("ingest_met_skipped", f"""WITH {A},
-o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM articles)
+o AS (SELECT * FROM articles)
 SELECT source AS source_name, CAST(count(*) FILTER (WHERE doc_id % 7 = 0) AS BIGINT) AS skipped
-FROM o WHERE rn <= {INGEST_LIMIT} GROUP BY source""")
+FROM o GROUP BY source""")
 def q_ingest_met_skipped(spark, sf):
-    return ING.ingest_met(met_payloads(spark, sf), INGEST_LIMIT)[1]
+    return ING.ingest_met(met_payloads(spark, sf))[1]
 
 
 def aic_payloads(spark, sf):
@@ -1031,9 +1174,9 @@ o AS (SELECT *, CAST(floor(doc_id / {PAGE_SPAN}) AS BIGINT) AS page,
 SELECT {_AT} AS title, {S.q(ING.AIC_LINK)} || CAST(doc_id AS VARCHAR) AS link, {_AS} AS summary,
        CAST(NULL AS TIMESTAMP) AS published, source, {S.q(INGEST_CATEGORY)} AS category,
        CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) AS source_ord, page * 100000 + pos AS item_ord
-FROM o WHERE pos < {AIC_LIMIT}""")
+FROM o""")
 def q_ingest_aic(spark, sf):
-    return ING.ingest_aic(aic_payloads(spark, sf), AIC_LIMIT)
+    return ING.ingest_aic(aic_payloads(spark, sf))
 
 
 def si_payloads(spark, sf):
@@ -1067,51 +1210,96 @@ SELECT coalesce(nullif({S.strip_py(f"coalesce(nullif(title, ''), {S.q(ING.UNTITL
        CASE WHEN doc_id % 4 = 0 THEN 'Museum ' || category ELSE source END AS source,
        {S.q(INGEST_CATEGORY)} AS category,
        CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) AS source_ord, page * 100000 + pos AS item_ord
-FROM o WHERE pos < {INGEST_LIMIT}""")
+FROM o""")
 def q_ingest_smithsonian(spark, sf):
-    return ING.ingest_smithsonian(si_payloads(spark, sf), INGEST_LIMIT)
+    return ING.ingest_smithsonian(si_payloads(spark, sf))
 
 
 def _xml_escape(c):
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
 
 
+def _feed_item(title, link, text, day, i):
+    """RSS for even ``i``, Atom for odd; every fourth item has its text in content:encoded."""
+    text_tag = F.when(i % 4 == 0, F.lit("content:encoded")).otherwise(F.lit("description"))
+    rss = F.concat(F.lit("<item><title>"), title, F.lit("</title><link>"), link, F.lit("</link><"), text_tag, F.lit(">"),
+                   text, F.lit("</"), text_tag, F.lit("><pubDate>"), day, F.lit("</pubDate></item>"))
+    atom = F.concat(F.lit('<entry><title type="text">'), title,
+                    F.lit('</title><link rel="self" href="http://self.example/"/><link href="'), link,
+                    F.lit('"/><summary>'), text, F.lit("</summary><updated>2024-01-02T00:30:00Z</updated></entry>"))
+    return F.when(i % 2 == 0, rss).otherwise(atom)
+
+
+FEED_DAY = "Tue, 02 Jan 2024 09:30:00 +0900"  # the time of the Atom entries as well
+
+
 def rss_payloads(spark, sf):
     a = _landed(B.page_articles(spark, sf).withColumn("doc_id", F.col("page_id")))
-    item = F.concat(
-        F.lit("<item><title>"), _xml_escape(F.col("title")), F.lit("</title><link>"), _xml_escape(F.col("link")),
-        F.lit("</link><description>"), _xml_escape(F.col("summary")), F.lit("</description>"),
-        F.lit("<pubDate>Tue, 02 Jan 2024 09:30:00 +0900</pubDate></item>"))
+    i = F.col("doc_id")
+    item = _feed_item(_xml_escape(F.col("title")), _xml_escape(F.col("link")), 
+                      _xml_escape(F.replace(F.col("summary"), F.lit("&"), F.lit(""))), F.lit(FEED_DAY), i)
+    payload = F.when(i % 9 == 8, F.lit("<item><title>cut off")).otherwise(item)
     return a.select(F.col("source_name"), "category", F.lit(0).alias("source_ord"), "item_ord",
-                    item.alias("payload"))
+                    payload.alias("payload"))
 
 
-@register("ingest_rss")
+@register("ingest_rss", f"""WITH {P}
+SELECT {S.strip_py("title")} AS title, link, {S.strip_py("replace(summary, '&', '')")} AS summary, TIMESTAMP '2024-01-02 00:30:00' AS published,
+       source, {S.q(INGEST_CATEGORY)} AS category, CAST(0 AS INTEGER) AS source_ord, page_id AS item_ord
+FROM page_articles WHERE page_id % 9 <> 8 AND {S.strip_py("title")} NOT IN ('', {S.q(ING.NO_TITLE)}) AND link <> ''
+AND instr(title, '&') = 0""")
 def q_ingest_rss(spark, sf):
-    """Page titles through RSS items (XML escaping + HTML unescape are checked by tests)."""
-    return ING.ingest_rss(rss_payloads(spark, sf), INGEST_LIMIT)
+    """Page titles through RSS and Atom items (entity unescaping is checked by tests)."""
+    return ING.ingest_rss(rss_payloads(spark, sf)).filter(F.instr("title", "&") == 0)
 
 
-@register("dispatch_by_type", f"""WITH {A}, {P},
+# source srcN is of type DISPATCH_TYPES[N mod 6] (the last: not configured); payloads of
+# documents with doc_id mod 11 = 0 are broken
+DISPATCH_TYPES = ("rss", "met_museum", "aic", "smithsonian", "browser")
+
+
+def dispatch_input(spark, sf):
+    a = _landed(B.document_articles(spark, sf))
+    kind = F.col("source_ord") % 6
+    js_row = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), "title"))
+    whole = (F.when(kind == 0, _feed_item(_xml_escape(F.col("title")), F.col("link"), F.lit("text"), F.lit(FEED_DAY), F.col("doc_id")))
+             .when(kind == 2, F.concat(F.lit('{"data": ['), js_row, F.lit("]}")))
+             .when(kind == 3, F.concat(F.lit('{"response": {"rows": ['), js_row, F.lit("]}}"))).otherwise(js_row))
+    payloads = a.select("source_name", "category", "item_ord",
+                        F.when(F.col("doc_id") % 11 == 0, F.lit("<{")).otherwise(whole).alias("payload"))
+    name = F.array(*[F.lit(t) for t in DISPATCH_TYPES])
+    sources = (a.select(F.col("source_name").alias("name"), "source_ord").distinct().filter(F.col("source_ord") % 6 < 5)
+               .select("name", F.element_at(name, F.col("source_ord") % 6 + 1).alias("type"), F.lit("u").alias("url"), "source_ord"))
+    return sources, payloads
+
+
+@register("dispatch_by_type", f"""WITH {A},
+d AS (SELECT *, CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) % 6 AS t FROM articles),
+r AS (SELECT source, CASE WHEN t >= 4 THEN 'route' WHEN doc_id % 11 = 0 THEN 'parse'
+             WHEN t = 0 AND {S.strip_py("title")} IN ('', {S.q(ING.NO_TITLE)}) THEN 'skipped' ELSE 'article' END AS kind FROM d)
+SELECT source, kind, CAST(count(*) AS BIGINT) AS n FROM r WHERE kind <> 'skipped' GROUP BY source, kind""")
+def q_dispatch_by_type(spark, sf):
+    arts, errors = ING.dispatch_by_type(*dispatch_input(spark, sf))
+    return (arts.select("source", F.lit("article").alias("kind")).unionByName(errors.select("source", "kind"))
+            .groupBy("source", "kind").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
+@register("unsupported_sources", f"""WITH {A}, {P},
 srcs AS (SELECT DISTINCT source AS name, 'rss' AS type FROM articles
          UNION ALL SELECT DISTINCT source, 'html' FROM page_articles)
 SELECT name, type, name || ': Unsupported source type ''' || type || '''' AS message FROM srcs
 WHERE lower(type) NOT IN ('rss', 'met_museum', 'aic', 'smithsonian', 'javascript', 'browser')""")
-def q_dispatch_by_type(spark, sf):
+def q_unsupported_sources(spark, sf):
     return ING.unsupported_sources(configured_sources(spark, sf))
 
 
-@register("union_sources", """
-SELECT l_orderkey AS link, l_suppkey AS source_ord, l_linenumber AS item_ord FROM lineitem
-UNION ALL SELECT o_orderkey, o_custkey, 0 FROM orders""")
+@register("union_sources", f"""WITH {A}, {P}
+SELECT title, link, source, category, CAST(0 AS INTEGER) AS source_ord, item_ord FROM articles
+UNION ALL SELECT title, link, source, category, 1, item_ord FROM page_articles""")
 def q_union_sources(spark, sf):
-    li = B.read_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("link"),
-                                                    F.col("l_suppkey").alias("source_ord"),
-                                                    F.col("l_linenumber").alias("item_ord"))
-    od = B.read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("link"),
-                                                 F.col("o_custkey").alias("source_ord"),
-                                                 F.lit(0).alias("item_ord"))
-    return li.unionByName(od)
+    frames = [f.withColumn("source_ord", F.lit(i)) for i, f in enumerate(
+        (B.document_articles(spark, sf), B.page_articles(spark, sf)))]
+    return ING.union_sources(frames).select("title", "link", "source", "category", "source_ord", "item_ord")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -1219,10 +1407,15 @@ def q_articles_with_source(spark, sf):
     return ING.articles_with_source(arts.select("link", "source"), srcs)
 
 
-@register("html_unescape")
+@register("html_unescape", f"""WITH {P}
+SELECT page_id, replace(title, '&', '') || CASE WHEN page_id % 2 = 0 THEN ' & <' || CAST(page_id AS VARCHAR) || '> é—"' ELSE '' END AS title
+FROM page_articles""")
 def q_html_unescape(spark, sf):
-    """Page titles with HTML entities decoded (only rows containing '&' reach Python)."""
-    return ING.html_unescape(B.page_articles(spark, sf).select("page_id", "title"), ["title"])
+    """Page titles, half of them with planted entities, decoded (only those reach Python)."""
+    planted = F.concat(F.lit(" &amp; &lt;"), F.col("page_id").cast("string"), F.lit("&gt; &eacute;&#8212;&quot;"))
+    title = F.concat(F.replace(F.col("title"), F.lit("&"), F.lit("")),
+                     F.when(F.col("page_id") % 2 == 0, planted).otherwise(F.lit("")))
+    return ING.html_unescape(B.page_articles(spark, sf).select("page_id", title.alias("title")), ["title"])
 
 
 # ---------------------------------------------------------------------------------------------
