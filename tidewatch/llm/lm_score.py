@@ -32,12 +32,12 @@ from tidewatch.llm.shared import materialize, row_bytes
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 CLASSES, MEMBERS = 64, 64
-DIM = 24
+DIM = 16
 CONTEXT = 2
 KNOWN_WORDS = 200_000      # most frequent words whose counts travel to the tasks
 END, OTHER, FIRST_WORD = 0, 1, 2
 CLASS_NOISE, MEMBER_NOISE = 16, 4
-BATCH_TOKENS = 8192        # per training step
+BATCH_TOKENS = 16384       # per training step
 SCORE_TOKENS = 32768       # per scoring batch
 RATE = 0.08
 CHUNK = 1024               # parameters per row when tasks hand them over
@@ -272,18 +272,19 @@ def _sum_rows(idx: np.ndarray, rows: np.ndarray, scalars: np.ndarray | None = No
 class Ids:
     """Token ids of texts, gathered until a batch is full."""
 
-    def __init__(self, words: list[bytes], modelled: int):
-        self.ids = {w: i + FIRST_WORD for i, w in enumerate(words[:modelled])}
+    def __init__(self, modelled: int):
+        self.modelled = modelled
         self.reset()
 
     def reset(self) -> None:
         self.parts, self.starts, self.size = [], [], 0
 
-    def add(self, words: list[bytes]) -> None:
-        get = self.ids.get
-        own = [get(w, OTHER) for w in words]
-        own.append(END)
-        self.parts.append(np.array(own, dtype=np.int64))
+    def add(self, ranks: np.ndarray) -> None:
+        """A text as the frequency ranks of its words (-1: beyond the known ones)."""
+        own = np.empty(len(ranks) + 1, dtype=np.int64)
+        own[:-1] = np.where((ranks < 0) | (ranks >= self.modelled), OTHER, ranks + FIRST_WORD)
+        own[-1] = END
+        self.parts.append(own)
         self.starts.append(self.size)
         self.size += len(own)
 
@@ -293,6 +294,11 @@ class Ids:
         return out
 
 
+def ranks_of(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+    get = known.get
+    return np.array([get(w, -1) for w in words], dtype=np.int64)
+
+
 def train(texts: DataFrame, corpus: Corpus) -> Model:
     """One pass over all rows of ``texts``; returns the token-weighted mean of the parts' models."""
     start = Model.start(corpus)
@@ -302,7 +308,8 @@ def train(texts: DataFrame, corpus: Corpus) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, unigram, words = shipped.value
-        trainer, ids = Trainer(Model(flat.copy()), unigram), Ids(words, len(words))
+        trainer, ids = Trainer(Model(flat.copy()), unigram), Ids(len(words))
+        known = {w: i for i, w in enumerate(words)}
 
         def learn() -> None:
             tokens, starts = ids.take()
@@ -312,7 +319,7 @@ def train(texts: DataFrame, corpus: Corpus) -> Model:
 
         for batch in batches:
             for text in row_bytes(batch, "text"):
-                ids.add(words_of(text))
+                ids.add(ranks_of(words_of(text), known))
                 if ids.size >= BATCH_TOKENS:
                     learn()
         if ids.size:
@@ -341,8 +348,8 @@ def score_texts(docs: DataFrame, corpus: Corpus, model: Model, counts: DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, seen = shipped.value
         own, known = Model(flat), {w: i for i, w in enumerate(seen.words)}
-        ids, modelled = Ids(seen.words, seen.modelled), seen.modelled
-        base_of, spelled_of = seen.base(seen.counts).tolist(), seen.spelled(seen.counts).tolist()
+        ids, modelled = Ids(seen.modelled), seen.modelled
+        base_of, spelled_of = seen.base(seen.counts), seen.spelled(seen.counts)
         base_end, end_known = float(seen.base(seen.rows)), int(seen.rows > 0)
 
         for batch in batches:
@@ -354,22 +361,14 @@ def score_texts(docs: DataFrame, corpus: Corpus, model: Model, counts: DataFrame
 
             for text in row_bytes(batch, "text"):
                 words = words_of(text)
-                ids.add(words)
-                total, spelled, found = base_end, 0.0, end_known
-                missing: dict[bytes, int] = {}
-                for w in words:
-                    i = known.get(w)
-                    if i is None:
-                        missing[w] = missing.get(w, 0) + 1
-                    else:
-                        found += 1
-                        total += base_of[i]
-                        if i >= modelled:
-                            spelled += spelled_of[i]
+                ranks = ranks_of(words, known)
+                ids.add(ranks)
+                found = ranks[ranks >= 0]
+                missing = Counter([words[i] for i in np.flatnonzero(ranks < 0).tolist()])
                 n_tokens.append(len(words) + 1)
-                n_known.append(found)
-                base.append(total)
-                score.append(spelled)
+                n_known.append(len(found) + end_known)
+                base.append(base_end + float(base_of[found].sum()))
+                score.append(float(spelled_of[found[found >= modelled]].sum()))
                 rare.append([{"word": w, "n": n} for w, n in missing.items()])
                 if ids.size >= SCORE_TOKENS:
                     flush()

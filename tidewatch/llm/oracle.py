@@ -11,8 +11,8 @@ EMBEDDING_SQL = """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 ok AS (
-  SELECT * FROM v WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0),
+  SELECT * FROM v WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
 dim AS (SELECT len(e) AS d FROM ok GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
 n AS (SELECT * FROM ok WHERE len(e) = (SELECT d FROM dim)),
 links AS (
@@ -46,14 +46,14 @@ member AS (
   SELECT e, list(s ORDER BY s) AS names, list(units ORDER BY s) AS u, sum(units)::BIGINT AS total
   FROM ends JOIN n ON n.periods >= e GROUP BY e),
 edf(e, u, total, t, done, pick) AS (
-  SELECT e, u, total, -1::BIGINT, list_transform(u, x -> 0::BIGINT), 0::BIGINT FROM member
+  SELECT e, u, total, -1::BIGINT, list_transform(u, lambda x: 0::BIGINT), 0::BIGINT FROM member
   UNION ALL
-  SELECT e, u, total, t, list_transform(list_zip(done, range(1, len(u) + 1)), z -> z[1] + (z[2] = pick)::BIGINT), pick
+  SELECT e, u, total, t, list_transform(list_zip(done, range(1, len(u) + 1)), lambda z: z[1] + (z[2] = pick)::BIGINT), pick
   FROM (
     SELECT e, u, total, t + 1 AS t, done,
       list_sort(list_filter(list_transform(list_zip(done, u, range(1, len(u) + 1)),
-        z -> CASE WHEN z[1] < z[2] AND (z[1] * total) // z[2] <= t + 1
-             THEN [((z[1] + 1) * total + z[2] - 1) // z[2], z[3]] END), c -> c IS NOT NULL))[1][2] AS pick
+        lambda z: CASE WHEN z[1] < z[2] AND (z[1] * total) // z[2] <= t + 1
+             THEN [((z[1] + 1) * total + z[2] - 1) // z[2], z[3]] END), lambda c: c IS NOT NULL))[1][2] AS pick
     FROM edf WHERE t + 1 < total)),
 slots AS (
   SELECT m.e, m.total, names[pick] AS s, t, row_number() OVER (PARTITION BY m.e, pick ORDER BY t) - 1 AS j
@@ -74,7 +74,7 @@ JOIN slots ON slots.e = phase.e AND slots.s = placed.s AND slots.j = placed.b %
 LINE_SQL = f"""
 WITH l AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
 x AS (
-  SELECT source, unnest(list_distinct(list_filter(list_transform(lines, s -> trim(s, {WHITE})), s -> s <> ''))) AS line FROM l),
+  SELECT source, unnest(list_distinct(list_filter(list_transform(lines, lambda s: trim(s, {WHITE})), lambda s: s <> ''))) AS line FROM l),
 t AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
 b AS (
   SELECT x.source, list(line) AS gone FROM (
@@ -83,7 +83,7 @@ b AS (
   WHERE c >= {line_dedup.MIN_PAGES} AND c > {line_dedup.MAX_RATIO}::DOUBLE * pages GROUP BY x.source),
 k AS (
   SELECT doc_id, l.source, lines, text, CASE WHEN gone IS NULL THEN lines ELSE
-    list_filter(lines, s -> trim(s, {WHITE}) = '' OR NOT list_contains(gone, trim(s, {WHITE}))) END AS kept
+    list_filter(lines, lambda s: trim(s, {WHITE}) = '' OR NOT list_contains(gone, trim(s, {WHITE}))) END AS kept
   FROM l LEFT JOIN b ON l.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, source, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(kept, chr(10)) END AS text,
        coalesce(length(array_to_string(kept, chr(10))), 0)::BIGINT AS n_chars,
@@ -94,12 +94,12 @@ FROM k
 
 def license_sql() -> str:
     def words(text: str) -> str:
-        return f"list_filter(regexp_split_to_array({text}, '{license_scan.SEPARATORS}'), x -> x <> '')"
+        return f"list_filter(regexp_split_to_array({text}, '{license_scan.SEPARATORS}'), lambda x: x <> '')"
 
     def starts(phrase: str) -> str:
         parts = phrase.split()
         same = " AND ".join(f"w[i + {k + 1}] = '{p}'" for k, p in enumerate(parts))
-        return f"list_filter(range(greatest(len(w) - {len(parts) - 1}, 0)), i -> {same})"
+        return f"list_filter(range(greatest(len(w) - {len(parts) - 1}, 0)), lambda i: {same})"
 
     templates = ", ".join(
         f"({i}, '{label}', [{', '.join(repr(w) for w in sorted(set(t.split())))}])"
@@ -112,17 +112,17 @@ def license_sql() -> str:
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
 w AS (SELECT r, doc_id, t, {words('t')} AS w FROM d),
 p AS (SELECT r, doc_id, w, {p_cols} FROM w),
-q AS (SELECT r, doc_id, len(w) AS n_words, {all_p} AS at, list_filter([{base}], x -> x IS NOT NULL) AS own FROM p),
+q AS (SELECT r, doc_id, len(w) AS n_words, {all_p} AS places, list_filter([{base}], lambda x: x IS NOT NULL) AS own FROM p),
 tpl(i, label, words) AS (VALUES {templates}),
 line AS (SELECT r, {words('line')} AS lw FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
 hit AS (
   SELECT r, label, len(list_intersect(lw, words))::DOUBLE / len(words) AS share FROM line CROSS JOIN tpl
   WHERE len(list_intersect(lw, words)) >= ceil({license_scan.MIN_CONTAINMENT} * len(words) - 1e-9)),
 best AS (SELECT r, list(DISTINCT label) AS found, max(share) AS share FROM hit GROUP BY r)
-SELECT doc_id, n_words::BIGINT AS n_words, len(at)::BIGINT AS n_base, list_min(at)::BIGINT AS first_word,
-       list_max(at)::BIGINT AS last_word, array_to_string(list_sort(list_distinct(own)), ',') AS base_labels,
+SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word,
+       list_max(places)::BIGINT AS last_word, array_to_string(list_sort(list_distinct(own)), ',') AS base_labels,
        array_to_string(list_sort(list_distinct(own || coalesce(found, []))), ',') AS labels,
-       CASE WHEN len(at) > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+       CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
 FROM q LEFT JOIN best USING (r)
 """
 
