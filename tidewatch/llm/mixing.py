@@ -23,7 +23,7 @@ from tidewatch.llm.shared import fresh_name, materialize
 BLOCK_CHARS = 65536
 RESOLUTION = 1000        # weight units that all sources share
 TEMPERATURE = 0.5        # default target: share of a source's size to this power
-ROWS_PER_RANGE = 20_000  # rows of one source that one window partition orders, about
+ROWS_PER_RANGE = 5_000   # rows of one source that one window partition orders, about
 SEED = "mix"
 
 
@@ -50,9 +50,8 @@ def weight_units(sizes: DataFrame, weights: DataFrame | None = None, resolution:
             F.sum(F.col("weight").cast("double")).alias("weight"))
         wanted = sizes.join(stated, "source", "left").withColumn(
             "weight", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)))
-    total = wanted.agg(F.sum("weight").alias("total"))  # one row
-    share = wanted.join(F.broadcast(total)).withColumn(
-        "units", F.greatest(F.lit(1), F.round(F.lit(resolution) * F.col("weight") / F.greatest("total", F.lit(1e-300)))))
+    total = wanted.agg(F.sum("weight")).first()[0] or 1.0
+    share = wanted.withColumn("units", F.greatest(F.lit(1), F.round(F.lit(resolution) * F.col("weight") / F.lit(total))))
     return share.select("source", "size", F.col("units").cast("int").alias("units"))
 
 
@@ -108,7 +107,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, source_col: s
     block's place in the mix) and ``mix_offset`` (the row's place in the block, in characters).
 
     Ordering by (mix_slot, mix_offset) gives the mix.  A null source is the source named ''.
-    Null ids order as ''; rows with equal ids by size and text.  Empty and null texts have
+    Rows without id are ordered by their text's hash, rows with equal ids by size and text.  Empty and null texts have
     size one.  A text longer than a block starts in one block and covers the next ones, which
     then stay idle.  Input columns of these three names are replaced.
     """
@@ -116,29 +115,37 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, source_col: s
     src, key, size, rng, start, name, units, phases, phase, period, floor = fresh_name(
         docs, "mix_src", "mix_key", "mix_size", "mix_range", "mix_start", "mix_name", "mix_units", "mix_phases",
         "mix_phase", "mix_period", "mix_floor")
-    ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    ident = F.coalesce(F.col(id_col).cast("string"), F.md5(text.cast("binary")))
     keyed = (docs.withColumn(src, source_name(source_col)).withColumn(size, row_size(text_col))
              .withColumn(key, F.md5(F.concat_ws(":", F.lit(SEED), ident).cast("binary"))))
-    most = keyed.groupBy(src).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    ranges = max(1, -(-most // ROWS_PER_RANGE))  # the key is uniform: equal hash ranges hold equal parts
-    keyed = keyed.withColumn(rng, F.expr(f"(cast(conv(substr({key}, 1, 8), 16, 10) as bigint) * {ranges}L) div 4294967296L"))
-
-    sums = keyed.groupBy(src, rng).agg(F.sum(size).alias("chars"))
-    before = Window.partitionBy(src).orderBy(rng).rowsBetween(Window.unboundedPreceding, -1)
-    floors = materialize(sums.select(F.col(src).alias("source"), F.col(rng).alias("range"), "chars",
-                                     F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("before")), "mix-ranges")
+    # a source has as many ranges as its rows ask for; the key is uniform, so equal hash ranges
+    # hold about equal parts
+    ranges = materialize(
+        keyed.groupBy(F.col(src).alias(name)).agg(F.ceil(F.count(F.lit(1)) / F.lit(ROWS_PER_RANGE)).cast("long").alias(units)),
+        "mix-ranges")
+    hashed = F.conv(F.substring(F.col(key), 1, 8), 16, 10).cast("long")
+    keyed = keyed.join(ranges, F.col(src) == F.col(name)).withColumn(
+        rng, F.shiftright(hashed * F.col(units), 32)).drop(name, units)
+
+    sums = keyed.groupBy(F.col(src).alias("source"), F.col(rng).alias("range")).agg(F.sum(size).alias("chars"))
+    grid = ranges.select(F.col(name).alias("source"), F.explode(F.sequence(F.lit(0).cast("long"), F.col(units) - 1)).alias("range"))
+    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    floors = materialize(
+        grid.join(sums, ["source", "range"], "left").withColumn("chars", F.coalesce("chars", F.lit(0).cast("long")))
+        .withColumn("before", F.coalesce(F.sum("chars").over(before), F.lit(0))), "mix-floors")
     plan = mix_plan(weight_units(floors.groupBy("source").agg(F.sum("chars").alias("size")),
                                  weights, resolution, temperature), block_chars)
-    table = materialize(
-        floors.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("range", "before"))).alias(floor))
-        .join(plan, "source").select(F.col("source").alias(name), F.col("units").alias(units),
-                                     F.col("phases").alias(phases), floor), "mix-plan")
+    starts = floors.groupBy("source").agg(F.transform(  # dense: one start per range
+        F.array_sort(F.collect_list(F.struct("range", "before"))), lambda r: r["before"]).alias(floor))
+    table = materialize(starts.join(plan, "source").select(
+        F.col("source").alias(name), F.col("units").alias(units), F.col("phases").alias(phases), floor), "mix-plan")
 
     in_range = Window.partitionBy(src, rng).orderBy(key, size, F.xxhash64(F.col(text_col).cast("string"))).rowsBetween(
         Window.unboundedPreceding, -1)
     placed = (keyed.withColumn(start, F.coalesce(F.sum(size).over(in_range), F.lit(0)))
               .join(table, F.col(src) == F.col(name))  # broadcast only if the written table is small
-              .withColumn(start, F.col(start) + F.element_at(F.col(floor), F.col(rng)))
+              .withColumn(start, F.col(start) + F.get(F.col(floor), F.col(rng).cast("int")))
               .withColumn("mix_block", F.floor(F.col(start) / F.lit(block_chars)).cast("long"))
               .withColumn(period, F.floor(F.col("mix_block") / F.col(units)).cast("long"))
               .withColumn(phase, F.filter(F.col(phases), lambda p: p["end"] > F.col(period))[0]))

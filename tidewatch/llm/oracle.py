@@ -32,7 +32,7 @@ FROM v LEFT JOIN deg ON v.r = deg.ra LEFT JOIN low ON v.vec_id = low.a
 MIX_SQL = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(source, '') AS s, coalesce(length(text), 0) + 1 AS size,
-         md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+         md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS k FROM documents),
 p AS (
   SELECT *, coalesce(sum(size) OVER (PARTITION BY s ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
          ::BIGINT AS start FROM d),
