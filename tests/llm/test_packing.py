@@ -57,7 +57,7 @@ def test_awkward_rows(spark, encoder):
 
 def test_sequences_hold_the_ids(spark, encoder):
     docs = spark.createDataFrame([(1, "hello world"), (2, "foo"), (3, None)], "doc_id long, text string")
-    packed = P.pack_documents(docs, with_ids=True, carry=("text",)) if False else P.pack_documents(docs, with_ids=True)
+    packed = P.pack_documents(docs, with_ids=True)
     (row,) = P.sequences(packed).collect()
     parts = [encoder.encode(t, add_special_tokens=False).ids + [0] for t in ("hello world", "foo", "")]
     got = np.frombuffer(row.ids, dtype="<u4").tolist()
