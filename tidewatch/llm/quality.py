@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.shared import row_bytes
-from tidewatch.llm.text_model import (HASH_BITS, SparseRows, WordCache, fit_logistic, fit_platt, sigmoid,
+from tidewatch.llm.text_model import (HASH_BITS, SparseRows, WordCache, WordIndex, fit_logistic, fit_platt, sigmoid,
                                       word_features)
 
 WINDOW = 8
@@ -45,30 +45,29 @@ class QualityModel:
         return float(sigmoid(self.slope * (mean_score + self.bias) + self.shift))
 
 
-def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
-    """Words inside windows of ``window`` words that the list holds more than once."""
-    n = len(words) - window + 1
+def repeated_words(code: np.ndarray, window: int = WINDOW) -> int:
+    """Words inside windows of ``window`` words that the text (as word numbers) holds more
+    than once.  All pairs of neighbours in such a window repeat as well, which leaves few
+    windows to compare in full."""
+    n = len(code) - window + 1
     if n < 2:
         return 0
-    ids: dict[bytes, int] = {}
-    code = np.fromiter((ids.setdefault(w, len(ids)) for w in words), dtype=np.int64, count=len(words))
-    if len(ids) == len(words):
+    _, pair, counts = np.unique(code[:-1] * (int(code.max()) + 1) + code[1:], return_inverse=True, return_counts=True)
+    again = counts[pair] > 1
+    offsets = sorted({*range(0, window - 1, 2), window - 2})
+    at = np.flatnonzero(np.logical_and.reduce([again[o:o + n] for o in offsets]))
+    if len(at) < 2:
         return 0
-    width = 1
-    while width < window:  # a run of words is one exact number: pairs of half runs, renumbered
-        step = min(width, window - width)
-        pair = code[:len(code) - step] * (int(code.max()) + 1) + code[step:]
-        _, code = np.unique(pair, return_inverse=True)
-        width += step
-    again = np.bincount(code)[code] > 1
-    edges = np.zeros(len(words) + 1, dtype=np.int64)
-    at = np.flatnonzero(again)
+    _, same, counts = np.unique(np.stack([pair[at + o] for o in offsets], axis=1), axis=0,
+                                return_inverse=True, return_counts=True)
+    at = at[counts[same.ravel()] > 1]
+    edges = np.zeros(len(code) + 1, dtype=np.int64)
     np.add.at(edges, at, 1)
     np.add.at(edges, at + window, -1)
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
-def text_counts(text: bytes, words: list[bytes]) -> tuple[int, int, int, int]:
+def text_counts(text: bytes, code: np.ndarray) -> tuple[int, int, int, int]:
     """``(word_chars, n_symbols, n_dup_lines, n_repeat_words)``."""
     chars = len(text.decode("utf-8", "replace")) - (len(text) - len(text.translate(None, WHITE)))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
@@ -78,7 +77,7 @@ def text_counts(text: bytes, words: list[bytes]) -> tuple[int, int, int, int]:
             dup += 1
         elif line and not line.isspace():
             seen.add(line)
-    return chars, symbols, dup, repeated_words(words)
+    return chars, symbols, dup, repeated_words(code)
 
 
 def mean_features(words: list[bytes], cache: WordCache) -> tuple[np.ndarray, np.ndarray]:
@@ -86,8 +85,6 @@ def mean_features(words: list[bytes], cache: WordCache) -> tuple[np.ndarray, np.
     if not words:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
     counts = Counter(words)
-    total = np.zeros(0, np.int64)
-    weight = np.zeros(0)
     lists = cache.many(counts)
     total = np.concatenate([np.asarray(f, dtype=np.int64) for f in lists])
     weight = np.repeat(np.fromiter(counts.values(), dtype=np.float64), [len(f) for f in lists])
@@ -157,26 +154,23 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
     out_schema = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                   "n_repeat_words long, probability double, base_failed boolean, kept boolean")
 
-    def judge(text: bytes, cache: WordCache) -> tuple:
-        words = text.split()
-        n = len(words)
-        chars, symbols, dup, repeat = text_counts(text, words)
-        mean = sum(cache.many(words)) / n if n and weights_known else 0.0
-        p = head.probability(mean)
+    def judge(text: bytes, index: WordIndex) -> tuple:
+        code = index.numbers(text.split())
+        n = len(code)
+        chars, symbols, dup, repeat = text_counts(text, code)
+        p = head.probability(float(index.values[code].mean()) if n else 0.0)
         failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * n
         return n, chars, symbols, dup, repeat, p, failed, not failed and p >= min_keep
 
-    weights_known = weights is not None
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shipped.value
-        cache = WordCache(lambda w: sum([table[f] for f in word_features(w, NGRAMS)]))
+        index = WordIndex(lambda w: sum([table[f] for f in word_features(w, NGRAMS)]) if table else 0.0)
         for batch in batches:
             if carry:
-                keep = [judge(t, cache)[-1] for t in row_bytes(batch, text_col)]
+                keep = [judge(t, index)[-1] for t in row_bytes(batch, text_col)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
                 continue
-            rows = [judge(t, cache) for t in row_bytes(batch, "text")]
+            rows = [judge(t, index) for t in row_bytes(batch, "text")]
             cols = list(zip(*rows)) if rows else [[] for _ in range(8)]
             kinds = [pa.int64()] * 5 + [pa.float64(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(

@@ -40,6 +40,32 @@ class WordCache:
         return out
 
 
+class WordIndex:
+    """Numbers words as they come, with one value per word; bounded like the cache, so numbers
+    hold within a text, not across texts."""
+
+    def __init__(self, make: Callable[[bytes], float], limit: int = CACHE_WORDS):
+        self.make, self.limit = make, limit
+        self.ids: dict[bytes, int] = {}
+        self.values = np.zeros(1024)
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        ids = self.ids
+        if len(ids) > self.limit:
+            ids.clear()
+        get = ids.get
+        codes = np.array([get(w, -1) for w in words], dtype=np.int64)
+        for i in np.flatnonzero(codes < 0).tolist():
+            word = words[i]
+            number = ids.setdefault(word, len(ids))
+            if number == len(ids) - 1:  # new, or met again at once: the value is the same
+                if number >= len(self.values):
+                    self.values = np.concatenate([self.values, np.zeros(len(self.values))])
+                self.values[number] = self.make(word)
+            codes[i] = number
+        return codes
+
+
 class SparseRows:
     """Rows of a sparse matrix, with the two products that gradient descent needs."""
 
