@@ -1445,3 +1445,33 @@ def q_fts_tokenize(spark, sf):
     t = FTS.with_tokens(search_docs(spark, sf))
     return t.select("link", F.size("tt").cast("bigint").alias("title_tokens"),
                     F.size("bt").cast("bigint").alias("body_tokens"), "dl")
+
+
+# the stored dictionary: words of at least four letters of the benchmark table, one entity per
+# word length
+KEYWORD_LETTERS = 4
+
+
+def benchmark_dictionary(spark, sf):
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("k")
+    rows = (B.read_table(spark, sf, "benchmark").select(words).filter(F.length("k") >= KEYWORD_LETTERS)
+            .distinct().orderBy("k").collect())  # a dictionary is small by nature
+    by_length: dict[int, list[str]] = {}
+    for r in rows:
+        by_length.setdefault(len(r["k"]), []).append(r["k"])
+    return entities_from_pairs([(f"letters{n}", ks) for n, ks in sorted(by_length.items())])
+
+
+@register("entity_match_dictionary", f"""WITH {A},
+kw AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS k FROM benchmark),
+w AS (SELECT link, unnest(list_distinct(regexp_extract_all(lower(coalesce(title, '') || chr(10) || coalesce(summary, '')),
+             '[\\p{{L}}\\p{{N}}_]+'))) AS k FROM articles),
+m AS (SELECT w.link, w.k FROM w JOIN kw ON w.k = kw.k WHERE length(kw.k) >= {KEYWORD_LETTERS})
+SELECT a.link, CAST(count(m.k) AS BIGINT) AS n_keywords, CAST(count(DISTINCT length(m.k)) AS BIGINT) AS n_entities
+FROM articles a LEFT JOIN m ON a.link = m.link GROUP BY a.link""")
+def q_entity_match_dictionary(spark, sf):
+    """Matches of every article with a stored dictionary of over a thousand keywords."""
+    m = ent.entity_match(B.document_articles(spark, sf), benchmark_dictionary(spark, sf))
+    sizes = F.transform(F.map_values("matched_entities"), lambda v: F.size(v))
+    return m.select("link", F.aggregate(sizes, F.lit(0).cast("long"), lambda a, n: a + n).alias("n_keywords"),
+                    F.size("matched_entities").cast("long").alias("n_entities"))
