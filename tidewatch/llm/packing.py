@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.shared import fresh_name, materialize, row_bytes, spread_key
-from tidewatch.llm.text_model import WordCache
 
 CAPACITY = 2048
 END_ID = 0
@@ -41,20 +40,84 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def word_packer(path: str):
-    """Function from words without ASCII white space to their packed little-endian ids.
+PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+KNOWN_WORDS = 400_000    # words remembered per worker before the memory restarts
+GROUP_BYTES = 4 << 20    # texts whose new words are encoded together
+JOINED_WORDS = 200       # new words per call of the tokenizer
 
-    The vocabulary drops white space and never merges across it, so a text's ids are those
-    of its words in a row; each distinct word is encoded once per worker and cache life.
-    """
-    import os
 
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+class WordIds:
+    """Packed little-endian ids of texts, each distinct word encoded once per worker and memory.
+
+    The vocabulary drops white space and merges nothing across it, so a text's ids are those
+    of its words in a row.  Neither does it merge letters or digits with a run of punctuation
+    after them, nor tell ASCII capitals from small letters, so words share their parts.  New
+    parts of letters only are one unit each and are encoded many to a call: the units end
+    where an id with the word-end mark stands.  Should their number differ, or for any other
+    part, the part is encoded by itself.
+    """
 
-    encoder = Tokenizer.from_file(path)
-    return WordCache(lambda w: np.array(
-        encoder.encode(w.decode("utf-8"), add_special_tokens=False).ids, dtype="<u4").tobytes())
+    def __init__(self, path: str):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.encoder = Tokenizer.from_file(path)
+        mark = self.encoder.model.end_of_word_suffix
+        vocabulary = self.encoder.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if mark:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {b"": b""}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.encoder.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    @staticmethod
+    def _split(word: bytes) -> tuple[bytes, bytes]:
+        if b"<|" in word:  # may be a special token, whose spelling counts
+            return word, b""
+        body = word.rstrip(PUNCTUATION)
+        if body and body.decode("utf-8")[-1].lower()[-1].isalnum():
+            return body.lower(), word[len(body):]
+        return word.lower(), b""
+
+    def _learn(self, missing: set[bytes]) -> None:
+        split = {w: self._split(w) for w in missing}
+        new = sorted({p for pair in split.values() for p in pair if p not in self.parts})
+        letters = [p for p in new if p.decode("utf-8").isalpha()]
+        for lo in range(0, len(letters), JOINED_WORDS):
+            chunk = letters[lo:lo + JOINED_WORDS]
+            ids = self._ids(b" ".join(chunk).decode("utf-8"))
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(chunk) and ends[-1] == len(ids):
+                for part, start, end in zip(chunk, np.r_[0, ends[:-1]].tolist(), ends.tolist()):
+                    self.parts[part] = ids[start:end].tobytes()
+        for part in new:
+            if part not in self.parts:
+                self.parts[part] = self._ids(part.decode("utf-8")).tobytes()
+        for word, (body, tail) in split.items():
+            self.words[word] = self.parts[body] + self.parts[tail]
+
+    def pack(self, texts: Iterator[bytes]) -> Iterator[bytes]:
+        group, size = [], 0
+        for text in texts:
+            group.append(text.split())
+            size += len(text)
+            if size >= GROUP_BYTES:
+                yield from self._pack_group(group)
+                group, size = [], 0
+        yield from self._pack_group(group)
+
+    def _pack_group(self, group: list[list[bytes]]) -> Iterator[bytes]:
+        if len(self.words) > KNOWN_WORDS or len(self.parts) > KNOWN_WORDS:
+            self.words, self.parts = {}, {b"": b""}
+        known = self.words
+        self._learn({w for words in group for w in words if w not in known})
+        for words in group:
+            yield b"".join([known[w] for w in words])
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
@@ -68,11 +131,11 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = ["doc_id", *carry, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_packer(path)
+        word_ids = WordIds(path)
         for batch in batches:
             at, rows, ids = [], [], []
-            for i, text in enumerate(row_bytes(batch, "text")):
-                packed = b"".join(cache.many(text.split())) + end
+            for i, packed in enumerate(word_ids.pack(row_bytes(batch, "text"))):
+                packed += end
                 for piece, lo in enumerate(range(0, len(packed), step)):
                     part = packed[lo:lo + step]
                     at.append(i)
