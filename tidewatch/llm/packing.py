@@ -41,7 +41,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
-KNOWN_WORDS = 400_000    # words remembered per worker before the memory restarts
+KNOWN_WORDS = 200_000    # words remembered per worker before the memory restarts
 GROUP_BYTES = 4 << 20    # texts whose new words are encoded together
 JOINED_WORDS = 200       # new words per call of the tokenizer
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 HASH_BITS = 18
-CACHE_WORDS = 400_000  # distinct words remembered per Python worker before the cache restarts
+CACHE_WORDS = 200_000  # distinct words remembered per Python worker before the cache restarts
 
 
 def word_features(word: bytes, sizes: tuple[int, ...], bits: int = HASH_BITS) -> list[int]:
