@@ -15,6 +15,8 @@ a third of all pieces is ranked by many tasks.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -40,10 +42,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
-KNOWN_WORDS = 200_000    # words remembered per worker before the memory restarts
+#: punctuation between an ASCII letter or digit and white space or the end
+TAIL = re.compile(rb"([0-9A-Za-z])([!-/:-@\[-`{-~]+)(?=[ \t-\r]|\Z)")
+KNOWN_WORDS = 300_000    # words remembered per worker before the memory restarts
 GROUP_BYTES = 4 << 20    # texts whose new words are encoded together
-JOINED_WORDS = 200       # new words per call of the tokenizer
+JOINED_WORDS = 200       # new words that one string for the tokenizer holds
 
 
 class WordIds:
@@ -51,15 +54,13 @@ class WordIds:
 
     The vocabulary drops white space and merges nothing across it, so a text's ids are those
     of its words in a row.  Neither does it merge letters or digits with a run of punctuation
-    after them, nor tell ASCII capitals from small letters, so words share their parts.  New
-    parts of letters only are one unit each and are encoded many to a call: the units end
-    where an id with the word-end mark stands.  Should their number differ, or for any other
-    part, the part is encoded by itself.
+    after them, nor tell ASCII capitals from small letters, so a space before such a run and
+    small letters change no id and leave fewer words.  New words of letters only are one unit
+    each and are encoded many to a string: the units end where an id with the word-end mark
+    stands.  Should their number differ, and for all other words, a word is encoded by itself.
     """
 
     def __init__(self, path: str):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -69,42 +70,36 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         if mark:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {b"": b""}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.encoder.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        self.known: dict[bytes, bytes] = {}
 
     @staticmethod
-    def _split(word: bytes) -> tuple[bytes, bytes]:
-        if b"<|" in word:  # may be a special token, whose spelling counts
-            return word, b""
-        body = word.rstrip(PUNCTUATION)
-        if body and body.decode("utf-8")[-1].lower()[-1].isalnum():
-            return body.lower(), word[len(body):]
-        return word.lower(), b""
+    def words(text: bytes) -> list[bytes]:
+        if b"<|" in text:  # may be a special token, whose spelling counts
+            return text.split()
+        return TAIL.sub(rb"\1 \2", text).lower().split()
+
+    def _encode(self, strings: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.encoder.encode_batch_fast(strings, add_special_tokens=False)]
 
     def _learn(self, missing: set[bytes]) -> None:
-        split = {w: self._split(w) for w in missing}
-        new = sorted({p for pair in split.values() for p in pair if p not in self.parts})
-        letters = [p for p in new if p.decode("utf-8").isalpha()]
-        for lo in range(0, len(letters), JOINED_WORDS):
-            chunk = letters[lo:lo + JOINED_WORDS]
-            ids = self._ids(b" ".join(chunk).decode("utf-8"))
+        texts = {w: w.decode("utf-8") for w in sorted(missing)}
+        letters = [w for w, t in texts.items() if t.isalpha()]
+        chunks = [letters[lo:lo + JOINED_WORDS] for lo in range(0, len(letters), JOINED_WORDS)]
+        for chunk, ids in zip(chunks, self._encode([" ".join([texts[w] for w in c]) for c in chunks])):
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(chunk) and ends[-1] == len(ids):
-                for part, start, end in zip(chunk, np.r_[0, ends[:-1]].tolist(), ends.tolist()):
-                    self.parts[part] = ids[start:end].tobytes()
-        for part in new:
-            if part not in self.parts:
-                self.parts[part] = self._ids(part.decode("utf-8")).tobytes()
-        for word, (body, tail) in split.items():
-            self.words[word] = self.parts[body] + self.parts[tail]
+                packed, start = ids.tobytes(), 0
+                for word, end in zip(chunk, (4 * ends).tolist()):
+                    self.known[word] = packed[start:end]
+                    start = end
+        rest = [w for w in texts if w not in self.known]
+        for word, ids in zip(rest, self._encode([texts[w] for w in rest])):
+            self.known[word] = ids.tobytes()
 
     def pack(self, texts: Iterator[bytes]) -> Iterator[bytes]:
         group, size = [], 0
         for text in texts:
-            group.append(text.split())
+            group.append(self.words(text))
             size += len(text)
             if size >= GROUP_BYTES:
                 yield from self._pack_group(group)
@@ -112,10 +107,10 @@ class WordIds:
         yield from self._pack_group(group)
 
     def _pack_group(self, group: list[list[bytes]]) -> Iterator[bytes]:
-        if len(self.words) > KNOWN_WORDS or len(self.parts) > KNOWN_WORDS:
-            self.words, self.parts = {}, {b"": b""}
-        known = self.words
-        self._learn({w for words in group for w in words if w not in known})
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        self._learn(set().union(*group) - self.known.keys())
+        known = self.known
         for words in group:
             yield b"".join([known[w] for w in words])
 
