@@ -45,11 +45,12 @@ def test_groups_equal_brute_force(spark, vectors, monkeypatch):
     assert got == sorted(brute(vectors), key=str)
 
 
-def test_cells_lose_no_pair_whatever_their_number(spark, vectors):
+def test_cells_lose_no_pair_whatever_their_number(spark, vectors, monkeypatch):
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
     expect = sorted(brute(vectors), key=str)
     for cells in (1, 40):
-        got = E.embedding_groups(df, max_cells=cells, sample=320)
+        monkeypatch.setattr(E, "choose_cells", lambda *_, k=cells: k)
+        got = E.embedding_groups(df, sample=320)
         assert sorted(map(tuple, got.collect()), key=str) == expect
 
 
@@ -67,3 +68,11 @@ def test_a_repeated_id_shares_its_component(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = sorted(map(tuple, E.embedding_groups(df).collect()))
     assert got == [(1, 1, 1, True), (2, 0, 2, True), (2, 1, 1, False)] or [r[1] for r in got] == [1, 0, 1]
+
+
+def test_the_number_of_cells_follows_clusters_and_size():
+    rng = np.random.default_rng(8)
+    centers = E.unit_rows(rng.normal(size=(16, 32)))
+    x = E.unit_rows(centers[rng.integers(16, size=3000)] + rng.normal(size=(3000, 32)) * 0.02)
+    assert 8 <= E.choose_cells(x, 200_000, 0.95, 1024) <= 64
+    assert E.choose_cells(x[:10], 10, 0.95, 1024) <= 2

@@ -1,8 +1,9 @@
 """Embedding near-dedup: spherical k-means cells, blocked cosine products, one row per group.
 
 1. Equal vectors collapse to one node with a count, so copies never meet as pairs.
-2. Spherical k-means, fitted to a bounded sample, gives the cells; every node has its nearest
-   centroid as home.  Cells lose no pair: for a node x with home h, a vector within the angle
+2. Spherical k-means, fitted to a bounded sample, gives the cells; their number is the one with
+   the least estimated work (cosines and rows sent).  Every node has its nearest centroid as
+   home.  Cells lose no pair: for a node x with home h, a vector within the angle
    ``a`` (cos a = min_cosine) can have another home c only if
        x.h - x.c <= tan(a) * sqrt(|c - h|^2 - (x.(c - h))^2),
    so x is sent as a guest to each such cell (only to cells before its home: each pair of
@@ -30,6 +31,9 @@ MIN_COSINE = 0.95
 SAMPLE = 8192        # vectors that the cells are fitted to, at most
 MAX_CELLS = 1024     # cells; their size, not their number, grows beyond
 ROUNDS = 10
+TRIAL_ROWS = 2048    # sample rows on which numbers of cells are compared (not those of the fit)
+TRIAL_ROUNDS = 4
+PAIR_COST, ROW_COST = 2.5e-10, 7e-6  # seconds per component product and per row sent, about
 BLOCK_ROWS = 4096
 PROBE_ROWS = 1024
 SLACK = 1e-9         # for rounding in the guest bound
@@ -64,25 +68,52 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 7)
     return centroids
 
 
+def homes_and_guests(x: np.ndarray, c: np.ndarray, min_cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Home cell of each unit row, and whether it is a guest of each cell before its home."""
+    s = x @ c.T
+    home = s.argmax(axis=1)
+    near = s[np.arange(len(x)), home][:, None] - s
+    apart = 2 - 2 * (c @ c.T)[home]
+    tangent = np.sqrt(1 - min_cosine ** 2) / min_cosine
+    bound = tangent * np.sqrt(np.maximum(apart - near * near, 0)) + SLACK
+    return home, (near <= bound) & (np.arange(len(c))[None, :] < home[:, None])
+
+
+def estimated_seconds(x: np.ndarray, c: np.ndarray, min_cosine: float, total: int) -> float:
+    """Work for ``total`` vectors that are spread over the cells as the rows of ``x`` are."""
+    home, guest = homes_and_guests(x, c, min_cosine)
+    own = np.bincount(home, minlength=len(c)) / len(x)
+    visits = guest.sum(axis=0) / len(x)
+    blocks = np.ceil(total * own / BLOCK_ROWS)
+    pairs = total * total * float((own * own / 2 + visits * own).sum())
+    rows = total * (1 + float(((own / 2 + visits) * blocks).sum()))
+    return pairs * x.shape[1] * PAIR_COST + rows * ROW_COST
+
+
+def choose_cells(x: np.ndarray, total: int, min_cosine: float, max_cells: int) -> int:
+    """The number of cells, a power of two from 8 to ``max_cells``, with the least estimated work."""
+    trial = x[:min(TRIAL_ROWS, len(x) // 2)]
+    fit = x[len(trial):]
+    if not len(trial):
+        return 1
+    most = max(1, min(max_cells, len(fit) // 8))
+    sizes = [k for k in (1 << i for i in range(3, 32)) if k <= most] or [most]
+    cost = {k: estimated_seconds(trial, spherical_kmeans(fit, k, TRIAL_ROUNDS), min_cosine, total) for k in sizes}
+    return min(cost, key=lambda k: (cost[k], k))
+
+
 def assign_cells(nodes: DataFrame, centroids: np.ndarray, min_cosine: float) -> DataFrame:
     """One row per node and cell it belongs to: ``cell, guest, rep, h, n, packed``."""
     shipped = nodes.sparkSession.sparkContext.broadcast(centroids)  # MAX_CELLS rows at most
-    tangent = float(np.sqrt(1 - min_cosine ** 2) / min_cosine)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = shipped.value
-        gram = c @ c.T
         for batch in batches:
             for lo in range(0, batch.num_rows, 2048):
                 part = batch.slice(lo, 2048)
                 raw = _matrix(part.column("vec"), c.shape[1])
                 x = unit_rows(raw.astype(np.float64))
-                s = x @ c.T
-                home = s.argmax(axis=1)
-                near = s[np.arange(len(x)), home][:, None] - s
-                apart = 2 - 2 * gram[home]
-                bound = tangent * np.sqrt(np.maximum(apart - near * near, 0)) + SLACK
-                guest = (near <= bound) & (np.arange(len(c))[None, :] < home[:, None])
+                home, guest = homes_and_guests(x, c, min_cosine)
                 rows, cells = np.nonzero(guest)
                 at = np.r_[np.arange(len(x)), rows]
                 packed = pa.array([raw[i].tobytes() for i in range(len(raw))], pa.binary())
@@ -227,7 +258,7 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str =
     total = nodes.count()
     picked = nodes.orderBy("h", "rep").limit(sample).select("vec").toArrow()  # bounded sample for the cells
     x = unit_rows(_matrix(picked.column("vec").combine_chunks(), dim).astype(np.float64))
-    cells = max(1, min(max_cells, int(round(total ** 0.5)), len(x) // 8))
+    cells = choose_cells(x, total, min_cosine, max_cells)
     members = materialize(assign_cells(nodes, spherical_kmeans(x, cells), min_cosine), "cells")
     sizes = dict(members.where("not guest").groupBy("cell").count().collect())  # one row per cell
     found = materialize(block_links(members, sizes, min_cosine, single), "vector-links")
