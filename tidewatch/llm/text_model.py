@@ -8,16 +8,24 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 HASH_BITS = 18
-CACHE_WORDS = 200_000  # distinct words remembered per Python worker before the cache restarts
+CACHE_WORDS = 400_000  # distinct words remembered per Python worker before the cache restarts
+
+
+WORD_SEED, GRAM_SEED = zlib.crc32(b"w"), zlib.crc32(b"c")
 
 
 def word_features(word: bytes, sizes: tuple[int, ...], bits: int = HASH_BITS) -> list[int]:
     """Hashes of the word and of its character n-grams (word ends marked)."""
-    mask = (1 << bits) - 1
-    marked = f"\x02{word.decode('utf-8', 'replace')}\x03"
-    out = [zlib.crc32(b"w" + word) & mask]
-    for n in sizes:
-        out += [zlib.crc32(b"c" + marked[i:i + n].encode()) & mask for i in range(len(marked) - n + 1)]
+    mask, crc = (1 << bits) - 1, zlib.crc32
+    out = [crc(word, WORD_SEED) & mask]
+    if word.isascii():
+        marked = b"\x02" + word + b"\x03"
+        for n in sizes:
+            out += [crc(marked[i:i + n], GRAM_SEED) & mask for i in range(len(marked) - n + 1)]
+    else:  # n-grams of characters, not of bytes
+        text = f"\x02{word.decode('utf-8', 'replace')}\x03"
+        for n in sizes:
+            out += [crc(text[i:i + n].encode(), GRAM_SEED) & mask for i in range(len(text) - n + 1)]
     return out
 
 
