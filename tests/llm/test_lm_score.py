@@ -99,3 +99,9 @@ def test_empty_and_all_held_out(spark):
     only = next(i for i in range(100) if held(i))
     (row,) = L.lm_scores(spark.createDataFrame([(only, "a b")], "doc_id long, text string")).collect()
     assert shown(row) == (only, True, 3, 0, 0, 0.0) and row.score < 0
+
+
+def test_model_size_and_step_are_not_cut_to_fit_a_budget():
+    model = L.Model.start(corpus())
+    assert model.r.shape[1] == model.q.shape[1] == model.u.shape[1] == 24
+    assert L.BATCH_TOKENS == 8192

@@ -32,12 +32,12 @@ from tidewatch.llm.shared import materialize, row_bytes
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 CLASSES, MEMBERS = 64, 64
-DIM = 16
+DIM = 24
 CONTEXT = 2
 KNOWN_WORDS = 200_000      # most frequent words whose counts travel to the tasks
 END, OTHER, FIRST_WORD = 0, 1, 2
 CLASS_NOISE, MEMBER_NOISE = 16, 4
-BATCH_TOKENS = 16384       # per training step
+BATCH_TOKENS = 8192        # per training step
 SCORE_TOKENS = 32768       # per scoring batch
 RATE = 0.08
 CHUNK = 1024               # parameters per row when tasks hand them over
