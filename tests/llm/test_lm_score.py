@@ -105,3 +105,19 @@ def test_model_size_and_step_are_not_cut_to_fit_a_budget():
     model = L.Model.start(corpus())
     assert model.r.shape[1] == model.q.shape[1] == model.u.shape[1] == 24
     assert L.BATCH_TOKENS == 8192
+
+
+def test_outputs_grow_with_the_distinct_words(spark):
+    rows = [(i, " ".join(f"w{j}" for j in range(i * 50, i * 50 + 50)) + " the of") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = L.word_counts(docs.select("text"))
+    c = L.gather(counts, len(rows))
+    assert c.side > 64 and c.modelled == c.side ** 2 - L.FIRST_WORD > 10_000
+    assert L.side_of(10 ** 8) > 2 * L.side_of(10 ** 6)
+    model = L.train(docs.select("text"), c)
+    start = L.Model.start(c)
+    assert model.r.shape[0] == c.side ** 2 + 1 and np.isfinite(model.flat).all()
+    assert (model.q[4096:] != start.q[4096:]).any()
+    every = np.arange(c.side ** 2)
+    context = np.tile(np.array([[5, c.side ** 2]]), (len(every), 1))
+    assert abs((10 ** model.log10_probs(context, every)).sum() - 1) < 1e-3

@@ -1,12 +1,14 @@
 """LM scoring with a log-bilinear neural model trained by noise-contrastive estimation.
 
 Counts.  All tokens of all training rows are counted (per task first, then by word).  The
-most frequent words, a bounded number, travel to the tasks with their counts; the counts of
+most frequent words (``KNOWN_WORDS`` and one for each output that a larger corpus adds) travel
+to the tasks with their counts; the counts of
 all other words stay distributed and meet the texts in a join.  A word that many rows hold is
 thus looked up in the task, and the join keys are rare by construction.
 
 Model.  The most frequent words, the end and one class "other word" are the outputs, in
-``CLASSES`` classes of ``MEMBERS`` by rank.  The vectors of the last two tokens, weighted per
+classes of equal size by rank.  Their number grows with the corpus: a side of 8 V^(1/4) classes of as
+many members for V distinct training words, 64 sqrt(V) outputs, and never under ``CLASSES`` x ``MEMBERS``.  The vectors of the last two tokens, weighted per
 position, add up to the prediction q; P(token) = P(class | q) P(token | class, q), both
 log-bilinear softmaxes, normalised exactly by two small matrix products per batch.  An "other
 word" is then spelled out by its add-one share among the other training words, with one place
@@ -14,11 +16,13 @@ left for all unseen words, so probabilities over all words add up to one.
 
 Training.  The rows are split into one part per ``TOKENS_PER_MODEL`` tokens; a task trains on
 all rows of its part with noise-contrastive estimation (noise from the unigram distributions
-of classes and members); the parameters of all parts are averaged by tokens.
+of classes and members); a part hands over the chunks of parameters it changed, which are
+averaged by tokens, chunk by chunk, in Spark.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.shared import materialize, row_bytes
 
 FOLDS, HELD_OUT_FOLD = 7, 2
-CLASSES, MEMBERS = 64, 64
+CLASSES, MEMBERS = 64, 64  # of a small corpus; see side_of
 DIM = 24
 CONTEXT = 2
 KNOWN_WORDS = 200_000      # most frequent words whose counts travel to the tasks
@@ -88,10 +92,11 @@ class Corpus:
     distinct: int    # V, the end included
     other_tokens: int    # tokens and distinct words outside the model's own
     other_distinct: int
+    side: int = CLASSES  # classes of the model, and members of each
 
     @property
     def modelled(self) -> int:
-        return min(len(self.words), CLASSES * MEMBERS - FIRST_WORD)
+        return min(len(self.words), self.side * self.side - FIRST_WORD)
 
     def base(self, c: np.ndarray | int) -> np.ndarray | float:
         return np.log10((c + 1) / (self.tokens + self.distinct + 1))
@@ -100,25 +105,33 @@ class Corpus:
         return np.log10((c + 1) / (self.other_tokens + self.other_distinct + 1))
 
 
+def side_of(distinct: int) -> int:
+    """Classes, and members of each, for so many distinct training words."""
+    return max(CLASSES, MEMBERS, math.ceil(8 * distinct ** 0.25))
+
+
 def gather(counts: DataFrame, rows: int) -> Corpus:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(KNOWN_WORDS).toArrow()
+    side = side_of(distinct)
+    top = counts.orderBy(F.desc("c"), "word").limit(KNOWN_WORDS + side * side - CLASSES * MEMBERS).toArrow()
     c = top.column("c").to_numpy().astype(np.int64)
-    own = min(len(c), CLASSES * MEMBERS - FIRST_WORD)
+    own = min(len(c), side * side - FIRST_WORD)
     return Corpus(top.column("word").to_pylist(), c, rows, total + rows, distinct + (rows > 0),
-                  int(total - c[:own].sum()), int(distinct - own))
+                  int(total - c[:own].sum()), int(distinct - own), side)
 
 
 class Model:
     """Parameters in one flat vector; ``r`` input vectors, ``p`` position weights, ``u``/``ub``
     class vectors and biases, ``q``/``qb`` token vectors and biases."""
 
-    SHAPES = {"r": (CLASSES * MEMBERS + 1, DIM), "p": (CONTEXT, DIM), "u": (CLASSES, DIM), "ub": (CLASSES,),
-              "q": (CLASSES * MEMBERS, DIM), "qb": (CLASSES * MEMBERS,)}
+    @staticmethod
+    def shapes(side: int) -> dict[str, tuple[int, ...]]:
+        return {"r": (side * side + 1, DIM), "p": (CONTEXT, DIM), "u": (side, DIM), "ub": (side,),
+                "q": (side * side, DIM), "qb": (side * side,)}
 
-    def __init__(self, flat: np.ndarray):
-        self.flat, at = flat, 0
-        for name, shape in self.SHAPES.items():
+    def __init__(self, flat: np.ndarray, side: int = CLASSES):
+        self.flat, self.side, at = flat, side, 0
+        for name, shape in self.shapes(side).items():
             size = int(np.prod(shape))
             setattr(self, name, flat[at:at + size].reshape(shape))
             at += size
@@ -126,11 +139,12 @@ class Model:
     @classmethod
     def start(cls, corpus: Corpus) -> Model:
         """Biases are the unigram model; input vectors are small and random."""
-        model = cls(np.zeros(sum(int(np.prod(s)) for s in cls.SHAPES.values()), np.float32))
+        side = corpus.side
+        model = cls(np.zeros(sum(int(np.prod(s)) for s in cls.shapes(side).values()), np.float32), side)
         model.r[:] = np.random.default_rng(11).normal(0, 0.3, model.r.shape)
         model.p[:] = 1.0
         unigram = cls.unigram(corpus)
-        by_class = unigram.reshape(CLASSES, MEMBERS)
+        by_class = unigram.reshape(side, side)
         mass = by_class.sum(axis=1)
         model.ub[:] = np.log(np.maximum(mass / mass.sum(), 1e-30))
         model.qb[:] = np.log(np.maximum(by_class / np.maximum(mass, 1e-30)[:, None], 1e-30)).ravel()
@@ -139,7 +153,7 @@ class Model:
     @staticmethod
     def unigram(corpus: Corpus) -> np.ndarray:
         """Counts of the outputs; places without a word count nothing."""
-        c = np.zeros(CLASSES * MEMBERS)
+        c = np.zeros(corpus.side * corpus.side)
         c[END] = max(corpus.rows, 1)
         c[OTHER] = corpus.other_tokens + corpus.other_distinct + 1
         c[FIRST_WORD:FIRST_WORD + corpus.modelled] = corpus.counts[:corpus.modelled]
@@ -152,15 +166,16 @@ class Model:
         return q
 
     def log10_probs(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-        q = self.predict(context)
-        out = _log_softmax_pick(q @ self.u.T + self.ub, token // MEMBERS)
-        order = np.argsort(token // MEMBERS, kind="stable")
-        edges = np.searchsorted((token // MEMBERS)[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
+        q, side = self.predict(context), self.side
+        klass, member = token // side, token % side
+        out = _log_softmax_pick(q @ self.u.T + self.ub, klass)
+        order = np.argsort(klass, kind="stable")
+        edges = np.searchsorted(klass[order], np.arange(side + 1))
+        for k in range(side):
             rows = order[edges[k]:edges[k + 1]]
             if len(rows):
-                own = slice(k * MEMBERS, (k + 1) * MEMBERS)
-                out[rows] += _log_softmax_pick(q[rows] @ self.q[own].T + self.qb[own], token[rows] % MEMBERS)
+                own = slice(k * side, (k + 1) * side)
+                out[rows] += _log_softmax_pick(q[rows] @ self.q[own].T + self.qb[own], member[rows])
         return out.astype(np.float64) / np.log(10)
 
 
@@ -171,9 +186,9 @@ def _log_softmax_pick(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
     return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
-def contexts(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def contexts(tokens: np.ndarray, starts: np.ndarray, side: int = CLASSES) -> np.ndarray:
     """The CONTEXT tokens before each token; before a text's start stands a mark of its own."""
-    mark = CLASSES * MEMBERS
+    mark = side * side
     first = np.repeat(starts, np.diff(np.r_[starts, len(tokens)]))
     at = np.arange(len(tokens))
     out = np.empty((len(tokens), CONTEXT), np.int64)
@@ -189,13 +204,14 @@ class Trainer:
     def __init__(self, model: Model, unigram: np.ndarray):
         self.model, self.tokens = model, 0
         self.rng = np.random.default_rng(13)
-        self.sums = Model(np.full_like(model.flat, 1e-2))
-        by_class = unigram.reshape(CLASSES, MEMBERS)
+        self.sums = Model(np.full_like(model.flat, 1e-2), model.side)
+        by_class = unigram.reshape(model.side, model.side)
         mass = by_class.sum(axis=1)
         self.class_p = mass / mass.sum()
         safe = np.where(mass[:, None] > 0, by_class, 1.0)
         self.member_p = safe / safe.sum(axis=1, keepdims=True)
         self.member_edges = self.member_p.cumsum(axis=1)
+        self.log_p = np.log(MEMBER_NOISE * np.maximum(self.member_p.ravel(), 1e-12))
 
     def _move(self, name: str, rows, grad: np.ndarray) -> None:
         value, seen = getattr(self.model, name), getattr(self.sums, name)
@@ -203,16 +219,16 @@ class Trainer:
         value[rows] -= RATE * grad / np.sqrt(seen[rows])
 
     def step(self, context: np.ndarray, token: np.ndarray) -> None:
-        m, n = self.model, len(token)
+        m, n, side = self.model, len(token), self.model.side
         self.tokens += n
-        order = np.argsort(token // MEMBERS, kind="stable")
+        order = np.argsort(token // side, kind="stable")
         context, token = context[order], token[order]
-        klass = token // MEMBERS
+        klass = token // side
         q = m.predict(context)
         pull = np.zeros_like(q)
 
         # classes: the token's own against noise that the whole step shares
-        noise = self.rng.choice(CLASSES, size=CLASS_NOISE, p=self.class_p)
+        noise = self.rng.choice(side, size=CLASS_NOISE, p=self.class_p)
         shift_noise = np.log(CLASS_NOISE * self.class_p[noise])
         err_own = _sigmoid((q * m.u[klass]).sum(axis=1) + m.ub[klass] - np.log(CLASS_NOISE * self.class_p[klass])) - 1
         err_noise = _sigmoid(q @ m.u[noise].T + m.ub[noise] - shift_noise)
@@ -225,10 +241,10 @@ class Trainer:
         np.add.at(grad_ub, noise, err_noise.sum(axis=0))
 
         # members: the token against noise from its class that the step's tokens of it share
-        draw = self.rng.random((CLASSES, MEMBER_NOISE))
-        local = np.minimum((draw[:, :, None] > self.member_edges[:, None, :]).sum(axis=2), MEMBERS - 1)
-        member_noise = local + np.arange(CLASSES)[:, None] * MEMBERS
-        log_p = np.log(MEMBER_NOISE * np.maximum(self.member_p.ravel(), 1e-12))
+        draw = self.rng.random((side, MEMBER_NOISE))
+        local = np.minimum((draw[:, :, None] > self.member_edges[:, None, :]).sum(axis=2), side - 1)
+        member_noise = local + np.arange(side)[:, None] * side
+        log_p = self.log_p
         err_tok = _sigmoid((q * m.q[token]).sum(axis=1) + m.qb[token] - log_p[token]) - 1
         vec = m.q[member_noise]  # classes x noise x dim
         err_mem = np.empty((n, MEMBER_NOISE), np.float32)
@@ -305,15 +321,16 @@ def train(texts: DataFrame, corpus: Corpus) -> Model:
     if not corpus.tokens:
         return start
     shipped = texts.sparkSession.sparkContext.broadcast((start.flat, Model.unigram(corpus), corpus.words[:corpus.modelled]))
+    side = corpus.side
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, unigram, words = shipped.value
-        trainer, ids = Trainer(Model(flat.copy()), unigram), Ids(len(words))
+        trainer, ids = Trainer(Model(flat.copy(), side), unigram), Ids(len(words))
         known = {w: i for i, w in enumerate(words)}
 
         def learn() -> None:
             tokens, starts = ids.take()
-            context = contexts(tokens, starts)
+            context = contexts(tokens, starts, side)
             for lo in range(0, len(tokens), BATCH_TOKENS):
                 trainer.step(context[lo:lo + BATCH_TOKENS], tokens[lo:lo + BATCH_TOKENS])
 
@@ -325,29 +342,35 @@ def train(texts: DataFrame, corpus: Corpus) -> Model:
         if ids.size:
             learn()
         if trainer.tokens:
-            parts = np.split(trainer.model.flat, range(CHUNK, len(flat), CHUNK))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([float(trainer.tokens)] * len(parts)),
-                 pa.array(parts, pa.list_(pa.float32()))], names=["chunk", "tokens", "part"])
-
+            moved = (trainer.model.flat - flat) * np.float32(trainer.tokens / total)
+            for chunk, lo in enumerate(range(0, len(flat), CHUNK)):
+                part = moved[lo:lo + CHUNK]
+                if part.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([chunk], pa.int32()), pa.array([part], pa.list_(pa.float32()))], names=["chunk", "part"])
+
+    def add_up(table: pa.Table) -> pa.Table:
+        part = sum(np.asarray(v.values, np.float64) for v in table.column("part"))
+        return pa.table({"chunk": table.column("chunk").slice(0, 1), "part": pa.array([part], pa.list_(pa.float64()))})
+
+    total = corpus.tokens  # the tokens of all parts, one end per row included
     parts = -(-corpus.tokens // TOKENS_PER_MODEL)  # joins neighbouring partitions, moves no row
-    mean = (texts.select("text").coalesce(parts).mapInArrow(run, "chunk int, tokens double, part array<float>")
-            .select("chunk", "tokens", F.posexplode("part").alias("at", "value"))
-            .groupBy("chunk", "at").agg((F.sum(F.col("tokens") * F.col("value")) / F.sum("tokens")).alias("value"))
-            .toArrow())  # one row per parameter
+    mean = (texts.select("text").coalesce(parts).mapInArrow(run, "chunk int, part array<float>")
+            .groupBy("chunk").applyInArrow(add_up, "chunk int, part array<double>").toArrow())
     flat = start.flat.copy()
-    flat[mean.column("chunk").to_numpy() * CHUNK + mean.column("at").to_numpy()] = mean.column("value").to_numpy()
-    return Model(flat)
+    for chunk, part in zip(mean.column("chunk").to_pylist(), mean.column("part")):
+        flat[chunk * CHUNK:(chunk + 1) * CHUNK] += np.asarray(part.values)
+    return Model(flat, side)
 
 
 def score_texts(docs: DataFrame, corpus: Corpus, model: Model, counts: DataFrame,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: fold, token numbers, base score and model score."""
-    shipped = docs.sparkSession.sparkContext.broadcast((model.flat, corpus))  # bounded by KNOWN_WORDS
+    shipped = docs.sparkSession.sparkContext.broadcast((model.flat, corpus))  # KNOWN_WORDS and the outputs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, seen = shipped.value
-        own, known = Model(flat), {w: i for i, w in enumerate(seen.words)}
+        own, known = Model(flat, seen.side), {w: i for i, w in enumerate(seen.words)}
         ids, modelled = Ids(seen.modelled), seen.modelled
         base_of, spelled_of = seen.base(seen.counts), seen.spelled(seen.counts)
         base_end, end_known = float(seen.base(seen.rows)), int(seen.rows > 0)
@@ -357,7 +380,7 @@ def score_texts(docs: DataFrame, corpus: Corpus, model: Model, counts: DataFrame
 
             def flush() -> None:
                 tokens, starts = ids.take()
-                done.append(np.add.reduceat(own.log10_probs(contexts(tokens, starts), tokens), starts))
+                done.append(np.add.reduceat(own.log10_probs(contexts(tokens, starts, seen.side), tokens), starts))
 
             for text in row_bytes(batch, "text"):
                 words = words_of(text)
