@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import license_scan, line_dedup, mixing, warc
+import math
+
+from tidewatch.llm import license_scan, line_dedup, mixing, secret_scan, warc
 
 WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -136,10 +138,62 @@ SELECT page_id, n::BIGINT AS payload_bytes, p.h AS payload_digest,
 FROM p LEFT JOIN f ON p.h = f.h
 """
 
+
+
+def secret_sql() -> str:
+    """Places by running sums over pieces and matches; every window's entropy counted anew."""
+    quoted = [(k, p.replace("'", "''"), g, n) for k, p, g, n in secret_scan.BASE]
+    either = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
+    quoted[0] = ("assign", "(" + either + ")" + quoted[0][1].partition(")")[2], *quoted[0][2:])
+    searches = [(i, k, p, g, n) for i, (k, p, g, n) in enumerate(quoted)]
+    searches += [(len(quoted) + i, c.kind, f"[{c.chars}]{{{c.window},}}", 0, c.window)
+                 for i, c in enumerate(secret_scan.CLASSES)]
+    found = " UNION ALL ".join(f"""
+  SELECT r, {i} AS rank, '{k}' AS kind, {n} AS least, regexp_extract_all(t, '{p}', 0) AS m,
+         regexp_extract_all(t, '{p}', {g}) AS g, regexp_split_to_array(t, '{p}') AS pieces FROM d""" for i, k, p, g, n in searches)
+    stop = " OR ".join([f"regexp_matches(m, '{p}')" for p in secret_scan.ALLOWED]
+                       + [f"regexp_matches(before, '{p.replace(chr(39), chr(39) * 2)}')" for p in secret_scan.ALLOWED_BEFORE])
+    classes = ", ".join(f"({len(quoted) + i}, {c.window}, {c.limit}, {str(c.mixed_case).lower()})"
+                        for i, c in enumerate(secret_scan.CLASSES))
+    widest = max(c.window for c in secret_scan.CLASSES)
+    terms = ", ".join(str(round(c * math.log2(c) * 1_000_000)) for c in range(1, widest + 1))
+    n_kinds = ", ".join(f"count(*) FILTER (WHERE rank = {i})::BIGINT AS n_{k}" for i, (k, *_) in enumerate(quoted))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({found}),
+u AS (SELECT r, rank, kind, least, unnest(range(1, len(m) + 1)) AS i, m AS ms, g AS gs, pieces FROM f WHERE len(m) > 0),
+x AS (SELECT r, rank, kind, least, i, ms[i] AS m, gs[i] AS g, right(pieces[i], {secret_scan.CONTEXT}) AS before,
+             sum(length(pieces[i]) + length(ms[i])) OVER (PARTITION BY r, rank ORDER BY i) AS e FROM u),
+base AS (SELECT r, rank, kind, (e - length(m))::BIGINT AS s, e::BIGINT AS e FROM x WHERE rank < {len(quoted)} AND length(g) >= least),
+cls(rank, w, most, mixed) AS (VALUES {classes}),
+win AS (
+  SELECT r, rank, kind, e - length(m) AS run, w, most, mixed, j AS pos, substr(m, j + 1, w) AS s
+  FROM (SELECT x.*, w, most, mixed, unnest(range(0, length(m) - w + 1)) AS j
+        FROM x JOIN cls USING (rank) WHERE NOT ({stop}))),
+good AS (
+  SELECT * FROM win
+  WHERE regexp_matches(s, '[0-9]') AND CASE WHEN mixed THEN regexp_matches(s, '[A-Z]') AND regexp_matches(s, '[a-z]')
+        ELSE regexp_matches(s, '[A-Za-z]') END
+    AND list_sum(list_transform(map_values(list_histogram(string_split(s, ''))), lambda c: [{terms}][c::INT])) <= most),
+isle AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY r, rank, run ORDER BY pos) AS k FROM (
+    SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY r, rank, run ORDER BY pos) <= w THEN 0 ELSE 1 END AS fresh FROM good)),
+ent AS (SELECT r, rank, kind, (run + min(pos))::BIGINT AS s, (run + max(pos) + max(w))::BIGINT AS e FROM isle GROUP BY r, rank, kind, run, k),
+spans AS (SELECT *, kind || ':' || s || ':' || e AS line FROM (SELECT * FROM base UNION ALL SELECT * FROM ent)),
+per AS (
+  SELECT r, {n_kinds}, coalesce(string_agg(line, ',' ORDER BY s, rank) FILTER (WHERE rank < {len(quoted)}), '') AS b,
+         string_agg(line, ',' ORDER BY s, rank) AS spans FROM spans GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k, *_ in quoted)}, sha256(coalesce(b, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (r)
+"""
+
+
 ORACLE = {
     "op1_embedding_near_dedup": EMBEDDING_SQL,
     "op2_mix_sources": MIX_SQL,
     "op4_line_dedup": LINE_SQL,
     "op5_license_scans": license_sql(),
     "op8_warc": WARC_SQL,
+    "op13_secret_scans": secret_sql(),
 }
