@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from tidewatch.llm import license_scan, line_dedup, mixing, secret_scan, warc
+from tidewatch.llm import license_scan, line_dedup, merkle, mixing, secret_scan, warc
 
 WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -189,11 +189,60 @@ FROM d LEFT JOIN per USING (r)
 """
 
 
+def merkle_sql(levels: int = 8, top_levels: int = 4) -> str:
+    """Trees by level, for up to 8^levels rows a language and 8^top_levels languages."""
+    def enc(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+    def climb(name: str, levels: int) -> str:
+        """Levels over ``name``0(k, i, h, n); ``name``_side has the siblings by level."""
+        steps = [f"""
+{name}{j + 1} AS (SELECT k, i // 8 AS i, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h,
+  (any_value(n) + 7) // 8 AS n FROM {name}{j} GROUP BY k, i // 8)""" for j in range(levels)]
+        sides = " UNION ALL ".join(f"""
+  SELECT {j} AS level, a.k, a.i, any_value(a.n) AS n, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS pre,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS post
+  FROM {name}{j} a JOIN {name}{j} b ON a.k = b.k AND a.i // 8 = b.i // 8 GROUP BY a.k, a.i""" for j in range(levels))
+        return ",".join(steps) + f",\n{name}_side AS ({sides})"
+
+    def fold(start: str, name: str, key: str, at: str, levels: int, into: str) -> str:
+        out, previous = [], start
+        for j in range(levels):
+            out.append(f"""
+{into}{j + 1} AS (SELECT x.*  REPLACE (CASE WHEN s.n = 1 THEN x.f ELSE sha256(s.pre || x.f || s.post) END AS f,
+  x.proof || s.pre || s.post AS proof) FROM {previous} x JOIN {name}_side s ON s.level = {j} AND s.k = x.{key} AND s.i = x.{at} // {8 ** j})""")
+            previous = f"{into}{j + 1}"
+        return ",".join(out)
+
+    fields = " || ".join(enc(c) for c in merkle.FIELDS[:-1])
+    return f"""
+WITH crc_table AS (
+  SELECT list(list_reduce(list_prepend(x, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)
+              ORDER BY x) AS v FROM range(256) t(x)),
+d AS (
+  SELECT *, coalesce('=' || lang, '') AS k, sha256({fields} || {enc('text')}) AS h,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+      lambda c, b: xor(c // 256, v[(xor(c, b) & 255) + 1])), 4294967295) % {merkle.TAMPER_EVERY} = 0 AS tampered
+  FROM documents, crc_table),
+leaf AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY k) AS n,
+    CASE WHEN tampered THEN sha256({fields} || {enc(f"translate(text, '{UPPER}', '{LOWER}')")}) ELSE h END AS claim FROM d),
+a0 AS (SELECT k, i, h, n FROM leaf),{climb('a', levels)},
+b0 AS (SELECT '' AS k, row_number() OVER (ORDER BY encode(k)) - 1 AS i, h, count(*) OVER () AS n, k AS tree FROM a{levels}),{climb('b', top_levels)},
+f0 AS (
+  SELECT doc_id, leaf.h AS leaf, leaf.k, leaf.i, '' AS top, b0.i AS t, b0.h AS subroot, (SELECT h FROM b{top_levels}) AS root,
+    claim AS f, '' AS proof FROM leaf JOIN b0 ON b0.tree = leaf.k),{fold('f0', 'a', 'k', 'i', levels, 'f')},{
+    fold(f'f{levels}', 'b', 'top', 't', top_levels, 'g')}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified FROM g{top_levels}
+"""
+
+
 ORACLE = {
     "op1_embedding_near_dedup": EMBEDDING_SQL,
     "op2_mix_sources": MIX_SQL,
     "op4_line_dedup": LINE_SQL,
     "op5_license_scans": license_sql(),
     "op8_warc": WARC_SQL,
+    "op12_merkle_manifest": merkle_sql(),
     "op13_secret_scans": secret_sql(),
 }
