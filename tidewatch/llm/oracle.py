@@ -9,6 +9,25 @@ from tidewatch.llm import license_scan, line_dedup, merkle, mixing, secret_scan,
 WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+SEARCH_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+             '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+post AS (SELECT r, any_value(n) AS n, t, count(*)::BIGINT AS tf FROM (SELECT r, len(w) AS n, unnest(w) AS t FROM d) GROUP BY r, t),
+df AS (SELECT t, count(*)::BIGINT AS df FROM post GROUP BY t),
+q AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+qt AS (SELECT i, item_id, t, count(*)::BIGINT AS times FROM (SELECT i, item_id, unnest(w) AS t FROM q) GROUP BY i, item_id, t),
+scored AS (
+  SELECT i, item_id, r, sum(times * floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT
+           * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // total))))::BIGINT AS score
+  FROM qt JOIN df USING (t) JOIN post USING (t), s GROUP BY i, item_id, r),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST)::INT AS rank
+  FROM scored JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 EMBEDDING_SQL = """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
@@ -243,6 +262,7 @@ ORACLE = {
     "op4_line_dedup": LINE_SQL,
     "op5_license_scans": license_sql(),
     "op8_warc": WARC_SQL,
+    "op11_ranked_search": SEARCH_SQL,
     "op12_merkle_manifest": merkle_sql(),
     "op13_secret_scans": secret_sql(),
 }

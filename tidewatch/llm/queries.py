@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import (embedding_dedup, license_scan, line_dedup, lm_score, merkle, mixing, packing, quality,
-                           secret_scan, simhash, toxicity, warc)
+                           ranked_search, secret_scan, simhash, toxicity, warc)
 from tidewatch.llm.oracle import ORACLE  # noqa: F401
 from tidewatch.llm.shared import read_docs
 
@@ -57,6 +57,12 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_docs(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    index = ranked_search.build_index(read_docs(spark, sf_dir, "documents"))
+    return ranked_search.search(index, read_docs(spark, sf_dir, "benchmark"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves, roots and witnesses of all documents per language, and their check after tampering."""
     return merkle.verify(merkle.manifest(read_docs(spark, sf_dir, "documents")))
@@ -70,4 +76,4 @@ def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_mix_sources, op3_lm_scoring, op4_line_dedup, op5_license_scans,
     op6_best_fit_packing, op7_quality_rules, op8_warc, op9_toxicity, op10_simhash_near_dedup,
-    op12_merkle_manifest, op13_secret_scans)}
+    op11_ranked_search, op12_merkle_manifest, op13_secret_scans)}
