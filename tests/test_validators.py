@@ -106,3 +106,64 @@ def test_duplicate_pairs_on_real_pages(spark):
     arts = B.page_articles(spark, SF_MID).select("link", "title")
     links = {r["link"] for r in arts.collect()}
     assert all(r["link_a"] in links and r["link_b"] in links for r in SIM.duplicate_pairs(arts).collect())
+
+
+def by_definition(spark, arts):
+    """All pairs of representatives tested one by one, in the fixed argument order."""
+    rows = arts.select("link", TX.normalize_title(F.col("title")).alias("t"), TX.url_netloc(F.col("link")).alias("h"),
+                       TX.url_path(F.col("link")).alias("p")).collect()
+    groups = {}
+    for r in rows:
+        groups[(r["h"], r["p"], r["t"])] = min(r["link"], groups.get((r["h"], r["p"], r["t"]), r["link"]))
+    reps = sorted((t, p, k, h) for (h, p, t), k in groups.items())
+    want = set()
+    for i, (t, p, k, h) in enumerate(reps):
+        for t2, p2, k2, h2 in reps[i + 1:]:
+            if h != h2 or 2 * min(len(t), len(t2)) < 0.85 * (len(t) + len(t2)):
+                continue
+            m = SequenceMatcher(None, t, t2)
+            if m.real_quick_ratio() < 0.85 or m.quick_ratio() < 0.85 or m.ratio() < 0.85:
+                continue
+            if p == p2 or SequenceMatcher(None, p, p2).ratio() >= 0.8:
+                want.add((k, k2, round(m.ratio(), 6)))
+    return want, len(reps)
+
+
+def edited(rng, text, edits):
+    text = list(text)
+    for _ in range(edits):
+        at = rng.randrange(len(text) + 1)
+        if rng.random() < 0.5 and at < len(text):
+            del text[at]
+        else:
+            text.insert(at, rng.choice("abcdefgé 1"))
+    return "".join(text)
+
+
+def test_duplicate_pairs_in_a_hot_host_equal_the_definition(spark):
+    """Titles around the threshold, edited one character at a time, all on one host."""
+    import random
+    rng = random.Random(7)
+    rows = []
+    for i in range(60):
+        base = "".join(rng.choice("abcdefg hijklmno") for _ in range(rng.choice([3, 8, 20, 60, 90])))
+        for j in range(7):
+            rows.append((f"https://hot.example/{edited(rng, 'article/section', j % 3)}#{i}-{j}", edited(rng, base, (j * len(base)) // 30)))
+    arts = spark.createDataFrame(rows + [("https://hot.example/x", ""), ("https://hot.example/x#2", None)],
+                                 "link string, title string")
+    want, n = by_definition(spark, arts)
+    got = {tuple(r) for r in SIM.duplicate_pairs(arts).collect()}
+    assert got == want and len(want) > 200
+    reps = SIM.representatives(arts, "link", "title", "link")
+    assert sorted(map(tuple, SIM.candidate_pairs(reps, block=40).collect())) == sorted(map(tuple, SIM.candidate_pairs(reps).collect()))
+
+
+def test_duplicate_pairs_on_all_pages_of_one_host(spark):
+    """Real titles on one host: results by definition, few unrelated pairs reach the exact ratio."""
+    arts = B.page_articles(spark, SF_MID).select(
+        F.concat(F.lit("https://one.example/a#"), "page_id").alias("link"), "title")
+    want, n = by_definition(spark, arts)
+    got = {tuple(r) for r in SIM.duplicate_pairs(arts).collect()}
+    assert got == want
+    candidates = SIM.candidate_pairs(SIM.representatives(arts, "link", "title", "link")).count()
+    assert len(want) <= candidates <= len(want) + 0.02 * n * (n - 1) / 2
