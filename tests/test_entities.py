@@ -159,3 +159,51 @@ def test_every_mode_gives_the_same_rows(spark):
     def hits(mode):
         return sorted(map(str, map(tuple, ent.entity_hits(df, dictionary, mode=mode).collect())))
     assert hits("inline") == hits("join")
+
+
+def dictionary_of(spark, entities):
+    rows = [(e.name, i, k, j) for i, e in enumerate(entities) for j, k in enumerate(e.keywords)]
+    return ent.dictionary_frame(spark.createDataFrame(rows, "entity string, entity_ord int, keyword string, keyword_ord int"))
+
+
+EDGES = entities_from_pairs([
+    ("Edge", ["c++", ".net", "++", "c#", "-x-", ".", "a."]), ("Script", ["한국", "한국어", "한", "k-뷰티", "x한", "é", "caf é"]),
+    ("Word", ["net", "of the", ""]), ("Script", ["국어"])])
+EDGE_TEXTS = ["c++11 c++ c++x", "asp.net .net x.net.", "a++b ++ a++", "c#x c# xc#y", "k-x-y -x-", "한국어 교실", "K-뷰티 x한",
+              "caf é É", "한" * 50 + "국어", "", "net of the", "a.b a. .a", "Kelvin K-뷰티", "\n한\n"]
+
+
+def test_dictionary_rows_and_list_equal_brute_force(spark):
+    """Substring keywords, keywords with a non-word edge and word keywords, in all three forms."""
+    df = articles(spark, [(t, s) for t in EDGE_TEXTS for s in ("", "한국 c++ net")])
+    def shown(entities, mode="auto"):
+        return sorted(str((r["link"], sorted(r["matched_entities"].items())))
+                      for r in ent.entity_match(df, entities, mode=mode).collect())
+    want = sorted(str((r["link"], sorted(brute(r["title"], r["summary"], EDGES).items()))) for r in df.collect())
+    assert shown(EDGES, "inline") == want
+    assert shown(EDGES, "join") == want
+    assert shown(dictionary_of(spark, EDGES)) == want
+    def hits(entities, mode="auto"):
+        return sorted(map(str, map(tuple, ent.entity_hits(df, entities, mode=mode).collect())))
+    assert hits(EDGES, "inline") == hits(EDGES, "join") == hits(dictionary_of(spark, EDGES))
+
+
+def test_hundred_thousand_script_keywords(spark):
+    """A plan of the same size for any dictionary, and the same result as plain substring tests."""
+    import random
+    rng = random.Random(2)
+    syllables = [chr(0xAC00 + 7 * i) for i in range(400)]
+    make = lambda n: "".join(rng.choice(syllables) for _ in range(n))
+    keywords = sorted({make(rng.randint(2, 4)) for _ in range(130_000)})[:100_000]
+    texts = [" ".join(make(rng.randint(1, 9)) for _ in range(40)) for _ in range(25)] + ["no syllable", ""]
+    df = articles(spark, [(t, "") for t in texts])
+    frame = lambda ks: ent.dictionary_frame(spark.createDataFrame(
+        [("all", 0, k, i) for i, k in enumerate(ks)], "entity string, entity_ord int, keyword string, keyword_ord int"))
+    matched = ent.entity_match(df, frame(keywords))
+    assert len(keywords) == 100_000
+    lengths = {n: {k for k in keywords if len(k) == n} for n in (2, 3, 4)}
+    want = [{t[i:i + n] for n, ks in lengths.items() for i in range(len(t)) if t[i:i + n] in ks} for t in texts]
+    got = [set(dict(r["matched_entities"]).get("all", [])) for r in matched.orderBy(F.length("link"), "link").collect()]
+    assert got == want and sum(map(len, want)) > 500
+    nodes = lambda m: m._jdf.queryExecution().optimizedPlan().toString().count("\n")
+    assert nodes(matched) == nodes(ent.entity_match(df, frame(keywords[:200])))

@@ -16,9 +16,12 @@ is the keyword's own segment count.  So each article is turned into the set of s
 windows (``n`` restricted to the counts present in the dictionary) and intersected with
 the dictionary.  With an inlined dictionary this is one narrow projection (hash-based
 ``array_intersect``): no shuffle, text never leaves its partition.  Dictionaries too
-large to inline are joined instead (broadcast when their row count is under the limit).
-Non-ASCII keywords use ``instr`` on the lower-cased haystack; ASCII keywords with a
-non-word first/last character fall back to one literal regex each.
+large to inline are joined instead (broadcast when their row count is under the limit); the
+plan's size then does not depend on the dictionary.  All other keywords are found by an
+anchor join: at every position where such a keyword can start the text is cut to the longest
+keyword's length, and these cuts meet the keywords on their first one or two characters (the
+anchor); a keyword is found where a cut starts with it.  A small inlined dictionary uses one
+``instr`` per non-ASCII keyword and one literal regex per ASCII keyword with a non-word edge.
 """
 
 from __future__ import annotations
@@ -230,40 +233,132 @@ def with_hits(articles: DataFrame, entities, out: str = "_hits",
     return df.drop("_tw_f", "_tw_l", "_tw_m", "_tw_h", "_tw_u")
 
 
-def _hits_by_join(articles: DataFrame, kws: list[Keyword], key_cols: list[str]) -> DataFrame:
-    """Join form for large dictionaries (same result as the inline form).
+@dataclass(frozen=True)
+class Dictionary:
+    """A dictionary as rows, with the few numbers that the join plan is built from."""
+    rows: DataFrame                # DICTIONARY_SCHEMA
+    size: int
+    segments: tuple[int, ...]      # run counts of the keywords found as windows of runs
+    anchors: dict[int, list[str]]  # their first words, where they are few
+    cuts: dict[str, tuple[int, int, tuple[int, ...]]]  # kind -> ASCII characters before the first other
+    #                                                    one, longest keyword, anchor lengths
+    repeated_names: bool
+
+
+DICTIONARY_SCHEMA = ("kw string, entity_ord int, keyword_ord int, entity string, keyword string, kind string, "
+                     "anchor string, size int, word_after boolean")
+ANCHOR_CHARS = 2
+
+
+def dictionary_frame(keywords: DataFrame) -> Dictionary:
+    """A dictionary from rows ``(entity, entity_ord, keyword, keyword_ord)``, which stay distributed.
 
-    One candidate array per article -- word runs, n-segment windows, plus the keyword
-    strings of the non-ASCII / punctuation keywords whose own check passes -- is exploded
-    once and joined to the dictionary on the keyword string (broadcast below the row limit).
-    A checked keyword can only equal a window candidate when its check passes too, so
-    mixing them adds no false hit.
+    Kinds: ``gram`` starts and ends with a word character and is ASCII; ``sub`` is not ASCII;
+    ``edge`` starts with another character (and so follows a word character); ``start`` only
+    ends with one.  ``word_after``: a word character must follow.  Empty and null keywords are
+    left out.
     """
-    spark = articles.sparkSession
+    kw = F.lower("keyword")
+    word = "^[A-Za-z0-9_]$"
+    first, last = F.left(kw, F.lit(1)).rlike(word), F.right(kw, F.lit(1)).rlike(word)
+    kind = (F.when(kw.rlike(r"[^\x00-\x7f]"), "sub").when(first & last, "gram").when(~first, "edge").otherwise("start"))
+    rows = (keywords.filter(kw != "").select(
+        kw.alias("kw"), F.col("entity_ord").cast("int").alias("entity_ord"), F.col("keyword_ord").cast("int").alias("keyword_ord"),
+        "entity", kw.alias("keyword"), kind.alias("kind"), F.left(kw, F.lit(ANCHOR_CHARS)).alias("anchor"),
+        F.length(kw).alias("size"), (~last).alias("word_after")))
+    runs = F.size(F.regexp_extract_all("kw", F.lit(r"[A-Za-z0-9_]+|[^A-Za-z0-9_]+"), 0))
+    shape = rows.groupBy("kind", F.when(F.col("kind") == "gram", runs).alias("runs")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("size").alias("longest"), F.max(F.length(F.regexp_extract(
+            "kw", r"^([\x00-\x7f]*)", 1))).alias("before"), F.collect_set(F.length("anchor")).alias("anchors")).collect()  # a row per run count
+    names = rows.groupBy("entity").agg((F.min("entity_ord") < F.max("entity_ord")).alias("again"))
+    anchors = {}
+    for n in sorted(r.runs for r in shape if r.runs and r.runs > 1):
+        found = (rows.filter((F.col("kind") == "gram") & (runs == n)).select(F.regexp_extract("kw", r"^\w+", 0).alias("w"))
+                 .distinct().limit(MAX_ANCHORS + 1).collect())
+        anchors[n] = sorted(r.w for r in found)
+    return Dictionary(rows, sum(r.n for r in shape), tuple(sorted(r.runs for r in shape if r.runs)), anchors,
+                      {r.kind: (r.before or 0, r.longest, tuple(sorted(r.anchors))) for r in shape if r.kind != "gram"},
+                      bool(names.filter("again").limit(1).count()))
+
+
+def _listed(spark, kws: list[Keyword]) -> Dictionary:
+    """The same from a list on the driver."""
+    def row(k: Keyword) -> tuple:
+        kind = k.mode if k.mode != "regex" else "start" if re.match(r"\w", k.keyword[0]) else "edge"
+        return (k.keyword, k.entity_ord, k.keyword_ord, k.entity, k.keyword, kind, k.keyword[:ANCHOR_CHARS],
+                len(k.keyword), not re.match(r"\w", k.keyword[-1], re.ASCII))
+
+    rows = [row(k) for k in kws]
+    cuts = {}
+    for kind in sorted({r[5] for r in rows} - {"gram"}):
+        own = [r for r in rows if r[5] == kind]
+        before = max(next((i for i, ch in enumerate(r[0]) if not ch.isascii()), 0) for r in own)
+        cuts[kind] = before, max(r[7] for r in own), tuple(sorted({len(r[6]) for r in own}))
     grams = [k for k in kws if k.mode == "gram"]
-    others = [k for k in kws if k.mode != "gram"]
+    return Dictionary(spark.createDataFrame(rows, DICTIONARY_SCHEMA), len(rows), tuple(sorted({k.segments for k in grams})),
+                      _anchors(grams), cuts, _has_duplicate_names(kws))
+
+
+def _cuts(kind: str, folded: Column, lowered: Column, before: int, longest: int) -> Column:
+    """Distinct pieces of text, each from a position where a keyword of this kind can start."""
+    rest = rf"[\s\S]{{0,{longest}}}"
+    if kind == "sub":  # some of the next characters is not ASCII
+        text, pattern = lowered, rf"(?=([\x00-\x7f]{{0,{before}}}[^\x00-\x7f]{rest}))"
+    elif kind == "edge":
+        text, pattern = folded, rf"(?<={WORD_CLASS})(?=({NON_WORD_CLASS}{rest}))"
+    else:
+        text, pattern = folded, rf"(?<!{WORD_CLASS})(?=({WORD_CLASS}{rest}))"
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), lambda c: F.left(c, F.lit(longest + 1))))
+
+
+def _hits_by_anchor(base: DataFrame, d: Dictionary) -> DataFrame:
+    """Hits per distinct text (``TEXT_KEY``) of all keywords that are not windows of runs.
+
+    Only short cuts of the texts are exploded and joined, never the texts; a cut meets the
+    keywords that share its first characters.
+    """
+    found = None
+    for kind, (before, longest, lengths) in sorted(d.cuts.items()):
+        cuts = base.select(*TEXT_KEY, explode_rows(_cuts(kind, F.col("_f"), F.col("_l"), before, longest)).alias("cut"))
+        anchors = F.array(*[F.left("cut", F.lit(n)) for n in lengths])
+        cuts = (cuts.filter(F.col("cut").isNotNull()).withColumn("anchor", explode_rows(anchors)))
+        dim = d.rows.filter(F.col("kind") == kind)
+        if d.size <= MAX_BROADCAST_KEYWORDS:
+            dim = F.broadcast(dim)
+        after = F.substr("cut", F.col("size") + 1, F.lit(1)).rlike(f"^{WORD_CLASS}$")
+        fits = F.lit(True) if kind == "sub" else after == F.col("word_after")
+        one = (cuts.join(dim, "anchor").filter(F.startswith("cut", "kw") & fits)
+               .select(*TEXT_KEY, "entity_ord", "keyword_ord", "entity", "keyword"))
+        found = one if found is None else found.unionByName(one)
+    return found.distinct()
+
+
+def _hits_by_join(articles: DataFrame, d: Dictionary, key_cols: list[str]) -> DataFrame:
+    """Join form for large dictionaries (same result as the inline form).
+
+    One candidate array per article -- word runs and n-segment windows -- is exploded once
+    and joined to the dictionary on the keyword string (broadcast below the row limit).  The
+    other keywords are found per distinct text and joined back by the text's hash.
+    """
     hay = _haystack(F.col("title"), F.col("summary"))
     base = articles.select(*key_cols, *_text_key(hay), _folded(hay).alias("_f"), F.lower(hay).alias("_l"))
-    if grams:
-        base = with_candidates(base, "_f", sorted({k.segments for k in grams}), anchors=_anchors(grams))
-    else:
-        base = base.withColumn("_tw_c", F.array().cast("array<string>"))
-    if others:
-        chars = None
-        if _wants_char_filter(others):
-            base = base.withColumn("_u", non_ascii_chars(F.col("_l")))
-            chars = F.col("_u")
-        checked = F.transform(_non_gram_hits(others, F.col("_f"), F.col("_l"), chars), lambda h: h["keyword"])
-        base = base.withColumn("_tw_c", F.array_distinct(F.concat(F.col("_tw_c"), checked)))
-    dim = spark.createDataFrame(
-        [(k.keyword, k.entity_ord, k.keyword_ord, k.entity, k.keyword) for k in kws],
-        "kw string, entity_ord int, keyword_ord int, entity string, keyword string")
-    if len(kws) <= MAX_BROADCAST_KEYWORDS:
-        dim = F.broadcast(dim)
-    cands = (base.select(*key_cols, *TEXT_KEY, explode_rows("_tw_c").alias("kw"))
-             .filter(F.col("kw").isNotNull()))
-    hits = cands.join(dim, "kw").drop("kw")
-    if _has_duplicate_names(kws):
+    hits = None
+    if d.segments:
+        dim = d.rows.filter(F.col("kind") == "gram").select("kw", "entity_ord", "keyword_ord", "entity", "keyword")
+        if d.size <= MAX_BROADCAST_KEYWORDS:
+            dim = F.broadcast(dim)
+        cands = (with_candidates(base, "_f", list(d.segments), anchors=d.anchors)
+                 .select(*key_cols, *TEXT_KEY, explode_rows("_tw_c").alias("kw")).filter(F.col("kw").isNotNull()))
+        hits = cands.join(dim, "kw").drop("kw")
+    if d.cuts:
+        found = _hits_by_anchor(base, d)
+        if key_cols:
+            found = base.select(*key_cols, *TEXT_KEY).join(found, list(TEXT_KEY))
+        hits = found if hits is None else hits.unionByName(found)
+    if hits is None:
+        hits = base.select(*key_cols, *TEXT_KEY).join(
+            d.rows.select("entity_ord", "keyword_ord", "entity", "keyword").limit(0), F.lit(False))
+    if d.repeated_names:
         w = Window.partitionBy(*key_cols, *TEXT_KEY, "entity")  # equal texts have equal hits
         hits = hits.withColumn("_m", F.max("entity_ord").over(w)).filter(
             F.col("entity_ord") == F.col("_m")).drop("_m")
@@ -280,11 +375,15 @@ def _text_key(hay: Column) -> list[Column]:
 
 
 def entity_hits(articles: DataFrame, entities, key_cols=("link",), mode: str = "auto") -> DataFrame:
-    """Long form: one row per (article key, entity, keyword occurrence in the dictionary)."""
-    kws = prepare_dictionary(entities)
+    """Long form: one row per (article key, entity, keyword occurrence in the dictionary).
+
+    ``entities``: a list, or a ``Dictionary`` of rows, which is always joined.
+    """
     key_cols = list(key_cols)
-    if mode == "join" or (mode == "auto" and len(kws) > MAX_INLINE_KEYWORDS):
-        return _hits_by_join(articles, kws, key_cols).select(
+    kws = None if isinstance(entities, Dictionary) else prepare_dictionary(entities)
+    if kws is None or mode == "join" or (mode == "auto" and len(kws) > MAX_INLINE_KEYWORDS):
+        d = entities if kws is None else _listed(articles.sparkSession, kws)
+        return _hits_by_join(articles, d, key_cols).select(
             *key_cols, "entity", "entity_ord", "keyword", "keyword_ord")
     return (with_hits(articles.select(*key_cols, "title", "summary"), kws)
             .select(*key_cols, explode_rows("_hits").alias("h"))
@@ -309,11 +408,11 @@ def entity_match(articles: DataFrame, entities, mode: str = "auto") -> DataFrame
     most one entry per dictionary keyword) and joined back by the text's hash, so repeated
     and NULL links each keep their own matches.
     """
-    kws = prepare_dictionary(entities)
-    if mode == "inline" or (mode == "auto" and len(kws) <= MAX_INLINE_KEYWORDS):
+    kws = None if isinstance(entities, Dictionary) else prepare_dictionary(entities)
+    if kws is not None and (mode == "inline" or (mode == "auto" and len(kws) <= MAX_INLINE_KEYWORDS)):
         df = with_hits(articles, kws)
         return df.withColumn("matched_entities", matches_to_map(F.col("_hits"))).drop("_hits")
-    hits = _hits_by_join(articles, kws, [])
+    hits = _hits_by_join(articles, entities if kws is None else _listed(articles.sparkSession, kws), [])
     per = hits.groupBy(*TEXT_KEY).agg(F.array_sort(F.collect_set(
         F.struct("entity_ord", "keyword_ord", "entity", "keyword"))).alias("_hits"))
     per = per.select(*TEXT_KEY, matches_to_map(F.col("_hits")).alias("matched_entities"))
