@@ -12,7 +12,7 @@ the model, so a long text gathers no noise from its ordinary words.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -166,10 +166,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     A null text is empty and scores as a text without words.  A null id is not held out;
     repeated rows are scored each.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** HASH_BITS features at most
+    # 2 ** HASH_BITS features at most; plain data, as a broadcast's classes would have to be on the workers
+    shipped = docs.sparkSession.sparkContext.broadcast(astuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shipped.value
+        own = ToxicityModel(*shipped.value)
         known = own.weights or {}
         cache = WordCache(lambda w: [f for f in word_features(w, NGRAMS) if f in known])
         for batch in batches:
