@@ -58,7 +58,7 @@ def test_held_out_rows_score_better_than_the_base(spark):
 def corpus():
     words = [b"w%d" % i for i in range(5000)]
     counts = np.arange(5000, 0, -1)
-    own = L.CLASSES * L.MEMBERS - L.FIRST_WORD
+    own = L.outputs_of(L.CLASSES) - L.FIRST_WORD
     return L.Corpus(words, counts, 10, int(counts.sum()) + 10, 5001, int(counts[own:].sum()), 5000 - own)
 
 
@@ -67,7 +67,7 @@ def test_probabilities_add_up_to_one():
     model = L.Model.start(c)
     rng = np.random.default_rng(2)
     model.flat += rng.normal(0, 0.2, model.flat.shape).astype(np.float32)
-    every = np.arange(L.CLASSES * L.MEMBERS)
+    every = np.arange(L.outputs_of(L.CLASSES))
     context = np.tile(np.array([[5, 4096]]), (len(every), 1))
     assert abs((10 ** model.log10_probs(context, every)).sum() - 1) < 1e-4
     spelled = 10 ** c.spelled(c.counts[c.modelled:])
@@ -90,7 +90,7 @@ def test_training_learns_a_bigram():
 
 def test_contexts_stop_at_text_starts():
     got = L.contexts(np.array([7, 8, 9, 5, 6]), np.array([0, 3]))
-    m = L.CLASSES * L.MEMBERS
+    m = L.outputs_of(L.CLASSES)
     assert got.tolist() == [[m, m], [7, m], [8, 7], [m, m], [5, m]]
 
 
@@ -112,12 +112,98 @@ def test_outputs_grow_with_the_distinct_words(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     counts = L.word_counts(docs.select("text"))
     c = L.gather(counts, len(rows))
-    assert c.side > 64 and c.modelled == c.side ** 2 - L.FIRST_WORD > 10_000
-    assert L.side_of(10 ** 8) > 2 * L.side_of(10 ** 6)
+    outputs = L.outputs_of(c.side)
+    assert c.side > L.CLASSES and c.modelled == outputs - L.FIRST_WORD > 10_000
+    assert L.outputs_of(L.side_of(10 ** 8)) > 5 * L.outputs_of(L.side_of(10 ** 6)) >= 5 * 64 * 1000
     model = L.train(docs.select("text"), c)
     start = L.Model.start(c)
-    assert model.r.shape[0] == c.side ** 2 + 1 and np.isfinite(model.flat).all()
+    assert model.r.shape[0] == outputs + 1 and np.isfinite(model.flat).all()
     assert (model.q[4096:] != start.q[4096:]).any()
-    every = np.arange(c.side ** 2)
-    context = np.tile(np.array([[5, c.side ** 2]]), (len(every), 1))
+    every = np.arange(outputs)
+    context = np.tile(np.array([[5, outputs]]), (len(every), 1))
     assert abs((10 ** model.log10_probs(context, every)).sum() - 1) < 1e-3
+
+
+def plain_step_gradients(m, unigram, side, context, token, noise):
+    """The step's gradients by loops over tokens, given the noise it drew per level and parent."""
+    classes, groups, leaves = L.Model.shares(unigram, side)
+    sig = lambda x: 1 / (1 + math.exp(-x))
+    grads = {name: np.zeros(getattr(m, name).shape) for name in ("r", "p", "u", "g", "q", "ub", "gb", "qb")}
+    for c, t in zip(context.tolist(), token.tolist()):
+        g = t // L.LEAVES
+        k = g // side
+        q = sum(m.r[c[j]].astype(float) * m.p[j] for j in range(L.CONTEXT))
+        pull = np.zeros(L.DIM)
+        levels = [("u", k, noise["u"], classes.ravel(), L.CLASS_NOISE), ("g", g, noise["g"][k], groups.ravel(), L.GROUP_NOISE),
+                  ("q", t, noise["q"][g], leaves.ravel(), L.LEAF_NOISE)]
+        for name, own, drawn, share, n in levels:
+            value, bias = getattr(m, name), getattr(m, name + "b")
+            for place, target in [(own, 1)] + [(x, 0) for x in drawn]:
+                err = sig(float(q @ value[place]) + float(bias[place]) - math.log(n * max(share[place], 1e-12))) - target
+                grads[name][place] += err * q
+                grads[name + "b"][place] += err
+                pull += err * value[place]
+        for j in range(L.CONTEXT):
+            grads["r"][c[j]] += pull * m.p[j]
+            grads["p"][j] += pull * m.r[c[j]]
+    return grads
+
+
+def test_a_step_equals_plain_loops(monkeypatch):
+    c = corpus()
+    model = L.Model.start(c)
+    rng = np.random.default_rng(4)
+    model.flat += rng.normal(0, 0.2, model.flat.shape).astype(np.float32)
+    unigram = L.Model.unigram(c)
+    trainer = L.Trainer(model, unigram)
+    tokens = rng.integers(0, 400, 300)
+    context = L.contexts(tokens, np.array([0, 50, 51, 200]))
+    noise, moved = {}, {}
+    draw = trainer._draw
+
+    def remember(edges, parents, n):
+        out = draw(edges, parents, n)
+        noise["g" if edges is trainer.group_edges else "q"] = dict(zip(parents.tolist(), out.tolist()))
+        return out
+
+    class Rng:
+        random = trainer.rng.random
+
+        @staticmethod
+        def choice(side, size, p):
+            noise["u"] = [1, 5, 5, *range(size - 3)]
+            return np.array(noise["u"])
+
+    trainer.rng = Rng()
+    monkeypatch.setattr(trainer, "_draw", remember)
+    monkeypatch.setattr(trainer, "_move", lambda name, rows, grad: moved.update({name: (rows, grad)}))
+    trainer.step(context, tokens)
+    want = plain_step_gradients(model, unigram, model.side, context, tokens, noise)
+    assert moved.keys() == want.keys()
+    for name, (rows, grad) in moved.items():
+        assert len(set(rows.tolist())) == len(rows)
+        full = np.zeros_like(want[name])
+        full[rows] = grad
+        assert np.allclose(full, want[name], atol=2e-3), name
+
+
+def test_batched_probabilities_equal_plain_softmaxes():
+    c = corpus()
+    model = L.Model.start(c)
+    rng = np.random.default_rng(6)
+    model.flat += rng.normal(0, 0.5, model.flat.shape).astype(np.float32)
+    token = np.r_[rng.integers(0, 40, 1500), rng.integers(0, 4096, 300)]
+    context = L.contexts(token, np.array([0]))
+    got = model.log10_probs(context, token)
+
+    def part(q, vectors, biases, pick):
+        logits = vectors.astype(float) @ q + biases
+        return logits[pick] - logits.max() - math.log(np.exp(logits - logits.max()).sum())
+
+    for i in range(0, len(token), 7):
+        t, q = int(token[i]), sum(model.r[context[i, j]].astype(float) * model.p[j] for j in range(L.CONTEXT))
+        g, s = t // L.LEAVES, model.side
+        k = g // s
+        want = (part(q, model.u, model.ub, k) + part(q, model.g[k * s:(k + 1) * s], model.gb[k * s:(k + 1) * s], g % s)
+                + part(q, model.q[g * 16:(g + 1) * 16], model.qb[g * 16:(g + 1) * 16], t % 16))
+        assert abs(got[i] - want / math.log(10)) < 1e-3

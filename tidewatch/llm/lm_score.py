@@ -6,18 +6,20 @@ to the tasks with their counts; the counts of
 all other words stay distributed and meet the texts in a join.  A word that many rows hold is
 thus looked up in the task, and the join keys are rare by construction.
 
-Model.  The most frequent words, the end and one class "other word" are the outputs, in
-classes of equal size by rank.  Their number grows with the corpus: a side of 8 V^(1/4) classes of as
-many members for V distinct training words, 64 sqrt(V) outputs, and never under ``CLASSES`` x ``MEMBERS``.  The vectors of the last two tokens, weighted per
-position, add up to the prediction q; P(token) = P(class | q) P(token | class, q), both
-log-bilinear softmaxes, normalised exactly by two small matrix products per batch.  An "other
-word" is then spelled out by its add-one share among the other training words, with one place
-left for all unseen words, so probabilities over all words add up to one.
+Model.  The most frequent words, the end and one class "other word" are the outputs, the
+leaves of a tree of three levels by rank: classes, as many groups in each, ``LEAVES`` outputs in
+each group.  Their number grows with the corpus: 2 V^(1/4) classes for V distinct training
+words, so 64 sqrt(V) outputs, and never under ``CLASSES`` classes.  The vectors of the last two
+tokens, weighted per position, add up to the prediction q; P(token) = P(class | q)
+P(group | class, q) P(token | group, q), all log-bilinear softmaxes, normalised exactly by
+batched matrix products over 4 V^(1/4) + ``LEAVES`` terms a token.  An "other word" is then
+spelled out by its add-one share among the other training words, with one place left for all
+unseen words, so probabilities over all words add up to one.
 
 Training.  The rows are split into one part per ``TOKENS_PER_MODEL`` tokens; a task trains on
 all rows of its part with noise-contrastive estimation (noise from the unigram distributions
-of classes and members); a part hands over the chunks of parameters it changed, which are
-averaged by tokens, chunk by chunk, in Spark.
+of each level); a part hands over the chunks of parameters it changed, which are averaged by
+tokens, chunk by chunk, in Spark.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +37,16 @@ from pyspark.sql import functions as F
 from tidewatch.llm.shared import materialize, row_bytes
 
 FOLDS, HELD_OUT_FOLD = 7, 2
-CLASSES, MEMBERS = 64, 64  # of a small corpus; see side_of
+CLASSES = 16               # of a small corpus; see side_of
+LEAVES = 16                # outputs of a group
 DIM = 24
 CONTEXT = 2
 KNOWN_WORDS = 200_000      # most frequent words whose counts travel to the tasks
 END, OTHER, FIRST_WORD = 0, 1, 2
-CLASS_NOISE, MEMBER_NOISE = 16, 4
+CLASS_NOISE, GROUP_NOISE, LEAF_NOISE = 16, 4, 2
 BATCH_TOKENS = 8192        # per training step
 SCORE_TOKENS = 32768       # per scoring batch
+TILE = 1024                # rows whose terms are computed at once
 RATE = 0.08
 CHUNK = 1024               # parameters per row when tasks hand them over
 TOKENS_PER_MODEL = 4_000_000  # tokens that one part of the training holds, about
@@ -92,11 +96,11 @@ class Corpus:
     distinct: int    # V, the end included
     other_tokens: int    # tokens and distinct words outside the model's own
     other_distinct: int
-    side: int = CLASSES  # classes of the model, and members of each
+    side: int = CLASSES  # classes of the model, and groups in each
 
     @property
     def modelled(self) -> int:
-        return min(len(self.words), self.side * self.side - FIRST_WORD)
+        return min(len(self.words), outputs_of(self.side) - FIRST_WORD)
 
     def base(self, c: np.ndarray | int) -> np.ndarray | float:
         return np.log10((c + 1) / (self.tokens + self.distinct + 1))
@@ -106,28 +110,33 @@ class Corpus:
 
 
 def side_of(distinct: int) -> int:
-    """Classes, and members of each, for so many distinct training words."""
-    return max(CLASSES, MEMBERS, math.ceil(8 * distinct ** 0.25))
+    """Classes, and groups in each, for so many distinct training words."""
+    return max(CLASSES, math.ceil(2 * distinct ** 0.25))
+
+
+def outputs_of(side: int) -> int:
+    return side * side * LEAVES
 
 
 def gather(counts: DataFrame, rows: int) -> Corpus:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     side = side_of(distinct)
-    top = counts.orderBy(F.desc("c"), "word").limit(KNOWN_WORDS + side * side - CLASSES * MEMBERS).toArrow()
+    top = counts.orderBy(F.desc("c"), "word").limit(KNOWN_WORDS + outputs_of(side) - outputs_of(CLASSES)).toArrow()
     c = top.column("c").to_numpy().astype(np.int64)
-    own = min(len(c), side * side - FIRST_WORD)
+    own = min(len(c), outputs_of(side) - FIRST_WORD)
     return Corpus(top.column("word").to_pylist(), c, rows, total + rows, distinct + (rows > 0),
                   int(total - c[:own].sum()), int(distinct - own), side)
 
 
 class Model:
-    """Parameters in one flat vector; ``r`` input vectors, ``p`` position weights, ``u``/``ub``
-    class vectors and biases, ``q``/``qb`` token vectors and biases."""
+    """Parameters in one flat vector; ``r`` input vectors, ``p`` position weights; vectors and
+    biases of the classes (``u``), the groups (``g``) and the outputs (``q``)."""
 
     @staticmethod
     def shapes(side: int) -> dict[str, tuple[int, ...]]:
-        return {"r": (side * side + 1, DIM), "p": (CONTEXT, DIM), "u": (side, DIM), "ub": (side,),
-                "q": (side * side, DIM), "qb": (side * side,)}
+        outputs = outputs_of(side)
+        return {"r": (outputs + 1, DIM), "p": (CONTEXT, DIM), "u": (side, DIM), "ub": (side,),
+                "g": (side * side, DIM), "gb": (side * side,), "q": (outputs, DIM), "qb": (outputs,)}
 
     def __init__(self, flat: np.ndarray, side: int = CLASSES):
         self.flat, self.side, at = flat, side, 0
@@ -143,52 +152,92 @@ class Model:
         model = cls(np.zeros(sum(int(np.prod(s)) for s in cls.shapes(side).values()), np.float32), side)
         model.r[:] = np.random.default_rng(11).normal(0, 0.3, model.r.shape)
         model.p[:] = 1.0
-        unigram = cls.unigram(corpus)
-        by_class = unigram.reshape(side, side)
-        mass = by_class.sum(axis=1)
-        model.ub[:] = np.log(np.maximum(mass / mass.sum(), 1e-30))
-        model.qb[:] = np.log(np.maximum(by_class / np.maximum(mass, 1e-30)[:, None], 1e-30)).ravel()
+        for name, share in zip(("ub", "gb", "qb"), cls.shares(cls.unigram(corpus), side)):
+            getattr(model, name)[:] = np.log(np.maximum(share, 1e-30)).ravel()
         return model
 
     @staticmethod
     def unigram(corpus: Corpus) -> np.ndarray:
         """Counts of the outputs; places without a word count nothing."""
-        c = np.zeros(corpus.side * corpus.side)
+        c = np.zeros(outputs_of(corpus.side))
         c[END] = max(corpus.rows, 1)
         c[OTHER] = corpus.other_tokens + corpus.other_distinct + 1
         c[FIRST_WORD:FIRST_WORD + corpus.modelled] = corpus.counts[:corpus.modelled]
         return c
 
+    @staticmethod
+    def shares(unigram: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shares of the classes, of the groups in their class and of the outputs in their group."""
+        leaves = unigram.reshape(side * side, LEAVES)
+        groups = leaves.sum(axis=1).reshape(side, side)
+        classes = groups.sum(axis=1)
+        return (classes / classes.sum(), groups / np.maximum(classes, 1e-30)[:, None],
+                leaves / np.maximum(leaves.sum(axis=1), 1e-30)[:, None])
+
     def predict(self, context: np.ndarray) -> np.ndarray:
-        q = self.r[context[:, 0]] * self.p[0]
+        q = self.r.take(context[:, 0], axis=0)
+        q *= self.p[0]
         for j in range(1, CONTEXT):
-            q += self.r[context[:, j]] * self.p[j]
+            more = self.r.take(context[:, j], axis=0)
+            more *= self.p[j]
+            q += more
         return q
 
     def log10_probs(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-        q, side = self.predict(context), self.side
-        klass, member = token // side, token % side
-        out = _log_softmax_pick(q @ self.u.T + self.ub, klass)
-        order = np.argsort(klass, kind="stable")
-        edges = np.searchsorted(klass[order], np.arange(side + 1))
-        for k in range(side):
-            rows = order[edges[k]:edges[k + 1]]
-            if len(rows):
-                own = slice(k * side, (k + 1) * side)
-                out[rows] += _log_softmax_pick(q[rows] @ self.q[own].T + self.qb[own], member[rows])
-        return out.astype(np.float64) / np.log(10)
+        order, side = sorted_places(token), self.side  # one sort for all levels
+        token = token[order]
+        group = token // LEAVES
+        klass = group // side
+        q = self.predict(context[order])
+        found = np.empty(len(token), np.float32)
+        for lo in range(0, len(token), TILE):
+            part = slice(lo, lo + TILE)
+            found[part] = _log_softmax_pick(q[part] @ self.u.T + self.ub, klass[part])
+        for k, lo, hi in runs_of(klass):
+            own = slice(k * side, (k + 1) * side)
+            for part in tiles(lo, hi):
+                found[part] += _log_softmax_pick(q[part] @ self.g[own].T + self.gb[own], group[part] - k * side)
+        leaves, biases = self.q.reshape(-1, LEAVES, DIM), self.qb.reshape(-1, LEAVES)
+        logits = np.empty((len(token), LEAVES), np.float32)
+        rare = np.ones(len(token), bool)
+        for k, lo, hi in runs_of(group):
+            if hi - lo >= 8:  # one product for the group; the tokens of rare groups bring their own outputs
+                np.dot(q[lo:hi], leaves[k].T, out=logits[lo:hi])
+                rare[lo:hi] = False
+        rare = np.flatnonzero(rare)
+        for lo in range(0, len(rare), TILE):
+            part = rare[lo:lo + TILE]
+            logits[part] = np.matmul(leaves.take(group[part], axis=0), q[part, :, None])[:, :, 0]
+        logits += biases.take(group, axis=0)
+        found += _log_softmax_pick(logits, token % LEAVES)
+        out = np.empty(len(token))
+        out[order] = found
+        return out / np.log(10)
+
+
+def runs_of(values: np.ndarray) -> list[tuple[int, int, int]]:
+    """``(value, start, end)`` of the runs of equal values."""
+    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+    return list(zip(values[starts].tolist(), starts.tolist(), np.r_[starts[1:], len(values)].tolist()))
+
+
+def tiles(lo: int, hi: int) -> list[slice]:
+    return [slice(at, min(at + TILE, hi)) for at in range(lo, hi, TILE)]
 
 
 def _log_softmax_pick(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1)
-    logits -= top[:, None]
+    top = logits.max()
+    if top - logits.min() > 80:  # beyond single precision without a maximum per row
+        logits = logits - logits.max(axis=1, keepdims=True)
+    else:
+        logits -= top
     chosen = logits[np.arange(len(pick)), pick]
     return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
 def contexts(tokens: np.ndarray, starts: np.ndarray, side: int = CLASSES) -> np.ndarray:
     """The CONTEXT tokens before each token; before a text's start stands a mark of its own."""
-    mark = side * side
+    mark = outputs_of(side)
     first = np.repeat(starts, np.diff(np.r_[starts, len(tokens)]))
     at = np.arange(len(tokens))
     out = np.empty((len(tokens), CONTEXT), np.int64)
@@ -202,86 +251,148 @@ class Trainer:
     """Noise-contrastive steps with AdaGrad on the rows a step touches."""
 
     def __init__(self, model: Model, unigram: np.ndarray):
-        self.model, self.tokens = model, 0
+        self.model, self.tokens, side = model, 0, model.side
         self.rng = np.random.default_rng(13)
-        self.sums = Model(np.full_like(model.flat, 1e-2), model.side)
-        by_class = unigram.reshape(model.side, model.side)
-        mass = by_class.sum(axis=1)
-        self.class_p = mass / mass.sum()
-        safe = np.where(mass[:, None] > 0, by_class, 1.0)
-        self.member_p = safe / safe.sum(axis=1, keepdims=True)
-        self.member_edges = self.member_p.cumsum(axis=1)
-        self.log_p = np.log(MEMBER_NOISE * np.maximum(self.member_p.ravel(), 1e-12))
-
-    def _move(self, name: str, rows, grad: np.ndarray) -> None:
+        self.sums = Model(np.full_like(model.flat, 1e-2), side)
+        self.class_p, *lower = Model.shares(unigram, side)
+        # places without a word get an even share of their level: they may be drawn as noise
+        self.group_p, self.leaf_p = [np.where(p.sum(axis=1, keepdims=True) > 0, p, 1 / p.shape[1]) for p in lower]
+        self.group_edges, self.leaf_edges = [p.cumsum(axis=1).astype(np.float32) for p in (self.group_p, self.leaf_p)]
+        self.log_class, self.log_group, self.log_leaf = [
+            np.log(n * np.maximum(p.ravel(), 1e-12)).astype(np.float32)
+            for n, p in ((CLASS_NOISE, self.class_p), (GROUP_NOISE, self.group_p), (LEAF_NOISE, self.leaf_p))]
+
+    def _move(self, name: str, rows: np.ndarray, grad: np.ndarray) -> None:
         value, seen = getattr(self.model, name), getattr(self.sums, name)
-        seen[rows] += grad * grad
-        value[rows] -= RATE * grad / np.sqrt(seen[rows])
+        total = seen.take(rows, axis=0)
+        total += grad * grad
+        seen[rows] = total
+        np.sqrt(total, out=total)
+        value[rows] = value.take(rows, axis=0) - RATE * grad / total
+
+    def _draw(self, edges: np.ndarray, parents: np.ndarray, n: int) -> np.ndarray:
+        """``n`` children of each parent by their shares, as places in the level."""
+        width = edges.shape[1]
+        draw = self.rng.random((len(parents), n), dtype=np.float32)
+        local = (draw[:, :, None] > edges[parents][:, None, :]).sum(axis=2)
+        return np.minimum(local, width - 1) + parents[:, None] * width
 
     def step(self, context: np.ndarray, token: np.ndarray) -> None:
-        m, n, side = self.model, len(token), self.model.side
-        self.tokens += n
-        order = np.argsort(token // side, kind="stable")
-        context, token = context[order], token[order]
-        klass = token // side
+        m, side = self.model, self.model.side
+        self.tokens += len(token)
+        order = sorted_places(token)  # one sort: tokens, groups and classes come in runs
+        context, token = context.take(order, axis=0), token[order]
+        group = token // LEAVES
+        klass = group // side
         q = m.predict(context)
         pull = np.zeros_like(q)
 
         # classes: the token's own against noise that the whole step shares
         noise = self.rng.choice(side, size=CLASS_NOISE, p=self.class_p)
-        shift_noise = np.log(CLASS_NOISE * self.class_p[noise])
-        err_own = _sigmoid((q * m.u[klass]).sum(axis=1) + m.ub[klass] - np.log(CLASS_NOISE * self.class_p[klass])) - 1
-        err_noise = _sigmoid(q @ m.u[noise].T + m.ub[noise] - shift_noise)
-        pull += err_own[:, None] * m.u[klass] + err_noise @ m.u[noise]
-        grad_u, grad_ub = np.zeros_like(m.u), np.zeros_like(m.ub)
-        present, first = np.unique(klass, return_index=True)
-        grad_u[present] += np.add.reduceat(err_own[:, None] * q, first, axis=0)
-        grad_ub[present] += np.add.reduceat(err_own, first)
-        np.add.at(grad_u, noise, err_noise.T @ q)
-        np.add.at(grad_ub, noise, err_noise.sum(axis=0))
-
-        # members: the token against noise from its class that the step's tokens of it share
-        draw = self.rng.random((side, MEMBER_NOISE))
-        local = np.minimum((draw[:, :, None] > self.member_edges[:, None, :]).sum(axis=2), side - 1)
-        member_noise = local + np.arange(side)[:, None] * side
-        log_p = self.log_p
-        err_tok = _sigmoid((q * m.q[token]).sum(axis=1) + m.qb[token] - log_p[token]) - 1
-        vec = m.q[member_noise]  # classes x noise x dim
-        err_mem = np.empty((n, MEMBER_NOISE), np.float32)
-        grad_q, grad_qb = [], []
-        edges = np.r_[first, n]
-        for k, lo, hi in zip(present, edges[:-1], edges[1:]):
-            ids = member_noise[k]
-            err = _sigmoid(q[lo:hi] @ vec[k].T + m.qb[ids] - log_p[ids])
-            err_mem[lo:hi] = err
-            pull[lo:hi] += err @ vec[k]
-            grad_q.append(err.T @ q[lo:hi])
-            grad_qb.append(err.sum(axis=0))
-        pull += err_tok[:, None] * m.q[token]
-        tok, own_q, own_qb = _sum_rows(token, err_tok[:, None] * q, err_tok)
-        rows, all_q, all_qb = _sum_rows(np.r_[tok, member_noise[present].ravel()],
-                                        np.concatenate([own_q, *grad_q]), np.concatenate([own_qb, *grad_qb]))
+        shift = m.ub - self.log_class
+        rows_u = self._own(m.u, shift, q, pull, klass)
+        err = _sigmoid(q @ m.u[noise].T + shift[noise])
+        pull += err @ m.u[noise]
+        rows_u = _sum_rows(np.r_[rows_u[0], noise], np.r_[rows_u[1], err.T @ q], np.r_[rows_u[2], err.sum(axis=0)])
+
+        # groups: noise from its class that the step's tokens of it share, one small product per class
+        shift = m.gb - self.log_group
+        rows, grads, scalars = [[x] for x in self._own(m.g, shift, q, pull, group)]
+        classes, first, size = _runs(klass)
+        drawn = self._draw(self.group_edges, classes, GROUP_NOISE)
+        spans = list(zip(drawn, first.tolist(), (first + size).tolist()))
+        err = np.repeat(shift[drawn], size, axis=0)
+        for ids, lo, hi in spans:
+            err[lo:hi] += q[lo:hi] @ m.g[ids].T
+        err = _sigmoid(err)
+        for ids, lo, hi in spans:
+            pull[lo:hi] += err[lo:hi] @ m.g[ids]
+            grads.append(err[lo:hi].T @ q[lo:hi])
+        rows.append(drawn.ravel())
+        scalars.append(np.add.reduceat(err, first, axis=0).ravel())
+        rows_g = _sum_rows(np.concatenate(rows), np.concatenate(grads), np.concatenate(scalars))
+
+        # outputs: noise from its group, in one product over all tokens as groups are many
+        shift = m.qb - self.log_leaf
+        rows, grads, scalars = [[x] for x in self._own(m.q, shift, q, pull, token)]
+        groups, first, size = _runs(group)
+        drawn = self._draw(self.leaf_edges, groups, LEAF_NOISE)
+        vec = np.repeat(m.q.take(drawn, axis=0), size, axis=0)
+        err = _sigmoid(np.matmul(vec, q[:, :, None])[:, :, 0] + np.repeat(shift[drawn], size, axis=0))
+        pull += np.matmul(err[:, None, :], vec)[:, 0, :]
+        rows.append(drawn.ravel())
+        both = (err[:, :, None] * q[:, None, :]).reshape(len(token), -1)
+        grads.append(np.add.reduceat(both, first, axis=0).reshape(-1, DIM))
+        scalars.append(np.add.reduceat(err, first, axis=0).ravel())
+        rows_q = _sum_rows(np.concatenate(rows), np.concatenate(grads), np.concatenate(scalars))
 
         # inputs
-        ctx, ctx_grad, _ = _sum_rows(context.T.ravel(), np.concatenate([pull * m.p[j] for j in range(CONTEXT)]))
-        grad_p = np.stack([(pull * m.r[context[:, j]]).sum(axis=0) for j in range(CONTEXT)])
-        everything = slice(None)
-        self._move("u", everything, grad_u)
-        self._move("ub", everything, grad_ub)
-        self._move("q", rows, all_q)
-        self._move("qb", rows, all_qb)
-        self._move("p", everything, grad_p)
+        ctx, ctx_grad, grad_p = self._inputs(order, token, context, pull)
+        for name, (ids, grad, grad_b) in (("u", rows_u), ("g", rows_g), ("q", rows_q)):
+            self._move(name, ids, grad)
+            self._move(name + "b", ids, grad_b)
+        self._move("p", np.arange(CONTEXT), grad_p)
         self._move("r", ctx, ctx_grad)
 
+    def _inputs(self, order: np.ndarray, token: np.ndarray, context: np.ndarray, pull: np.ndarray):
+        """Gradients of the input vectors that the step touches, and of the position weights.
+
+        An input is mostly the token one or two places before, so what pulls at it is gathered
+        at that token's place and summed over the sorted tokens; the rest (text starts, the
+        step before) is summed apart.
+        """
+        m, n = self.model, len(token)
+        at_place = np.empty_like(pull)
+        at_place[order] = pull
+        text, before = np.empty_like(token), np.empty_like(context)
+        text[order], before[order] = token, context
+        gathered, ids, rest, grad_p = np.zeros_like(pull), [], [], []
+        for j in range(CONTEXT):
+            part = at_place * m.p[j]
+            grad_p.append(np.einsum("nk,nk->k", at_place, m.r.take(before[:, j], axis=0)))
+            apart = np.ones(n, bool)
+            apart[j + 1:] = before[j + 1:, j] != text[:max(n - j - 1, 0)]
+            apart = np.flatnonzero(apart)
+            ids.append(before[apart, j])
+            rest.append(part[apart])
+            part[apart] = 0
+            gathered[:max(n - j - 1, 0)] += part[j + 1:]
+        own, first, _ = _runs(token)
+        rows = np.concatenate([np.add.reduceat(gathered.take(order, axis=0), first, axis=0), *rest])
+        ctx, grad, _ = _sum_rows(np.concatenate([own, *ids]), rows)
+        return ctx, grad, np.stack(grad_p)
+
+    @staticmethod
+    def _own(value: np.ndarray, shift: np.ndarray, q: np.ndarray, pull: np.ndarray, place: np.ndarray):
+        """Gradients of the data's own places (sorted) of a level; adds to ``pull``."""
+        ids, first, size = _runs(place)
+        vec = np.repeat(value.take(ids, axis=0), size, axis=0)
+        err = _sigmoid(np.einsum("nk,nk->n", q, vec) + np.repeat(shift[ids], size)) - 1
+        vec *= err[:, None]
+        pull += vec
+        return ids, np.add.reduceat(err[:, None] * q, first, axis=0), np.add.reduceat(err, first)
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted values: the distinct ones, where each starts, and how often it stands."""
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    return values[first], first, np.diff(np.r_[first, len(values)])
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return (1 / (1 + np.exp(-np.clip(x, -30, 30)))).astype(np.float32)
 
 
+def sorted_places(keys: np.ndarray) -> np.ndarray:
+    """The stable order of non-negative keys: key and place are sorted as one number."""
+    n = max(len(keys), 1)
+    return np.sort(keys * n + np.arange(len(keys))) % n
+
+
 def _sum_rows(idx: np.ndarray, rows: np.ndarray, scalars: np.ndarray | None = None):
-    order = np.argsort(idx, kind="stable")
-    ids, first = np.unique(idx[order], return_index=True)
-    return (ids, np.add.reduceat(rows[order], first, axis=0),
+    order = sorted_places(idx)
+    ids, first, _ = _runs(idx[order])
+    return (ids, np.add.reduceat(rows.take(order, axis=0), first, axis=0),
             None if scalars is None else np.add.reduceat(scalars[order], first))
 
 
@@ -366,10 +477,12 @@ def train(texts: DataFrame, corpus: Corpus) -> Model:
 def score_texts(docs: DataFrame, corpus: Corpus, model: Model, counts: DataFrame,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: fold, token numbers, base score and model score."""
-    shipped = docs.sparkSession.sparkContext.broadcast((model.flat, corpus))  # KNOWN_WORDS and the outputs
+    # KNOWN_WORDS and the outputs; plain data, as a broadcast's classes would have to be on the workers
+    shipped = docs.sparkSession.sparkContext.broadcast((model.flat, astuple(corpus)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, seen = shipped.value
+        flat, fields = shipped.value
+        seen = Corpus(*fields)
         own, known = Model(flat, seen.side), {w: i for i, w in enumerate(seen.words)}
         ids, modelled = Ids(seen.modelled), seen.modelled
         base_of, spelled_of = seen.base(seen.counts), seen.spelled(seen.counts)
