@@ -45,9 +45,9 @@ def test_run_category_end_to_end(spark, scratch):
     assert len(rows) == 2
     assert os.path.isdir(os.path.join(st.raw_dir, f"log_date={NOW:%Y-%m-%d}"))
     assert out["policy"]["snapshot_path"].endswith(f"snapshot_date={NOW:%Y-%m-%d}")
-    hits = spark.read.parquet(store.current_path(spark, st.index_dir + "/postings"))
+    hits = spark.read.parquet(f"{st.index_dir}/postings/v={store.folder_versions(spark, st.index_dir + '/postings')[-1]}")
     assert set(search.query_terms("boat")) <= {r["term"] for r in hits.select("term").collect()}
     # a second run re-indexes only the touched documents
     out2 = run_category(spark, cat, payloads, st, NOW + dt.timedelta(days=1))
     assert out2["stats"]["collected"] == 2
-    assert len(store.versions(spark, st.index_dir + "/docs")) == 2
+    assert len(store.folder_versions(spark, st.index_dir + "/docs")) == 2

@@ -89,8 +89,106 @@ def test_snapshot(spark, scratch):
     snaps = os.path.join(scratch, "snapshots")
     assert store.snapshot_articles(spark, root, snaps, dt.date(2026, 3, 13)) is None
     store.upsert_articles(spark, root, batch(spark, [art("x", "https://e.com/x")]), NOW)
+    before = files_under(root)
     path = store.snapshot_articles(spark, root, snaps, dt.date(2026, 3, 13))
     assert path.endswith("snapshot_date=2026-03-13") and os.path.isdir(path)
+    assert data_files(files_under(root)) == data_files(before) and data_files(files_under(snaps)) == {}
+    store.upsert_articles(spark, root, batch(spark, [art("y", "https://e.com/x")]), NOW)
+    store.upsert_articles(spark, root, batch(spark, [art("z", "https://e.com/x")]), NOW)
+    assert store.prune_versions(spark, root, keep=1) == 2
+    assert [r["title"] for r in store.read_snapshot(spark, path).collect()] == ["x"]
+    assert [r["title"] for r in store.read_articles(spark, root).collect()] == ["z"]
+    assert len(data_files(files_under(root))) == 2  # the newest version's and the snapshot's
+    store.snapshot_articles(spark, root, snaps, dt.date(2026, 3, 13))  # the same day again replaces it
+    assert [r["title"] for r in store.read_snapshot(spark, path).collect()] == ["z"]
+    store.prune_versions(spark, root, keep=1)
+    assert len(data_files(files_under(root))) == 1
+
+
+def files_under(root):
+    return {os.path.join(d, f): open(os.path.join(d, f), "rb").read() for d, _, fs in os.walk(root) for f in fs}
+
+
+def data_files(files):
+    return {p: c for p, c in files.items() if p.endswith(".parquet")}
+
+
+def many(spark, n=200, **more):
+    return batch(spark, [art(f"t{i}", f"https://e.com/{i}", published=NOW - dt.timedelta(days=i % 5), category=f"c {i % 2}/é", **more)
+                         for i in range(n)])
+
+
+def test_one_row_leaves_all_other_files_as_they_are(spark, scratch):
+    root = os.path.join(scratch, "articles")
+    store.upsert_articles(spark, root, many(spark), NOW, buckets=8)
+    before = data_files(files_under(root))
+    version = store.read_version(spark, root)
+    store.upsert_articles(spark, root, batch(spark, [art("new", "https://e.com/7", source="other")]), NOW)
+    after = data_files(files_under(root))
+    assert all(after[p] == c for p, c in before.items())  # old files stay for the old version
+    now = store.read_version(spark, root)
+    assert len(set(version.files) - set(now.files)) == 1  # one file was replaced
+    assert now.rows == store.read_articles(spark, root).count() == 200
+    row = store.read_articles(spark, root).filter("link = 'https://e.com/7'").first()
+    assert (row["title"], row["source"], row["category"]) == ("new", "Example RSS", "c 1/é")
+
+
+def test_of_two_writers_one_wins_and_the_other_merges_again(spark, scratch, monkeypatch):
+    root = os.path.join(scratch, "articles")
+    store.upsert_articles(spark, root, many(spark, 20), NOW)
+    base = store.read_version(spark, root)
+    first = store.commit(spark, base._replace(number=2))
+    with pytest.raises(store.VersionConflict):
+        store.commit(spark, base._replace(number=2, files=()))
+    assert store.read_version(spark, root) == first
+    # a writer that read version 1 finds 2 taken, and works on 2
+    real, stale = store.read_version, [base]
+    monkeypatch.setattr(store, "read_version", lambda *a: stale.pop() if stale else real(*a))
+    done = store.upsert_articles(spark, root, batch(spark, [art("late", "https://e.com/3")]), NOW)
+    assert done.number == 3 and store.read_articles(spark, root).count() == 20
+    assert not [p for p in files_under(root) if "/_manifests/." in p and not p.endswith(".crc")]
+
+
+def test_retention_reads_the_boundary_day_only(spark, scratch):
+    root = os.path.join(scratch, "articles")
+    store.upsert_articles(spark, root, many(spark), NOW)
+    version = store.read_version(spark, root)
+    for f in version.files:  # a file that is read now would fail
+        if f.day != (NOW - dt.timedelta(days=2)).date().isoformat():
+            with open(os.path.join(root, f.path), "wb") as out:
+                out.write(b"")
+    assert store.retain_articles(spark, root, NOW + dt.timedelta(hours=1), 2) == 120
+    left = store.read_version(spark, root)
+    assert left.rows == 80 and set(left.files) < set(version.files)
+
+
+def test_many_small_batches_join_their_files(spark, scratch):
+    root = os.path.join(scratch, "articles")
+    for i in range(store.MAX_FILES + 2):
+        store.upsert_articles(spark, root, batch(spark, [art(f"t{i}", f"https://e.com/{i}", published=NOW)]), NOW, buckets=1)
+    version = store.read_version(spark, root)
+    assert version.rows == store.MAX_FILES + 2 and len(version.files) <= 3
+
+
+def test_random_batches_equal_a_dictionary(spark, scratch):
+    import random
+    rng, root, table = random.Random(3), os.path.join(scratch, "articles"), {}
+    for k in range(4):
+        rows = [art(f"{k}.{j}", f"https://e.com/{rng.randrange(60)}", source=f"s{rng.randrange(4)}", category=f"c{rng.randrange(3)}",
+                    published=rng.choice([None, NOW - dt.timedelta(days=rng.randrange(4))])) for j in range(40)]
+        store.upsert_articles(spark, root, batch(spark, rows), NOW + dt.timedelta(days=k), buckets=3)
+        for title, link, summary, published, source, category, _ in rows:
+            old = table.get(link)
+            table[link] = (title, published, old[2] if old else source, old[3] if old else category, NOW + dt.timedelta(days=k))
+    got = {r["link"]: (r["title"], r["published"], r["source"], r["category"], r["collected_at"])
+           for r in store.read_articles(spark, root).collect()}
+    assert got == table
+    cut = NOW - dt.timedelta(days=1)
+    removed = store.retain_articles(spark, root, NOW, 1)
+    left = {k: v for k, v in table.items() if (v[1] or v[4]) >= cut}
+    assert removed == len(table) - len(left)
+    assert {r["link"] for r in store.read_articles(spark, root).collect()} == set(left)
+    assert store.read_articles(spark, root, since=NOW).count() >= sum((v[1] or v[4]) >= NOW for v in left.values())
 
 
 def test_retain_date_partitions(spark, scratch):

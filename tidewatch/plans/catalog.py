@@ -770,6 +770,33 @@ def q_upsert_articles_broadcast(spark, sf):
     return merged.select(*MERGE_COLS)
 
 
+@register("upsert_articles_stored", ORACLE["upsert_articles"])
+def q_upsert_articles_stored(spark, sf):
+    """The same batch merged into a stored table; the rows of its second version."""
+    root = _result_path(spark, "upserted")
+    STORE.create_table(B.document_articles(spark, sf).withColumn("matched_entities", F.create_map().cast(EMPTY_MAP)), root)
+    STORE.upsert_articles(spark, root, _recollection_batch(spark, sf), RECOLLECT_AT)
+    return STORE.read_articles(spark, root).select(*MERGE_COLS)
+
+
+@register("snapshot_articles", f"""WITH {A}, v AS (
+  SELECT 'snapshot' AS kind, link, title FROM articles
+  UNION ALL SELECT 'newest', link, 're: ' || title FROM articles)
+SELECT kind, link, title FROM v""")
+def q_snapshot_articles(spark, sf):
+    """A snapshot read after every row was replaced and the version it was taken of was dropped."""
+    root, snap = _result_path(spark, "snapped"), _result_path(spark, "snapshots")
+    arts = B.document_articles(spark, sf).withColumn("matched_entities", F.create_map().cast(EMPTY_MAP))
+    STORE.create_table(arts, root)
+    path = STORE.snapshot_articles(spark, root, snap, LOGGED_AT.date())
+    again = arts.withColumn("title", F.concat(F.lit("re: "), F.col("title"))).withColumn("batch_ord", F.lit(0))
+    STORE.upsert_articles(spark, root, again, RECOLLECT_AT)
+    STORE.prune_versions(spark, root, keep=1)
+    parts = (("snapshot", STORE.read_snapshot(spark, path)), ("newest", STORE.read_articles(spark, root)))
+    frames = [f.select(F.lit(kind).alias("kind"), "link", "title") for kind, f in parts]
+    return frames[0].unionByName(frames[1])
+
+
 @register("assert_not_null", f"""WITH {FAULTY}
 SELECT category, source, title, link, category + source + title + link > 0 AS rejected FROM (
   SELECT CAST(count(*) FILTER (WHERE category IS NULL) AS BIGINT) AS category,
@@ -795,7 +822,7 @@ def q_retain_articles(spark, sf):
     """Documents written as a table; retention writes the next version; its rows."""
     root = _result_path(spark, "retained")
     arts = B.document_articles(spark, sf).withColumn("matched_entities", F.create_map().cast(EMPTY_MAP))
-    STORE.write_version(arts.select(*STORE.COLUMNS), root, 1)
+    STORE.create_table(arts, root)
     STORE.retain_articles(spark, root, AS_OF, RETAIN_DAYS)
     return STORE.read_articles(spark, root).select("link", "effective_time")
 
@@ -835,11 +862,12 @@ def q_storage_policy(spark, sf):
     arts = B.document_articles(spark, sf).withColumn("matched_entities", F.create_map().cast(EMPTY_MAP))
     for k in range(3):
         RAW.write_raw_log(spark, arts.filter(F.col("doc_id") % 3 == k), raw, LOGGED_AT - B.dt.timedelta(days=10 * k))
-    STORE.write_version(arts.select(*STORE.COLUMNS), root, 1)
+    STORE.create_table(arts, root)
     done = STORE.storage_policy(spark, root=root, raw_dir=raw, snapshot_root=snap, keep_raw_days=15,
                                 today=LOGGED_AT.date(), snapshot=True)
     logged = RAW.read_raw_log(spark, raw).groupBy(F.lit("raw").alias("kind"), F.col("log_date").cast("string").alias("at"))
-    kept = spark.read.parquet(snap).groupBy(F.lit("snapshot").alias("kind"), F.col("snapshot_date").cast("string").alias("at"))
+    kept = STORE.read_snapshot(spark, done["snapshot_path"]).groupBy(
+        F.lit("snapshot").alias("kind"), F.lit(done["snapshot_path"].rpartition("=")[2]).alias("at"))
     counts = [g.agg(F.count(F.lit(1)).cast("bigint").alias("n")) for g in (logged, kept)]
     removed = spark.createDataFrame([("removed", "raw", done["raw_removed"])], "kind string, at string, n long")
     return counts[0].unionByName(counts[1]).unionByName(removed)

@@ -41,7 +41,7 @@ class RunSettings:
 def _update_index(spark: SparkSession, index_dir: str, docs: DataFrame) -> None:
     """Replace search documents by link and re-index only the touched documents."""
     d_root, p_root = f"{index_dir}/docs", f"{index_dir}/postings"
-    dv, pv = store.versions(spark, d_root), store.versions(spark, p_root)
+    dv, pv = store.folder_versions(spark, d_root), store.folder_versions(spark, p_root)
     if dv:
         cur_docs = spark.read.parquet(f"{d_root}/v={dv[-1]}").select("link", "title", "body")
         cur_post = spark.read.parquet(f"{p_root}/v={pv[-1]}").drop("term_bucket")

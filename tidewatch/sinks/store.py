@@ -1,8 +1,17 @@
 """Versioned Parquet article table: upsert by link, retention, snapshots.
 
-Layout: ``<root>/v=<n>/category=<c>/part-*.parquet``.  Every change writes a complete new
-version next to the old ones and becomes visible when its ``_SUCCESS`` marker exists, so a
-reader never sees a half-written table and a writer never overwrites the path it reads.
+Layout: data files by category, link bucket and effective day, each change in a folder of its
+own (``<root>/data/w=<id>/category=<c>/bucket=<b>/day=<d>/part-*.parquet``), and one manifest
+per version (``<root>/_manifests/<n>.json``) that lists the version's files with their rows.
+Files are never changed.  A change writes new files and then the manifest of the next version,
+which refers to them and to all files that it keeps; moving that manifest to its name is the
+commit.  The move fails if the name is taken, so of two writers that started from the same
+version one wins and the other starts again (on file systems whose rename is atomic, as HDFS's
+is).  A reader never sees a half-written table.
+
+An upsert reads the links of the touched buckets and rewrites only the files that hold one of
+the batch's links.  Retention drops whole days by leaving their files out and rewrites the
+boundary day only.  A snapshot is a manifest; the files that it names outlive their versions.
 Rows are sorted by ``effective_time`` within files, which is stored physically so that
 recency filters are pushed into the Parquet scan (``coalesce`` itself is not pushable).
 
@@ -16,11 +25,15 @@ column rejects the whole batch before anything is written.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.session import checkpoint_dir
 from tidewatch.sources.bindings import effective_time, ts_lit
 
 NOT_NULL = ("category", "source", "title", "link")
@@ -61,7 +74,8 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
+def folder_versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed ``v=<n>`` folders (the search index keeps one per version)."""
     out = []
     for name in list_dirs(spark, root):
         if name.startswith("v=") and name[2:].isdigit() and exists(spark, f"{root}/{name}/_SUCCESS"):
@@ -69,36 +83,176 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
-def current_path(spark: SparkSession, root: str) -> str | None:
-    vs = versions(spark, root)
-    return f"{root}/v={vs[-1]}" if vs else None
+# ---------------------------------------------------------------------------------------------
+# Manifests
+# ---------------------------------------------------------------------------------------------
+
+BUCKET_BYTES = 256 << 20  # text of a new table that one link bucket is meant for
+MAX_FILES = 8            # files of one category, bucket and day before an upsert there joins them
+COMMIT_ATTEMPTS = 5
+
+
+class DataFile(NamedTuple):
+    path: str            # below the table's root
+    bucket: int
+    day: str | None      # effective day of all rows
+    rows: int
+
+    @property
+    def place(self) -> str:
+        """The folder below the change's own: category, bucket and day."""
+        return self.path.split("/", 2)[2].rpartition("/")[0]
+
+
+class Version(NamedTuple):
+    root: str
+    number: int
+    buckets: int
+    files: tuple[DataFile, ...]
+
+    @property
+    def rows(self) -> int:
+        return sum(f.rows for f in self.files)
+
+
+class VersionConflict(RuntimeError):
+    """Another writer committed the version first."""
 
 
-def read_articles(spark: SparkSession, root: str) -> DataFrame | None:
-    path = current_path(spark, root)
-    return spark.read.parquet(path) if path else None
+def _read_manifest(spark: SparkSession, path: str) -> Version:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    head, *files = [json.loads(line) for line in text.splitlines()]
+    return Version(head["root"], head["number"], head["buckets"], tuple(DataFile(*f) for f in files))
+
+
+def _write_manifest(spark: SparkSession, version: Version, path: str) -> None:
+    """Write beside, then move; ``VersionConflict`` if the name is taken."""
+    jvm = spark.sparkContext._jvm
+    folder, _, name = path.rpartition("/")
+    fs, target = _fs(spark, path)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")
+    lines = [json.dumps({"root": version.root, "number": version.number, "buckets": version.buckets})]
+    lines += [json.dumps(f) for f in version.files]
+    stream = fs.create(beside, False)
+    try:
+        stream.write(bytearray("\n".join(lines).encode("utf-8")))
+    finally:
+        stream.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(target).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(beside), fs.makeQualified(target), options)
+    except Py4JJavaError as error:
+        fs.delete(beside, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            raise VersionConflict(path) from None
+        raise
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    fs, p = _fs(spark, folder)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    return _numbers(spark, f"{root}/_manifests")
+
+
+def read_version(spark: SparkSession, root: str, number: int | None = None) -> Version | None:
+    """The files of a version, of the newest if none is given."""
+    known = versions(spark, root)
+    if not known:
+        return None
+    return _read_manifest(spark, f"{root}/_manifests/{known[-1] if number is None else number}.json")
+
 
+def commit(spark: SparkSession, version: Version) -> Version:
+    """Make ``version`` the table's newest; ``VersionConflict`` if its number is taken."""
+    _write_manifest(spark, version, f"{version.root}/_manifests/{version.number}.json")
+    return version
 
-# Writers per category: a category holding a large share of the rows is written by up to
-# this many tasks (rows are spread by a hash of the link).
-WRITE_SPREAD = 16
 
+TABLE_SCHEMA = ("source string, title string, link string, summary string, published timestamp_ntz, "
+                "collected_at timestamp_ntz, matched_entities map<string,array<string>>, effective_time timestamp_ntz, "
+                "w string, category string, bucket int, day date")
 
-def write_version(df: DataFrame, root: str, version: int) -> str:
-    path = f"{root}/v={version}"
-    spread = F.pmod(F.xxhash64("link"), F.lit(WRITE_SPREAD))
-    (df.withColumn("effective_time", effective_time(F.col("published"), F.col("collected_at")))
-     .repartition("category", spread).sortWithinPartitions("effective_time")
-     .write.mode("errorifexists").partitionBy("category").parquet(path))
-    return path
+
+def read_files(spark: SparkSession, root: str, files) -> DataFrame:
+    paths = [f"{root}/{f.path}" for f in files]
+    if not paths:
+        return spark.createDataFrame([], TABLE_SCHEMA).drop("w", "bucket", "day")
+    return (spark.read.schema(TABLE_SCHEMA).option("basePath", f"{root}/data").parquet(*paths).drop("w", "bucket", "day"))
+
+
+def read_articles(spark: SparkSession, root: str, since: dt.datetime | None = None) -> DataFrame | None:
+    """The newest version's rows; with ``since`` only the files that may hold rows from then on."""
+    version = read_version(spark, root)
+    if version is None:
+        return None
+    files = version.files if since is None else [f for f in version.files if f.day is None or f.day >= since.date().isoformat()]
+    return read_files(spark, root, files)
+
+
+def link_bucket(link: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(link), F.lit(buckets)).cast("int")
+
+
+def write_files(df: DataFrame, root: str, buckets: int) -> tuple[DataFile, ...]:
+    """Write rows into a folder of their own; they are in no version yet."""
+    spark, change = df.sparkSession, f"data/w={uuid.uuid4().hex}"
+    timed = (df.select(*COLUMNS).withColumn("effective_time", effective_time(F.col("published"), F.col("collected_at")))
+             .withColumn("bucket", link_bucket(F.col("link"), buckets)).withColumn("day", F.to_date("effective_time")))
+    (timed.repartition("category", "bucket", "day").sortWithinPartitions("category", "bucket", "day", "effective_time")
+     .write.mode("errorifexists").partitionBy("category", "bucket", "day").parquet(f"{root}/{change}"))
+    stored = (spark.read.schema(TABLE_SCHEMA).option("basePath", f"{root}/data").parquet(f"{root}/{change}")
+              .groupBy(F.col("_metadata.file_path").alias("path"), "bucket", "day").agg(F.count(F.lit(1)).alias("rows")))
+    # a row per file; the path after the change's folder is as Spark wrote it
+    return tuple(sorted(DataFile(change + "/" + _decoded(r["path"]).split(f"/{change}/", 1)[1], r["bucket"],
+                                 r["day"].isoformat() if r["day"] else None, r["rows"]) for r in stored.collect()))
+
+
+def _decoded(uri: str) -> str:
+    from urllib.parse import unquote, urlsplit
+    return unquote(urlsplit(uri).path)
+
+
+def create_table(df: DataFrame, root: str, buckets: int | None = None) -> Version:
+    """A new table of the rows of ``df``, one per link; ``buckets`` by their size if not given."""
+    buckets = buckets or measure_batch(df).buckets
+    return commit(df.sparkSession, Version(root, 1, buckets, write_files(df, root, buckets)))
 
 
 def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
-    """Drop all but the newest ``keep`` committed versions; returns how many were dropped."""
-    vs = versions(spark, root)
-    old = vs[:-keep] if keep > 0 else vs
-    for v in old:
-        delete(spark, f"{root}/v={v}")
+    """Drop all but the newest ``keep`` versions and the data files that neither they nor a
+    snapshot refer to; returns how many versions were dropped.
+
+    Run it while no other writer is at work: files of a change that is not committed yet are
+    in no manifest.
+    """
+    known = versions(spark, root)
+    old, kept = (known[:-keep], known[-keep:]) if keep > 0 else (known, [])
+    named = {f.path for n in kept for f in read_version(spark, root, n).files}
+    for path in snapshot_manifests(spark, root):
+        named.update(f.path for f in _read_manifest(spark, path).files)
+    for n in old:
+        delete(spark, f"{root}/_manifests/{n}.json")
+    fs, data = _fs(spark, f"{root}/data")
+    if fs.exists(data):
+        found = fs.listFiles(data, True)
+        while found.hasNext():
+            path = found.next().getPath()
+            below = path.toUri().getPath().split(f"{_decoded(data.toUri().getPath())}/", 1)[1]
+            if f"data/{below}" not in named:
+                fs.delete(path, False)
     return len(old)
 
 
@@ -162,6 +316,10 @@ class BatchSize(NamedTuple):
         """Within the limits for broadcasting."""
         return self.rows <= MAX_BROADCAST_BATCH and self.text_bytes <= MAX_BROADCAST_BYTES
 
+    @property
+    def buckets(self) -> int:
+        return max(1, -(-self.text_bytes // BUCKET_BYTES))
+
 
 def measure_batch(batch: DataFrame) -> BatchSize:
     """Rows, text bytes and NULLs in NOT NULL columns, in one aggregate pass."""
@@ -172,33 +330,78 @@ def measure_batch(batch: DataFrame) -> BatchSize:
 
 
 def upsert_articles(spark: SparkSession, root: str, batch: DataFrame, collected_at: dt.datetime,
-                    order: str = "batch_ord") -> str | None:
-    """Merge ``batch`` into the table at ``root``; returns the new version path (None if empty)."""
+                    order: str = "batch_ord", buckets: int | None = None) -> Version | None:
+    """Merge ``batch`` into the table at ``root``; returns the new version (None if the batch is empty).
+
+    A table that does not exist is created with ``buckets`` link buckets, by the batch's size if
+    not given; a table that is meant to grow large should be given its number.
+
+    If another writer commits first, the merge is done again on that writer's version.
+    """
     size = measure_batch(batch)
     if size.rows == 0:
         return None
     if size.nulls:
         raise ValueError(f"NOT NULL constraint violated, batch rejected: {size.nulls}")
-    vs = versions(spark, root)
-    current = spark.read.parquet(f"{root}/v={vs[-1]}") if vs else None
-    merged = merge_articles(current, batch, collected_at, order, broadcast_batch=size.small)
-    return write_version(merged, root, (vs[-1] + 1) if vs else 1)
+    checkpoint_dir(spark)
+    batch = batch.checkpoint(eager=True)  # read for its links and for the merge
+    for attempt in range(COMMIT_ATTEMPTS):
+        base = read_version(spark, root) or Version(root, 0, buckets or size.buckets, ())
+        try:
+            return _merge_into(spark, base, batch, collected_at, order, size.small)
+        except VersionConflict:
+            if attempt + 1 == COMMIT_ATTEMPTS:
+                raise
+
+
+def _merge_into(spark: SparkSession, base: Version, batch: DataFrame, collected_at: dt.datetime, order: str,
+                small: bool) -> Version:
+    links = batch.select("link").distinct()
+    touched = {r[0] for r in links.select(link_bucket(F.col("link"), base.buckets).alias("b")).distinct().collect()}
+    hit = files_with_links(spark, base, [f for f in base.files if f.bucket in touched], links, small)
+    places: dict[str, list[DataFile]] = {}
+    for f in base.files:
+        if f.bucket in touched:
+            places.setdefault(f.place, []).append(f)
+    crowded = {f.path for fs in places.values() if len(fs) >= MAX_FILES for f in fs}
+    rewritten = [f for f in base.files if f.path in hit or f.path in crowded]
+    current = read_files(spark, base.root, rewritten) if rewritten else None
+    added = write_files(merge_articles(current, batch, collected_at, order, broadcast_batch=small), base.root, base.buckets)
+    gone = {f.path for f in rewritten}
+    return commit(spark, base._replace(number=base.number + 1, files=tuple(f for f in base.files if f.path not in gone) + added))
+
+
+def files_with_links(spark: SparkSession, base: Version, files: list[DataFile], links: DataFrame, small: bool) -> set[str]:
+    """Paths of the files that hold one of ``links``; only their link columns are read."""
+    if not files:
+        return set()
+    stored = spark.read.schema("link string").parquet(*[f"{base.root}/{f.path}" for f in files]).select(
+        "link", F.col("_metadata.file_path").alias("path"))
+    found = stored.join(F.broadcast(links) if small else links, "link", "left_semi").select("path").distinct()
+    return {"data/w=" + _decoded(r["path"]).rpartition("/data/w=")[2] for r in found.collect()}
 
 
 def retain_articles(spark: SparkSession, root: str, as_of: dt.datetime, days: int) -> int:
     """Delete rows whose effective time is strictly before ``as_of - days``; returns the count.
 
-    One data pass writes the new version; both counts come from Parquet metadata.
+    Older days are left out of the next version unread; only the boundary day is rewritten.
     """
-    vs = versions(spark, root)
-    if not vs:
+    base = read_version(spark, root)
+    if base is None:
         return 0
-    cur = spark.read.parquet(f"{root}/v={vs[-1]}")
-    cutoff = ts_lit(as_of - dt.timedelta(days=days))
-    before = cur.count()
-    kept = cur.filter(~(F.col("effective_time") < cutoff) | F.col("effective_time").isNull())
-    path = write_version(kept.drop("effective_time").select(*COLUMNS), root, vs[-1] + 1)
-    return before - spark.read.parquet(path).count()
+    cutoff = as_of - dt.timedelta(days=days)
+    day = cutoff.date().isoformat()
+    boundary = [f for f in base.files if f.day == day]
+    kept = [f for f in base.files if f.day is None or f.day > day]
+    late = ~(F.col("effective_time") < ts_lit(cutoff))
+    rest = tuple(boundary)
+    if boundary and read_files(spark, root, boundary).filter(~late).limit(1).count():
+        rest = write_files(read_files(spark, root, boundary).filter(late), root, base.buckets)
+    after = base._replace(number=base.number + 1, files=tuple(kept) + rest)
+    if after.files == base.files or after.rows == base.rows:
+        return 0
+    commit(spark, after)
+    return base.rows - after.rows
 
 
 def expired_rows(articles: DataFrame, as_of: dt.datetime, days: int) -> DataFrame:
@@ -209,14 +412,42 @@ def expired_rows(articles: DataFrame, as_of: dt.datetime, days: int) -> DataFram
 
 def snapshot_articles(spark: SparkSession, root: str, snapshot_root: str,
                       snapshot_date: dt.date) -> str | None:
-    """Copy the current version to ``snapshot_root/snapshot_date=<date>``; None when no table."""
-    cur = read_articles(spark, root)
-    if cur is None:
+    """Write the newest version's manifest to ``snapshot_root/snapshot_date=<date>``; None when no table.
+
+    No data file is written.  The table remembers the snapshot's place and keeps its files
+    until the snapshot is deleted; a snapshot of the same date is replaced.
+    """
+    version = read_version(spark, root)
+    if version is None:
         return None
-    (cur.withColumn("snapshot_date", F.lit(snapshot_date.isoformat()))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("snapshot_date").parquet(snapshot_root))
-    return f"{snapshot_root}/snapshot_date={snapshot_date.isoformat()}"
+    folder = f"{snapshot_root}/snapshot_date={snapshot_date.isoformat()}"
+    delete(spark, f"{folder}/manifest.json")
+    _write_manifest(spark, version, f"{folder}/manifest.json")
+    fs, note = _fs(spark, f"{root}/_snapshots/{uuid.uuid4().hex}")
+    if f"{folder}/manifest.json" not in snapshot_manifests(spark, root):
+        stream = fs.create(note, False)
+        stream.write(bytearray(f"{folder}/manifest.json".encode("utf-8")))
+        stream.close()
+    return folder
+
+
+def snapshot_manifests(spark: SparkSession, root: str) -> list[str]:
+    """The manifests of the table's snapshots that still exist."""
+    fs, folder = _fs(spark, f"{root}/_snapshots")
+    out = []
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        stream = fs.open(status.getPath())
+        path = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        if exists(spark, path):
+            out.append(path)
+    return out
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a snapshot, given its folder."""
+    version = _read_manifest(spark, f"{path}/manifest.json")
+    return read_files(spark, version.root, version.files)
 
 
 def retain_date_partitions(spark: SparkSession, base: str, keep_days: int, today: dt.date,
