@@ -5,10 +5,10 @@ from tidewatch.llm import embedding_dedup as E
 
 
 def brute(rows, limit=0.95):
-    good = [i for i, (v, e) in enumerate(rows) if v is not None and e is not None and len(e) == 8
+    good = [i for i, (v, e) in enumerate(rows) if v is not None and e is not None and len(e) > 0
             and all(x is not None and np.isfinite(x) for x in e) and any(x != 0 for x in e)]
     unit = {i: np.array(rows[i][1], float) / np.linalg.norm(np.array(rows[i][1], float)) for i in good}
-    near = {i: [j for j in good if j != i and unit[i] @ unit[j] >= limit] for i in good}
+    near = {i: [j for j in good if j != i and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= limit] for i in good}
     out = []
     for i, (v, _) in enumerate(rows):
         seen, todo = {i}, [i]
@@ -62,12 +62,26 @@ def test_representatives_and_empty_table(spark, vectors):
     assert E.embedding_groups(none).collect() == []
 
 
-def test_a_repeated_id_shares_its_component(spark):
+def test_rows_that_share_an_id_are_vectors_of_their_own(spark):
     e = np.eye(8)
-    rows = [(1, e[0].tolist()), (2, e[1].tolist()), (2, e[0].tolist())]
+    rows = [(1, e[0].tolist()), (2, e[1].tolist()), (2, e[0].tolist()), (5, e[2].tolist()), (5, e[1].tolist()), (6, e[2].tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = sorted(map(tuple, E.embedding_groups(df).collect()))
-    assert got == [(1, 1, 1, True), (2, 0, 2, True), (2, 1, 1, False)] or [r[1] for r in got] == [1, 0, 1]
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (2, 1, 2, True), (5, 1, 2, False), (5, 1, 5, True), (6, 1, 5, False)]
+    assert got == sorted(brute(rows))
+
+
+def test_every_length_has_its_links(spark, vectors, monkeypatch):
+    """Two lengths with cells of their own and several with a few vectors."""
+    rng = np.random.default_rng(9)
+    rows = vectors + [(1000 + i, (rng.normal(size=1) * np.ones(12) + rng.normal(size=12) * 0.5).tolist()) for i in range(300)]
+    rows += [(2000, [1.0, 2.0, 3.0]), (2001, [1.0, 2.0, 3.0]), (2002, [2.0, 4.0, 6.1]), (2003, [1.0, 2.0]), (2004, [1.0, 2.0, 3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(E, "BLOCK_ROWS", 32)
+    got = sorted(map(tuple, E.embedding_groups(df).collect()), key=str)
+    assert got == sorted(brute(rows), key=str)
+    links = {r[0]: r[1] for r in got}
+    assert links[2000] == 2 and links[2003] == links[2004] == 0
 
 
 def test_the_number_of_cells_follows_clusters_and_size():

@@ -1,8 +1,9 @@
 """Embedding near-dedup: spherical k-means cells, blocked cosine products, one row per group.
 
 1. Equal vectors collapse to one node with a count, so copies never meet as pairs.
-2. Spherical k-means, fitted to a bounded sample, gives the cells; their number is the one with
-   the least estimated work (cosines and rows sent).  Every node has its nearest centroid as
+2. Only vectors of one length have a cosine, so each length has cells of its own; a length with
+   few vectors is one cell.  Spherical k-means, fitted to a bounded sample, gives the others'
+   cells; their number is the one with the least estimated work (cosines and rows sent).  Every node has its nearest centroid as
    home.  Cells lose no pair: for a node x with home h, a vector within the angle
    ``a`` (cos a = min_cosine) can have another home c only if
        x.h - x.c <= tan(a) * sqrt(|c - h|^2 - (x.(c - h))^2),
@@ -28,7 +29,8 @@ from tidewatch.llm.shared import connected_components, fresh_name, materialize
 from tidewatch.llm.simhash import merge_labels
 
 MIN_COSINE = 0.95
-SAMPLE = 8192        # vectors that the cells are fitted to, at most
+SAMPLE = 8192        # vectors that the cells of a length are fitted to, at most
+FIT_ROWS = 256       # vectors of a length from which on it has more than one cell
 MAX_CELLS = 1024     # cells; their size, not their number, grows beyond
 ROUNDS = 10
 TRIAL_ROWS = 2048    # sample rows on which numbers of cells are compared (not those of the fit)
@@ -102,30 +104,40 @@ def choose_cells(x: np.ndarray, total: int, min_cosine: float, max_cells: int) -
     return min(cost, key=lambda k: (cost[k], k))
 
 
-def assign_cells(nodes: DataFrame, centroids: np.ndarray, min_cosine: float) -> DataFrame:
-    """One row per node and cell it belongs to: ``cell, guest, rep, h, n, packed``."""
-    shipped = nodes.sparkSession.sparkContext.broadcast(centroids)  # MAX_CELLS rows at most
+def assign_cells(nodes: DataFrame, centroids: dict[int, np.ndarray], min_cosine: float) -> DataFrame:
+    """One row per node and cell it belongs to: ``cell, guest, node, h, n, packed``.
+
+    The cells of the lengths in ``centroids`` are numbered one length after the other; any
+    other length is one cell with its negative as number.
+    """
+    shipped = nodes.sparkSession.sparkContext.broadcast(centroids)  # MAX_CELLS rows a length at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = shipped.value
+        first, at = {}, 0
+        for dim, c in sorted(shipped.value.items()):
+            first[dim], at = at, at + len(c)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
-                raw = _matrix(part.column("vec"), c.shape[1])
-                x = unit_rows(raw.astype(np.float64))
-                home, guest = homes_and_guests(x, c, min_cosine)
-                rows, cells = np.nonzero(guest)
-                at = np.r_[np.arange(len(x)), rows]
-                packed = pa.array([raw[i].tobytes() for i in range(len(raw))], pa.binary())
-                take = pa.array(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.r_[home, cells].astype(np.int32)),
-                     pa.array(np.r_[np.zeros(len(x), bool), np.ones(len(rows), bool)]),
-                     part.column("rep").take(take), part.column("h").take(take), part.column("n").take(take),
-                     packed.take(take)], names=["cell", "guest", "rep", "h", "n", "packed"])
-
-    return nodes.select("rep", "h", "n", "vec").mapInArrow(
-        run, "cell int, guest boolean, rep long, h long, n long, packed binary")
+            dims = batch.column(4).to_numpy()
+            for dim in np.unique(dims).tolist():
+                rows_of = np.flatnonzero(dims == dim)
+                for lo in range(0, len(rows_of), 2048):
+                    part = batch.take(pa.array(rows_of[lo:lo + 2048]))
+                    raw = _matrix(part.column(3), dim)
+                    home, rows, cells = np.full(len(raw), -dim), np.zeros(0, np.int64), np.zeros(0, np.int64)
+                    if dim in first:
+                        home, guest = homes_and_guests(unit_rows(raw.astype(np.float64)), shipped.value[dim], min_cosine)
+                        rows, cells = np.nonzero(guest)
+                        home, cells = home + first[dim], cells + first[dim]
+                    packed = pa.array([raw[i].tobytes() for i in range(len(raw))], pa.binary())
+                    take = pa.array(np.r_[np.arange(len(raw)), rows])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.r_[home, cells].astype(np.int32)),
+                         pa.array(np.r_[np.zeros(len(raw), bool), np.ones(len(rows), bool)]),
+                         part.column(0).take(take), part.column(1).take(take), part.column(2).take(take),
+                         packed.take(take)], names=["cell", "guest", "node", "h", "n", "packed"])
+
+    return nodes.select("node", "h", "n", "vec", "dim").mapInArrow(
+        run, "cell int, guest boolean, node long, h long, n long, packed binary")
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -134,10 +146,10 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def block_links(members: DataFrame, sizes: dict[int, int], min_cosine: float, single: bool) -> DataFrame:
-    """``rep, h, links, root``: per node and block, the rows linked to it and one spanning link."""
+    """``node, links, root``: per node and block, the rows linked to it and one spanning link."""
     kind = np.float32 if single else np.float64
     blocks = {c: -(-n // BLOCK_ROWS) for c, n in sizes.items()}
-    pairs = [F.lit(v) for c, b in blocks.items() if b > 1 for v in (c, b)]  # MAX_CELLS cells at most
+    pairs = [F.lit(v) for c, b in blocks.items() if b > 1 for v in (c, b)]  # cells of over BLOCK_ROWS rows
     in_cell = F.coalesce(F.create_map(*pairs)[F.col("cell")], F.lit(1)) if pairs else F.lit(1)
     own = F.pmod(F.col("h"), F.col("n_blocks")).cast("int")
     last = F.when(F.col("guest"), F.col("n_blocks") - 1).otherwise(own)
@@ -145,8 +157,8 @@ def block_links(members: DataFrame, sizes: dict[int, int], min_cosine: float, si
              .withColumn("home", F.when(~F.col("guest"), own))
              .withColumn("block", F.explode(F.sequence(F.lit(0), last)))
              .withColumn("probe", ~F.coalesce(F.col("home") == F.col("block"), F.lit(False)))
-             .select("cell", "block", "probe", "rep", "h", "n", "packed")
-             .repartition("cell", "block").sortWithinPartitions("cell", "block", "probe", "h", "rep"))
+             .select("cell", "block", "probe", "node", "n", "packed")
+             .repartition("cell", "block").sortWithinPartitions("cell", "block", "probe", "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = None
@@ -161,21 +173,21 @@ def block_links(members: DataFrame, sizes: dict[int, int], min_cosine: float, si
                         yield block.finish()
                     block = _Block(tuple(key[lo]), min_cosine)
                 rows = batch.slice(lo, hi - lo)
-                rep, h, n = (rows.column(i).to_numpy() for i in (3, 4, 5))
-                x = unit_rows(np.frombuffer(b"".join(rows.column(6).to_pylist()), dtype=kind)
+                node, n = (rows.column(i).to_numpy() for i in (3, 4))
+                x = unit_rows(np.frombuffer(b"".join(rows.column(5).to_pylist()), dtype=kind)
                               .reshape(hi - lo, -1).astype(np.float64))
                 if not probe[lo]:
-                    block.hold(rep, h, n, x)
+                    block.hold(node, n, x)
                     continue
                 for at in range(0, len(x), PROBE_ROWS):
                     cut = slice(at, at + PROBE_ROWS)
-                    found = block.probe(rep[cut], h[cut], n[cut], x[cut])
+                    found = block.probe(node[cut], n[cut], x[cut])
                     if found is not None:
                         yield found
         if block is not None:
             yield block.finish()
 
-    return dealt.mapInArrow(run, "rep long, h long, links long, root long")
+    return dealt.mapInArrow(run, "node long, links long, root long")
 
 
 class _Block:
@@ -184,18 +196,18 @@ class _Block:
     def __init__(self, key: tuple, min_cosine: float):
         self.key, self.min_cosine, self.parts, self.x = key, min_cosine, [], None
 
-    def hold(self, rep, h, n, x) -> None:
-        self.parts.append((rep, h, n, x))
+    def hold(self, node, n, x) -> None:
+        self.parts.append((node, n, x))
 
     def close(self) -> None:
         if self.x is not None:
             return
         if not self.parts:  # a cell without home rows in this block
-            self.rep = self.h = self.n = np.zeros(0, np.int64)
+            self.node = self.n = np.zeros(0, np.int64)
             self.x = np.zeros((0, 0))
         else:
-            self.rep, self.h, self.n, self.x = (np.concatenate(c) for c in zip(*self.parts))
-        size = len(self.rep)
+            self.node, self.n, self.x = (np.concatenate(c) for c in zip(*self.parts))
+        size = len(self.node)
         self.links, self.labels = np.zeros(size, np.int64), np.arange(size)
         for lo in range(0, size, PROBE_ROWS):
             i, j = np.nonzero(self.x[lo:lo + PROBE_ROWS] @ self.x.T >= self.min_cosine)
@@ -205,69 +217,71 @@ class _Block:
             self.links += np.bincount(j, weights=self.n[i], minlength=size).astype(np.int64)
             self.labels = merge_labels(self.labels, i, j)
 
-    def probe(self, rep, h, n, x) -> pa.RecordBatch | None:
+    def probe(self, node, n, x) -> pa.RecordBatch | None:
         self.close()
-        if not len(self.rep):
+        if not len(self.node):
             return None
         i, j = np.nonzero(x @ self.x.T >= self.min_cosine)
         if not len(i):
             return None
-        self.links += np.bincount(j, weights=n[i], minlength=len(self.rep)).astype(np.int64)
-        links = np.bincount(i, weights=self.n[j], minlength=len(rep)).astype(np.int64)
+        self.links += np.bincount(j, weights=n[i], minlength=len(self.node)).astype(np.int64)
+        links = np.bincount(i, weights=self.n[j], minlength=len(node)).astype(np.int64)
         hit, first = np.unique(i, return_index=True)
-        anchor = np.zeros(len(rep), np.int64)
+        anchor = np.zeros(len(node), np.int64)
         anchor[hit] = j[first]
         self.labels = merge_labels(self.labels, j, anchor[i])  # all anchors of a probe are one set
-        return _links_batch(rep[hit], h[hit], links[hit], self.rep[anchor[hit]])
+        return _links_batch(node[hit], links[hit], self.node[anchor[hit]])
 
     def finish(self) -> pa.RecordBatch:
         self.close()
         hit = np.flatnonzero((self.links > 0) | (self.labels != np.arange(len(self.labels))))
-        return _links_batch(self.rep[hit], self.h[hit], self.links[hit], self.rep[self.labels[hit]])
+        return _links_batch(self.node[hit], self.links[hit], self.node[self.labels[hit]])
 
 
 def _links_batch(*columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns],
-                                      names=["rep", "h", "links", "root"])
+                                      names=["node", "links", "root"])
 
 
 def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                      min_cosine: float = MIN_COSINE, sample: int = SAMPLE, max_cells: int = MAX_CELLS) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, one row per input row.
 
-    Vectors that are null, empty, zero or hold null or non-finite components, vectors whose
-    length is not the table's most frequent one, and rows without id link with nothing: no
-    links, ``component_id`` is the own id, ``kept`` is true if there is one.  Rows that repeat
-    a vector are linked copies; rows that share an id share its component.  Other input
-    columns are ignored.
+    Vectors that are null, empty, zero or hold null or non-finite components and rows without
+    id link with nothing: no links, ``component_id`` is the own id, ``kept`` is true if there is
+    one.  Vectors of different lengths never link.  Rows that repeat a vector are linked copies;
+    rows that share an id are vectors of their own, each with its own links and component.
+    Other input columns are ignored.
     """
     kind = vectors.schema[vec_col].dataType.elementType.simpleString()
     single = kind == "float"
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                           F.col(vec_col).cast("array<float>" if single else "array<double>").alias("vec"))
     good = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vec")))
-    top = good.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                        F.col("vec_id").isNotNull().alias("kept"))
-    if top is None:
-        return alone
-    dim = top["dim"]
     nodes = materialize(
-        good.where(F.size("vec") == dim).groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-        .withColumn("h", F.xxhash64("vec")), "vectors")
-    total = nodes.count()
-    picked = nodes.orderBy("h", "rep").limit(sample).select("vec").toArrow()  # bounded sample for the cells
-    x = unit_rows(_matrix(picked.column("vec").combine_chunks(), dim).astype(np.float64))
-    cells = choose_cells(x, total, min_cosine, max_cells)
-    members = materialize(assign_cells(nodes, spherical_kmeans(x, cells), min_cosine), "cells")
+        good.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+        .withColumn("h", F.xxhash64("vec")).withColumn("dim", F.size("vec"))
+        .withColumn("node", F.monotonically_increasing_id()), "vectors")  # stored, so it names the vector for all readers
+    lengths = dict(nodes.groupBy("dim").count().collect())  # two numbers per length
+    centroids = {}
+    for dim, total in sorted(lengths.items()):
+        if total < FIT_ROWS:
+            continue
+        picked = nodes.where(F.col("dim") == dim).orderBy("h", "vec").limit(sample).select("vec").toArrow()  # bounded
+        x = unit_rows(_matrix(picked.column("vec").combine_chunks(), dim).astype(np.float64))
+        centroids[dim] = spherical_kmeans(x, choose_cells(x, total, min_cosine, max_cells))
+    members = materialize(assign_cells(nodes, centroids, min_cosine), "cells")
     sizes = dict(members.where("not guest").groupBy("cell").count().collect())  # one row per cell
     found = materialize(block_links(members, sizes, min_cosine, single), "vector-links")
 
-    counts = found.groupBy("rep", "h").agg(F.sum("links").alias("links"))
-    groups = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    known = (nodes.join(counts, ["rep", "h"], "left").join(groups, F.col("rep") == F.col("node"), "left")
+    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+    groups = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    linked_reps = materialize(nodes.select("node", "rep").join(groups, "node"), "vector-groups")
+    smallest = linked_reps.groupBy("root").agg(F.min("rep").alias("component_id"))
+    linked_reps = linked_reps.select("node", "root").join(smallest, "root").select("node", "component_id")
+    known = (nodes.join(counts, "node", "left").join(linked_reps, "node", "left")
              .select(F.col("vec").alias("same"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                     F.coalesce("root", "rep").alias("component_id")))
+                     F.coalesce("component_id", "rep").alias("component_id")))
     known = materialize(known, "vector-groups")
     linked = (rows.join(known, F.when(F.col("vec_id").isNotNull(), F.col("vec")) == F.col("same"), "left")
               .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

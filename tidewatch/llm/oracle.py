@@ -34,20 +34,18 @@ WITH RECURSIVE v AS (
 ok AS (
   SELECT * FROM v WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(e, lambda x: x <> 0)) > 0),
-dim AS (SELECT len(e) AS d FROM ok GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
-n AS (SELECT * FROM ok WHERE len(e) = (SELECT d FROM dim)),
 links AS (
-  SELECT a.r AS ra, a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.r <> b.r
+  SELECT a.r AS ra, b.r AS rb FROM ok a JOIN ok b ON a.r <> b.r AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
-reach(a, b) AS (
-  SELECT DISTINCT a, b FROM links
+reach(ra, rb) AS (
+  SELECT ra, rb FROM links
   UNION
-  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
-low AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+  SELECT reach.ra, links.rb FROM reach JOIN links ON reach.rb = links.ra),
+low AS (SELECT ra, min(vec_id) AS m FROM reach JOIN v ON v.r = rb GROUP BY ra),
 deg AS (SELECT ra, count(*) AS k FROM links GROUP BY ra)
 SELECT v.vec_id, coalesce(deg.k, 0)::BIGINT AS n_links, coalesce(least(low.m, v.vec_id), v.vec_id) AS component_id,
        coalesce(v.vec_id = coalesce(least(low.m, v.vec_id), v.vec_id), false) AS kept
-FROM v LEFT JOIN deg ON v.r = deg.ra LEFT JOIN low ON v.vec_id = low.a
+FROM v LEFT JOIN deg ON v.r = deg.ra LEFT JOIN low ON v.r = low.ra
 """
 
 MIX_SQL = f"""
