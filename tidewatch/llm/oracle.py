@@ -120,9 +120,12 @@ def license_sql() -> str:
         same = " AND ".join(f"w[i + {k + 1}] = '{p}'" for k, p in enumerate(parts))
         return f"list_filter(range(greatest(len(w) - {len(parts) - 1}, 0)), lambda i: {same})"
 
+    def texts(words: list[str]) -> str:
+        return f"[{', '.join(repr(w) for w in words)}]::VARCHAR[]"
+
     templates = ", ".join(
-        f"({i}, '{label}', [{', '.join(repr(w) for w in sorted(set(t.split())))}])"
-        for i, (label, t) in enumerate(license_scan.TEMPLATES))
+        f"('{label}', {texts(sorted(set(t.split())))}, {len(t.split())}, {texts(required.split())}, {texts(excluding.split())})"
+        for label, t, required, excluding in license_scan.TEMPLATES)
     phrases = license_scan.PHRASES
     p_cols = ", ".join(f"{starts(p)} AS p{i}" for i, (_, p) in enumerate(phrases))
     all_p = " || ".join(f"p{i}" for i in range(len(phrases)))
@@ -132,11 +135,19 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''
 w AS (SELECT r, doc_id, t, {words('t')} AS w FROM d),
 p AS (SELECT r, doc_id, w, {p_cols} FROM w),
 q AS (SELECT r, doc_id, len(w) AS n_words, {all_p} AS places, list_filter([{base}], lambda x: x IS NOT NULL) AS own FROM p),
-tpl(i, label, words) AS (VALUES {templates}),
-line AS (SELECT r, {words('line')} AS lw FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
+tpl(label, words, size, required, excluding) AS (VALUES {templates}),
+may AS (
+  SELECT r, w, label, words, size, required, excluding, ceil({license_scan.MIN_CONTAINMENT} * len(words) - 1e-9) AS need
+  FROM (SELECT r, w, list_distinct(w) AS dw FROM w) JOIN tpl
+    ON len(list_intersect(dw, words)) >= ceil({license_scan.MIN_CONTAINMENT} * len(words) - 1e-9)),
+win AS (
+  SELECT r, label, words, need, required, excluding, list_distinct(w[s + 1:s + size]) AS held,
+         w[greatest(s - {license_scan.NEAR}, 0) + 1:s + size + {license_scan.NEAR}] AS near
+  FROM (SELECT *, unnest(range(0, len(w))) AS s FROM may)),
 hit AS (
-  SELECT r, label, len(list_intersect(lw, words))::DOUBLE / len(words) AS share FROM line CROSS JOIN tpl
-  WHERE len(list_intersect(lw, words)) >= ceil({license_scan.MIN_CONTAINMENT} * len(words) - 1e-9)),
+  SELECT r, label, len(list_intersect(held, words))::DOUBLE / len(words) AS share FROM win
+  WHERE len(list_intersect(held, words)) >= need AND len(list_intersect(held, required)) = len(required)
+    AND NOT list_has_any(near, excluding)),
 best AS (SELECT r, list(DISTINCT label) AS found, max(share) AS share FROM hit GROUP BY r)
 SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word,
        list_max(places)::BIGINT AS last_word, array_to_string(list_sort(list_distinct(own)), ',') AS base_labels,
