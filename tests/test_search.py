@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import search as FTS
+from tidewatch.operators import index_upkeep as U
 from tidewatch.operators.index_upkeep import maintain_postings, upsert_documents
 from tidewatch.plans.search_plan import search_documents
+from tidewatch.sinks import store
 from tidewatch.sources import bindings as B
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 
 DOCS = [("https://e.com/1", "Modern art today", "A review of modern art and design."),
         ("https://e.com/2", "Ancient art", "Pottery and sculpture from ancient times."),
@@ -112,3 +114,79 @@ def test_persisted_index_prunes_buckets(spark, scratch):
     plan = top._jdf.queryExecution().executedPlan().toString()
     import re
     assert re.search(r"PartitionFilters: \[[^\]]*term_bucket#\d+ = \d+", plan)
+
+
+@pytest.mark.parametrize("mode", ["all", "any"])
+def test_block_maxima_keep_the_ranks_and_skip_blocks(spark, scratch, mode):
+    arts = B.document_articles(spark, SF_MID).select("link", "title", F.col("summary").alias("body"))
+    FTS.write_index(arts, scratch + "/idx", buckets=4, block_docs=4)
+    post, _ = FTS.read_index(spark, scratch + "/idx")
+    blocks, stats = FTS.read_blocks(spark, scratch + "/idx"), FTS.read_stats(spark, scratch + "/idx")
+    for query in ("the and", "que el", "the und", "nowhere the"):
+        terms, read = FTS.query_terms(query), {}
+        for k in (1, 20, 5000):
+            want = FTS.bm25_topk(post, stats, terms, k, mode=mode, buckets=4).collect()
+            got, seen = FTS.bm25_topk_blocks(post, blocks, stats, terms, k, mode=mode, buckets=4, first_blocks=4)
+            got = got.collect()
+            assert [r["link"] for r in got] == [r["link"] for r in want], (query, k)
+            assert all(a["rank"] == pytest.approx(b["rank"], rel=1e-12) for a, b in zip(got, want))
+            read[k] = seen["read"]
+        if mode == "any" or query in ("the and", "que el"):
+            assert read[1] <= read[20] <= read[5000] <= seen["blocks"] and read[1] < 0.5 * seen["blocks"], (query, read)
+
+
+def test_prefix_opens_only_the_buckets_of_its_terms(spark, scratch):
+    import re
+    FTS.write_index(docs(spark), scratch + "/idx", buckets=16)
+    post, _ = FTS.read_index(spark, scratch + "/idx")
+    lexicon = FTS.read_lexicon(spark, scratch + "/idx")
+    assert lexicon.count() == post.select("term").distinct().count()
+    for prefix in ("mod", "a", "zz", "sculp"):
+        got = FTS.fts_prefix(post, prefix, lexicon=lexicon)
+        assert {r["link"] for r in got.collect()} == {r["link"] for r in FTS.fts_prefix(post, prefix).collect()}
+    plan = FTS.fts_prefix(post, "sculp", lexicon=lexicon)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*term_bucket#\d+ = \d+", plan)
+
+
+def test_lengths_are_token_counts(spark):
+    arts = B.document_articles(spark, SF_SMALL).select("link", "title", F.col("summary").alias("body"))
+    n = arts.select("link", FTS.token_counts("title", "body").alias("n"))
+    assert n.join(FTS.doc_stats(arts), "link").filter("n <> dl").count() == 0
+
+
+def files_under(root):
+    import os
+    return {os.path.join(d, f): open(os.path.join(d, f), "rb").read() for d, _, fs in os.walk(root) for f in fs}
+
+
+def test_index_segments_equal_a_rebuilt_index(spark, scratch):
+    """Batches that replace, repeat and add documents; merging on the way; one consistent reader."""
+    import random
+    rng, root, held = random.Random(4), scratch + "/segments", {}
+    early = None
+    for k in range(7):
+        rows = [(f"https://e.com/{i}", f"Title {k} {i % 3}", " ".join(rng.choice(["modern", "art", "tide", "Lamp"])
+                 for _ in range(rng.randint(0, 9)))) for i in rng.sample(range(30), 12 if k else 25)]
+        before = files_under(root)
+        index = U.update_index(spark, root, docs(spark, rows))
+        held.update({r[0]: r for r in rows})
+        after = files_under(root)
+        assert all(after[p] == c for p, c in before.items())  # nothing that was written is changed
+        early = early or index
+    assert len(index.segments) < 7 and U.read_manifest(spark, root) == index
+    post, stored, stats = U.read_segments(spark, index)
+    assert sorted(map(tuple, stored.select("link", "title", "body").collect())) == sorted(held.values())
+    rebuilt = docs(spark, list(held.values()))
+    key = ["term", "link", "col", "tf", "dl"]
+    assert sorted(map(tuple, post.select(key).collect())) == sorted(map(tuple, FTS.fts_postings(rebuilt).select(key).collect()))
+    want = FTS.doc_stats(rebuilt).agg(F.count(F.lit(1)), F.avg("dl")).first()
+    assert tuple(stats.first()) == pytest.approx(tuple(want))
+    for query in ("modern art", "tide"):
+        terms = FTS.query_terms(query)
+        got = FTS.bm25_topk(post, stats, terms, 10, buckets=FTS.DEFAULT_BUCKETS).collect()
+        assert [r["link"] for r in got] == [link for link, _ in ours(spark, rebuilt, query, 10)]
+    # a reader that holds an early manifest still reads that index
+    assert U.read_segments(spark, early)[1].count() == 25
+    assert U.update_index(spark, root, docs(spark, [])) == index
+    with pytest.raises(store.VersionConflict):
+        U._commit(spark, index)

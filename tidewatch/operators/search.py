@@ -5,7 +5,11 @@ Index layout.  ``fts_postings`` emits one row per (term, link, column) with the
 positions; every row carries the document length, so scoring needs no join back to the
 documents.  A persisted index is partitioned by ``term_bucket = pmod(xxhash64(term), B)``;
 a query's term filter turns into a constant bucket predicate and prunes partitions, so a
-query reads only its terms' postings instead of the corpus.
+query reads only its terms' postings instead of the corpus.  Three small tables go with it:
+the statistics, the lexicon (terms in order, with their buckets: a prefix is a range of it),
+and the block maxima: documents are dealt to blocks by length class and hash, postings are
+sorted by term and block, and each (term, block) has its largest impact, so a top-k query
+bounds every block before it reads any and skips those that cannot reach the k-th score.
 
 BM25 (k1 = 1.2, b = 0.75, both columns weight 1): ``idf = ln((N - n + 0.5) / (n + 0.5))``
 floored at 1e-6, ``rank = -sum(idf * f * (k1 + 1) / (f + k1 * (1 - b + b * D / avgD)))``,
@@ -26,6 +30,10 @@ IDF_FLOOR = 1e-6
 SNIPPET_TOKENS = 32
 SNIPPET_OPEN, SNIPPET_CLOSE, SNIPPET_ELLIPSIS = "<b>", "</b>", "..."
 DEFAULT_BUCKETS = 64
+BLOCK_DOCS = 512          # documents of a block, about
+LENGTH_CLASSES = 8        # length classes that most documents fall into, about
+FIRST_BLOCKS = 16         # blocks that a top-k query reads first,
+BLOCK_GROWTH = 4          # and how many times more in each next round
 # -------------------------------------------------------------------------------------------
 
 
@@ -93,31 +101,74 @@ def term_bucket(term: Column, buckets: int = DEFAULT_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def doc_block(dl: Column, key: Column, slots: Column) -> Column:
+    """Block of a document: its length class (half octaves) and one of ``slots`` hash places.
+    Documents of like length have like impacts, which keeps a block's maxima close to them."""
+    return F.floor(F.log2(dl + 1) * 2) * (1 << 32) + F.pmod(F.xxhash64(F.lit("block"), key), slots)
+
+
 def write_postings(postings: DataFrame, path: str, key: str = "link", buckets: int = DEFAULT_BUCKETS,
-                   mode: str = "overwrite") -> None:
-    """Postings in the index layout: partitioned by term bucket, sorted by term inside files."""
-    post = postings.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+                   mode: str = "overwrite", slots: int = 1) -> None:
+    """Postings in the index layout: partitioned by term bucket, sorted by term and block inside files."""
+    post = (postings.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+            .withColumn("doc_block", doc_block(F.col("dl"), F.col(key), F.lit(slots))))
     # the rebalance splits a bucket that holds stop words over several writers
-    (post.hint("rebalance", F.col("term_bucket")).sortWithinPartitions("term_bucket", "term", key)
+    (post.hint("rebalance", F.col("term_bucket")).sortWithinPartitions("term_bucket", "term", "doc_block", key)
      .write.mode(mode).partitionBy("term_bucket").parquet(path))
 
 
+def token_counts(title: str, body: str) -> Column:
+    """Number of tokens of both columns, without building them."""
+    from tidewatch.functions.text import TOKEN_PATTERN, fts_fold
+    return sum((F.regexp_count(fts_fold(F.coalesce(F.col(c), F.lit(""))), F.lit(TOKEN_PATTERN)) for c in (title, body)),
+               F.lit(0)).cast("bigint")
+
+
 def write_documents(docs: DataFrame, path: str, key: str = "link", title: str = "title", body: str = "body",
                     buckets: int = DEFAULT_BUCKETS, mode: str = "overwrite") -> None:
     """Search documents with their length, partitioned by a hash of the key."""
-    lengths = with_tokens(docs.select(key, title, body), title, body).select(key, title, body, "dl")
+    lengths = docs.select(key, title, body, token_counts(title, body).alias("dl"))
     (lengths.withColumn("doc_bucket", term_bucket(F.col(key), buckets)).hint("rebalance", F.col("doc_bucket"))
      .sortWithinPartitions("doc_bucket", key).write.mode(mode).partitionBy("doc_bucket").parquet(path))
 
 
+def impact(f: Column, dl: Column, avg_dl: Column) -> Column:
+    """A term's part of a document's score, without its idf."""
+    return f * (K1 + 1) / (f + K1 * (1 - B + B * dl / avg_dl))
+
+
+def block_maxima(postings: DataFrame, avg_dl: Column, key: str = "link") -> DataFrame:
+    """``(term_bucket, term, doc_block, top, docs)``: largest impact and number of documents."""
+    per_doc = postings.groupBy("term_bucket", "term", "doc_block", key).agg(F.sum("tf").alias("f"), F.max("dl").alias("dl"))
+    return per_doc.groupBy("term_bucket", "term", "doc_block").agg(
+        F.max(impact(F.col("f"), F.col("dl"), avg_dl)).alias("top"), F.count(F.lit(1)).alias("docs"))
+
+
 def write_index(docs: DataFrame, path: str, key: str = "link", title: str = "title",
-                body: str = "body", buckets: int = DEFAULT_BUCKETS, mode: str = "overwrite") -> None:
-    """Persist postings, documents and the corpus statistics (one row)."""
-    write_postings(fts_postings(docs, key, title, body), f"{path}/postings", key, buckets, mode)
+                body: str = "body", buckets: int = DEFAULT_BUCKETS, mode: str = "overwrite",
+                block_docs: int = BLOCK_DOCS) -> None:
+    """Persist documents, the corpus statistics (one row), postings, block maxima and lexicon."""
+    spark = docs.sparkSession
     write_documents(docs, f"{path}/docs", key, title, body, buckets, mode)
-    stored = docs.sparkSession.read.parquet(f"{path}/docs")
-    stored.agg(F.count(F.lit(1)).cast("double").alias("n_docs"), F.avg("dl").alias("avg_dl")).write.mode(mode).parquet(
-        f"{path}/stats")
+    stored = spark.read.parquet(f"{path}/docs")
+    slots = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / (block_docs * LENGTH_CLASSES))).cast("int")
+    stored.agg(F.count(F.lit(1)).cast("double").alias("n_docs"), F.avg("dl").alias("avg_dl"), slots.alias("slots")) \
+        .write.mode(mode).parquet(f"{path}/stats")
+    stats = read_stats(spark, path)
+    write_postings(fts_postings(docs, key, title, body), f"{path}/postings", key, buckets, mode, stats.first()["slots"])
+    (block_maxima(spark.read.parquet(f"{path}/postings"), corpus_stats(stats)[1], key)
+     .hint("rebalance", F.col("term_bucket")).sortWithinPartitions("term_bucket", "term")
+     .write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/blocks"))
+    (spark.read.parquet(f"{path}/blocks").groupBy("term", "term_bucket").agg(F.sum("docs").alias("docs"))
+     .repartitionByRange("term").sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/lexicon"))
+
+
+def read_blocks(spark, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/blocks")
+
+
+def read_lexicon(spark, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/lexicon")
 
 
 def read_index(spark, path: str) -> tuple[DataFrame, DataFrame]:
@@ -197,6 +248,64 @@ def bm25_topk(postings: DataFrame, stats: DataFrame, terms: list[str], limit: in
     return scored.orderBy(F.asc("rank"), F.asc(key)).limit(limit)
 
 
+def bm25_topk_blocks(postings: DataFrame, blocks: DataFrame, stats: DataFrame, terms: list[str], limit: int = 20,
+                     key: str = "link", mode: str = "all", buckets: int | None = None,
+                     first_blocks: int = FIRST_BLOCKS) -> tuple[DataFrame, dict]:
+    """``bm25_topk`` that reads only blocks of documents that can hold a result, and what it read.
+
+    The block maxima bound every block's best score.  Blocks are read from the largest bound
+    on, in rounds that grow; the ``limit``-th best score so far is a threshold, and no block
+    whose bound is below it is read.  The same ranks as ``bm25_topk``; the dictionary has
+    ``blocks`` and ``read``.
+    """
+    from tidewatch.session import checkpoint_dir
+    n_docs, avg_dl = corpus_stats(stats)
+    mine = postings_for(blocks, terms, buckets)
+    df = {r["term"]: r["n"] for r in mine.groupBy("term").agg(F.sum("docs").alias("n")).collect()} if terms else {}
+    empty = postings.select(key, F.lit(0.0).alias("rank"), F.lit(0).cast("bigint").alias("matched_terms")).limit(0)
+    if limit <= 0 or not df or (mode == "all" and len(df) < len(terms)):
+        return empty, {"blocks": 0, "read": 0}
+    idf_of = F.create_map(*[F.lit(v) for t, n in sorted(df.items()) for v in (t, idf_value(stats.first()["n_docs"], n))])
+    bounds = mine.groupBy("doc_block").agg(F.sum(idf_of[F.col("term")] * F.col("top")).alias("bound"), F.count(F.lit(1)).alias("held"))
+    if mode == "all":
+        bounds = bounds.filter(F.col("held") == len(terms))
+    checkpoint_dir(bounds.sparkSession)
+    bounds = bounds.select("doc_block", "bound").checkpoint(eager=True)
+    total = bounds.count()
+
+    def scored(chosen: DataFrame) -> DataFrame:
+        hits = postings_for(postings, terms, buckets).join(chosen.select("doc_block"), "doc_block", "left_semi")
+        per_doc = hits.groupBy(key, "term").agg(F.sum("tf").alias("f"), F.max("dl").alias("dl"))
+        part = idf_of[F.col("term")] * impact(F.col("f"), F.col("dl"), avg_dl)
+        out = per_doc.groupBy(key).agg((-F.sum(part)).alias("rank"), F.count(F.lit(1)).alias("matched_terms"))
+        if mode == "all":
+            out = out.filter(F.col("matched_terms") == len(terms))
+        return out.orderBy(F.asc("rank"), F.asc(key)).limit(limit)
+
+    best, threshold, last, read = None, None, None, 0
+    while True:
+        left = bounds
+        if last is not None:  # behind the blocks read so far
+            left = left.filter((F.col("bound") < last["bound"])
+                               | ((F.col("bound") == last["bound"]) & (F.col("doc_block") > last["doc_block"])))
+        if threshold is not None:  # a tie counts; sums may differ in the last digits
+            left = left.filter(F.col("bound") * (1 + 1e-9) >= threshold)
+        chosen = left.orderBy(F.desc("bound"), F.asc("doc_block")).limit(first_blocks).checkpoint(eager=True)
+        seen = chosen.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(-F.col("bound"), F.col("doc_block"))).alias("end")).first()
+        if seen["n"] == 0:
+            break
+        read += seen["n"]
+        last = {"bound": -seen["end"][0], "doc_block": seen["end"][1]}
+        top = scored(chosen) if best is None else best.unionByName(scored(chosen)).orderBy(F.asc("rank"), F.asc(key)).limit(limit)
+        best = top.checkpoint(eager=True)  # at most ``limit`` rows
+        found = best.agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("worst")).first()
+        if seen["n"] < first_blocks:
+            break
+        threshold = -found["worst"] if found["n"] == limit else None
+        first_blocks *= BLOCK_GROWTH
+    return empty if best is None else best, {"blocks": total, "read": read}
+
+
 def fts_match_all(postings: DataFrame, terms: list[str], key: str = "link", buckets: int | None = None) -> DataFrame:
     """Documents containing every term (in any column)."""
     return (postings_for(postings, terms, buckets).groupBy(key)
@@ -207,9 +316,17 @@ def fts_any(postings: DataFrame, terms: list[str], key: str = "link", buckets: i
     return postings_for(postings, terms, buckets).select(key).distinct()
 
 
-def fts_prefix(postings: DataFrame, prefix: str, key: str = "link") -> DataFrame:
-    """Documents with a token starting with ``prefix``."""
-    return postings.filter(F.col("term").startswith(prefix)).select(key).distinct()
+def fts_prefix(postings: DataFrame, prefix: str, key: str = "link", lexicon: DataFrame | None = None) -> DataFrame:
+    """Documents with a token starting with ``prefix``.
+
+    With the index's lexicon the prefix is a range of its ordered terms; their buckets (a few
+    numbers) become a constant predicate that prunes the postings' partitions.
+    """
+    p = postings
+    if lexicon is not None:
+        found = lexicon.filter(F.col("term").startswith(prefix)).select("term_bucket").distinct().collect()
+        p = p.filter(F.col("term_bucket").isin(*[r[0] for r in found])) if found else p.limit(0)
+    return p.filter(F.col("term").startswith(prefix)).select(key).distinct()
 
 
 def fts_phrase(postings: DataFrame, phrase_terms: list[str], key: str = "link",

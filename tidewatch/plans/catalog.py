@@ -443,18 +443,26 @@ def search_docs(spark, sf, spread_rows: bool = True):
     return arts.select("link", "title", F.col("summary").alias("body"))
 
 
-_INDEXES: dict[tuple[str, str], str] = {}
+_INDEXES: dict[tuple, str] = {}
 
 
-def stored_index(spark, sf):
-    """(postings, documents, statistics) of the search index over ``documents``: written once
-    per application and table, in the shared folder, and read by every search query."""
-    where = (spark.sparkContext.applicationId, sf)
+def index_path(spark, sf):
+    """Folder of the search index over ``documents``: written once per application and state of
+    the table (its files and their times), in the shared folder, and read by every search query."""
+    files = B.read_table(spark, sf, "documents").inputFiles()
+    state = tuple(sorted((f, STORE.modified(spark, f)) for f in files))
+    where = (spark.sparkContext.applicationId, sf, state)
     if where not in _INDEXES:
         path = _result_path(spark, "search-index")
         FTS.write_index(search_docs(spark, sf, spread_rows=False), path)
         _INDEXES[where] = path
-    return (*FTS.read_index(spark, _INDEXES[where]), FTS.read_stats(spark, _INDEXES[where]))
+    return _INDEXES[where]
+
+
+def stored_index(spark, sf):
+    """(postings, documents, statistics) of the stored search index."""
+    path = index_path(spark, sf)
+    return (*FTS.read_index(spark, path), FTS.read_stats(spark, path))
 
 
 def _tok_sql():
@@ -488,7 +496,8 @@ SELECT link, round(rank, 6) AS rank FROM sc ORDER BY sc.rank, link LIMIT {limit}
 
 def _bm25_spark(spark, sf, query, limit):
     postings, _, stats = stored_index(spark, sf)
-    top = FTS.bm25_topk(postings, stats, FTS.query_terms(query), limit, buckets=FTS.DEFAULT_BUCKETS)
+    blocks = FTS.read_blocks(spark, index_path(spark, sf))
+    top, _ = FTS.bm25_topk_blocks(postings, blocks, stats, FTS.query_terms(query), limit, buckets=FTS.DEFAULT_BUCKETS)
     return top.select("link", F.round("rank", 6).alias("rank"))
 
 
@@ -537,7 +546,7 @@ def q_fts_any(spark, sf):
 {_tok_sql()}
 SELECT link FROM tok WHERE len(list_filter(tt || bt, lambda x: starts_with(x, {S.q(PREFIX)}))) > 0""")
 def q_fts_prefix(spark, sf):
-    return FTS.fts_prefix(stored_index(spark, sf)[0], PREFIX)
+    return FTS.fts_prefix(stored_index(spark, sf)[0], PREFIX, lexicon=FTS.read_lexicon(spark, index_path(spark, sf)))
 
 
 @register("fts_phrase", f"""WITH {A},
@@ -570,7 +579,8 @@ WHERE a.collected_at >= {S.cutoff(_SP.days)}""")
 def q_search(spark, sf):
     arts = B.document_articles(spark, sf)
     postings, docs, stats = stored_index(spark, sf)
-    res = search_plan.search_documents(docs, arts, SEARCH_QUERY, AS_OF, 20, postings, stats, FTS.DEFAULT_BUCKETS)
+    res = search_plan.search_documents(docs, arts, SEARCH_QUERY, AS_OF, 20, postings, stats, FTS.DEFAULT_BUCKETS,
+                                       blocks=FTS.read_blocks(spark, index_path(spark, sf)))
     return res.select("link", "title", F.round("rank", 6).alias("rank"))
 
 
@@ -918,6 +928,21 @@ def q_maintain_postings(spark, sf):
                                         F.sum("tf").cast("bigint").alias("total_tf"))
 
 
+@register("index_segments", ORACLE["maintain_postings"])
+def q_index_segments(spark, sf):
+    """The same batches written as segments of a stored index; the terms of its live postings."""
+    from tidewatch.operators import index_upkeep
+    root = _result_path(spark, "segments")
+    pages = B.page_articles(spark, sf).select("link", "title", F.col("summary").alias("body"))
+    fr = (B.document_articles(spark, sf).filter(F.col("category") == "fr")
+          .select("link", F.concat(F.lit("re: "), F.col("title")).alias("title"), F.col("summary").alias("body")))
+    for batch in (search_docs(spark, sf, spread_rows=False), pages, fr):
+        index = index_upkeep.update_index(spark, root, batch)
+    live = index_upkeep.read_segments(spark, index)[0]
+    return live.groupBy("term").agg(F.count_distinct("link").cast("bigint").alias("doc_freq"),
+                                    F.sum("tf").cast("bigint").alias("total_tf"))
+
+
 # ---------------------------------------------------------------------------------------------
 # Report rollups
 # ---------------------------------------------------------------------------------------------

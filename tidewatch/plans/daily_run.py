@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators import dedup, entities, recent, rollups, search, index_upkeep, validate
+from tidewatch.operators import dedup, entities, index_upkeep, recent, rollups, validate
 from tidewatch.session import checkpoint_dir
 from tidewatch.sinks import raw_log, store
 from tidewatch.sources import ingest
@@ -28,7 +28,7 @@ from tidewatch.sources.config import Category, sources_frame
 class RunSettings:
     root: str                      # versioned article table
     raw_dir: str                   # raw JSON log
-    index_dir: str                 # search documents + postings (versioned)
+    index_dir: str                 # search index: segments of documents and postings
     snapshot_root: str
     recent_days: int = 7
     keep_days: int = 90
@@ -38,22 +38,6 @@ class RunSettings:
     snapshot: bool = False
 
 
-def _update_index(spark: SparkSession, index_dir: str, docs: DataFrame) -> None:
-    """Replace search documents by link and re-index only the touched documents."""
-    d_root, p_root = f"{index_dir}/docs", f"{index_dir}/postings"
-    dv, pv = store.folder_versions(spark, d_root), store.folder_versions(spark, p_root)
-    if dv:
-        cur_docs = spark.read.parquet(f"{d_root}/v={dv[-1]}").select("link", "title", "body")
-        cur_post = spark.read.parquet(f"{p_root}/v={pv[-1]}").drop("term_bucket")
-        new_docs = index_upkeep.upsert_documents(cur_docs, docs)
-        new_post = index_upkeep.maintain_postings(cur_post, docs)
-    else:
-        new_docs, new_post = docs, search.fts_postings(docs)
-    nxt = (dv[-1] + 1) if dv else 1
-    search.write_documents(new_docs, f"{d_root}/v={nxt}", mode="errorifexists")
-    search.write_postings(new_post, f"{p_root}/v={nxt}", mode="errorifexists")
-
-
 def run_category(spark: SparkSession, category: Category, payloads: DataFrame,
                  settings: RunSettings, as_of: dt.datetime) -> dict:
     """Run one collection for ``category`` from landed ``payloads``; returns what happened:
@@ -75,8 +59,7 @@ def run_category(spark: SparkSession, category: Category, payloads: DataFrame,
     batch = valid.withColumn("batch_ord", F.col("source_ord") * F.lit(1 << 32) + F.col("item_ord"))
     store.upsert_articles(spark, settings.root, batch, as_of)
     removed = store.retain_articles(spark, settings.root, as_of, settings.keep_days)
-    _update_index(spark, settings.index_dir,
-                  valid.select("link", "title", F.coalesce("summary", F.lit("")).alias("body")))
+    index_upkeep.update_index(spark, settings.index_dir, valid.select("link", "title", F.coalesce("summary", F.lit("")).alias("body")))
 
     stored = store.read_articles(spark, settings.root)
     window = recent.recent_articles(stored, category.category_name, as_of, settings.recent_days)

@@ -13,7 +13,7 @@ from tidewatch.operators import recent, search
 
 def search_documents(documents: DataFrame, articles: DataFrame, query: str, as_of: dt.datetime,
                      limit: int = 20, postings: DataFrame | None = None,
-                     stats: DataFrame | None = None, buckets: int | None = None,
+                     stats: DataFrame | None = None, buckets: int | None = None, blocks: DataFrame | None = None,
                      with_snippets: bool = False) -> DataFrame:
     """documents: (link, title, body) search corpus; articles: stored rows with collected_at.
 
@@ -26,6 +26,8 @@ def search_documents(documents: DataFrame, articles: DataFrame, query: str, as_o
     terms = search.query_terms(text)
     if postings is None:
         top = search.bm25_scan(documents, terms, k if k > 0 else 0)
+    elif blocks is not None:
+        top, _ = search.bm25_topk_blocks(postings, blocks, stats, terms, k if k > 0 else 0, buckets=buckets)
     else:
         top = search.bm25_topk(postings, stats, terms, k if k > 0 else 0, buckets=buckets)
     if parsed.days is not None:

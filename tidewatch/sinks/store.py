@@ -69,18 +69,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def delete(spark: SparkSession, path: str) -> bool:
+def modified(spark: SparkSession, path: str) -> int:
+    """Time of a file's last change, in milliseconds."""
     fs, p = _fs(spark, path)
-    return bool(fs.delete(p, True))
+    return fs.getFileStatus(p).getModificationTime()
 
 
-def folder_versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed ``v=<n>`` folders (the search index keeps one per version)."""
-    out = []
-    for name in list_dirs(spark, root):
-        if name.startswith("v=") and name[2:].isdigit() and exists(spark, f"{root}/{name}/_SUCCESS"):
-            out.append(int(name[2:]))
-    return sorted(out)
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -119,28 +116,26 @@ class VersionConflict(RuntimeError):
     """Another writer committed the version first."""
 
 
-def _read_manifest(spark: SparkSession, path: str) -> Version:
+def read_lines(spark: SparkSession, path: str) -> list:
+    """A manifest's lines, each a JSON value."""
     fs, p = _fs(spark, path)
     stream = fs.open(p)
     try:
         text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    head, *files = [json.loads(line) for line in text.splitlines()]
-    return Version(head["root"], head["number"], head["buckets"], tuple(DataFile(*f) for f in files))
+    return [json.loads(line) for line in text.splitlines()]
 
 
-def _write_manifest(spark: SparkSession, version: Version, path: str) -> None:
+def write_lines(spark: SparkSession, lines: list, path: str) -> None:
     """Write beside, then move; ``VersionConflict`` if the name is taken."""
     jvm = spark.sparkContext._jvm
     folder, _, name = path.rpartition("/")
     fs, target = _fs(spark, path)
     beside = jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")
-    lines = [json.dumps({"root": version.root, "number": version.number, "buckets": version.buckets})]
-    lines += [json.dumps(f) for f in version.files]
     stream = fs.create(beside, False)
     try:
-        stream.write(bytearray("\n".join(lines).encode("utf-8")))
+        stream.write(bytearray("\n".join(json.dumps(line) for line in lines).encode("utf-8")))
     finally:
         stream.close()
     rename = jvm.org.apache.hadoop.fs.Options.Rename
@@ -157,6 +152,16 @@ def _write_manifest(spark: SparkSession, version: Version, path: str) -> None:
         raise
 
 
+def _read_manifest(spark: SparkSession, path: str) -> Version:
+    head, *files = read_lines(spark, path)
+    return Version(head["root"], head["number"], head["buckets"], tuple(DataFile(*f) for f in files))
+
+
+def _write_manifest(spark: SparkSession, version: Version, path: str) -> None:
+    head = {"root": version.root, "number": version.number, "buckets": version.buckets}
+    write_lines(spark, [head, *version.files], path)
+
+
 def _numbers(spark: SparkSession, folder: str) -> list[int]:
     fs, p = _fs(spark, folder)
     names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
