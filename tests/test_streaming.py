@@ -39,3 +39,30 @@ def test_a_restart_reads_only_new_files(spark, scratch):
         add("x", lo)
         delivery.run_available(delivery.stream_table(spark, f"{scratch}/in"), f"{scratch}/out", checkpoint=f"{scratch}/ck")
         assert spark.read.parquet(f"{scratch}/out").count() == total
+
+
+def test_survivors_equal_the_batch_operator_in_any_order_of_arrival(spark, scratch):
+    """Copies of links in shuffled files; finished links leave the state."""
+    import datetime as dt
+    import random
+    from tidewatch.operators.dedup import dedup_links
+    schema = "link string, fetched_at timestamp, source_ord int, item_ord long, title string"
+    start, rng = dt.datetime(2024, 1, 1), random.Random(5)
+    rows = [(f"l{i % 12}", start + dt.timedelta(hours=rng.randrange(40)), rng.randrange(3), i, rng.choice([None, f"t{i}"])) for i in range(60)]
+    rows += [("l3", None, 0, -1, "no time"), (None, start, 0, -1, "no link")]
+    end = [("end", start + dt.timedelta(days=60), 0, 0, "end")]
+    timed = spark.createDataFrame([r for r in rows if r[0] and r[1]], schema)
+    want = sorted(map(str, dedup_links(timed.withColumn("fetched_at", F.col("fetched_at"))).select("link", "item_ord", "title").collect()))
+    for k in range(2):
+        rng.shuffle(rows)
+        for part in (rows[:20], rows[20:45], rows[45:], end):
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{scratch}/in{k}")
+        s = S.stream_table(spark, f"{scratch}/in{k}", max_files=1)
+        out = f"{scratch}/out{k}"
+        query = (S.dedup_links_stream(s, horizon="3 days").writeStream.outputMode("append").format("parquet")
+                 .option("path", out).option("checkpointLocation", f"{scratch}/ck{k}").trigger(availableNow=True).start())
+        query.awaitTermination()
+        got = sorted(map(str, spark.read.parquet(out).select("link", "item_ord", "title").collect()))
+        assert got == want
+        held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        assert max(held) > 12 and held[-1] < max(held) / 4, held  # only the last row's link is left

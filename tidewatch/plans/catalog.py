@@ -1430,6 +1430,30 @@ def q_stream_dedup_links(spark, sf):
     return spark.read.parquet(out).select("link")
 
 
+# turns of a conversation as copies of one link: an hour apart, in the order of (source_ord, turn)
+TURN_SOURCES = 5
+
+
+@register("stream_dedup_survivors", f"""
+SELECT conv_id AS link, arg_min(turn, (turn * 7 % {TURN_SOURCES}) * 1000000 + turn) AS item_ord, arg_min(text,
+       (turn * 7 % {TURN_SOURCES}) * 1000000 + turn) AS title FROM conversations GROUP BY conv_id""")
+def q_stream_dedup_survivors(spark, sf):
+    """Link dedup on a stream by keyed state and timers: the first row of each link in source order.
+    A last row of its own link, long after the others, moves the watermark past them."""
+    turns = STREAM.stream_table(spark, sf, "conversations.parquet")
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    row = F.struct(F.col("conv_id").alias("link"), (start + F.make_interval(hours=F.col("turn").cast("int"))).alias("fetched_at"),
+                   (F.col("turn") * 7 % TURN_SOURCES).cast("int").alias("source_ord"), F.col("turn").cast("long").alias("item_ord"),
+                   F.col("text").alias("title"))
+    end = F.struct(F.lit(-1).cast("long").alias("link"), (start + F.make_interval(years=F.lit(50))).alias("fetched_at"),
+                   F.lit(0).alias("source_ord"), F.lit(0).cast("long").alias("item_ord"), F.lit("").alias("title"))
+    last = (F.col("conv_id") == 0) & (F.col("turn") == 0)
+    rows = turns.select(F.explode(F.when(last, F.array(row, end)).otherwise(F.array(row))).alias("r")).select("r.*")
+    out = STREAM.run_available(STREAM.dedup_links_stream(rows, horizon="30 days"), _result_path(spark, "survivors"),
+                               "append", "survivors")
+    return spark.read.parquet(out).select("link", "item_ord", "title")
+
+
 @register("stream_upsert", f"""WITH {A},
 {H}
 SELECT category, CAST(count(*) AS BIGINT) AS articles,

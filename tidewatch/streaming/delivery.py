@@ -1,10 +1,11 @@
 """Structured Streaming delivery of the batch operators.
 
 The stateless operators (ingest, validation, entity matching) run unchanged on a
-``readStream`` frame.  Stateful pieces use Spark's own state: link dedup is
-``dropDuplicatesWithinWatermark`` (survivor = first arrival, not source order), day counts
-are event-time windows with a watermark, and upserts run per micro-batch through
-``foreachBatch`` (idempotent: a replayed batch writes the same rows again).
+``readStream`` frame.  Stateful pieces use Spark's own state: link dedup holds each link's
+best row in keyed state and gives it out by an event-time timer (``dedup_links_stream``: the
+batch operator's survivor whatever the order of arrival; ``dedup_stream`` is the cheaper first
+arrival), day counts are event-time windows with a watermark, and upserts run per micro-batch
+through ``foreachBatch`` (idempotent: a replayed batch writes the same rows again).
 
 Give ``checkpoint`` a stable path and a restarted stream goes on where it stopped; without
 one, a fresh path under the session's shared ``spark.checkpoint.dir`` is taken and all files
@@ -15,9 +16,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidewatch.session import checkpoint_dir
 from tidewatch.sinks import store
@@ -50,6 +55,78 @@ def dedup_stream(stream: DataFrame, key: str, time_col: str, watermark: str) ->
     return t.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark([key])
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class LinkSurvivor(StatefulProcessor):
+    """Per link: the row that comes first in the given order, until the link's timer.
+
+    ``order`` are positions in the row; the timer stands ``horizon_ms`` after the newest event
+    time of the link's rows and moves with them.
+    """
+
+    def __init__(self, columns: list[str], order: list[int], time_at: int, horizon_ms: int, schema: T.StructType):
+        self.columns, self.order, self.time_at, self.horizon_ms, self.schema = columns, order, time_at, horizon_ms, schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState("best", self.schema)
+        self.due = handle.getValueState("due", "due long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.best.get() if self.best.exists() else None
+        due = self.due.get()[0] if self.due.exists() else None
+        newest = -1
+        for batch in rows:
+            for row in batch[self.columns].itertuples(index=False, name=None):
+                row = tuple(None if v is pd.NaT or (not isinstance(v, (list, dict)) and pd.isna(v)) else v for v in row)
+                newest = max(newest, pd.Timestamp(row[self.time_at]).value // 1_000_000)  # sessions are in UTC
+                if held is None or self.rank(row) < self.rank(held):
+                    held = row
+        self.best.update(tuple(held))
+        wanted = newest + self.horizon_ms
+        if due is None or wanted > due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(wanted)
+            self.due.update((wanted,))
+        yield pd.DataFrame()
+
+    def rank(self, row: tuple) -> tuple:
+        """Nulls first, as in the batch operator's ascending order."""
+        return tuple((row[i] is not None, row[i] if row[i] is not None else 0) for i in self.order)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        row = tuple(self.best.get())
+        self.best.clear()
+        self.due.clear()
+        yield pd.DataFrame([row], columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+def dedup_links_stream(stream: DataFrame, key: str = "link", time_col: str = "fetched_at",
+                       order: tuple[str, ...] = ("source_ord", "item_ord"), horizon: str = "1 day") -> DataFrame:
+    """One row per link, the first by ``order``, as the batch operator gives.
+
+    A link's row is given out, and its state dropped, when the watermark (``horizon`` behind the
+    newest event) has passed the link's newest event time by ``horizon``.  Rows of a link
+    that are farther apart than that are links of their own.  Rows later than the watermark
+    are dropped by Spark.  Rows without a time or a link are left out: nothing could time them.
+    """
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    rows = (stream.withColumn(time_col, F.col(time_col).cast("timestamp"))
+            .filter(F.col(time_col).isNotNull() & F.col(key).isNotNull()).withWatermark(time_col, horizon))
+    columns = rows.columns
+    milliseconds = int(pd.Timedelta(horizon).total_seconds() * 1000)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    processor = LinkSurvivor(columns, [columns.index(c) for c in order], columns.index(time_col), milliseconds, schema)
+    return rows.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
+
+
 def _ckpt(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
