@@ -152,3 +152,32 @@ def test_entry_contract(spark):
     df = entry.entry(spark)
     assert df.count() >= 0 and "entity" in df.columns
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_stored_partials_renew_touched_days_only(spark, scratch):
+    import datetime as dt
+    import os
+    from tidewatch.operators import rollups
+    day = dt.datetime(2024, 3, 1, 8)
+    rows = [(f"c{i % 2}", f"s{i % 3}", day + dt.timedelta(days=i % 4), {"e": ["k"] * (i % 3)} if i % 3 else None) for i in range(40)]
+    schema = "category string, source string, collected_at timestamp_ntz, matched_entities map<string,array<string>>"
+    root = f"{scratch}/partials"
+    rollups.update_partials(spark.createDataFrame(rows, schema), root)
+    def files():
+        return {os.path.join(d, f): open(os.path.join(d, f), "rb").read() for d, _, fs in os.walk(root) for f in fs
+                if f.endswith(".parquet")}
+    before = files()
+    # rows of the first day move to a new one, one row of the second day changes
+    rows = [(c, s, day + dt.timedelta(days=9) if t == day else t, e) for c, s, t, e in rows]
+    rows[1] = (rows[1][0], "other", rows[1][2], {"x": ["k"]})
+    moved = spark.createDataFrame(rows, schema)
+    rollups.update_partials(moved, root, ["2024-03-01", "2024-03-02", "2024-03-10"])
+    after = files()
+    same = {p for p in before if "2024-03-03" in p or "2024-03-04" in p}
+    assert same and all(after[p] == before[p] for p in same)
+    assert sorted(d for d in os.listdir(root) if d.startswith("date=")) == [f"date=2024-03-{d}" for d in ("02", "03", "04", "10")]
+    def shown(summary):
+        return sorted(map(str, map(tuple, rollups.flatten_summary(summary).collect())))
+    full = rollups.daily_summary(moved)
+    assert shown(rollups.finish_summary(rollups.read_partials(spark, root))) == shown(full)
+    assert shown(rollups.finish_summary(rollups.read_partials(spark, root, ["2024-03-10"]))) == shown(full.filter("date = '2024-03-10'"))

@@ -66,3 +66,37 @@ def test_survivors_equal_the_batch_operator_in_any_order_of_arrival(spark, scrat
         assert got == want
         held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
         assert max(held) > 12 and held[-1] < max(held) / 4, held  # only the last row's link is left
+
+
+def test_dated_and_undated_rows_survive_a_stop_between_the_sinks(spark, scratch, monkeypatch):
+    """The stream stops after the dated sink of the second batch, is started again, and gives the batch answer."""
+    import datetime as dt
+    import pytest
+    from pyspark.sql import DataFrameWriter
+    from tidewatch.operators.recent import freshness_gate
+    from tidewatch.operators.rollups import articles_by_day
+    start = dt.datetime(2024, 1, 10)
+    rows = [(f"l{i}", None if i % 4 == 0 else start - dt.timedelta(days=i % 9)) for i in range(90)]
+    for lo in (0, 30, 60):
+        spark.createDataFrame(rows[lo:lo + 30], "link string, published timestamp_ntz").coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+    plain = DataFrameWriter.parquet
+
+    def stopping(self, path, *a, **k):
+        if path.endswith("undated/batch=1"):
+            raise OSError("stopped here")
+        return plain(self, path, *a, **k)
+
+    def run():
+        s = S.stream_table(spark, f"{scratch}/in", max_files=1)
+        return S.split_by_date(s, f"{scratch}/out", as_of=start, max_age_days=5, checkpoint=f"{scratch}/ck")
+
+    with monkeypatch.context() as m:
+        m.setattr(DataFrameWriter, "parquet", stopping)
+        with pytest.raises(Exception, match="stopped here"):
+            run()
+    assert os.path.isdir(f"{scratch}/out/dated/batch=1") and not os.path.isdir(f"{scratch}/out/undated/batch=1")
+    got = {tuple(r) for r in S.read_by_day(spark, run()).collect()}
+    batch = spark.read.parquet(f"{scratch}/in")
+    want = {tuple(r) for r in articles_by_day(freshness_gate(batch, start, 5)).collect()}
+    assert got == want and any(day == "Undated" for day, _ in want)
+    assert sorted(os.listdir(f"{scratch}/out/dated")) == ["batch=0", "batch=1", "batch=2"]

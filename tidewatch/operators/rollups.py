@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import explode_rows
+from tidewatch.sinks import store
 from tidewatch.sources.bindings import ts_lit
 
 # --- fixed values: report labels and freshness edges (days) ---------------------------------
@@ -64,17 +65,25 @@ def daily_summary(articles: DataFrame, day_col: str = "collected_at",
     (array<struct<name, count>> by count DESC, name; count = keyword hits) and sources
     (map source -> articles).
 
-    One pass over the articles: each article explodes into one article row plus one row per
-    entity, aggregated once to (date, category, source, entity).  From that small result (its
-    shuffle is shared) come the counts per source and, added up per entity first, the
-    entities; a report row holds one element per source and one per entity, no more.
+    One pass over the articles (``summary_partials``), then ``finish_summary`` on its small
+    result.  ``update_partials`` stores the partials by day and renews touched days only.
     """
+    return finish_summary(summary_partials(articles, day_col, col))
+
+
+def summary_partials(articles: DataFrame, day_col: str = "collected_at", col: str = "matched_entities") -> DataFrame:
+    """``(date, category, source, entity, n, hits, m)``: each article explodes into one article
+    row (entity NULL) plus one row per entity, aggregated once."""
     rows = (articles.select(day_of(F.col(day_col)).alias("date"), "category", "source",
                             explode_rows(_article_and_entity_rows(F.col(col))).alias("r"))
             .select("date", "category", "source", "r.*"))
-    # one shuffle: (date, category, source, entity) partials, then one group per (date, category)
-    g = rows.groupBy("date", "category", "source", "entity").agg(
+    return rows.groupBy("date", "category", "source", "entity").agg(
         F.count(F.lit(1)).alias("n"), F.sum("kws").alias("hits"), F.count_if("matched").alias("m"))
+
+
+def finish_summary(g: DataFrame) -> DataFrame:
+    """Reports from partials: the counts per source and, added up per entity first, the
+    entities; a report row holds one element per source and one per entity, no more."""
     is_art = F.col("entity").isNull()
     out = g.groupBy("date", "category").agg(
         F.sum(F.when(is_art, F.col("n"))).cast("bigint").alias("article_count"),
@@ -91,6 +100,33 @@ def daily_summary(articles: DataFrame, day_col: str = "collected_at",
     return out.join(totals, same, "left").withColumn("top_entities", top).drop("_date", "_category", "_totals")
 
 
+PARTIALS_SCHEMA = "category string, source string, entity string, n bigint, hits bigint, m bigint, date string"
+
+
+def update_partials(articles: DataFrame, root: str, days: list[str] | None = None, day_col: str = "collected_at",
+                    col: str = "matched_entities") -> None:
+    """Renew the stored partials of the given days (all, without) from ``articles``.
+
+    One folder per day under ``root``.  Only rows of the given days are aggregated and only
+    their folders are replaced; a day without rows loses its folder.  A row that moved to
+    another day touches both.
+    """
+    spark = articles.sparkSession
+    rows = articles if days is None else articles.filter(day_of(F.col(day_col)).isin(*days))
+    (summary_partials(rows, day_col, col).repartition("date").sortWithinPartitions("date", "category")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(root))
+    if days is not None:  # days whose rows are all gone are in no written folder
+        left = {r[0] for r in rows.select(day_of(F.col(day_col))).distinct().collect()}  # at most the given days
+        for day in set(days) - left:
+            store.delete(spark, f"{root}/date={day}")
+
+
+def read_partials(spark: SparkSession, root: str, days: list[str] | None = None) -> DataFrame:
+    """The stored partials, of the given days if any; ``finish_summary`` makes the reports."""
+    g = spark.read.schema(PARTIALS_SCHEMA).parquet(root)
+    return g if days is None else g.filter(F.col("date").isin(*days))
+
+
 def flatten_summary(summary: DataFrame) -> DataFrame:
     """Flat text form of the nested columns (for comparison and export)."""
     return summary.select(

@@ -994,6 +994,23 @@ def q_daily_summary(spark, sf):
     return R.flatten_summary(summaries(spark, sf))
 
 
+@register("daily_summary_stored", "WITH " + _SUMMARY_CTES.replace(
+    "strftime(a.collected_at, '%Y-%m-%d')",
+    f"CASE WHEN a.category = 'fr' THEN '{RECOLLECT_AT.date()}' ELSE strftime(a.collected_at, '%Y-%m-%d') END") + """
+SELECT date, category, article_count, source_count, matched_count, top_entities, sources FROM summ""")
+def q_daily_summary_stored(spark, sf):
+    """Partials stored by day; all French rows are collected again, and only the days that they
+    left and the day that they moved to are renewed."""
+    root = _result_path(spark, "partials")
+    arts = matched_articles(spark, sf)
+    R.update_partials(arts, root)
+    french = F.col("category") == "fr"
+    touched = {r[0] for r in arts.filter(french).select(R.day_of(F.col("collected_at"))).distinct().collect()}
+    again = arts.withColumn("collected_at", F.when(french, B.ts_lit(RECOLLECT_AT)).otherwise(F.col("collected_at")))
+    R.update_partials(again, root, sorted(touched | {RECOLLECT_AT.date().isoformat()}))
+    return R.flatten_summary(R.finish_summary(R.read_partials(spark, root)))
+
+
 @register("portfolio_stats", f"""WITH {_SUMMARY_CTES},
 r AS (SELECT date, category, article_count,
              coalesce(matched_count / nullif(article_count, 0), 0.0) AS rate FROM summ)
@@ -1454,6 +1471,14 @@ def q_stream_dedup_survivors(spark, sf):
     return spark.read.parquet(out).select("link", "item_ord", "title")
 
 
+@register("stream_articles_by_day", ORACLE["articles_by_day"])
+def q_stream_articles_by_day(spark, sf):
+    """Documents on a stream, split into dated and undated rows; counts per publication day."""
+    arts = B.articles_from_documents(STREAM.stream_table(spark, sf, "documents.parquet"))
+    out = STREAM.split_by_date(arts.select("link", "title", "published"), _result_path(spark, "by-day"), name="by-day")
+    return STREAM.read_by_day(spark, out)
+
+
 @register("stream_upsert", f"""WITH {A},
 {H}
 SELECT category, CAST(count(*) AS BIGINT) AS articles,

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidewatch.operators.recent import freshness_gate
+from tidewatch.operators.rollups import UNDATED, day_of
 from tidewatch.session import checkpoint_dir
 from tidewatch.sinks import store
 
@@ -165,3 +167,43 @@ def upsert_stream(stream_articles: DataFrame, root: str, collected_at: dt.dateti
          .option("checkpointLocation", checkpoint or _ckpt(spark, name)).trigger(availableNow=True).start())
     q.awaitTermination()
     return root
+
+
+def split_by_date(stream: DataFrame, out: str, time_col: str = "published", as_of: dt.datetime | None = None,
+                  max_age_days: int | None = None, name: str = "by-day", checkpoint: str | None = None) -> str:
+    """Two sinks under one checkpoint: counts per day of the dated rows, and the undated rows.
+
+    With ``as_of`` and ``max_age_days`` rows pass the freshness gate first (undated rows always
+    pass it).  Each micro-batch writes a folder of its own in both sinks, named by its id: a
+    batch that is run again after a stop, even between the sinks, replaces what it wrote.
+    """
+    spark = stream.sparkSession
+    gated = freshness_gate(stream, as_of, max_age_days, time_col) if as_of else stream
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            write_dated(batch.filter(F.col(time_col).isNotNull()), batch_id)
+            write_undated(batch.filter(F.col(time_col).isNull()), batch_id)
+        finally:
+            batch.unpersist()
+
+    def write_dated(rows: DataFrame, batch_id: int) -> None:
+        (rows.groupBy(day_of(F.col(time_col)).alias("day")).agg(F.count(F.lit(1)).cast("bigint").alias("articles"))
+         .write.mode("overwrite").parquet(f"{out}/dated/batch={batch_id}"))
+
+    def write_undated(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/undated/batch={batch_id}")
+
+    q = (gated.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint or _ckpt(spark, name))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return out
+
+
+def read_by_day(spark: SparkSession, out: str) -> DataFrame:
+    """``(day, articles)`` over all batches of ``split_by_date``, as the batch operator gives it."""
+    dated = spark.read.schema("day string, articles bigint").parquet(f"{out}/dated").groupBy("day").agg(
+        F.sum("articles").cast("bigint").alias("articles"))
+    undated = spark.read.parquet(f"{out}/undated").agg(F.count(F.lit(1)).cast("bigint").alias("articles"))
+    return dated.unionByName(undated.filter("articles > 0").select(F.lit(UNDATED).alias("day"), "articles"))
