@@ -190,3 +190,15 @@ def test_index_segments_equal_a_rebuilt_index(spark, scratch):
     assert U.update_index(spark, root, docs(spark, [])) == index
     with pytest.raises(store.VersionConflict):
         U._commit(spark, index)
+
+
+def test_phrase_moves_positions_once(spark):
+    rows = [("1", "a b a b c", "x"), ("2", "a b c", "b a"), ("3", "c a b", "a a b"), ("4", None, "a b a b a b c c")]
+    post = FTS.fts_postings(docs(spark, rows)).checkpoint()
+    for phrase in ("a", "a b", "a b c", "a b a b", "b a", "a a", "c c", "b c c", "a z"):
+        terms = phrase.split()
+        want = {link for link, t, body in rows for text in (t, body)
+                if text and any(text.split()[i:i + len(terms)] == terms for i in range(len(text.split())))}
+        assert {r["link"] for r in FTS.fts_phrase(post, terms).collect()} == want, phrase
+    plan = FTS.fts_phrase(post, ["a", "b", "c", "a"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 0 and plan.count("Exchange") <= 2  # by (document, column), and the distinct documents

@@ -331,19 +331,23 @@ def fts_prefix(postings: DataFrame, prefix: str, key: str = "link", lexicon: Dat
 
 def fts_phrase(postings: DataFrame, phrase_terms: list[str], key: str = "link",
                buckets: int | None = None) -> DataFrame:
-    """Documents where the terms occur consecutively inside one column."""
+    """Documents where the terms occur consecutively inside one column.
+
+    One exchange brings the terms' positions of a (document, column) together, one entry per
+    distinct term; the terms are then matched one after the other without moving again.
+    """
     if not phrase_terms:
         return postings.select(key).limit(0)
-    p = postings_for(postings, sorted(set(phrase_terms)), buckets)
-    cur = (p.filter(F.col("term") == phrase_terms[0])
-           .select(key, "col", F.col("positions").alias("ends")))
+    distinct = sorted(set(phrase_terms))
+    entry = F.struct("term", "positions")
+    held = (postings_for(postings, distinct, buckets).groupBy(key, "col")
+            .agg(F.collect_list(entry).alias("held")).filter(F.size("held") == len(distinct))
+            .select(key, F.map_from_entries("held").alias("held")))
+    held = held.withColumn("ends", F.element_at("held", F.lit(phrase_terms[0])))
     for t in phrase_terms[1:]:
-        nxt = p.filter(F.col("term") == t).select(key, "col", F.col("positions").alias("nx"))
-        cur = (cur.join(nxt, [key, "col"])
-               .select(key, "col", F.array_intersect(
-                   F.transform("ends", lambda x: x + 1), F.col("nx")).alias("ends"))
-               .filter(F.size("ends") > 0))
-    return cur.select(key).distinct()
+        held = held.withColumn("ends", F.array_intersect(
+            F.transform("ends", lambda x: x + 1), F.element_at("held", F.lit(t)))).filter(F.size("ends") > 0)
+    return held.select(key).distinct()
 
 
 def with_snippet(docs: DataFrame, terms: list[str], body: str = "body",
