@@ -33,18 +33,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool =
     return spread(df) if spread_rows else df
 
 
+# largest number of splits of a scan that is worth a shuffle for more tasks
+SMALL_SCAN_SPLITS = 32
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the scan yields fewer splits than cores.
+    """Round-robin the rows over all cores when a small scan yields fewer splits than cores.
 
     Text operators are CPU-bound per row; a table stored as one large row group would run
-    on one core.  At cluster scale a scan has far more splits than cores and this is a no-op.
+    on one core.  A scan of more than ``SMALL_SCAN_SPLITS`` splits is left as it is, however
+    many cores there are: moving its rows would cost more than the idle cores.
     """
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
     except Exception:  # no RDD API (e.g. a remote session): leave the plan as it is
         return df
-    if current < target:
+    if current < target and current <= SMALL_SCAN_SPLITS:
         return df.repartition(target)
     return df
 
