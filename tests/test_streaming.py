@@ -100,3 +100,20 @@ def test_dated_and_undated_rows_survive_a_stop_between_the_sinks(spark, scratch,
     want = {tuple(r) for r in articles_by_day(freshness_gate(batch, start, 5)).collect()}
     assert got == want and any(day == "Undated" for day, _ in want)
     assert sorted(os.listdir(f"{scratch}/out/dated")) == ["batch=0", "batch=1", "batch=2"]
+
+
+def test_a_table_of_many_files_is_streamed_as_one_file_is(spark, scratch):
+    """Documents and conversations as folders of files, no conversation 0; the batch answers."""
+    from tidewatch.plans import catalog
+    docs = [(i, f"line {i}\nthe text", f"s{i % 3}", ("en", "fr")[i % 2], 9) for i in range(40)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string, n_chars int").repartition(3) \
+        .write.parquet(f"{scratch}/documents.parquet")
+    turns = [(c, t, "user", f"{c} {t}") for c in range(3, 9) for t in range(4)]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").repartition(3) \
+        .write.parquet(f"{scratch}/conversations.parquet")
+    by_day = {tuple(r) for r in catalog.QUERIES["stream_articles_by_day"](spark, scratch).collect()}
+    assert by_day == {tuple(r) for r in catalog.QUERIES["articles_by_day"](spark, scratch).collect()}
+    assert {tuple(r) for r in catalog.QUERIES["stream_upsert"](spark, scratch).collect()} == {("en", 20, 20), ("fr", 20, 20)}
+    first = {c: min((t for t in range(4)), key=lambda t: t * 7 % catalog.TURN_SOURCES) for c in range(3, 9)}
+    got = {tuple(r) for r in catalog.QUERIES["stream_dedup_survivors"](spark, scratch).collect()}
+    assert got == {(c, t, f"{c} {t}") for c, t in first.items()}

@@ -1456,7 +1456,8 @@ SELECT conv_id AS link, arg_min(turn, (turn * 7 % {TURN_SOURCES}) * 1000000 + tu
        (turn * 7 % {TURN_SOURCES}) * 1000000 + turn) AS title FROM conversations GROUP BY conv_id""")
 def q_stream_dedup_survivors(spark, sf):
     """Link dedup on a stream by keyed state and timers: the first row of each link in source order.
-    A last row of its own link, long after the others, moves the watermark past them."""
+    A last row of its own link, long after the others, moves the watermark past them; it goes with
+    the table's smallest row."""
     turns = STREAM.stream_table(spark, sf, "conversations.parquet")
     start = F.lit("2024-01-01 00:00:00").cast("timestamp")
     row = F.struct(F.col("conv_id").alias("link"), (start + F.make_interval(hours=F.col("turn").cast("int"))).alias("fetched_at"),
@@ -1464,7 +1465,8 @@ def q_stream_dedup_survivors(spark, sf):
                    F.col("text").alias("title"))
     end = F.struct(F.lit(-1).cast("long").alias("link"), (start + F.make_interval(years=F.lit(50))).alias("fetched_at"),
                    F.lit(0).alias("source_ord"), F.lit(0).cast("long").alias("item_ord"), F.lit("").alias("title"))
-    last = (F.col("conv_id") == 0) & (F.col("turn") == 0)
+    first = B.read_table(spark, sf, "conversations").agg(F.min(F.struct("conv_id", "turn")).alias("r")).first()["r"]
+    last = F.lit(False) if first is None else F.col("conv_id").eqNullSafe(first[0]) & F.col("turn").eqNullSafe(first[1])
     rows = turns.select(F.explode(F.when(last, F.array(row, end)).otherwise(F.array(row))).alias("r")).select("r.*")
     out = STREAM.run_available(STREAM.dedup_links_stream(rows, horizon="30 days"), _result_path(spark, "survivors"),
                                "append", "survivors")

@@ -69,6 +69,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def is_dir(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
+
+
 def modified(spark: SparkSession, path: str) -> int:
     """Time of a file's last change, in milliseconds."""
     fs, p = _fs(spark, path)

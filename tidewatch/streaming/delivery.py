@@ -33,7 +33,10 @@ from tidewatch.sinks import store
 def stream_table(spark: SparkSession, directory: str, pattern: str = "*.parquet",
                  max_files: int | None = None) -> DataFrame:
     """Parquet files of a directory (matching ``pattern``) read as a stream; the schema is
-    taken from the files already there."""
+    taken from the files already there.  ``pattern`` may name a folder in it, a table stored as
+    many files: these are then the stream."""
+    if store.is_dir(spark, f"{directory.rstrip('/')}/{pattern}"):
+        directory, pattern = f"{directory.rstrip('/')}/{pattern}", "*"
     schema = spark.read.option("pathGlobFilter", pattern).parquet(directory).schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if max_files:
