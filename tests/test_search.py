@@ -202,3 +202,46 @@ def test_phrase_moves_positions_once(spark):
         assert {r["link"] for r in FTS.fts_phrase(post, terms).collect()} == want, phrase
     plan = FTS.fts_phrase(post, ["a", "b", "c", "a"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Join") == 0 and plan.count("Exchange") <= 2  # by (document, column), and the distinct documents
+
+
+def test_postings_are_the_grouped_tokens_and_are_not_shuffled(spark):
+    """Repeated and null keys, null texts, small batches and chunks: as the tokens grouped one by one."""
+    import random
+    rng = random.Random(6)
+    rows = [(rng.choice([None, *(f"k{i}" for i in range(12))]), rng.choice([None, "", "Modern ART", "art art"]),
+             rng.choice([None, "", " ".join(rng.choice(["art", "tide", "Lamp", "é"]) for _ in range(rng.randint(1, 30)))]))
+            for _ in range(200)]
+    want = {}
+    for link, title, body in rows:
+        both = [FTS_TOKENS(t) for t in (title, body)]
+        for col, tokens in enumerate(both):
+            for pos, term in enumerate(tokens):
+                held = want.setdefault((term, link, col), [[], 0])
+                held[0].append(pos)
+                held[1] = max(held[1], sum(map(len, both)))
+    totals = {}
+    for (term, link, col), (at, _) in want.items():
+        totals[term, link] = totals.get((term, link), 0) + len(at)
+    want = sorted((repr(k), sorted(at), len(at), dl, totals[k[:2]]) for k, (at, dl) in want.items())
+    old, chunk = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), FTS.CHUNK_TOKENS
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        FTS.CHUNK_TOKENS = 50
+        post = FTS.fts_postings(docs(spark, rows))
+        got = [(repr((r.term, r.link, r.col)), r.positions, r.tf, r.dl, r.doc_tf) for r in post.collect()]
+        counts = {r.term: (r.doc_freq, r.total_tf) for r in FTS.term_counts(post).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+        FTS.CHUNK_TOKENS = chunk
+    assert sorted(got) == want
+    for term in counts:
+        assert counts[term] == (sum(t == term and link is not None for t, link in totals), sum(n for (t, _), n in totals.items() if t == term))
+    plan = post._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan  # the texts by key, no token rows
+
+
+def FTS_TOKENS(text):
+    import re
+    import unicodedata
+    folded = "".join(c for c in unicodedata.normalize("NFD", text or "") if not unicodedata.combining(c)).lower()
+    return re.findall(r"[^\W_]+", folded)

@@ -19,7 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators.search import fts_postings, term_bucket, write_documents, write_postings
+from tidewatch.operators.search import fts_postings, place_documents, term_bucket, write_documents, write_postings
 from tidewatch.session import checkpoint_dir
 from tidewatch.sinks import store
 
@@ -81,8 +81,8 @@ def _commit(spark: SparkSession, index: Index) -> Index:
     return index
 
 
-SCHEMAS = {"postings": "{key} string, col int, term string, positions array<int>, tf bigint, dl bigint, doc_block bigint, "
-                       "seg string, term_bucket int",
+SCHEMAS = {"postings": "{key} string, col int, term string, positions array<int>, tf bigint, dl bigint, doc_tf bigint, "
+                       "doc_block bigint, seg string, term_bucket int",
            "docs": "{key} string, title string, body string, dl bigint, seg string, doc_bucket int",
            "gone": "old string, {key} string, dl bigint, seg string"}
 
@@ -122,8 +122,9 @@ def update_index(spark: SparkSession, root: str, docs: DataFrame, key: str = "li
         return base
     name = uuid.uuid4().hex
     write_documents(docs, f"{root}/docs/seg={name}", key, buckets=DOC_BUCKETS, mode="errorifexists")
-    write_postings(fts_postings(docs, key), f"{root}/postings/seg={name}", key, mode="errorifexists")
     size = _size(spark, f"{root}/docs/seg={name}")
+    write_postings(fts_postings(place_documents(docs, size[1], key), key, placed=True), f"{root}/postings/seg={name}", key,
+                   mode="errorifexists")
     gone = base.gone
     if base.segments:
         buckets = [r[0] for r in docs.select(term_bucket(F.col(key), DOC_BUCKETS).alias("b")).distinct().collect()]
@@ -158,7 +159,7 @@ def _merged(spark: SparkSession, index: Index, key: str) -> Index:
     (docs.hint("rebalance", F.col("doc_bucket")).sortWithinPartitions("doc_bucket", key)
      .write.mode("errorifexists").partitionBy("doc_bucket").parquet(f"{index.root}/docs/seg={name}"))
     postings = _live(spark, index, "postings", names, key).drop("seg", "term_bucket", "doc_block")
-    write_postings(postings, f"{index.root}/postings/seg={name}", key, mode="errorifexists")
+    write_postings(postings.hint("rebalance"), f"{index.root}/postings/seg={name}", key, mode="errorifexists")
     gone = index.gone
     if gone:  # what was deleted from the merged segments is gone for good; the rest stays listed
         rest = _read(spark, index, "gone", [g[0] for g in gone], key).select("old", key, "dl").filter(~F.col("old").isin(*names))

@@ -18,6 +18,8 @@ f = hits over both columns, D = tokens over both columns.  Lower rank is better.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ SNIPPET_OPEN, SNIPPET_CLOSE, SNIPPET_ELLIPSIS = "<b>", "</b>", "..."
 DEFAULT_BUCKETS = 64
 BLOCK_DOCS = 512          # documents of a block, about
 LENGTH_CLASSES = 8        # length classes that most documents fall into, about
+TASK_TOKENS = 4_000_000   # tokens of a task of the index build, about: it sorts their postings in memory
+CHUNK_TOKENS = 500_000    # tokens that are grouped at once
 FIRST_BLOCKS = 16         # blocks that a top-k query reads first,
 BLOCK_GROWTH = 4          # and how many times more in each next round
 # -------------------------------------------------------------------------------------------
@@ -63,18 +67,23 @@ def with_tokens(docs: DataFrame, title: str = "title", body: str = "body") -> Da
 
 
 def fts_postings(docs: DataFrame, key: str = "link", title: str = "title", body: str = "body",
-                 terms: list[str] | None = None) -> DataFrame:
+                 terms: list[str] | None = None, placed: bool = False) -> DataFrame:
     """(term, link, col, positions, tf, dl); ``terms`` restricts to those terms before the shuffle.
 
-    Full build (no ``terms``): documents are hash-partitioned by key *before* tokenising;
-    every (term, key, col) group then lives in one partition already, so the aggregation
-    adds no exchange and the only shuffle moves the text once (not its token rows).
+    Full build (no ``terms``): the only shuffle moves the text once, by key (``placed``: the rows
+    of a key stand in one partition already).  The tokens of a key are grouped where they are,
+    in Arrow batches, and never become rows.  ``doc_tf`` is the term's count in all columns of
+    the key: a row with ``col`` 0 or ``tf`` equal to it is the first of its (term, key).
     Query-time build (``terms``): tokens are filtered right after the explode, so only the
     query's tokens are shuffled.
     """
     src = docs.select(key, title, body)
     if terms is None:
-        src = src.repartition(key)
+        src = src if placed else src.repartition(key)
+        t = with_tokens(src.sortWithinPartitions(key), title, body).select(F.col(key).alias("key"), "tt", "bt", "dl")
+        key_type = docs.schema[key].dataType.simpleString()
+        return t.mapInArrow(_group_tokens(CHUNK_TOKENS), f"term string, `{key}` {key_type}, col int, positions array<int>, "
+                                                         "tf bigint, dl bigint, doc_tf bigint")
     t = with_tokens(src, title, body)
 
     def zipped(arr: str, ci: int) -> Column:
@@ -82,17 +91,87 @@ def fts_postings(docs: DataFrame, key: str = "link", title: str = "title", body:
         return F.when(n > 0, F.arrays_zip(F.array_repeat(F.lit(ci), n).alias("col"),
                                           F.sequence(F.lit(0), n - 1).alias("pos"), F.col(arr).alias("term"))
                       ).otherwise(F.array().cast("array<struct<col:int,pos:int,term:string>>"))
-    # one generator over title and body entries keeps the partitioning by key (a union of
-    # two generators would not)
     toks = (t.select(key, "dl", explode_rows(F.concat(zipped("tt", 0), zipped("bt", 1))).alias("e"))
             .filter(F.col("e").isNotNull()).select(key, "dl", "e.col", "e.pos", "e.term"))
-    if terms is not None:
-        toks = toks.filter(F.col("term").isin(*terms))
-    return (toks.groupBy("term", key, "col")
+    return (toks.filter(F.col("term").isin(*terms)).groupBy("term", key, "col")
             .agg(F.array_sort(F.collect_list("pos")).alias("positions"),
                  F.count(F.lit(1)).cast("bigint").alias("tf"), F.max("dl").alias("dl")))
 
 
+def _group_tokens(chunk_tokens: int):
+    """Rows ``(key, tt, bt, dl)`` sorted by key -> postings, some ``chunk_tokens`` tokens at a time.
+
+    A nested function, so that workers need not have this package.
+    """
+    def group(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def group_of_row(rows):
+            codes = rows.column("key").dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            return np.concatenate([[0], np.cumsum(codes[1:] != codes[:-1])]).astype(np.int64)
+
+        def lengths(rows, name):
+            return pc.list_value_length(rows.column(name)).to_numpy(zero_copy_only=False).astype(np.int64)
+
+        def postings(rows):
+            groups, n = group_of_row(rows), rows.num_rows
+            each = [lengths(rows, "tt"), lengths(rows, "bt")]
+            row = np.concatenate([np.repeat(np.arange(n), k) for k in each])
+            pos = np.concatenate([np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) for k in each])
+            col = np.repeat([0, 1], [k.sum() for k in each])
+            if not len(row):
+                return None
+            words = pa.concat_arrays([rows.column("tt").flatten(), rows.column("bt").flatten()]).dictionary_encode()
+            code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            place = (groups[row] * len(words.dictionary) + code) * 2 + col
+            # the entries of one row and column are in order; those of more rows of a key are not
+            order = np.argsort(place, kind="stable") if groups[-1] + 1 == n else np.lexsort((pos, place))
+            place, row = place[order], row[order]
+            starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            tf = np.diff(np.append(starts, len(place)))
+            pair = place[starts] // 2
+            firsts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+            doc_tf = np.repeat(np.add.reduceat(tf, firsts), np.diff(np.append(firsts, len(pair))))
+            dl = rows.column("dl").to_numpy(zero_copy_only=False)[row]
+            return pa.RecordBatch.from_arrays([
+                words.dictionary.take(pa.array(pair % len(words.dictionary))), rows.column("key").take(pa.array(row[starts])),
+                pa.array((place[starts] % 2).astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array(np.append(starts, len(place)).astype(np.int32)), pa.array(pos[order].astype(np.int32))),
+                pa.array(tf.astype(np.int64)), pa.array(np.maximum.reduceat(dl, starts)), pa.array(doc_tf.astype(np.int64))], names=names)
+
+        def chunks(parts):
+            rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+            groups = group_of_row(rows)
+            tokens = np.bincount(groups, weights=lengths(rows, "tt") + lengths(rows, "bt"))
+            chunk = (np.cumsum(tokens) // chunk_tokens)[groups]
+            cuts = [0, *(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1).tolist(), rows.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                out = postings(rows.slice(lo, hi - lo))
+                if out is not None:
+                    yield out
+
+        names = ["term", "key", "col", "positions", "tf", "dl", "doc_tf"]
+        held = []  # rows of the last key, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            groups = group_of_row(batch)
+            last = int(np.searchsorted(groups, groups[-1]))
+            goes_on = held and held[-1].column("key")[-1].as_py() == batch.column("key")[0].as_py()
+            if last == 0 and goes_on:
+                held.append(batch)
+                continue
+            ready = held + ([batch.slice(0, last)] if last else [])
+            held = [batch.slice(last)]
+            if ready:
+                yield from chunks(ready)
+        if held:
+            yield from chunks(held)
+    return group
+
+
 def doc_stats(docs: DataFrame, key: str = "link", title: str = "title", body: str = "body") -> DataFrame:
     return with_tokens(docs.select(key, title, body), title, body).select(key, "dl")
 
@@ -104,19 +183,37 @@ def term_bucket(term: Column, buckets: int = DEFAULT_BUCKETS) -> Column:
 def doc_block(dl: Column, key: Column, slots: Column) -> Column:
     """Block of a document: its length class (half octaves) and one of ``slots`` hash places.
     Documents of like length have like impacts, which keeps a block's maxima close to them."""
-    return F.floor(F.log2(dl + 1) * 2) * (1 << 32) + F.pmod(F.xxhash64(F.lit("block"), key), slots)
+    return F.floor(F.log2(dl + 1) * 2) * (1 << 32) + doc_slot(key, slots)
+
+
+def doc_slot(key: Column, slots: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit("block"), key), slots)
 
 
 def write_postings(postings: DataFrame, path: str, key: str = "link", buckets: int = DEFAULT_BUCKETS,
                    mode: str = "overwrite", slots: int = 1) -> None:
-    """Postings in the index layout: partitioned by term bucket, sorted by term and block inside files."""
+    """Postings in the index layout: partitioned by term bucket, sorted by term and block inside files.
+
+    Every task writes its own rows, of which it should have no more than it can sort in memory
+    (``place_documents``): postings are larger than the texts and are not shuffled.
+    """
     post = (postings.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
             .withColumn("doc_block", doc_block(F.col("dl"), F.col(key), F.lit(slots))))
-    # the rebalance splits a bucket that holds stop words over several writers
-    (post.hint("rebalance", F.col("term_bucket")).sortWithinPartitions("term_bucket", "term", "doc_block", key)
+    (post.sortWithinPartitions("term_bucket", "term", "doc_block", key)
      .write.mode(mode).partitionBy("term_bucket").parquet(path))
 
 
+def place_documents(docs: DataFrame, tokens: float, key: str = "link", slots: int = 1) -> DataFrame:
+    """Documents dealt by key to partitions of about ``TASK_TOKENS`` tokens, whole blocks of
+    documents to a partition where there are more slots than partitions."""
+    parts = max(math.ceil(tokens / TASK_TOKENS), docs.sparkSession.sparkContext.defaultParallelism)
+    if slots >= parts:
+        place = F.floor(doc_slot(F.col(key), F.lit(slots)) * parts / slots)
+    else:
+        place = F.pmod(F.xxhash64(F.lit("place"), key), F.lit(parts))
+    return docs.repartitionById(parts, place.cast("int"))
+
+
 def token_counts(title: str, body: str) -> Column:
     """Number of tokens of both columns, without building them."""
     from tidewatch.functions.text import TOKEN_PATTERN, fts_fold
@@ -137,11 +234,21 @@ def impact(f: Column, dl: Column, avg_dl: Column) -> Column:
     return f * (K1 + 1) / (f + K1 * (1 - B + B * dl / avg_dl))
 
 
-def block_maxima(postings: DataFrame, avg_dl: Column, key: str = "link") -> DataFrame:
+def first_of_key() -> Column:
+    """Whether a posting is the first of its (term, key): one posting of each is."""
+    return (F.col("col") == 0) | (F.col("tf") == F.col("doc_tf"))
+
+
+def term_counts(postings: DataFrame, key: str = "link") -> DataFrame:
+    """``(term, doc_freq, total_tf)`` of all postings; documents without a key count as none."""
+    return postings.groupBy("term").agg(F.count_if(first_of_key() & F.col(key).isNotNull()).cast("bigint").alias("doc_freq"),
+                                        F.sum("tf").cast("bigint").alias("total_tf"))
+
+
+def block_maxima(postings: DataFrame, avg_dl: Column) -> DataFrame:
     """``(term_bucket, term, doc_block, top, docs)``: largest impact and number of documents."""
-    per_doc = postings.groupBy("term_bucket", "term", "doc_block", key).agg(F.sum("tf").alias("f"), F.max("dl").alias("dl"))
-    return per_doc.groupBy("term_bucket", "term", "doc_block").agg(
-        F.max(impact(F.col("f"), F.col("dl"), avg_dl)).alias("top"), F.count(F.lit(1)).alias("docs"))
+    return postings.groupBy("term_bucket", "term", "doc_block").agg(
+        F.max(impact(F.col("doc_tf"), F.col("dl"), avg_dl)).alias("top"), F.count_if(first_of_key()).alias("docs"))
 
 
 def write_index(docs: DataFrame, path: str, key: str = "link", title: str = "title",
@@ -155,9 +262,11 @@ def write_index(docs: DataFrame, path: str, key: str = "link", title: str = "tit
     stored.agg(F.count(F.lit(1)).cast("double").alias("n_docs"), F.avg("dl").alias("avg_dl"), slots.alias("slots")) \
         .write.mode(mode).parquet(f"{path}/stats")
     stats = read_stats(spark, path)
-    write_postings(fts_postings(docs, key, title, body), f"{path}/postings", key, buckets, mode, stats.first()["slots"])
-    (block_maxima(spark.read.parquet(f"{path}/postings"), corpus_stats(stats)[1], key)
-     .hint("rebalance", F.col("term_bucket")).sortWithinPartitions("term_bucket", "term")
+    row = stats.first()
+    placed = place_documents(stored.select(key, title, body), row["n_docs"] * (row["avg_dl"] or 0), key, row["slots"])
+    write_postings(fts_postings(placed, key, title, body, placed=True), f"{path}/postings", key, buckets, mode, row["slots"])
+    (block_maxima(spark.read.parquet(f"{path}/postings"), corpus_stats(stats)[1])
+     .sortWithinPartitions("term_bucket", "term")
      .write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/blocks"))
     (spark.read.parquet(f"{path}/blocks").groupBy("term", "term_bucket").agg(F.sum("docs").alias("docs"))
      .repartitionByRange("term").sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/lexicon"))

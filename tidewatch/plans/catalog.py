@@ -565,8 +565,7 @@ SELECT term, CAST(count(DISTINCT link) AS BIGINT) AS doc_freq, CAST(count(*) AS
 FROM toks GROUP BY term""")
 def q_fts_postings(spark, sf):
     post = stored_index(spark, sf)[0]
-    return post.groupBy("term").agg(F.count_distinct("link").cast("bigint").alias("doc_freq"),
-                                    F.sum("tf").cast("bigint").alias("total_tf"))
+    return FTS.term_counts(post)
 
 
 _SP = nlq.parse_query(SEARCH_QUERY)
@@ -924,8 +923,7 @@ def q_maintain_postings(spark, sf):
     fr = (B.document_articles(spark, sf).filter(F.col("category") == "fr")
           .select("link", F.concat(F.lit("re: "), F.col("title")).alias("title"), F.col("summary").alias("body")))
     new_post = maintain_postings(postings, pages.unionByName(fr))
-    return new_post.groupBy("term").agg(F.count_distinct("link").cast("bigint").alias("doc_freq"),
-                                        F.sum("tf").cast("bigint").alias("total_tf"))
+    return FTS.term_counts(new_post)
 
 
 @register("index_segments", ORACLE["maintain_postings"])
@@ -939,8 +937,7 @@ def q_index_segments(spark, sf):
     for batch in (search_docs(spark, sf, spread_rows=False), pages, fr):
         index = index_upkeep.update_index(spark, root, batch)
     live = index_upkeep.read_segments(spark, index)[0]
-    return live.groupBy("term").agg(F.count_distinct("link").cast("bigint").alias("doc_freq"),
-                                    F.sum("tf").cast("bigint").alias("total_tf"))
+    return FTS.term_counts(live)
 
 
 # ---------------------------------------------------------------------------------------------
