@@ -167,3 +167,19 @@ def test_duplicate_pairs_on_all_pages_of_one_host(spark):
     assert got == want
     candidates = SIM.candidate_pairs(SIM.representatives(arts, "link", "title", "link")).count()
     assert len(want) <= candidates <= len(want) + 0.02 * n * (n - 1) / 2
+
+
+def test_tiles_hold_each_pair_once_and_rows_meet_in_no_join(spark, monkeypatch):
+    """Bands of several and of grown blocks, adjacent bands, null links: the pairs of one tile per band."""
+    import random
+    rng = random.Random(3)
+    rows = [(f"https://h{i % 2}.example/a#{i}", edited(rng, "abcdefghij klmnop" * (1 + i % 4), i % 5)) for i in range(300)] + [(None, "x")] * 3
+    reps = SIM.representatives(spark.createDataFrame(rows, "link string, title string"), "link", "title", "link")
+    whole = sorted(map(tuple, SIM.candidate_pairs(reps).collect()))
+    assert len(set(whole)) == len(whole) > 300
+    monkeypatch.setattr(SIM, "MAX_BLOCKS", 3)
+    for block in (1, 7, 40):
+        found = SIM.candidate_pairs(reps, block=block)
+        assert sorted(map(tuple, found.collect())) == whole
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_a" in plan and not [line for line in plan.splitlines() if "Join" in line and "row" in line]

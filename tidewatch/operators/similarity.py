@@ -9,8 +9,8 @@ Plan.  (1) Rows equal on (host, path, normalised title) collapse to one represen
 (``duplicate_groups``): members of a group are duplicates of each other by definition and
 are reported through the group, never as all-pairs.  (2) Each representative gets a bag
 signature of its title and path (``bag_signature``).  (3) Slim rows (key, lengths,
-signatures) meet on host, length band and block; the join condition itself holds the length
-bound and the signature bounds, so only pairs that can pass leave the join.  (4) The exact
+signatures) meet in tiles of two blocks of a host and length band; a tile's task compares the
+signatures as whole arrays, so only pairs that can pass become rows.  (4) The exact
 ratio runs in an Arrow-batched UDF on those pairs' texts.
 
 Bag bound.  A ratio of at least t leaves at most ``D = (1 - t)(la + lb)`` characters
@@ -41,7 +41,8 @@ TITLE_THRESHOLD = 0.85
 URL_THRESHOLD = 0.8
 BAG_GROUPS, BAG_CAP = 32, 16     # characters: positions of a count in unary
 PAIR_BITS = 512                  # character pairs: one position for each occurrence
-PAIR_BLOCK = 20_000              # rows of one host and length band that one block holds, about
+PAIR_BLOCK = 4_000               # rows of one host and length band that one block holds, about,
+MAX_BLOCKS, MAX_BLOCK = 32, 200_000  # blocks of a band before they grow, and what they grow to
 # -------------------------------------------------------------------------------------------
 
 
@@ -153,16 +154,6 @@ def bag_signature(texts: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def bag_bound(sa: Column, sb: Column, la: Column, lb: Column, t: float) -> Column:
-    """Whether two signatures leave a ratio of ``t`` possible."""
-    unmatched = F.lit(1.0 - t) * (la + lb) + F.lit(1e-6)
-
-    def distance(lo: int, hi: int) -> Column:
-        return sum((F.bit_count(sa[i].bitwiseXOR(sb[i])) for i in range(lo, hi)), F.lit(0))
-
-    return (distance(0, BAG_WORDS) <= unmatched) & (distance(BAG_WORDS, BAG_WORDS + PAIR_WORDS) <= unmatched * 3)
-
-
 def representatives(articles: DataFrame, key: str, title: str, url: str) -> DataFrame:
     """One row per exact group: ``k, netloc, path, norm_title``, checkpointed to the shared folder."""
     a = with_url_parts(articles.select(key, title, *([url] if url != key else [])), url).withColumn(
@@ -179,32 +170,112 @@ def candidate_pairs(reps: DataFrame, title_threshold: float = TITLE_THRESHOLD,
                     url_threshold: float = URL_THRESHOLD, block: int = PAIR_BLOCK) -> DataFrame:
     """``(row_a, row_b)`` of representatives whose lengths and signatures leave both ratios possible.
 
-    Each pair stands once.  A host and length band with many
-    rows is dealt to blocks: its rows stand in one block as ``a`` and in every block as ``b``.
+    Each pair stands once.  The rows of a host and length band are dealt to blocks; two blocks of
+    one band or of adjacent bands are a tile, and a tile is compared by one task.  A band of n
+    rows has blocks of ``block`` rows, or larger ones up to ``MAX_BLOCK`` where there would be
+    more than ``MAX_BLOCKS`` of them: each row is sent once to every block.
     """
     tl, pl = F.length("norm_title"), F.length("path")
-    slim = reps.select("row", "netloc", tl.alias("tl"), pl.alias("pl"), F.xxhash64("path").alias("ph"),
-                       bag_signature("norm_title").alias("ts"), bag_signature("path").alias("ps"))
+    slim = reps.filter(F.col("netloc").isNotNull()).select(
+        "row", "netloc", tl.alias("tl"), pl.alias("pl"), F.xxhash64("path").alias("ph"),
+        F.concat(bag_signature("norm_title"), bag_signature("path")).alias("sig"))
     slim = slim.withColumn("band", F.when(F.col("tl") == 0, F.lit(-1)).otherwise(_band(F.col("tl"), title_threshold)))
     slim = slim.checkpoint(eager=True)
-    bands = slim.groupBy("netloc", "band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    a = (slim.join(bands, ["netloc", "band"])
-         .withColumn("block", F.pmod(F.hash("row"), F.col("blocks"))).drop("blocks"))
-    # each row offers itself to its own and both adjacent bands, so every pair whose lengths
-    # pass the bound meets exactly once as (a, b) and once as (b, a); the row numbers keep one
-    b = (slim.withColumn("band", explode_rows(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-         .join(bands, ["netloc", "band"])
-         .withColumn("block", explode_rows(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks"))
-    a = a.select(*[F.col(c).alias(c + "_a") for c in a.columns])
-    b = b.select(*[F.col(c).alias(c + "_b") for c in b.columns])
-    c = F.col
-    near_path = length_bound(c("pl_a"), c("pl_b"), url_threshold) & bag_bound(
-        c("ps_a"), c("ps_b"), c("pl_a"), c("pl_b"), url_threshold)
-    meet = ((c("netloc_a") == c("netloc_b")) & (c("band_a") == c("band_b")) & (c("block_a") == c("block_b"))
-            & (c("row_a") < c("row_b")) & length_bound(c("tl_a"), c("tl_b"), title_threshold)
-            & bag_bound(c("ts_a"), c("ts_b"), c("tl_a"), c("tl_b"), title_threshold)
-            & ((c("ph_a") == c("ph_b")) | near_path))
-    return a.join(b, meet).select("row_a", "row_b")
+    n = F.count(F.lit(1))
+    size = F.greatest(F.lit(block), F.least(F.ceil(n / MAX_BLOCKS), F.lit(MAX_BLOCK)))
+    bands = slim.groupBy("netloc", "band").agg(F.ceil(n / size).cast("int").alias("blocks"))
+    near = [bands.select("netloc", (F.col("band") - d).alias("band"), F.col("blocks").alias(name)) for d, name in ((1, "above"), (-1, "below"))]
+    for other in near:
+        bands = bands.join(other, ["netloc", "band"], "left")
+    placed = slim.join(bands, ["netloc", "band"]).withColumn("at", F.pmod(F.hash("row"), F.col("blocks")))
+
+    def each(count: str) -> Column:
+        return F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1)).otherwise(F.array().cast("array<int>"))
+
+    def tile(low: Column, i: Column, high: Column, j: Column, side: int) -> Column:
+        return F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"), F.lit(side).alias("side"))
+
+    band, at = F.col("band"), F.col("at")
+    tiles = F.concat(
+        F.transform(each("blocks"), lambda j: F.when(at <= j, tile(band, at, band, j, 0)).otherwise(tile(band, j, band, at, 1))),
+        F.transform(each("above"), lambda j: tile(band, at, band + 1, j, 0)),
+        F.transform(each("below"), lambda i: tile(band - 1, i, band, at, 1)))
+    offered = (placed.select("netloc", "row", "tl", "pl", "ph", "sig", explode_rows(tiles).alias("t"))
+               .select("netloc", "t.*", "row", "tl", "pl", "ph", "sig"))
+    # tiles are small in bytes and long in work: a number of partitions that is kept as it is
+    spark, key = reps.sparkSession, ["netloc", "low", "i", "high", "j"]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return offered.repartition(parts, *key).groupBy(*key).applyInArrow(
+        _compare_tile(title_threshold, url_threshold, BAG_WORDS, PAIR_WORDS), "row_a bigint, row_b bigint")
+
+
+def _compare_tile(title_threshold: float, url_threshold: float, bag: int, pair: int):
+    """The pairs of one tile that pass the length and signature bounds.
+
+    Signatures are compared a strip of rows at a time, ordered by length, so what is held is
+    bounded.  A nested function, so that workers need not have this package.
+    """
+    words = bag + pair
+
+    def compare(table):
+        import numpy as np
+        import pyarrow as pa
+
+        def rows(part):
+            c = {n: part.column(n).to_numpy().astype(np.int64) for n in ("row", "tl", "pl", "ph")}
+            sig = part.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, 2 * words)
+            order = np.argsort(c["tl"], kind="stable")
+            return {n: v[order] for n, v in c.items()} | {"sig": np.ascontiguousarray(sig[order].T)}
+
+        def unmatched(x, y, t):
+            return (1.0 - t) * (x + y) + 1e-6
+
+        def length_ok(x, y, t):
+            return (x + y == 0) | (np.minimum(x, y) * 2.0 >= t * (x + y))
+
+        def distance(i, j, lo, hi):
+            return sum(np.bitwise_count(a["sig"][w][i] ^ b["sig"][w][j]).astype(np.int32) for w in range(lo, hi))
+
+        side = table.column("side").to_numpy()
+        own = table.column("low")[0].as_py() == table.column("high")[0].as_py() and table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        a = rows(table.filter(pa.array(side == 0)))
+        b = a if own else rows(table.filter(pa.array(side == 1)))
+        left, right, n = [], [], len(b["row"])
+        step = max(1, (1 << 18) // max(n, 1))
+        for lo in range(0, len(a["row"]) if n else 0, step):
+            hi = min(lo + step, len(a["row"]))
+            short, long = int(a["tl"][lo]), int(a["tl"][hi - 1])
+            # a little wider than the length bound, which is checked below
+            first = np.searchsorted(b["tl"], short * title_threshold / (2 - title_threshold) - 1)
+            end = np.searchsorted(b["tl"], long * (2 - title_threshold) / title_threshold + 1, side="right")
+            if own:
+                first = max(first, lo + 1)
+            if first >= end:
+                continue
+            held = np.zeros((hi - lo, end - first), dtype=np.uint16)
+            for w in range(bag, words):
+                held += np.bitwise_count(a["sig"][w][lo:hi, None] ^ b["sig"][w][None, first:end])
+            limit = np.floor(3 * unmatched(long, b["tl"][first:end], title_threshold)).astype(np.int64).clip(0, 65535).astype(np.uint16)
+            i, j = np.nonzero(held <= limit[None, :])
+            near = held[i, j]
+            i, j = i + lo, j + first
+            ta, tb = a["tl"][i], b["tl"][j]
+            gap = unmatched(ta, tb, title_threshold)
+            keep = length_ok(ta, tb, title_threshold) & (near <= 3 * gap) & ((i < j) | (not own))
+            i, j, gap = i[keep], j[keep], gap[keep]
+            keep = distance(i, j, 0, bag) <= gap
+            i, j = i[keep], j[keep]
+            pa_, pb = a["pl"][i], b["pl"][j]
+            gap = unmatched(pa_, pb, url_threshold)
+            keep = (a["ph"][i] == b["ph"][j]) | (length_ok(pa_, pb, url_threshold)
+                                                 & (distance(i, j, words, words + bag) <= gap)
+                                                 & (distance(i, j, words + bag, 2 * words) <= 3 * gap))
+            left.append(a["row"][i[keep]])
+            right.append(b["row"][j[keep]])
+        x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (left, right))
+        return pa.table({"row_a": np.minimum(x, y), "row_b": np.maximum(x, y)})
+
+    return compare
 
 
 def duplicate_pairs(articles: DataFrame, key: str = "link", title: str = "title", url: str = "link",
