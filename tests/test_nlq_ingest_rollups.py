@@ -181,3 +181,22 @@ def test_stored_partials_renew_touched_days_only(spark, scratch):
     full = rollups.daily_summary(moved)
     assert shown(rollups.finish_summary(rollups.read_partials(spark, root))) == shown(full)
     assert shown(rollups.finish_summary(rollups.read_partials(spark, root, ["2024-03-10"]))) == shown(full.filter("date = '2024-03-10'"))
+
+
+def test_summary_reads_its_articles_once(spark):
+    """Reports and trend by hand; the partials are not made again for the entities or the count."""
+    import datetime as dt
+    from tidewatch.operators import rollups
+    rows = [(f"l{d}{i}", "en" if i < 4 else None, f"s{i % 2}", dt.datetime(2024, 1, d), {"A": ["x"], "B": ["y", "z"]} if i % 2 else {})
+            for d in (1, 2, 3) for i in range(5)]
+    arts = spark.createDataFrame(rows, "link string, category string, source string, collected_at timestamp_ntz, "
+                                       "matched_entities map<string,array<string>>")
+    s = rollups.daily_summary(arts)
+    got = {(r.date, r.category): (r.article_count, r.source_count, r.matched_count, r.sources, [tuple(t) for t in r.top_entities])
+           for r in s.collect()}
+    assert got == {(f"2024-01-0{d}", c): v for d in (1, 2, 3) for c, v in (
+        ("en", (4, 2, 2, {"s0": 2, "s1": 2}, [("B", 4), ("A", 2)])), (None, (1, 1, 0, {"s0": 1}, [])))}
+    assert s._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    trend = rollups.summary_trend(s, "en")
+    assert [tuple(r) for r in trend.collect()] == [(f"2024-01-0{d}", 4, "B") for d in (1, 2, 3)]
+    assert rollups.summary_trend(rollups.daily_summary(arts.filter("day(collected_at) < 3")), "en").count() == 0

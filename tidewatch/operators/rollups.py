@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import explode_rows
+from tidewatch.session import checkpoint_dir
 from tidewatch.sinks import store
 from tidewatch.sources.bindings import ts_lit
 
@@ -85,19 +86,20 @@ def finish_summary(g: DataFrame) -> DataFrame:
     """Reports from partials: the counts per source and, added up per entity first, the
     entities; a report row holds one element per source and one per entity, no more."""
     is_art = F.col("entity").isNull()
-    out = g.groupBy("date", "category").agg(
+    # per entity first; the row of entity NULL holds the articles.  One chain of groupings and no
+    # join with itself, so the partials are made once
+    per = g.groupBy("date", "category", "entity").agg(
+        F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum("hits").alias("hits"), F.count(F.lit(1)).alias("rows"),
+        F.collect_list(F.when(is_art, F.struct("source", F.col("n").cast("bigint").alias("n")))).alias("sources"))
+    out = per.groupBy("date", "category").agg(
         F.sum(F.when(is_art, F.col("n"))).cast("bigint").alias("article_count"),
-        F.count_if(is_art).cast("bigint").alias("source_count"),
+        F.coalesce(F.sum(F.when(is_art, F.col("rows"))), F.lit(0)).cast("bigint").alias("source_count"),
         F.sum(F.when(is_art, F.col("m"))).cast("bigint").alias("matched_count"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.when(is_art, F.struct(
-            "source", F.col("n").cast("bigint")))))).alias("sources"))
-    totals = (g.filter(~is_art).groupBy("date", "category", "entity").agg(F.sum("hits").alias("hits"))
-              .groupBy(F.col("date").alias("_date"), F.col("category").alias("_category")).agg(F.array_sort(F.collect_list(
-                  F.struct((-F.col("hits")).cast("bigint").alias("neg"), F.col("entity").alias("name")))).alias("_totals")))
-    top = F.transform(F.coalesce("_totals", F.array().cast("array<struct<neg:bigint,name:string>>")),
-                      lambda t: F.struct(t["name"].alias("name"), (-t["neg"]).alias("count")))
-    same = F.col("date").eqNullSafe(F.col("_date")) & F.col("category").eqNullSafe(F.col("_category"))
-    return out.join(totals, same, "left").withColumn("top_entities", top).drop("_date", "_category", "_totals")
+        F.first(F.when(is_art, F.col("sources")), ignorenulls=True).alias("sources"),
+        F.array_sort(F.collect_list(F.when(~is_art, F.struct(
+            (-F.col("hits")).cast("bigint").alias("neg"), F.col("entity").alias("name"))))).alias("totals"))
+    top = F.transform("totals", lambda t: F.struct(t["name"].alias("name"), (-t["neg"]).alias("count")))
+    return out.withColumn("sources", F.map_from_entries(F.array_sort("sources"))).withColumn("top_entities", top).drop("totals")
 
 
 PARTIALS_SCHEMA = "category string, source string, entity string, n bigint, hits bigint, m bigint, date string"
@@ -151,6 +153,8 @@ def summary_trend(summaries: DataFrame, category: str) -> DataFrame:
     """Article count per date (ascending) with that date's top entity; < 3 points -> empty."""
     s = summaries.filter(F.col("category") == category).select(
         "date", "article_count", F.try_element_at("top_entities", F.lit(1))["name"].alias("top_entity"))
+    checkpoint_dir(s.sparkSession)
+    s = s.checkpoint(eager=True)  # a row per day, made once for the count and the rows
     n = s.select(F.count(F.lit(1))).scalar()
     return s.filter(n >= MIN_TREND_POINTS).orderBy("date")
 
