@@ -188,6 +188,19 @@ def test_dictionary_rows_and_list_equal_brute_force(spark):
     assert hits(EDGES, "inline") == hits(EDGES, "join") == hits(dictionary_of(spark, EDGES))
 
 
+def test_one_cut_per_non_ascii_character(spark):
+    """Cuts do not grow with the keywords' ASCII starts; half a surrogate pair is no character."""
+    one = spark.createDataFrame([("x" * 500 + "caf\u00e9 de la \u00f1u \U0001f600abc\u00e9",)], "t string")
+    cuts = one.select(ent._cuts("sub", F.col("t"), F.col("t"), 4, 6).alias("c")).first().c
+    assert cuts == ["xcaf\u00e9 de la", " la \u00f1u \U0001f600abc", "u \U0001f600abc\u00e9", "abc\u00e9"]
+    pairs = entities_from_pairs([("a", ["?abc\u00e9", "abc\u00e9", "\U0001f600abc\u00e9", "f\u00e9", "caf\u00e9 d", "la \u00f1u", "xxxxxxxxcaf\u00e9", "\u00e9f\u00e9"])])
+    df = articles(spark, [("caf\u00e9 de la \u00d1u", "\U0001f600ABC\u00c9"), ("x" * 9 + "caf\u00e9", "\u00e9f\u00e9"), ("?abc\u00e9", None),
+                          ("\u00e9", ""), ("plain", "")])
+    want = [brute(r["title"] or "", r["summary"] or "", pairs) for r in df.orderBy("link").collect()]
+    for entities, mode in ((pairs, "join"), (dictionary_of(spark, pairs), "auto")):
+        assert [dict(r["matched_entities"]) for r in ent.entity_match(df, entities, mode=mode).orderBy("link").collect()] == want
+
+
 def test_hundred_thousand_script_keywords(spark):
     """A plan of the same size for any dictionary, and the same result as plain substring tests."""
     import random

@@ -18,9 +18,10 @@ the dictionary.  With an inlined dictionary this is one narrow projection (hash-
 ``array_intersect``): no shuffle, text never leaves its partition.  Dictionaries too
 large to inline are joined instead (broadcast when their row count is under the limit); the
 plan's size then does not depend on the dictionary.  All other keywords are found by an
-anchor join: at every position where such a keyword can start the text is cut to the longest
-keyword's length, and these cuts meet the keywords on their first one or two characters (the
-anchor); a keyword is found where a cut starts with it.  A small inlined dictionary uses one
+anchor join: the text is cut to the longest keyword's length at every character that is not
+ASCII, or not a word's, where such a keyword has its first one, and these cuts meet the keywords
+on one or two characters from there on (the anchor); a keyword is found where a cut goes on as
+it does, and its ASCII start stands before the cut.  A small inlined dictionary uses one
 ``instr`` per non-ASCII keyword and one literal regex per ASCII keyword with a non-word edge.
 """
 
@@ -248,6 +249,16 @@ class Dictionary:
 DICTIONARY_SCHEMA = ("kw string, entity_ord int, keyword_ord int, entity string, keyword string, kind string, "
                      "anchor string, size int, word_after boolean")
 ANCHOR_CHARS = 2
+ASCII_CHARS = "".join(map(chr, range(128)))
+
+
+def _ascii_start(text: Column) -> Column:
+    return F.regexp_extract(text, r"^[\x00-\x7f]*", 0)
+
+
+def _from_other(text: Column) -> Column:
+    """The text from its first character on that is not ASCII."""
+    return F.substr(text, F.length(_ascii_start(text)) + 1)
 
 
 def dictionary_frame(keywords: DataFrame) -> Dictionary:
@@ -262,9 +273,10 @@ def dictionary_frame(keywords: DataFrame) -> Dictionary:
     word = "^[A-Za-z0-9_]$"
     first, last = F.left(kw, F.lit(1)).rlike(word), F.right(kw, F.lit(1)).rlike(word)
     kind = (F.when(kw.rlike(r"[^\x00-\x7f]"), "sub").when(first & last, "gram").when(~first, "edge").otherwise("start"))
+    anchor = F.left(F.when(kind == "sub", _from_other(kw)).otherwise(kw), F.lit(ANCHOR_CHARS))
     rows = (keywords.filter(kw != "").select(
         kw.alias("kw"), F.col("entity_ord").cast("int").alias("entity_ord"), F.col("keyword_ord").cast("int").alias("keyword_ord"),
-        "entity", kw.alias("keyword"), kind.alias("kind"), F.left(kw, F.lit(ANCHOR_CHARS)).alias("anchor"),
+        "entity", kw.alias("keyword"), kind.alias("kind"), anchor.alias("anchor"),
         F.length(kw).alias("size"), (~last).alias("word_after")))
     runs = F.size(F.regexp_extract_all("kw", F.lit(r"[A-Za-z0-9_]+|[^A-Za-z0-9_]+"), 0))
     shape = rows.groupBy("kind", F.when(F.col("kind") == "gram", runs).alias("runs")).agg(
@@ -285,7 +297,8 @@ def _listed(spark, kws: list[Keyword]) -> Dictionary:
     """The same from a list on the driver."""
     def row(k: Keyword) -> tuple:
         kind = k.mode if k.mode != "regex" else "start" if re.match(r"\w", k.keyword[0]) else "edge"
-        return (k.keyword, k.entity_ord, k.keyword_ord, k.entity, k.keyword, kind, k.keyword[:ANCHOR_CHARS],
+        anchor = (k.keyword.lstrip(ASCII_CHARS) if kind == "sub" else k.keyword)[:ANCHOR_CHARS]
+        return (k.keyword, k.entity_ord, k.keyword_ord, k.entity, k.keyword, kind, anchor,
                 len(k.keyword), not re.match(r"\w", k.keyword[-1], re.ASCII))
 
     rows = [row(k) for k in kws]
@@ -300,15 +313,23 @@ def _listed(spark, kws: list[Keyword]) -> Dictionary:
 
 
 def _cuts(kind: str, folded: Column, lowered: Column, before: int, longest: int) -> Column:
-    """Distinct pieces of text, each from a position where a keyword of this kind can start."""
+    """Distinct pieces of text, each from a position where a keyword of this kind can start.
+
+    ``sub``: one piece per character that is not ASCII, from the ``before`` ASCII characters
+    on that stand before it, or from as many as there are.
+    """
     rest = rf"[\s\S]{{0,{longest}}}"
-    if kind == "sub":  # some of the next characters is not ASCII
-        text, pattern = lowered, rf"(?=([\x00-\x7f]{{0,{before}}}[^\x00-\x7f]{rest}))"
-    elif kind == "edge":
-        text, pattern = folded, rf"(?<={WORD_CLASS})(?=({NON_WORD_CLASS}{rest}))"
+    if kind == "sub":
+        one, other = r"[\x00-\x7f]", r"[^\x00-\x7f]"
+        edge = rf"(?:^|{other}|{one}(?={one}{{{before}}}{other}))"  # what the ASCII characters follow
+        starts = F.regexp_extract_all(lowered, F.lit(rf"(?={other})(?<={edge}({one}{{0,{before}}})){other}"), 1)
+        ends = F.regexp_extract_all(lowered, F.lit(rf"(?=({other}{rest})){other}"), 1)
+        return F.array_distinct(F.zip_with(starts, ends, lambda a, b: F.concat(a, b)))
+    if kind == "edge":
+        pattern = rf"(?<={WORD_CLASS})(?=({NON_WORD_CLASS}{rest}))"
     else:
-        text, pattern = folded, rf"(?<!{WORD_CLASS})(?=({WORD_CLASS}{rest}))"
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), lambda c: F.left(c, F.lit(longest + 1))))
+        pattern = rf"(?<!{WORD_CLASS})(?=({WORD_CLASS}{rest}))"
+    return F.array_distinct(F.transform(F.regexp_extract_all(folded, F.lit(pattern), 1), lambda c: F.left(c, F.lit(longest + 1))))
 
 
 def _hits_by_anchor(base: DataFrame, d: Dictionary) -> DataFrame:
@@ -320,13 +341,15 @@ def _hits_by_anchor(base: DataFrame, d: Dictionary) -> DataFrame:
     found = None
     for kind, (before, longest, lengths) in sorted(d.cuts.items()):
         cuts = base.select(*TEXT_KEY, explode_rows(_cuts(kind, F.col("_f"), F.col("_l"), before, longest)).alias("cut"))
-        anchors = F.array(*[F.left("cut", F.lit(n)) for n in lengths])
-        cuts = (cuts.filter(F.col("cut").isNotNull()).withColumn("anchor", explode_rows(anchors)))
-        dim = d.rows.filter(F.col("kind") == kind)
+        cuts, dim = cuts.filter(F.col("cut").isNotNull()), d.rows.filter(F.col("kind") == kind)
+        if kind == "sub":  # a piece's ASCII start ends with the keyword's
+            cuts = cuts.withColumn("start", _ascii_start(F.col("cut"))).withColumn("cut", _from_other(F.col("cut")))
+            dim = dim.withColumn("kw_start", _ascii_start(F.col("kw"))).withColumn("kw", _from_other(F.col("kw")))
+        cuts = cuts.withColumn("anchor", explode_rows(F.array(*[F.left("cut", F.lit(n)) for n in lengths])))
         if d.size <= MAX_BROADCAST_KEYWORDS:
             dim = F.broadcast(dim)
         after = F.substr("cut", F.col("size") + 1, F.lit(1)).rlike(f"^{WORD_CLASS}$")
-        fits = F.lit(True) if kind == "sub" else after == F.col("word_after")
+        fits = F.endswith("start", "kw_start") if kind == "sub" else after == F.col("word_after")
         one = (cuts.join(dim, "anchor").filter(F.startswith("cut", "kw") & fits)
                .select(*TEXT_KEY, "entity_ord", "keyword_ord", "entity", "keyword"))
         found = one if found is None else found.unionByName(one)
