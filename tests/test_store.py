@@ -60,6 +60,18 @@ def test_batch_of_100_and_empty(spark, scratch):
     assert len(store.versions(spark, root)) == 1
 
 
+def test_a_batch_is_computed_once(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(title):
+        seen.add(1)
+        return title
+
+    rows = batch(spark, [art(f"t{i}", f"https://e.com/{i}") for i in range(20)])
+    store.upsert_articles(spark, os.path.join(scratch, "articles"), rows.withColumn("title", F.udf(look, "string")("title")), NOW)
+    assert seen.value == 20
+
+
 def test_recent_and_retention(spark, scratch):
     root = os.path.join(scratch, "articles")
     rows = [art("new", "https://e.com/new", published=NOW - dt.timedelta(days=1), category="tech"),

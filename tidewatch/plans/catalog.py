@@ -724,21 +724,21 @@ MERGE_COLS = ["category", "source", "title", "link", "summary", "published", "co
 def _recollection_batch(spark, sf):
     """A re-crawl of every document (titles prefixed, German dates lost), Spanish rows seen
     twice (a draft first), and every page seen twice (second copy from a mirror)."""
-    arts = B.document_articles(spark, sf)
-    pages = B.page_articles(spark, sf)
     empty = F.create_map().cast(EMPTY_MAP).alias("matched_entities")
-    again = arts.select("category", "source", F.concat(F.lit("re: "), F.col("title")).alias("title"), "link", "summary",
-                        F.when(F.col("category") == "de", F.lit(None).cast("timestamp_ntz"))
-                        .otherwise(F.col("published")).alias("published"), empty, F.lit(1).alias("batch_ord"))
-    draft = arts.filter(F.col("category") == "es").select(
-        "category", "source", F.lit("draft").alias("title"), "link", "summary", "published", empty,
-        F.lit(0).alias("batch_ord"))
-    p0 = pages.select("category", "source", "title", "link", "summary", "published", empty,
-                      F.lit(0).alias("batch_ord"))
-    p1 = pages.select("category", F.concat(F.lit("mirror:"), F.col("source")).alias("source"),
-                      F.concat(F.col("title"), F.lit(" (mirror)")).alias("title"), "link", "summary",
-                      "published", empty, F.lit(1).alias("batch_ord"))
-    return again.unionByName(draft).unionByName(p0).unionByName(p1)
+
+    def copy(title, source, published, ord_):
+        return F.struct(title.alias("title"), source.alias("source"), published.alias("published"), F.lit(ord_).alias("batch_ord"))
+
+    title, source, published = F.col("title"), F.col("source"), F.col("published")
+    lost = F.when(F.col("category") == "de", F.lit(None).cast("timestamp_ntz")).otherwise(published)
+    again, draft = copy(F.concat(F.lit("re: "), title), source, lost, 1), copy(F.lit("draft"), source, published, 0)
+    mirror = copy(F.concat(title, F.lit(" (mirror)")), F.concat(F.lit("mirror:"), source), published, 1)
+    copies = ((B.document_articles(spark, sf), F.when(F.col("category") == "es", F.array(again, draft)).otherwise(F.array(again))),
+              (B.page_articles(spark, sf), F.array(copy(title, source, published, 0), mirror)))
+    # each table is read, and each page's text found, once
+    seen = [rows.select("category", "link", "summary", TX.explode_rows(c).alias("c")).select(
+        "category", "c.source", "c.title", "link", "summary", "c.published", empty, "c.batch_ord") for rows, c in copies]
+    return seen[0].unionByName(seen[1])
 
 
 _BATCH_SQL = f"""cur AS (SELECT category, source, title, link, summary, published, collected_at FROM articles),

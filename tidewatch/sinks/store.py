@@ -348,13 +348,13 @@ def upsert_articles(spark: SparkSession, root: str, batch: DataFrame, collected_
 
     If another writer commits first, the merge is done again on that writer's version.
     """
+    checkpoint_dir(spark)
+    batch = batch.checkpoint(eager=True)  # computed once, and read for its size, its links and the merge
     size = measure_batch(batch)
     if size.rows == 0:
         return None
     if size.nulls:
         raise ValueError(f"NOT NULL constraint violated, batch rejected: {size.nulls}")
-    checkpoint_dir(spark)
-    batch = batch.checkpoint(eager=True)  # read for its links and for the merge
     for attempt in range(COMMIT_ATTEMPTS):
         base = read_version(spark, root) or Version(root, 0, buckets or size.buckets, ())
         try:
