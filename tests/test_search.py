@@ -245,3 +245,44 @@ def FTS_TOKENS(text):
     import unicodedata
     folded = "".join(c for c in unicodedata.normalize("NFD", text or "") if not unicodedata.combining(c)).lower()
     return re.findall(r"[^\W_]+", folded)
+
+
+def test_tokens_found_by_bytes_are_the_tokenizer_s(spark):
+    """ASCII and other texts, side by side in one batch, and runs that end where a text ends."""
+    texts = ["Modern-ART 2x", "", None, "\u0130stanbul \u0130", "e\u0301t\u00e9 \u00c9T\u00c9", "a\x00b\u00a0c", "\U0001f600art\U0001f600",
+             "\ue000x \u0663\u0664", "\ufb01n \u017fo \u212aelvin", "tail", "head", "\ud55c\uad6d\uc5b4 art_deco", "\u00df", "...", "\n x \n"]
+    rows = [(f"k{i:02d}", t, u) for i, t in enumerate(texts) for u in (texts[-1 - i],)]
+    d = docs(spark, rows)
+    want = sorted((t, r.link, c, p) for r in FTS.with_tokens(d).collect() for c, ts in enumerate((r.tt, r.bt)) for p, t in enumerate(ts))
+    got = sorted((r.term, r.link, r.col, p) for r in FTS.fts_postings(d).collect() for p in r.positions)
+    assert got == want
+    lengths = {r.link: r.dl for r in FTS.with_tokens(d).collect()}
+    assert {r.link: r.n for r in d.select("link", FTS.token_counts("title", "body").alias("n")).collect()} == lengths
+
+
+def test_postings_come_in_the_order_of_the_index(spark):
+    rows = [(f"k{i:03d}", "art tide", " ".join(f"w{(i * k) % 41}" for k in range(i % 17))) for i in range(120)]
+    post = FTS.fts_postings(docs(spark, rows).coalesce(1), placed=True)
+    place = post.select(FTS.term_bucket(F.col("term")).alias("b"), "term", FTS.doc_block(F.col("dl"), F.col("link"), F.lit(1)).alias("k"),
+                        "link", "col")
+    got = [tuple(r) for r in place.collect() if r.link != "k119"]  # the last key waits for the next batch
+    assert len(got) > 500 and got == sorted(got)
+
+
+def test_touched_keys_are_broadcast_and_documents_computed_once(spark, scratch):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        post = maintain_postings(FTS.fts_postings(docs(spark)), docs(spark, [("https://e.com/1", "Renamed", "Other words.")]))
+        plan = post._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(title):
+        seen.add(1)
+        return title
+
+    U.update_index(spark, scratch + "/once", docs(spark).withColumn("title", F.udf(look, "string")("title")))
+    assert seen.value == len(DOCS)

@@ -19,12 +19,12 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators.search import fts_postings, place_documents, term_bucket, write_documents, write_postings
-from tidewatch.session import checkpoint_dir
+from tidewatch.operators.search import fts_postings, place_documents, write_documents, write_postings
 from tidewatch.sinks import store
 
 MERGE_FACTOR = 4   # segments of like size that are merged; sizes are alike within this factor
 DOC_BUCKETS = 64
+MAX_BROADCAST_KEYS = 1_000_000  # touched or deleted keys that are broadcast to the postings; more are shuffled with them
 
 
 def upsert_documents(docs: DataFrame, incoming: DataFrame, key: str = "link",
@@ -41,7 +41,8 @@ def maintain_postings(postings: DataFrame, touched_docs: DataFrame, key: str = "
                       title: str = "title", body: str = "body") -> DataFrame:
     """Postings after re-indexing ``touched_docs``: their old postings are removed and the
     new ones added; postings of untouched documents are kept as they are (no re-tokenising)."""
-    kept = postings.join(touched_docs.select(key), key, "left_anti")
+    touched = touched_docs.select(key).distinct()
+    kept = postings.join(F.broadcast(touched) if touched.count() <= MAX_BROADCAST_KEYS else touched, key, "left_anti")
     return kept.unionByName(fts_postings(touched_docs, key, title, body).select(*postings.columns))
 
 
@@ -97,7 +98,8 @@ def _live(spark: SparkSession, index: Index, part: str, names, key: str) -> Data
     if not index.gone:
         return rows
     gone = _read(spark, index, "gone", [g[0] for g in index.gone], key).select(F.col("old").alias("seg"), key)
-    return rows.join(gone, ["seg", key], "left_anti")
+    few = sum(g[1] for g in index.gone) <= MAX_BROADCAST_KEYS
+    return rows.join(F.broadcast(gone) if few else gone, ["seg", key], "left_anti")
 
 
 def read_segments(spark: SparkSession, index: Index, key: str = "link") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -115,19 +117,21 @@ def update_index(spark: SparkSession, root: str, docs: DataFrame, key: str = "li
 
     ``store.VersionConflict`` if another writer committed first; the index is then unchanged.
     """
-    checkpoint_dir(spark)
-    docs = docs.select(key, F.col(title).alias("title"), F.col(body).alias("body")).checkpoint(eager=True)
     base = read_manifest(spark, root) or Index(root, 0, (), ())
-    if docs.isEmpty():
-        return base
     name = uuid.uuid4().hex
-    write_documents(docs, f"{root}/docs/seg={name}", key, buckets=DOC_BUCKETS, mode="errorifexists")
-    size = _size(spark, f"{root}/docs/seg={name}")
+    path = f"{root}/docs/seg={name}"
+    write_documents(docs.select(key, F.col(title).alias("title"), F.col(body).alias("body")), path, key, buckets=DOC_BUCKETS,
+                    mode="errorifexists")
+    size = _size(spark, path)
+    if not size[0]:
+        store.delete(spark, path)
+        return base
+    docs = _read(spark, base, "docs", [name], key)  # computed once
     write_postings(fts_postings(place_documents(docs, size[1], key), key, placed=True), f"{root}/postings/seg={name}", key,
                    mode="errorifexists")
     gone = base.gone
     if base.segments:
-        buckets = [r[0] for r in docs.select(term_bucket(F.col(key), DOC_BUCKETS).alias("b")).distinct().collect()]
+        buckets = [r[0] for r in docs.select("doc_bucket").distinct().collect()]
         held = _live(spark, base, "docs", [s.name for s in base.segments], key).filter(F.col("doc_bucket").isin(*buckets))
         found = held.select(F.col("seg").alias("old"), key, "dl").join(docs.select(key), key, "left_semi")
         found.write.mode("errorifexists").parquet(f"{root}/gone/seg={name}")

@@ -80,10 +80,10 @@ def fts_postings(docs: DataFrame, key: str = "link", title: str = "title", body:
     src = docs.select(key, title, body)
     if terms is None:
         src = src if placed else src.repartition(key)
-        t = with_tokens(src.sortWithinPartitions(key), title, body).select(F.col(key).alias("key"), "tt", "bt", "dl")
+        t = src.sortWithinPartitions(key).select(F.col(key).alias("key"), _spaced(F.col(title)).alias("tt"), _spaced(F.col(body)).alias("bt"))
         key_type = docs.schema[key].dataType.simpleString()
-        return t.mapInArrow(_group_tokens(CHUNK_TOKENS), f"term string, `{key}` {key_type}, col int, positions array<int>, "
-                                                         "tf bigint, dl bigint, doc_tf bigint")
+        return t.mapInArrow(_group_tokens(CHUNK_TOKENS, DEFAULT_BUCKETS), f"term string, `{key}` {key_type}, col int, positions array<int>, "
+                                                                          "tf bigint, dl bigint, doc_tf bigint")
     t = with_tokens(src, title, body)
 
     def zipped(arr: str, ci: int) -> Column:
@@ -98,8 +98,23 @@ def fts_postings(docs: DataFrame, key: str = "link", title: str = "title", body:
                  F.count(F.lit(1)).cast("bigint").alias("tf"), F.max("dl").alias("dl")))
 
 
-def _group_tokens(chunk_tokens: int):
-    """Rows ``(key, tt, bt, dl)`` sorted by key -> postings, some ``chunk_tokens`` tokens at a time.
+def _is_ascii(text: Column) -> Column:
+    return (F.octet_length(text) == F.length(text)) & F.is_valid_utf8(text)
+
+
+def _spaced(col: Column) -> Column:
+    """A text whose tokens ``_group_tokens`` finds by its bytes: one in ASCII as it is, another
+    one folded and with a space for all that stands between its tokens."""
+    from tidewatch.functions.text import TOKEN_PATTERN, fts_fold
+    text = F.coalesce(col, F.lit(""))
+    between = "[^" + TOKEN_PATTERN.removeprefix("[")
+    return F.when(_is_ascii(text), text).otherwise(F.regexp_replace(fts_fold(text), between, " "))
+
+
+def _group_tokens(chunk_tokens: int, buckets: int):
+    """Rows ``(key, tt, bt)`` of spaced texts sorted by key -> postings, some ``chunk_tokens`` tokens
+    at a time, each time by term bucket, term, length class and key: the index's order, so that
+    its sort finds runs to merge.
 
     A nested function, so that workers need not have this package.
     """
@@ -107,44 +122,85 @@ def _group_tokens(chunk_tokens: int):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
+        import xxhash
+
+        table = np.zeros(256, np.uint8)  # what a byte is in a token; 0 between tokens
+        table[0x80:] = np.arange(0x80, 256)
+        for c in b"0123456789abcdefghijklmnopqrstuvwxyz":
+            table[c] = c
+            table[ord(chr(c).upper())] = c
 
         def group_of_row(rows):
             codes = rows.column("key").dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
             return np.concatenate([[0], np.cumsum(codes[1:] != codes[:-1])]).astype(np.int64)
 
-        def lengths(rows, name):
-            return pc.list_value_length(rows.column(name)).to_numpy(zero_copy_only=False).astype(np.int64)
+        def tokens_of(texts):
+            """Tokens of each text, one after the other, and their numbers."""
+            texts = texts.cast(pa.large_binary())
+            at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+            if at[0] == at[-1]:
+                return pa.array([], pa.large_string()), np.zeros(len(texts), np.int64)
+            folded = table[np.frombuffer(texts.buffers()[2], np.uint8)[at[0]:at[-1]]]
+            at = at - at[0]
+            inside = folded != 0
+            first = inside.copy()
+            first[1:] &= ~inside[:-1]
+            edges = at[:-1][at[:-1] < len(inside)]
+            first[edges] = inside[edges]
+            starts = np.flatnonzero(first)
+            chars = folded[inside]
+            places = np.append(np.cumsum(inside)[starts] - 1, len(chars)).astype(np.int64)
+            words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(chars))
+            return words, np.diff(np.searchsorted(starts, at))
 
         def postings(rows):
             groups, n = group_of_row(rows), rows.num_rows
-            each = [lengths(rows, "tt"), lengths(rows, "bt")]
+            (titles, in_title), (bodies, in_body) = tokens_of(rows.column("tt")), tokens_of(rows.column("bt"))
+            each = [in_title, in_body]
             row = np.concatenate([np.repeat(np.arange(n), k) for k in each])
             pos = np.concatenate([np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) for k in each])
             col = np.repeat([0, 1], [k.sum() for k in each])
             if not len(row):
                 return None
-            words = pa.concat_arrays([rows.column("tt").flatten(), rows.column("bt").flatten()]).dictionary_encode()
-            code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            place = (groups[row] * len(words.dictionary) + code) * 2 + col
+            words = pa.concat_arrays([titles, bodies]).dictionary_encode()
+            terms, code = words.dictionary.cast(pa.string()), words.indices.to_numpy(zero_copy_only=False)
+            # codes by bucket and term, keys by length class and key
+            by_term = pc.sort_indices(terms).to_numpy()
+            in_bucket = np.array([xxhash.xxh64_intdigest(t, 42) for t in terms.cast(pa.binary()).to_pylist()], np.uint64).view(np.int64) % buckets
+            by_term = by_term[np.argsort(in_bucket[by_term], kind="stable")]
+            rank = np.empty(len(terms), np.int64)
+            rank[by_term] = np.arange(len(terms))
+            length, n_groups = in_title + in_body, int(groups[-1]) + 1
+            longest = np.zeros(n_groups, np.int64)
+            np.maximum.at(longest, groups, length)
+            by_class = np.argsort(np.floor(np.log2(longest + 1) * 2), kind="stable")
+            place_of = np.empty(n_groups, np.int64)
+            place_of[by_class] = np.arange(n_groups)
+            place = (rank[code] * n_groups + place_of[groups[row]]) * 2 + col
             # the entries of one row and column are in order; those of more rows of a key are not
-            order = np.argsort(place, kind="stable") if groups[-1] + 1 == n else np.lexsort((pos, place))
+            if n_groups < n:
+                order = np.lexsort((pos, place))
+            elif len(terms) * n_groups * 2 < 2 ** 62 // len(place):  # key and entry sorted as one number
+                order = np.sort(place * len(place) + np.arange(len(place))) % len(place)
+            else:
+                order = np.argsort(place, kind="stable")
             place, row = place[order], row[order]
             starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
             tf = np.diff(np.append(starts, len(place)))
             pair = place[starts] // 2
             firsts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
             doc_tf = np.repeat(np.add.reduceat(tf, firsts), np.diff(np.append(firsts, len(pair))))
-            dl = rows.column("dl").to_numpy(zero_copy_only=False)[row]
             return pa.RecordBatch.from_arrays([
-                words.dictionary.take(pa.array(pair % len(words.dictionary))), rows.column("key").take(pa.array(row[starts])),
+                terms.take(pa.array(by_term[pair // n_groups])), rows.column("key").take(pa.array(row[starts])),
                 pa.array((place[starts] % 2).astype(np.int32)),
                 pa.ListArray.from_arrays(pa.array(np.append(starts, len(place)).astype(np.int32)), pa.array(pos[order].astype(np.int32))),
-                pa.array(tf.astype(np.int64)), pa.array(np.maximum.reduceat(dl, starts)), pa.array(doc_tf.astype(np.int64))], names=names)
+                pa.array(tf.astype(np.int64)), pa.array(np.maximum.reduceat(length[row], starts)), pa.array(doc_tf.astype(np.int64))], names=names)
 
         def chunks(parts):
             rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
             groups = group_of_row(rows)
-            tokens = np.bincount(groups, weights=lengths(rows, "tt") + lengths(rows, "bt"))
+            size = sum(pc.binary_length(rows.column(name)).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("tt", "bt"))
+            tokens = np.bincount(groups, weights=size / 6)  # about
             chunk = (np.cumsum(tokens) // chunk_tokens)[groups]
             cuts = [0, *(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1).tolist(), rows.num_rows]
             for lo, hi in zip(cuts, cuts[1:]):
@@ -217,8 +273,11 @@ def place_documents(docs: DataFrame, tokens: float, key: str = "link", slots: in
 def token_counts(title: str, body: str) -> Column:
     """Number of tokens of both columns, without building them."""
     from tidewatch.functions.text import TOKEN_PATTERN, fts_fold
-    return sum((F.regexp_count(fts_fold(F.coalesce(F.col(c), F.lit(""))), F.lit(TOKEN_PATTERN)) for c in (title, body)),
-               F.lit(0)).cast("bigint")
+
+    def count(text: Column) -> Column:
+        plain, other = F.regexp_count(text, F.lit("[0-9A-Za-z]+")), F.regexp_count(fts_fold(text), F.lit(TOKEN_PATTERN))
+        return F.when(_is_ascii(text), plain).otherwise(other)
+    return sum((count(F.coalesce(F.col(c), F.lit(""))) for c in (title, body)), F.lit(0)).cast("bigint")
 
 
 def write_documents(docs: DataFrame, path: str, key: str = "link", title: str = "title", body: str = "body",
