@@ -207,3 +207,69 @@ def test_batched_probabilities_equal_plain_softmaxes():
         want = (part(q, model.u, model.ub, k) + part(q, model.g[k * s:(k + 1) * s], model.gb[k * s:(k + 1) * s], g % s)
                 + part(q, model.q[g * 16:(g + 1) * 16], model.qb[g * 16:(g + 1) * 16], t % 16))
         assert abs(got[i] - want / math.log(10)) < 1e-3
+
+
+def test_training_and_scoring_read_stored_ids_and_split_no_text(spark, monkeypatch):
+    monkeypatch.setattr(L, "KNOWN_WORDS", 30)
+    monkeypatch.setattr(L, "CODED_BYTES", 40)  # a batch's texts are handed on in several pieces
+    docs = cases.documents(spark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    texts = docs.where(L.in_training("doc_id")).select("text")
+    counts = L.word_counts(texts)
+    c = L.gather(counts, texts.count())
+    place = {w: i + L.FIRST_WORD for i, w in enumerate(c.words[:c.modelled])}
+    coded = L.encode(docs, c)
+    got = [(r.doc_id, np.frombuffer(r.ids, L.ID_TYPE).tolist()) for r in coded.collect()]
+    want = [(i, [place.get(w.encode(), L.OTHER) for w in low_words(t)] + [L.END]) for i, t in rows]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    kept = spark.createDataFrame(coded.toPandas().assign(row=range(len(rows))), coded.schema.add("row", "long"))
+
+    def never(text):
+        raise AssertionError("split again")
+
+    monkeypatch.setattr(L, "words_of", never)
+    model = L.fit(kept.where("not held_out"), c)
+    assert not np.array_equal(model.flat, L.Model.start(c).flat)
+    scored = L.score_texts(kept, c, model, L.materialize(spark.createDataFrame(
+        [(bytearray(w), int(n)) for w, n in zip(c.words, c.counts)], "word binary, c long"), "counts")).collect()
+    assert len(scored) == len(rows)
+
+
+def test_a_step_adds_up_no_run_of_one_token(monkeypatch):
+    rng = np.random.default_rng(8)
+    size = np.array([1, 1, 5, 1, 70, 2, 1, 1])
+    rows = rng.normal(0, 1, (size.sum(), L.DIM)).astype(np.float32)
+    first = np.cumsum(size) - size
+    want = np.stack([rows[lo:lo + n].astype(float).sum(axis=0) for lo, n in zip(first, size)])
+    assert np.allclose(L._sum_runs(rows, first, size), want, atol=1e-4)
+    summed = []
+    add = np.add
+
+    class Add:
+        @staticmethod
+        def reduceat(part, starts, axis):
+            summed.append((len(part), len(starts)))
+            return add.reduceat(part, starts, axis=axis)
+
+    monkeypatch.setattr(L.np, "add", Add)
+    got = L._sum_runs(rows, first, size)
+    monkeypatch.undo()
+    assert summed == [(77, 3)] and np.allclose(got, want, atol=1e-4)
+    single = np.arange(4)
+    assert np.array_equal(L._sum_runs(rows[:4], single, np.ones(4, np.int64)), rows[:4])
+
+
+def test_long_and_short_runs_pull_alike(monkeypatch):
+    rng = np.random.default_rng(9)
+    size = np.array([60, 1, 2, 30, 1])
+    first = np.cumsum(size) - size
+    q = rng.normal(0, 1, (size.sum(), L.DIM)).astype(np.float32)
+    own = rng.normal(0, 1, (5, L.DIM)).astype(np.float32), rng.normal(0, 1, 5).astype(np.float32)
+    noise = rng.normal(0, 1, (5, 3, L.DIM)).astype(np.float32), rng.normal(0, 1, (5, 3)).astype(np.float32)
+    found = []
+    for long_run in (1, 48, 10 ** 6):
+        monkeypatch.setattr(L, "LONG_RUN", long_run)
+        pull = np.zeros_like(q)
+        found.append([pull, *(x for pair in L.Trainer._pulled(q, pull, own, noise, first, size) for x in pair)])
+    for other in found[1:]:
+        assert all(np.allclose(x, y, atol=1e-3) for x, y in zip(found[0], other))

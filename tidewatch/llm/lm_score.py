@@ -16,6 +16,8 @@ batched matrix products over 4 V^(1/4) + ``LEAVES`` terms a token.  An "other wo
 spelled out by its add-one share among the other training words, with one place left for all
 unseen words, so probabilities over all words add up to one.
 
+Texts are split and looked up once (``encode``); training and scoring read the stored ids.
+
 Training.  The rows are split into one part per ``TOKENS_PER_MODEL`` tokens; a task trains on
 all rows of its part with noise-contrastive estimation (noise from the unigram distributions
 of each level); a part hands over the chunks of parameters it changed, which are averaged by
@@ -28,6 +30,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import astuple, dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +47,12 @@ CONTEXT = 2
 KNOWN_WORDS = 200_000      # most frequent words whose counts travel to the tasks
 END, OTHER, FIRST_WORD = 0, 1, 2
 CLASS_NOISE, GROUP_NOISE, LEAF_NOISE = 16, 4, 2
+ID_TYPE = "<i4"            # of the outputs in a coded text
+CODED_BYTES = 64_000_000   # of coded texts that one batch holds, about
 BATCH_TOKENS = 8192        # per training step
 SCORE_TOKENS = 32768       # per scoring batch
 TILE = 1024                # rows whose terms are computed at once
+LONG_RUN = 48              # tokens times terms of a training step that make a product of their own
 RATE = 0.08
 CHUNK = 1024               # parameters per row when tasks hand them over
 TOKENS_PER_MODEL = 4_000_000  # tokens that one part of the training holds, about
@@ -174,13 +180,13 @@ class Model:
         return (classes / classes.sum(), groups / np.maximum(classes, 1e-30)[:, None],
                 leaves / np.maximum(leaves.sum(axis=1), 1e-30)[:, None])
 
-    def predict(self, context: np.ndarray) -> np.ndarray:
-        q = self.r.take(context[:, 0], axis=0)
-        q *= self.p[0]
+    def inputs(self, context: np.ndarray) -> list[np.ndarray]:
+        return [self.r.take(context[:, j], axis=0) for j in range(CONTEXT)]
+
+    def predict(self, inputs: list[np.ndarray]) -> np.ndarray:
+        q = inputs[0] * self.p[0]
         for j in range(1, CONTEXT):
-            more = self.r.take(context[:, j], axis=0)
-            more *= self.p[j]
-            q += more
+            q += inputs[j] * self.p[j]
         return q
 
     def log10_probs(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -188,26 +194,30 @@ class Model:
         token = token[order]
         group = token // LEAVES
         klass = group // side
-        q = self.predict(context[order])
+        q = np.ones((len(token), DIM + 1), np.float32)  # the last column takes the biases into the products
+        q[:, :DIM] = self.predict(self.inputs(context[order]))
+        u, g = [np.concatenate([value, bias[:, None]], axis=1) for value, bias in ((self.u, self.ub), (self.g, self.gb))]
         found = np.empty(len(token), np.float32)
-        for lo in range(0, len(token), TILE):
-            part = slice(lo, lo + TILE)
-            found[part] = _log_softmax_pick(q[part] @ self.u.T + self.ub, klass[part])
-        for k, lo, hi in runs_of(klass):
-            own = slice(k * side, (k + 1) * side)
+        room = np.empty((TILE, side), np.float32)
+        for part in tiles(0, len(token)):
+            logits = np.dot(q[part], u.T, out=room[:part.stop - part.start])
+            found[part] = _log_softmax_pick(logits, klass[part])
+        for k, lo, hi in spans(*_runs(klass)):
+            own = g[k * side:(k + 1) * side].T
             for part in tiles(lo, hi):
-                found[part] += _log_softmax_pick(q[part] @ self.g[own].T + self.gb[own], group[part] - k * side)
+                logits = np.dot(q[part], own, out=room[:part.stop - part.start])
+                found[part] += _log_softmax_pick(logits, group[part] - k * side)
+        q = q[:, :DIM]
         leaves, biases = self.q.reshape(-1, LEAVES, DIM), self.qb.reshape(-1, LEAVES)
         logits = np.empty((len(token), LEAVES), np.float32)
-        rare = np.ones(len(token), bool)
-        for k, lo, hi in runs_of(group):
-            if hi - lo >= 8:  # one product for the group; the tokens of rare groups bring their own outputs
-                np.dot(q[lo:hi], leaves[k].T, out=logits[lo:hi])
-                rare[lo:hi] = False
-        rare = np.flatnonzero(rare)
-        for lo in range(0, len(rare), TILE):
-            part = rare[lo:lo + TILE]
-            logits[part] = np.matmul(leaves.take(group[part], axis=0), q[part, :, None])[:, :, 0]
+        groups, first, size = _runs(group)
+        often = size >= 8  # one product for the group; the tokens of rare groups bring their own outputs
+        for k, lo, hi in spans(groups[often], first[often], size[often]):
+            np.dot(q[lo:hi], leaves[k].T, out=logits[lo:hi])
+        rare = np.flatnonzero(np.repeat(~often, size))
+        for part in tiles(0, len(rare)):
+            some = rare[part]
+            logits[some] = np.matmul(leaves.take(group[some], axis=0), q[some, :, None])[:, :, 0]
         logits += biases.take(group, axis=0)
         found += _log_softmax_pick(logits, token % LEAVES)
         out = np.empty(len(token))
@@ -215,10 +225,9 @@ class Model:
         return out / np.log(10)
 
 
-def runs_of(values: np.ndarray) -> list[tuple[int, int, int]]:
-    """``(value, start, end)`` of the runs of equal values."""
-    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
-    return list(zip(values[starts].tolist(), starts.tolist(), np.r_[starts[1:], len(values)].tolist()))
+def spans(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> list[tuple[int, int, int]]:
+    """``(value, start, end)`` of runs."""
+    return list(zip(values.tolist(), first.tolist(), (first + size).tolist()))
 
 
 def tiles(lo: int, hi: int) -> list[slice]:
@@ -226,13 +235,15 @@ def tiles(lo: int, hi: int) -> list[slice]:
 
 
 def _log_softmax_pick(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """Overwrites ``logits``."""
     top = logits.max()
     if top - logits.min() > 80:  # beyond single precision without a maximum per row
-        logits = logits - logits.max(axis=1, keepdims=True)
+        logits -= logits.max(axis=1, keepdims=True)
     else:
         logits -= top
     chosen = logits[np.arange(len(pick)), pick]
-    return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
+    np.exp(logits, out=logits)
+    return chosen - np.log(logits @ np.ones(logits.shape[1], np.float32))
 
 
 def contexts(tokens: np.ndarray, starts: np.ndarray, side: int = CLASSES) -> np.ndarray:
@@ -264,11 +275,14 @@ class Trainer:
 
     def _move(self, name: str, rows: np.ndarray, grad: np.ndarray) -> None:
         value, seen = getattr(self.model, name), getattr(self.sums, name)
-        total = seen.take(rows, axis=0)
-        total += grad * grad
+        total = grad * grad
+        total += seen.take(rows, axis=0)
         seen[rows] = total
         np.sqrt(total, out=total)
-        value[rows] = value.take(rows, axis=0) - RATE * grad / total
+        np.divide(grad, total, out=total)
+        total *= -RATE
+        total += value.take(rows, axis=0)
+        value[rows] = total
 
     def _draw(self, edges: np.ndarray, parents: np.ndarray, n: int) -> np.ndarray:
         """``n`` children of each parent by their shares, as places in the level."""
@@ -284,58 +298,44 @@ class Trainer:
         context, token = context.take(order, axis=0), token[order]
         group = token // LEAVES
         klass = group // side
-        q = m.predict(context)
-        pull = np.zeros_like(q)
+        inputs = m.inputs(context)
+        q = m.predict(inputs)
 
         # classes: the token's own against noise that the whole step shares
         noise = self.rng.choice(side, size=CLASS_NOISE, p=self.class_p)
-        shift = m.ub - self.log_class
-        rows_u = self._own(m.u, shift, q, pull, klass)
-        err = _sigmoid(q @ m.u[noise].T + shift[noise])
-        pull += err @ m.u[noise]
-        rows_u = _sum_rows(np.r_[rows_u[0], noise], np.r_[rows_u[1], err.T @ q], np.r_[rows_u[2], err.sum(axis=0)])
-
-        # groups: noise from its class that the step's tokens of it share, one small product per class
-        shift = m.gb - self.log_group
-        rows, grads, scalars = [[x] for x in self._own(m.g, shift, q, pull, group)]
+        shift_u, shift_g, shift_q = m.ub - self.log_class, m.gb - self.log_group, m.qb - self.log_leaf
+        err = _sigmoid(q @ m.u[noise].T + shift_u[noise])
+        pull = err @ m.u[noise]
+        # with it, as all tokens of a class share them: noise among its groups
         classes, first, size = _runs(klass)
-        drawn = self._draw(self.group_edges, classes, GROUP_NOISE)
-        spans = list(zip(drawn, first.tolist(), (first + size).tolist()))
-        err = np.repeat(shift[drawn], size, axis=0)
-        for ids, lo, hi in spans:
-            err[lo:hi] += q[lo:hi] @ m.g[ids].T
-        err = _sigmoid(err)
-        for ids, lo, hi in spans:
-            pull[lo:hi] += err[lo:hi] @ m.g[ids]
-            grads.append(err[lo:hi].T @ q[lo:hi])
-        rows.append(drawn.ravel())
-        scalars.append(np.add.reduceat(err, first, axis=0).ravel())
-        rows_g = _sum_rows(np.concatenate(rows), np.concatenate(grads), np.concatenate(scalars))
-
-        # outputs: noise from its group, in one product over all tokens as groups are many
-        shift = m.qb - self.log_leaf
-        rows, grads, scalars = [[x] for x in self._own(m.q, shift, q, pull, token)]
+        drawn_g = self._draw(self.group_edges, classes, GROUP_NOISE)
+        grad_u, grad_g = self._pulled(q, pull, (m.u[classes], shift_u[classes]), (m.g[drawn_g], shift_g[drawn_g]), first, size)
+        rows_u = _sum_terms((classes, *grad_u), (noise, err.T @ q, err.sum(axis=0)))
+
+        # groups: the token's own, and noise among its outputs
         groups, first, size = _runs(group)
-        drawn = self._draw(self.leaf_edges, groups, LEAF_NOISE)
-        vec = np.repeat(m.q.take(drawn, axis=0), size, axis=0)
-        err = _sigmoid(np.matmul(vec, q[:, :, None])[:, :, 0] + np.repeat(shift[drawn], size, axis=0))
-        pull += np.matmul(err[:, None, :], vec)[:, 0, :]
-        rows.append(drawn.ravel())
-        both = (err[:, :, None] * q[:, None, :]).reshape(len(token), -1)
-        grads.append(np.add.reduceat(both, first, axis=0).reshape(-1, DIM))
-        scalars.append(np.add.reduceat(err, first, axis=0).ravel())
-        rows_q = _sum_rows(np.concatenate(rows), np.concatenate(grads), np.concatenate(scalars))
+        drawn_q = self._draw(self.leaf_edges, groups, LEAF_NOISE)
+        own, grad_q = self._pulled(q, pull, (m.g.take(groups, axis=0), shift_g[groups]),
+                                   (m.q.take(drawn_q, axis=0), shift_q[drawn_q]), first, size)
+        rows_g = _sum_terms((groups, *own), (drawn_g, *grad_g))
+
+        # outputs: the token's own
+        tokens, first, size = _runs(token)
+        own, _ = self._pulled(q, pull, (m.q.take(tokens, axis=0), shift_q[tokens]), None, first, size)
+        rows_q = _sum_terms((tokens, *own), (drawn_q, *grad_q))
 
         # inputs
-        ctx, ctx_grad, grad_p = self._inputs(order, token, context, pull)
+        grad_p = np.stack([np.einsum("nk,nk->k", pull, x) for x in inputs])
+        ctx, ctx_grad = self._inputs(order, token, context, pull, tokens, first, size)
         for name, (ids, grad, grad_b) in (("u", rows_u), ("g", rows_g), ("q", rows_q)):
             self._move(name, ids, grad)
             self._move(name + "b", ids, grad_b)
         self._move("p", np.arange(CONTEXT), grad_p)
         self._move("r", ctx, ctx_grad)
 
-    def _inputs(self, order: np.ndarray, token: np.ndarray, context: np.ndarray, pull: np.ndarray):
-        """Gradients of the input vectors that the step touches, and of the position weights.
+    def _inputs(self, order: np.ndarray, token: np.ndarray, context: np.ndarray, pull: np.ndarray,
+                own: np.ndarray, first: np.ndarray, size: np.ndarray):
+        """Gradients of the input vectors that the step touches; ``own``: the runs of its tokens.
 
         An input is mostly the token one or two places before, so what pulls at it is gathered
         at that token's place and summed over the sorted tokens; the rest (text starts, the
@@ -346,10 +346,9 @@ class Trainer:
         at_place[order] = pull
         text, before = np.empty_like(token), np.empty_like(context)
         text[order], before[order] = token, context
-        gathered, ids, rest, grad_p = np.zeros_like(pull), [], [], []
+        gathered, ids, rest = np.zeros_like(pull), [], []
         for j in range(CONTEXT):
             part = at_place * m.p[j]
-            grad_p.append(np.einsum("nk,nk->k", at_place, m.r.take(before[:, j], axis=0)))
             apart = np.ones(n, bool)
             apart[j + 1:] = before[j + 1:, j] != text[:max(n - j - 1, 0)]
             apart = np.flatnonzero(apart)
@@ -357,87 +356,214 @@ class Trainer:
             rest.append(part[apart])
             part[apart] = 0
             gathered[:max(n - j - 1, 0)] += part[j + 1:]
-        own, first, _ = _runs(token)
-        rows = np.concatenate([np.add.reduceat(gathered.take(order, axis=0), first, axis=0), *rest])
-        ctx, grad, _ = _sum_rows(np.concatenate([own, *ids]), rows)
-        return ctx, grad, np.stack(grad_p)
+        rows = np.concatenate([_sum_runs(gathered.take(order, axis=0), first, size), *rest])
+        return _sum_rows(np.concatenate([own, *ids]), rows)[:2]
 
     @staticmethod
-    def _own(value: np.ndarray, shift: np.ndarray, q: np.ndarray, pull: np.ndarray, place: np.ndarray):
-        """Gradients of the data's own places (sorted) of a level; adds to ``pull``."""
-        ids, first, size = _runs(place)
-        vec = np.repeat(value.take(ids, axis=0), size, axis=0)
-        err = _sigmoid(np.einsum("nk,nk->n", q, vec) + np.repeat(shift[ids], size)) - 1
-        vec *= err[:, None]
-        pull += vec
-        return ids, np.add.reduceat(err[:, None] * q, first, axis=0), np.add.reduceat(err, first)
+    def _pulled(q: np.ndarray, pull: np.ndarray, own: tuple[np.ndarray, np.ndarray],
+                noise: tuple[np.ndarray, np.ndarray] | None, first: np.ndarray, size: np.ndarray):
+        """Gradients of the terms (vectors, biases) that all tokens of a run of ``q`` share; adds to ``pull``.
+
+        ``own`` holds a term for each run, the place of its tokens, and ``noise`` some more.  A long
+        run is a product of its own; the tokens of all short runs are computed together, term by term.
+        """
+        terms, shift = own[0][:, None], own[1][:, None]
+        if noise:
+            terms, shift = np.concatenate([terms, noise[0]], axis=1), np.concatenate([shift, noise[1]], axis=1)
+        count = terms.shape[1]
+        short = size * count < LONG_RUN
+        sizes, long = size[short], np.flatnonzero(~short)
+        products = spans(long, first[long], size[long])
+        few = np.flatnonzero(np.repeat(short, size))
+        some = q.take(few, axis=0)
+        vecs = [np.repeat(terms[short, j], sizes, axis=0) for j in range(count)]
+
+        err = np.empty((len(q), count), np.float32)
+        for k, lo, hi in products:
+            np.dot(q[lo:hi], terms[k].T, out=err[lo:hi])
+        if len(few):
+            err[few] = np.stack([np.einsum("nk,nk->n", some, vec) for vec in vecs], axis=1)
+        err += np.repeat(shift, size, axis=0)
+        err = _sigmoid(err)
+        err[:, 0] -= 1
+
+        grads, more = np.empty_like(terms), np.empty_like(q)
+        for k, lo, hi in products:
+            part = err[lo:hi]
+            np.dot(part, terms[k], out=more[lo:hi])
+            np.dot(part.T, q[lo:hi], out=grads[k])
+        if len(few):
+            starts, moved = np.cumsum(sizes) - sizes, np.zeros_like(some)
+            for j, vec in enumerate(vecs):
+                weight = np.repeat(err[few, j], DIM).reshape(-1, DIM)
+                vec *= weight
+                moved += vec
+                weight *= some
+                grads[short, j] = _sum_runs(weight, starts, sizes)
+            more[few] = moved
+        pull += more
+        sums = np.add.reduceat(err, first, axis=0)
+        return (grads[:, 0], sums[:, 0]), (grads[:, 1:], sums[:, 1:])
+
+
+def _sum_runs(rows: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of the runs of ``rows``; a run of one is its row, and columns are added two by two, as complex numbers."""
+    out = rows.take(first, axis=0)
+    many = size > 1
+    if many.any():
+        sizes = size[many]
+        part = rows.compress(np.repeat(many, size), axis=0).view(np.complex64)
+        out[many] = np.add.reduceat(part, np.cumsum(sizes) - sizes, axis=0).view(np.float32)
+    return out
 
 
 def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of sorted values: the distinct ones, where each starts, and how often it stands."""
-    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
-    return values[first], first, np.diff(np.r_[first, len(values)])
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    size = np.empty_like(first)
+    size[:-1] = first[1:] - first[:-1]
+    size[-1:] = len(values) - first[-1:]
+    return values[first], first, size
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return (1 / (1 + np.exp(-np.clip(x, -30, 30)))).astype(np.float32)
+    """In place."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 def sorted_places(keys: np.ndarray) -> np.ndarray:
     """The stable order of non-negative keys: key and place are sorted as one number."""
-    n = max(len(keys), 1)
-    return np.sort(keys * n + np.arange(len(keys))) % n
+    bits = len(keys).bit_length()
+    both = keys << bits
+    both |= np.arange(len(keys))
+    both.sort()
+    both &= (1 << bits) - 1
+    return both
 
 
 def _sum_rows(idx: np.ndarray, rows: np.ndarray, scalars: np.ndarray | None = None):
     order = sorted_places(idx)
-    ids, first, _ = _runs(idx[order])
-    return (ids, np.add.reduceat(rows.take(order, axis=0), first, axis=0),
+    ids, first, size = _runs(idx[order])
+    return (ids, _sum_runs(rows.take(order, axis=0), first, size),
             None if scalars is None else np.add.reduceat(scalars[order], first))
 
 
+def _sum_terms(*parts: tuple[np.ndarray, np.ndarray, np.ndarray]):
+    """The places, vectors and biases of terms, each place once."""
+    places, grads, biases = zip(*parts)
+    return _sum_rows(np.concatenate([x.ravel() for x in places]), np.concatenate([x.reshape(-1, DIM) for x in grads]),
+                     np.concatenate([x.ravel() for x in biases]))
+
+
 class Ids:
     """Token ids of texts, gathered until a batch is full."""
 
-    def __init__(self, modelled: int):
-        self.modelled = modelled
+    def __init__(self):
         self.reset()
 
     def reset(self) -> None:
         self.parts, self.starts, self.size = [], [], 0
 
-    def add(self, ranks: np.ndarray) -> None:
-        """A text as the frequency ranks of its words (-1: beyond the known ones)."""
-        own = np.empty(len(ranks) + 1, dtype=np.int64)
-        own[:-1] = np.where((ranks < 0) | (ranks >= self.modelled), OTHER, ranks + FIRST_WORD)
-        own[-1] = END
+    def add(self, coded: bytes) -> None:
+        """A text as ``encode`` stores it."""
+        own = np.frombuffer(coded, ID_TYPE)
         self.parts.append(own)
         self.starts.append(self.size)
         self.size += len(own)
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
-        out = np.concatenate(self.parts), np.array(self.starts)
+        out = np.concatenate(self.parts).astype(np.int64), np.array(self.starts)
         self.reset()
         return out
 
 
 def ranks_of(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    get = known.get
-    return np.array([get(w, -1) for w in words], dtype=np.int64)
+    """Frequency ranks; -1: beyond the known words."""
+    return np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+
+
+def ids_of(ranks: np.ndarray, modelled: int) -> np.ndarray:
+    own = np.empty(len(ranks) + 1, ID_TYPE)
+    own[:-1] = np.where((ranks < 0) | (ranks >= modelled), OTHER, ranks + FIRST_WORD)
+    own[-1] = END
+    return own
+
+
+def encode(docs: DataFrame, corpus: Corpus, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: fold, token numbers, base score and share of the spelled words as far as
+    the known words tell, the text's tokens as outputs of the model, and its other words with their numbers.
+
+    Texts are split and words looked up here, once; training and scoring read the ids.
+    """
+    # KNOWN_WORDS and the outputs; plain data, as a broadcast's classes would have to be on the workers
+    shipped = docs.sparkSession.sparkContext.broadcast(astuple(corpus))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Corpus(*shipped.value)
+        known, modelled = {w: i for i, w in enumerate(seen.words)}, seen.modelled
+        base_of, spelled_of = seen.base(seen.counts), seen.spelled(seen.counts)
+        base_end, end_known = float(seen.base(seen.rows)), int(seen.rows > 0)
+
+        for batch in batches:
+            n_tokens, n_known, base, spelled, ids, rare, held = [], [], [], [], [], [], 0
+            done = 0
+
+            def out() -> pa.RecordBatch:
+                part = batch.slice(done, len(n_tokens))
+                return pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+                     pa.array(base, pa.float64()), pa.array(spelled, pa.float64()), pa.array(ids, pa.binary()),
+                     pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "base", "spelled", "ids", "rare"])
+
+            for text in row_bytes(batch, "text"):
+                words = words_of(text)
+                ranks = ranks_of(words, known)
+                found = ranks[ranks >= 0]
+                missing = Counter([words[i] for i in np.flatnonzero(ranks < 0).tolist()])
+                n_tokens.append(len(words) + 1)
+                n_known.append(len(found) + end_known)
+                base.append(base_end + float(base_of[found].sum()))
+                spelled.append(float(spelled_of[found[found >= modelled]].sum()))
+                ids.append(ids_of(ranks, modelled).tobytes())
+                rare.append([{"word": w, "n": n} for w, n in missing.items()])
+                held += len(ids[-1])
+                if held > CODED_BYTES:
+                    yield out()
+                    done += len(n_tokens)
+                    n_tokens, n_known, base, spelled, ids, rare, held = [], [], [], [], [], [], 0
+            if n_tokens:
+                yield out()
+
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.coalesce(fold(id_col) == HELD_OUT_FOLD, F.lit(False)).alias("held_out"),
+                       F.col(text_col).cast("string").alias("text"))
+    return slim.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
+                                "spelled double, ids binary, rare array<struct<word:binary,n:bigint>>")
 
 
 def train(texts: DataFrame, corpus: Corpus) -> Model:
-    """One pass over all rows of ``texts``; returns the token-weighted mean of the parts' models."""
+    """``fit`` on all rows of ``texts`` (column ``text``)."""
+    return fit(encode(texts.withColumn("doc_id", F.lit(None).cast("long")), corpus), corpus)
+
+
+def fit(coded: DataFrame, corpus: Corpus) -> Model:
+    """One pass over all rows of ``coded``; returns the token-weighted mean of the parts' models."""
     start = Model.start(corpus)
     if not corpus.tokens:
         return start
-    shipped = texts.sparkSession.sparkContext.broadcast((start.flat, Model.unigram(corpus), corpus.words[:corpus.modelled]))
+    shipped = coded.sparkSession.sparkContext.broadcast((start.flat, Model.unigram(corpus)))
     side = corpus.side
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, unigram, words = shipped.value
-        trainer, ids = Trainer(Model(flat.copy(), side), unigram), Ids(len(words))
-        known = {w: i for i, w in enumerate(words)}
+        flat, unigram = shipped.value
+        trainer, ids = Trainer(Model(flat.copy(), side), unigram), Ids()
 
         def learn() -> None:
             tokens, starts = ids.take()
@@ -446,8 +572,8 @@ def train(texts: DataFrame, corpus: Corpus) -> Model:
                 trainer.step(context[lo:lo + BATCH_TOKENS], tokens[lo:lo + BATCH_TOKENS])
 
         for batch in batches:
-            for text in row_bytes(batch, "text"):
-                ids.add(ranks_of(words_of(text), known))
+            for text in row_bytes(batch, "ids"):
+                ids.add(text)
                 if ids.size >= BATCH_TOKENS:
                     learn()
         if ids.size:
@@ -466,7 +592,7 @@ def train(texts: DataFrame, corpus: Corpus) -> Model:
 
     total = corpus.tokens  # the tokens of all parts, one end per row included
     parts = -(-corpus.tokens // TOKENS_PER_MODEL)  # joins neighbouring partitions, moves no row
-    mean = (texts.select("text").coalesce(parts).mapInArrow(run, "chunk int, part array<float>")
+    mean = (coded.select("ids").coalesce(parts).mapInArrow(run, "chunk int, part array<float>")
             .groupBy("chunk").applyInArrow(add_up, "chunk int, part array<double>").toArrow())
     flat = start.flat.copy()
     for chunk, part in zip(mean.column("chunk").to_pylist(), mean.column("part")):
@@ -474,64 +600,46 @@ def train(texts: DataFrame, corpus: Corpus) -> Model:
     return Model(flat, side)
 
 
-def score_texts(docs: DataFrame, corpus: Corpus, model: Model, counts: DataFrame,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: fold, token numbers, base score and model score."""
-    # KNOWN_WORDS and the outputs; plain data, as a broadcast's classes would have to be on the workers
-    shipped = docs.sparkSession.sparkContext.broadcast((model.flat, astuple(corpus)))
+def score_texts(coded: DataFrame, corpus: Corpus, model: Model, counts: DataFrame) -> DataFrame:
+    """One row per row of ``coded``: fold, token numbers, base score and model score.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, fields = shipped.value
-        seen = Corpus(*fields)
-        own, known = Model(flat, seen.side), {w: i for i, w in enumerate(seen.words)}
-        ids, modelled = Ids(seen.modelled), seen.modelled
-        base_of, spelled_of = seen.base(seen.counts), seen.spelled(seen.counts)
-        base_end, end_known = float(seen.base(seen.rows)), int(seen.rows > 0)
+    ``coded`` is what ``encode`` returns, stored, with a column ``row`` that tells its rows apart.
+    """
+    shipped = coded.sparkSession.sparkContext.broadcast(model.flat)
+    side = model.side
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, ids = Model(shipped.value, side), Ids()
         for batch in batches:
-            n_tokens, n_known, base, score, rare, done = [], [], [], [], [], []
+            done = []
 
             def flush() -> None:
                 tokens, starts = ids.take()
-                done.append(np.add.reduceat(own.log10_probs(contexts(tokens, starts, seen.side), tokens), starts))
+                done.append(np.add.reduceat(own.log10_probs(contexts(tokens, starts, side), tokens), starts))
 
-            for text in row_bytes(batch, "text"):
-                words = words_of(text)
-                ranks = ranks_of(words, known)
-                ids.add(ranks)
-                found = ranks[ranks >= 0]
-                missing = Counter([words[i] for i in np.flatnonzero(ranks < 0).tolist()])
-                n_tokens.append(len(words) + 1)
-                n_known.append(len(found) + end_known)
-                base.append(base_end + float(base_of[found].sum()))
-                score.append(float(spelled_of[found[found >= modelled]].sum()))
-                rare.append([{"word": w, "n": n} for w, n in missing.items()])
+            for text in row_bytes(batch, "ids"):
+                ids.add(text)
                 if ids.size >= SCORE_TOKENS:
                     flush()
             if ids.size:
                 flush()
             neural = np.concatenate(done) if done else np.zeros(0)
+            at = batch.schema.get_field_index("spelled")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(np.array(score) + neural, pa.float64()),
-                 pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+                batch.columns[:at] + [pa.array(batch.column(at).to_numpy(zero_copy_only=False) + neural, pa.float64())],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(fold(id_col) == HELD_OUT_FOLD, F.lit(False)).alias("held_out"),
-                       F.col(text_col).cast("string").alias("text"))
-    scored = slim.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
-                                  "score double, rare array<struct<word:binary,n:bigint>>")
-    # the row number is stored with the row, so it is the same for all who read it
-    stored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    words = stored.select("row", F.explode("rare").alias("w")).select("row", "w.word", "w.n")
+    scored = coded.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "spelled", "ids").mapInArrow(
+        run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double")
+    stored = materialize(scored, "lm-scores")
+    words = coded.select("row", F.explode("rare").alias("w")).select("row", "w.word", "w.n")
     c = F.coalesce("c", F.lit(0))
     share = (words.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more_known"),
         F.sum(F.col("n") * F.log10((c + 1) / F.lit(float(corpus.tokens + corpus.distinct + 1)))).alias("more_base"),
         F.sum(F.col("n") * F.log10((c + 1) / F.lit(float(corpus.other_tokens + corpus.other_distinct + 1))))
         .alias("more_score")))
-    joined = stored.drop("rare").join(share, "row", "left")
+    joined = stored.join(share, "row", "left")
     return joined.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(corpus.tokens).cast("long").alias("train_tokens"),
@@ -549,4 +657,6 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     texts = docs.where(in_training(id_col)).select(F.col(text_col).cast("string").alias("text"))
     counts = materialize(word_counts(texts), "word-counts")
     corpus = gather(counts, texts.count())
-    return score_texts(docs, corpus, train(texts, corpus), counts, id_col, text_col)
+    # the row number is stored with the row, so it is the same for all who read it
+    coded = materialize(encode(docs, corpus, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "lm-ids")
+    return score_texts(coded, corpus, fit(coded.where(~F.col("held_out")), corpus), counts)
