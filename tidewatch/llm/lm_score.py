@@ -511,15 +511,15 @@ def encode(docs: DataFrame, corpus: Corpus, id_col: str = "doc_id", text_col: st
         base_end, end_known = float(seen.base(seen.rows)), int(seen.rows > 0)
 
         for batch in batches:
-            n_tokens, n_known, base, spelled, ids, rare, held = [], [], [], [], [], [], 0
-            done = 0
+            n_tokens, n_known, base, spelled, ids, rare, times, ends, held, done = [], [], [], [], [], [], [], [0], 0, 0
 
             def out() -> pa.RecordBatch:
                 part = batch.slice(done, len(n_tokens))
+                pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
                 return pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
                      pa.array(base, pa.float64()), pa.array(spelled, pa.float64()), pa.array(ids, pa.binary()),
-                     pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "base", "spelled", "ids", "rare"])
 
             for text in row_bytes(batch, "text"):
@@ -532,12 +532,14 @@ def encode(docs: DataFrame, corpus: Corpus, id_col: str = "doc_id", text_col: st
                 base.append(base_end + float(base_of[found].sum()))
                 spelled.append(float(spelled_of[found[found >= modelled]].sum()))
                 ids.append(ids_of(ranks, modelled).tobytes())
-                rare.append([{"word": w, "n": n} for w, n in missing.items()])
+                rare.extend(missing)
+                times.extend(missing.values())
+                ends.append(len(rare))
                 held += len(ids[-1])
                 if held > CODED_BYTES:
                     yield out()
                     done += len(n_tokens)
-                    n_tokens, n_known, base, spelled, ids, rare, held = [], [], [], [], [], [], 0
+                    n_tokens, n_known, base, spelled, ids, rare, times, ends, held = [], [], [], [], [], [], [], [0], 0
             if n_tokens:
                 yield out()
 
